@@ -6,16 +6,68 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dssforge.operators import checks, refresh, rules, windows
+from dssforge.plans import operator_queries as io
 from dssforge.plans.oracle import query_oracles
+from dssforge.plans.oracle_ops import operator_oracles
 from dssforge.plans.queries import QUERIES
 from dssforge.plans.variants import VARIANTS
+from dssforge.sources.delimited import load_counts
 from dssforge.sources.tables import Catalog
 
+OPERATORS = {
+    # 2F integrity checks
+    "pk_violations": checks.pk_violations,
+    "fk_orphans": checks.fk_orphans,
+    "not_null": checks.not_null,
+    # 2G business rules
+    "rule_retail_price": rules.rule_retail_price,
+    "rule_supplier_bridge": rules.rule_supplier_bridge,
+    "rule_extended_price": rules.rule_extended_price,
+    "rule_order_total": rules.rule_order_total,
+    "rule_order_status": rules.rule_order_status,
+    "rule_line_flags": rules.rule_line_flags,
+    "rule_customer_gap": rules.rule_customer_gap,
+    "rule_sparse_order_key": rules.rule_sparse_order_key,
+    "rule_phone_country": rules.rule_phone_country,
+    "rule_supplier_flag": rules.rule_supplier_flag,
+    "nation_region_map": rules.nation_region_map,
+    "calendar_dim": rules.calendar_dim,
+    # 2H refresh sets
+    "refresh_insert": refresh.refresh_insert_query,
+    "refresh_delete": refresh.refresh_delete_query,
+    "refresh_apply": refresh.refresh_apply_query,
+    "refresh_stream": io.refresh_stream_q,
+    # 2D sources and sinks
+    "load_delimited": io.load_delimited_q,
+    "load_csv_nodummy": io.load_csv_nodummy_q,
+    "load_copy": io.load_copy_q,
+    "load_counts": load_counts,
+    "write_table": io.write_table_q,
+    # 2E layout
+    "layout_year_partition": io.layout_year_partition_q,
+    "layout_hash": io.layout_hash_q,
+    "layout_minmax": io.layout_minmax_q,
+    "compact": io.compact_q,
+    # 2I run-log reports
+    "runlog_load": io.runlog_load_q,
+    "report_queries": io.report_queries_q,
+    "report_loads": io.report_loads_q,
+    "report_analyze": io.report_analyze_q,
+    "report_gen_data": io.report_gen_data_q,
+    "report_sessions": io.report_sessions_q,
+    # 2J result comparison
+    "result_diff": io.result_diff_q,
+    # 2C windows
+    "w_row_number": windows.w_row_number,
+    "w_rank": windows.w_rank,
+}
+
 
 def _on_catalog(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Catalog(spark, sf_dir))
-    run.__name__ = fn.__name__
+    run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
 
@@ -23,8 +75,11 @@ def _on_catalog(fn) -> Callable[[SparkSession, str], DataFrame]:
 def registered_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {k: _on_catalog(f) for k, f in QUERIES.items()}
     out.update({k: _on_catalog(f) for k, f in VARIANTS.items()})
+    out.update({k: _on_catalog(f) for k, f in OPERATORS.items()})
     return out
 
 
 def oracle_statements() -> dict[str, str]:
-    return query_oracles()
+    out = query_oracles()
+    out.update(operator_oracles())
+    return out

@@ -94,6 +94,16 @@ def _completions() -> dict[str, dict[str, object]]:
 
 _BOUND_CHECKED: dict[str, bool] = {}
 
+# Typed tables per (session, path): reading a Parquet footer and analysing the
+# completion/cast projection costs driver round trips, so each table is
+# planned once per session. Call ``clear_table_cache`` after rewriting a path.
+_TABLE_CACHE: dict[tuple, DataFrame] = {}
+
+
+def clear_table_cache() -> None:
+    _TABLE_CACHE.clear()
+    _BOUND_CHECKED.clear()
+
 
 class Catalog:
     """Lazily loaded, typed and completed benchmark tables of one folder."""
@@ -119,11 +129,14 @@ class Catalog:
     # -- typed tables -----------------------------------------------------
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            if name == "partsupp" and not self._exists("partsupp"):
-                df = self._derive_partsupp()
-            else:
-                df = self._complete(name, self.raw(name))
-            self._cache[name] = self._typed(name, df)
+            key = (id(self.spark), self.path(name))
+            if key not in _TABLE_CACHE:
+                if name == "partsupp" and not self._exists("partsupp"):
+                    df = self._derive_partsupp()
+                else:
+                    df = self._complete(name, self.raw(name))
+                _TABLE_CACHE[key] = self._typed(name, df)
+            self._cache[name] = _TABLE_CACHE[key]
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -132,13 +145,15 @@ class Catalog:
         raise AttributeError(name)
 
     def _complete(self, name: str, df: DataFrame) -> DataFrame:
-        missing = {k: v() for k, v in _completions().get(name, {}).items() if k not in df.columns}
+        present = set(df.columns)
+        missing = {k: v() for k, v in _completions().get(name, {}).items() if k not in present}
         return df.withColumns(missing) if missing else df
 
     @staticmethod
     def _typed(name: str, df: DataFrame) -> DataFrame:
+        schema = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         casts = {k: F.col(k).cast(t) for k, t in TYPES.get(name, {}).items()
-                 if k in df.columns and df.schema[k].dataType.simpleString() != t}
+                 if k in schema and schema[k] != t}
         return df.withColumns(casts) if casts else df
 
     def _derive_partsupp(self) -> DataFrame:
