@@ -192,10 +192,9 @@ SELECT ps_partkey, CAST(SUM(ps_supplycost * ps_availqty) AS DOUBLE) AS value
 FROM partsupp, supplier, nation
 WHERE ps_suppkey = s_suppkey AND s_nationkey = n_nationkey AND n_name = 'NATION_7'
 GROUP BY ps_partkey
-HAVING SUM(ps_supplycost * ps_availqty) > (
+HAVING SUM(ps_supplycost * ps_availqty) * (SELECT COUNT(*) FROM supplier) > (
   SELECT SUM(ps_supplycost * ps_availqty) FROM partsupp, supplier, nation
-  WHERE ps_suppkey = s_suppkey AND s_nationkey = n_nationkey AND n_name = 'NATION_7')
-  * (0.1 / (SELECT COUNT(*) FROM supplier))
+  WHERE ps_suppkey = s_suppkey AND s_nationkey = n_nationkey AND n_name = 'NATION_7') * 0.1
 ORDER BY value DESC, ps_partkey""",
 
     "q12_shipping_modes": """

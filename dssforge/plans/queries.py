@@ -236,10 +236,14 @@ def q11(cat: Catalog, nation: str = "NATION_7", fraction_at_sf1: float = 0.00001
                    c("ps_suppkey") == c("s_suppkey"))
              .select("ps_partkey", (c("ps_supplycost") * c("ps_availqty")).alias("v")))
     per_part = stock.groupBy("ps_partkey").agg(F.sum("v").alias("value"))
-    total = stock.agg(F.sum("v")).scalar()
+    # The total is summed from the per-part sums, so the subquery reuses the
+    # per-part shuffle instead of reading and joining partsupp again.
+    total = per_part.agg(F.sum("value")).scalar()
     n_supp = cat.supplier.agg(F.count(F.lit(1))).scalar()
-    fraction = F.lit(fraction_at_sf1 * SUPPLIERS_PER_SF) / n_supp
-    return (per_part.filter(c("value") > total * fraction)
+    # value > total * f / (n_supp / 10000)  <=>  value * n_supp > total * f * 10000:
+    # exact decimal arithmetic, no division.
+    threshold = total * F.lit(Decimal(str(fraction_at_sf1)) * SUPPLIERS_PER_SF)
+    return (per_part.filter(c("value") * n_supp > threshold)
             .select("ps_partkey", c("value").cast("double").alias("value"))
             .orderBy(c("value").desc(), "ps_partkey"))
 

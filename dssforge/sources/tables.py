@@ -132,7 +132,7 @@ class Catalog:
             key = (id(self.spark), self.path(name))
             if key not in _TABLE_CACHE:
                 if name == "partsupp" and not self._exists("partsupp"):
-                    df = self._derive_partsupp()
+                    df = self._materialized("partsupp", self._derive_partsupp)
                 else:
                     df = self._complete(name, self.raw(name))
                 _TABLE_CACHE[key] = self._typed(name, df)
@@ -156,6 +156,18 @@ class Catalog:
                  if k in schema and schema[k] != t}
         return df.withColumns(casts) if casts else df
 
+    def _materialized(self, name: str, build) -> DataFrame:
+        """A derived table, written once per session to the shared folder and read back.
+
+        Deriving partsupp is a full aggregation of lineitem; queries then read
+        it like a loaded table (with file statistics for the planner), and
+        the write cuts the lineage, so a lost executor never recomputes it.
+        """
+        from dssforge.session import scratch_path
+        out = scratch_path(self.spark, f"derived-{name}")
+        build().write.mode("errorifexists").parquet(out)
+        return self.spark.read.parquet(out)
+
     def _derive_partsupp(self) -> DataFrame:
         """partsupp as the distinct (part, supplier) pairs that appear in lineitem.
 
