@@ -60,10 +60,20 @@ def write_compressed(df: DataFrame, path: str, codec: str = "zstd", mode: str =
     df.write.mode(mode).option("compression", codec).parquet(path)
 
 
-def compute_stats(spark: SparkSession, table: str) -> DataFrame:
+def compute_stats(spark: SparkSession, table: str) -> None:
     """Full-scan table and column statistics for the cost-based optimizer."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+
+
+def table_stats(spark: SparkSession, table: str, column: str) -> dict:
+    """Row count of a table and min / max / null count of one column, from the catalog.
+
+    Reads catalog metadata only (a handful of rows), not the table.
+    """
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    rows = int(info["Statistics"].split(",")[1].strip().split()[0])
+    col = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table} {column}").collect()}
+    return {"rows": rows, "min": int(col["min"]), "max": int(col["max"]), "num_nulls": int(col["num_nulls"])}
 
 
 def compact(spark: SparkSession, src: str, dst: str, files: int) -> None:

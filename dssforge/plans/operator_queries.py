@@ -115,6 +115,18 @@ def compact_q(cat: Catalog, files: int = 2) -> DataFrame:
     return as_result(cat.spark.read.parquet(dst), ORDER_COLS)
 
 
+def stats_q(cat: Catalog) -> DataFrame:
+    """orders saved in a re-created schema, analyzed; the optimizer's statistics."""
+    db = f"dss_{uuid.uuid4().hex[:12]}"
+    layout.recreate_schema(cat.spark, db, scratch_path(cat.spark, db))
+    cat.orders.write.format("parquet").saveAsTable(f"{db}.orders")
+    layout.compute_stats(cat.spark, f"{db}.orders")
+    st = layout.table_stats(cat.spark, f"{db}.orders", "o_orderkey")
+    return cat.spark.createDataFrame(
+        [("orders", st["rows"], st["min"], st["max"], st["num_nulls"])],
+        "table_name string, row_count bigint, key_min bigint, key_max bigint, key_nulls bigint")
+
+
 # -- refresh stream --------------------------------------------------------
 def refresh_stream_q(cat: Catalog, segments: int = 4) -> DataFrame:
     """Insert set arriving as segment files, appended to the base orders by a stream."""

@@ -214,6 +214,8 @@ FROM customer""",
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority""",
     "layout_minmax": f"{LINES_RESULT} WHERE l_shipdate >= DATE '1997-03-01' AND l_shipdate < DATE '1997-04-01'",
     "compact": ORDERS_RESULT,
+    "stats": """SELECT 'orders' AS table_name, COUNT(*) AS row_count, MIN(o_orderkey) AS key_min,
+  MAX(o_orderkey) AS key_max, COUNT(*) - COUNT(o_orderkey) AS key_nulls FROM orders""",
     "refresh_insert": ORDERS_RESULT,
     "refresh_stream": ORDERS_RESULT,
     "refresh_delete": f"""{LINES_RESULT} l WHERE NOT EXISTS (

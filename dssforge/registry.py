@@ -49,6 +49,7 @@ OPERATORS = {
     "layout_hash": io.layout_hash_q,
     "layout_minmax": io.layout_minmax_q,
     "compact": io.compact_q,
+    "stats": io.stats_q,
     # 2I run-log reports
     "runlog_load": io.runlog_load_q,
     "report_queries": io.report_queries_q,

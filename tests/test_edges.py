@@ -194,3 +194,25 @@ def test_broadcast_only_bounded_dimensions(spark):
     text = Q.q18(cat)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" not in text.lower()
     assert F is not None
+
+
+# -- layouts: co-located join, partition pruning ------------------------------
+def test_bucketed_join_needs_no_shuffle(spark):
+    from dssforge.plans.operator_queries import layout_hash_q
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = layout_hash_q(Catalog(spark, "/root/testdata/sf0.001"))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        join_part = plan[plan.index("SortMergeJoin"):]
+        assert "Exchange" not in join_part, plan
+        assert df.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_year_partition_read_is_pruned(spark):
+    from dssforge.plans.operator_queries import layout_year_partition_q
+    df = layout_year_partition_q(Catalog(spark, "/root/testdata/sf0.001"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "1997" in plan
