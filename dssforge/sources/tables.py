@@ -129,7 +129,7 @@ class Catalog:
     # -- typed tables -----------------------------------------------------
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            key = (id(self.spark), self.path(name))
+            key = (self.spark.sparkContext.applicationId, id(self.spark), self.path(name))
             if key not in _TABLE_CACHE:
                 if name == "partsupp" and not self._exists("partsupp"):
                     df = self._materialized("partsupp", self._derive_partsupp)
