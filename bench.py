@@ -27,8 +27,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = os.environ.get("BENCH_QUERIES")
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=2 * cpus,
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    for kv in filter(None, os.environ.get("BENCH_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        extra[k] = v
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=2 * cpus, extra=extra)
     queries = registered_queries()
     names = [n for n in queries if re.match(r"q\d\d", n)]
     if only:

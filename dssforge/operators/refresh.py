@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from dssforge.functions.exprs import date
 from dssforge.session import scratch_path
+from dssforge.sources.delimited import load_delete_keys, load_delimited, to_file_shape, write_delimited
 from dssforge.sources.tables import Catalog
 
 c = F.col
@@ -89,22 +90,48 @@ def as_result(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[c(x).cast("double").alias(x) if x in _MONEY else c(x) for x in cols])
 
 
+def write_update_files(cat: Catalog, sets: RefreshSets, segments: int = 4) -> dict[str, str]:
+    """Write a refresh set in the benchmark's update-file format.
+
+    orders and lineitem insert files (table format, trailing separator) in
+    ``segments`` numbered files each, and the delete keys as a one-column key
+    file; returns their folders.
+    """
+    spark = cat.spark
+    out = {k: scratch_path(spark, f"update-{k}") for k in ("orders", "lineitem", "delete")}
+    write_delimited(to_file_shape(sets.insert_orders, "orders").repartition(segments, "o_orderkey"), out["orders"])
+    write_delimited(to_file_shape(sets.insert_lines, "lineitem").repartition(segments, "l_orderkey"), out["lineitem"])
+    write_delimited(sets.delete_keys.repartition(segments, "o_orderkey"), out["delete"])
+    return out
+
+
 def refresh_insert_query(cat: Catalog) -> DataFrame:
-    """Orders state after inserting the insert set into the base state."""
+    """Orders state after loading the insert files and adding them to the base state."""
     s = refresh_sets(cat)
-    orders, _ = refresh_insert(s.base_orders, s.base_lines, s.insert_orders, s.insert_lines)
+    files = write_update_files(cat, s)
+    new_orders = load_delimited(cat.spark, f"{files['orders']}/part-*", "orders")
+    new_lines = load_delimited(cat.spark, f"{files['lineitem']}/part-*", "lineitem")
+    orders, _ = refresh_insert(s.base_orders.select(*ORDER_COLS), s.base_lines.select(*LINE_COLS),
+                               new_orders.select(*ORDER_COLS), new_lines.select(*LINE_COLS))
     return as_result(orders, ORDER_COLS)
 
 
 def refresh_delete_query(cat: Catalog) -> DataFrame:
-    """lineitem state after deleting the delete set."""
+    """lineitem state after deleting the orders listed in the delete key file."""
     s = refresh_sets(cat)
-    _, lines = refresh_delete(cat.orders, cat.lineitem, s.delete_keys)
+    files = write_update_files(cat, s)
+    keys = load_delete_keys(cat.spark, f"{files['delete']}/part-*")
+    _, lines = refresh_delete(cat.orders, cat.lineitem, keys)
     return as_result(lines, LINE_COLS)
 
 
 def refresh_apply_query(cat: Catalog) -> DataFrame:
-    """Orders state after delete then insert, starting from the base state."""
+    """Orders state after the delete file, then the insert files, applied to the base state."""
     s = refresh_sets(cat)
-    orders, _ = refresh_apply(s.base_orders, s.base_lines, s.delete_keys, s.insert_orders, s.insert_lines)
+    files = write_update_files(cat, s)
+    keys = load_delete_keys(cat.spark, f"{files['delete']}/part-*")
+    new_orders = load_delimited(cat.spark, f"{files['orders']}/part-*", "orders")
+    new_lines = load_delimited(cat.spark, f"{files['lineitem']}/part-*", "lineitem")
+    orders, _ = refresh_apply(s.base_orders.select(*ORDER_COLS), s.base_lines.select(*LINE_COLS), keys,
+                              new_orders.select(*ORDER_COLS), new_lines.select(*LINE_COLS))
     return as_result(orders, ORDER_COLS)

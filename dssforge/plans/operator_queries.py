@@ -9,7 +9,6 @@ shows what a reader of the written table sees.
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame
@@ -27,7 +26,7 @@ from dssforge.operators.reports import (
 )
 from dssforge.plans.queries import q01, q05
 from dssforge.session import scratch_path
-from dssforge.sources.delimited import TBL_SCHEMAS, load_delimited, write_delimited
+from dssforge.sources.delimited import load_delimited, to_file_shape, write_delimited
 from dssforge.sources.runlog import events_runlog, parse_runlog, read_runlog, runlog_lines
 from dssforge.sources.tables import Catalog
 from dssforge.streaming.refresh_stream import append_stream, read_target
@@ -35,34 +34,25 @@ from dssforge.streaming.refresh_stream import append_stream, read_target
 c = F.col
 
 
-def _file_shape(df: DataFrame, table: str) -> DataFrame:
-    """Columns of the table file in file order; absent ones are NULL (empty fields)."""
-    cols = []
-    for part in re.split(r",\s*(?![^()]*\))", TBL_SCHEMAS[table]):
-        name, typ = part.split(None, 1)
-        cols.append(c(name).cast(typ) if name in df.columns else F.lit(None).cast(typ).alias(name))
-    return df.select(*cols)
-
-
 # -- sources and sinks -----------------------------------------------------
 def load_delimited_q(cat: Catalog) -> DataFrame:
     """lineitem written as table files (trailing separator) and loaded back."""
     path = scratch_path(cat.spark, "tbl-lineitem")
-    write_delimited(_file_shape(cat.lineitem, "lineitem"), path)
+    write_delimited(to_file_shape(cat.lineitem, "lineitem"), path)
     return as_result(load_delimited(cat.spark, path, "lineitem"), LINE_COLS)
 
 
 def load_csv_nodummy_q(cat: Catalog) -> DataFrame:
     """orders written without the trailing separator and loaded back."""
     path = scratch_path(cat.spark, "csv-orders")
-    write_delimited(_file_shape(cat.orders, "orders"), path, trailing_separator=False)
+    write_delimited(to_file_shape(cat.orders, "orders"), path, trailing_separator=False)
     return as_result(load_delimited(cat.spark, path, "orders", dummy=False), ORDER_COLS)
 
 
 def load_copy_q(cat: Catalog, files: int = 4) -> DataFrame:
     """customer written as one file per writer and loaded through a glob."""
     path = scratch_path(cat.spark, "copy-customer")
-    write_delimited(_file_shape(cat.customer, "customer").repartition(files), path)
+    write_delimited(to_file_shape(cat.customer, "customer").repartition(files), path)
     df = load_delimited(cat.spark, f"{path}/part-*", "customer")
     return df.select("c_custkey", "c_name", "c_nationkey", c("c_acctbal").cast("double").alias("c_acctbal"),
                      "c_mktsegment", "c_phone")

@@ -10,6 +10,8 @@ folder or glob of many files is split across tasks like any file source.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,15 @@ TBL_SCHEMAS = {
 DELETE_SCHEMA = "o_orderkey bigint"
 
 
+def to_file_shape(df: DataFrame, table: str) -> DataFrame:
+    """Columns of the table file in file order; columns the frame lacks are NULL (empty fields)."""
+    cols = []
+    for part in re.split(r",\s*(?![^()]*\))", TBL_SCHEMAS[table]):
+        name, typ = part.split(None, 1)
+        cols.append(F.col(name).cast(typ) if name in df.columns else F.lit(None).cast(typ).alias(name))
+    return df.select(*cols)
+
+
 def _reader(spark: SparkSession, schema: str):
     return (spark.read.schema(schema)
             .option("sep", "|").option("header", "false").option("escape", "\\")

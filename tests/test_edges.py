@@ -231,3 +231,17 @@ def test_refresh_stream_restart_appends_each_file_once(spark, tmp_dir):
     append_stream(spark, landing, schema, target, ckpt).awaitTermination()   # only the new file
     got = sorted(r.k for r in read_target(spark, target, schema).collect())
     assert got == list(range(15))
+
+
+# -- update files: delete keys and a table line with a trailing separator -------
+def test_update_file_formats(spark, tmp_dir):
+    from dssforge.sources.delimited import load_delete_keys
+    keys = Path(tmp_dir) / "delete.1"
+    keys.write_text("1|\n2|\n32|\n")
+    assert [r.o_orderkey for r in load_delete_keys(spark, str(keys)).collect()] == [1, 2, 32]
+    line = Path(tmp_dir) / "orders.u1"
+    line.write_text("9|36901|O|173665.47|1996-01-02|5-LOW|Clerk#000000951|0|quick note|\n")
+    r = load_delimited(spark, str(line), "orders").collect()[0]
+    from decimal import Decimal
+    assert (r.o_orderkey, r.o_custkey, r.o_totalprice, r.o_orderdate, r.o_shippriority, r.o_comment) == \
+        (9, 36901, Decimal("173665.47"), dt.date(1996, 1, 2), 0, "quick note")
