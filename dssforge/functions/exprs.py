@@ -1,7 +1,7 @@
 """Column expressions shared by the queries.
 
 Money stays an exact decimal through every sum; a result column is turned
-into DOUBLE only at the end (``to_double``), and averages are computed as
+into DOUBLE only at the end (``dsum``), and averages are computed as
 ``double(sum) / count`` so that every engine rounds them identically.
 """
 
@@ -17,10 +17,6 @@ def _one() -> Column:
     return F.lit(Decimal("1.00"))
 
 
-def col(name: str) -> Column:
-    return F.col(name)
-
-
 def date(value: str | _dt.date) -> Column:
     """A DATE literal."""
     if isinstance(value, str):
@@ -52,10 +48,6 @@ def charge(price: str = "l_extendedprice", discount: str = "l_discount", tax: st
     return revenue(price, discount) * (_one() + F.col(tax))
 
 
-def to_double(c: Column) -> Column:
-    return c.cast("double")
-
-
 def dsum(c: Column | str) -> Column:
     """Exact (decimal) sum, returned as DOUBLE."""
     return F.sum(c).cast("double")

@@ -57,6 +57,9 @@ def result_diff(left: DataFrame, right: DataFrame, classes: dict[str, str], orde
     ``classes`` maps every compared column to its class; ``order`` lines the
     rows up (both sides numbered in that order).
     """
+    unknown = {k: v for k, v in classes.items() if v not in CLASSES}
+    if unknown:
+        raise ValueError(f"unknown column classes {unknown}")
     cols = list(classes)
     a = row_numbered(left.select(*cols), order, "_rn").select("_rn", *[c(x).alias(f"a_{x}") for x in cols])
     b = row_numbered(right.select(*cols), order, "_rn").select(c("_rn").alias("_rn_b"),

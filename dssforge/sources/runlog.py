@@ -11,18 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 c = F.col
 
-RUNLOG_SCHEMA = T.StructType([
-    T.StructField("id", T.IntegerType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("tuples", T.LongType()),
-    T.StructField("duration_ms", T.LongType()),
-])
-
-
 def format_duration(ms: Column) -> Column:
     """The logger's text for a duration in milliseconds (its printf format)."""
     s = (ms / 1000).cast("bigint")

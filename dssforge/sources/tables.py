@@ -193,8 +193,8 @@ class Catalog:
         path on the data itself; an oversized table is returned without the
         hint and the planner picks the join strategy.
         """
+        bound = BOUNDED_ROWS[name]       # KeyError for tables without a schema bound
         df = self.table(name)
-        bound = BOUNDED_ROWS[name]
         key = self.path(name)
         if key not in _BOUND_CHECKED:
             _BOUND_CHECKED[key] = self.raw(name).limit(bound + 1).count() <= bound
