@@ -222,13 +222,15 @@ def q10(cat: Catalog, day: str = "1997-10-01") -> DataFrame:
             .limit(TOP_K["q10"]))
 
 
-def q11(cat: Catalog, nation: str = "NATION_7", fraction_at_sf1: float = 0.00001) -> DataFrame:
+def q11(cat: Catalog, nation: str = "NATION_7", fraction_at_sf1: float = 0.00001,
+        fraction: str | float | None = None) -> DataFrame:
     """Important stock: parts above a fraction of the nation's total stock value.
 
     The fraction is ``fraction_at_sf1 / SF`` with the scale factor read from
     the data (count(supplier) / 10000), as the benchmark's parameters scale
     (the benchmark uses 0.0001 at SF 1; the default here, 0.00001, selects
-    parts on the test data at every scale).
+    parts on the test data at every scale). An absolute ``fraction`` (as a
+    recorded parameter file gives it) is used as it is.
     """
     stock = (cat.partsupp.select("ps_partkey", "ps_suppkey", "ps_availqty", "ps_supplycost")
              .join(cat.supplier.join(cat.small("nation").filter(c("n_name") == nation),
@@ -239,6 +241,10 @@ def q11(cat: Catalog, nation: str = "NATION_7", fraction_at_sf1: float = 0.00001
     # The total is summed from the per-part sums, so the subquery reuses the
     # per-part shuffle instead of reading and joining partsupp again.
     total = per_part.agg(F.sum("value")).scalar()
+    if fraction is not None:
+        return (per_part.filter(c("value") > total * F.lit(Decimal(str(fraction))))
+                .select("ps_partkey", c("value").cast("double").alias("value"))
+                .orderBy(c("value").desc(), "ps_partkey"))
     n_supp = cat.supplier.agg(F.count(F.lit(1))).scalar()
     # value > total * f / (n_supp / 10000)  <=>  value * n_supp > total * f * 10000:
     # exact decimal arithmetic, no division.
