@@ -31,7 +31,7 @@ def main() -> None:
     for kv in filter(None, os.environ.get("BENCH_CONF", "").split(",")):
         k, v = kv.split("=", 1)
         extra[k] = v
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=2 * cpus, extra=extra)
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus, extra=extra)
     queries = registered_queries()
     names = [n for n in queries if re.match(r"q\d\d", n)]
     if only:
