@@ -42,24 +42,30 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for lineage cuts and rewritten tables.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only a local session (tests, single machine) may fall back to a fresh
-    temporary folder, and it records that choice in the session conf.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``
+    (read from the session, never changed here: Spark does not allow it at
+    run time). Only a local session without the setting falls back to a
+    temporary folder, one per application, also registered as the
+    checkpoint directory of the context.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="dssforge-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    app = sc.applicationId
+    if app not in _LOCAL_FALLBACK:
+        path = tempfile.mkdtemp(prefix="dssforge-ckpt-")
+        sc.setCheckpointDir(path)
+        _LOCAL_FALLBACK[app] = path
+    return _LOCAL_FALLBACK[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
