@@ -73,17 +73,21 @@ def _region_suppliers(cat: Catalog, region: str) -> DataFrame:
 
 
 def q02(cat: Catalog, size: int = 11, type_suffix: str = "ECONOMY", region: str = "ASIA") -> DataFrame:
-    """Minimum cost supplier: per part of a size/type, the region's cheapest suppliers."""
+    """Minimum cost supplier: per part of a size/type, the region's cheapest suppliers.
+
+    The offers (partsupp of the selected parts, from the region's suppliers)
+    carry every output column; the minimum per part is one aggregate joined
+    back on (part, cost), so ties keep all their suppliers.
+    """
     parts = (cat.part.filter((c("p_size") == size) & c("p_type").endswith(type_suffix))
              .select("p_partkey", "p_mfgr"))
     offers = (cat.partsupp.select("ps_partkey", "ps_suppkey", "ps_supplycost")
-              .join(parts.select("p_partkey"), c("ps_partkey") == c("p_partkey"), "left_semi")
+              .join(parts, c("ps_partkey") == c("p_partkey"))
               .join(_region_suppliers(cat, region), c("ps_suppkey") == c("s_suppkey")))
     cheapest = (offers.groupBy("ps_partkey").agg(F.min("ps_supplycost").alias("min_cost"))
                 .withColumnRenamed("ps_partkey", "m_partkey"))
     return (offers
             .join(cheapest, (c("ps_partkey") == c("m_partkey")) & (c("ps_supplycost") == c("min_cost")))
-            .join(parts, c("ps_partkey") == c("p_partkey"))
             .select(c("s_acctbal").cast("double").alias("s_acctbal"), "s_name", "n_name",
                     "p_partkey", "p_mfgr", "s_address", "s_phone", "s_comment")
             .orderBy(c("s_acctbal").desc(), "n_name", "s_name", "p_partkey")
