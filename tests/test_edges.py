@@ -287,3 +287,14 @@ def test_parameter_file_replays_every_query(spark, tmp_dir):
         default = getattr(Q, f"q{n:02d}")(cat)
         assert sorted(map(tuple, frames[n].collect())) == sorted(map(tuple, default.collect())), n
     assert all(f.columns for f in frames.values())
+
+
+# -- plans as text --------------------------------------------------------------
+def test_plan_text_shows_pushdown_and_final_plan(spark):
+    from dssforge.plans.explain import plan_after_run, plan_text
+    cat = Catalog(spark, "/root/testdata/sf0.001")
+    text = plan_text(Q.q06(cat))
+    assert "PushedFilters" in text and "GreaterThanOrEqual(l_shipdate" in text
+    assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_shipdate" in text
+    rows, final = plan_after_run(Q.q04(cat))
+    assert len(rows) == 5 and "isFinalPlan=true" in final
