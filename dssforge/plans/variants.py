@@ -1,24 +1,27 @@
 """Query variants in SQL text: ``decode`` forms, a named view, a CTE form.
 
-Each variant must return what its base query returns; they run through
-``spark.sql`` with named parameters over temp views of the typed tables, so
-Catalyst plans them exactly as it plans the DataFrame forms.
+Each variant must return what its base query returns. They run through
+``spark.sql`` with named parameters; the typed tables are bound to the
+``{table}`` placeholders as DataFrames (Spark registers them under generated
+names and drops them afterwards), so no temp view of the caller is touched
+and Catalyst plans them exactly as it plans the DataFrame forms.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 
-from dssforge.sources.tables import Catalog
+from dssforge.sources.tables import TABLE_NAMES, Catalog
 
 Q08A = """
 SELECT o_year, CAST(SUM(decode(nation, :nation, volume, 0)) AS DOUBLE) / CAST(SUM(volume) AS DOUBLE) AS mkt_share
 FROM (
   SELECT CAST(EXTRACT(YEAR FROM o_orderdate) AS BIGINT) AS o_year,
          l_extendedprice * (1 - l_discount) AS volume, n2.n_name AS nation
-  FROM part, supplier, lineitem, orders, customer, nation n1, nation n2, region
+  FROM {part}, {supplier}, {lineitem}, {orders}, {customer}, {nation} n1, {nation} n2, {region}
   WHERE p_partkey = l_partkey AND s_suppkey = l_suppkey AND l_orderkey = o_orderkey
     AND o_custkey = c_custkey AND c_nationkey = n1.n_nationkey AND n1.n_regionkey = r_regionkey
     AND r_name = :region AND s_nationkey = n2.n_nationkey
@@ -30,7 +33,7 @@ Q12A = """
 SELECT l_shipmode,
   CAST(SUM(decode(o_orderpriority, '1-URGENT', 1, '2-HIGH', 1, 0)) AS BIGINT) AS high_line_count,
   CAST(SUM(decode(o_orderpriority, '1-URGENT', 0, '2-HIGH', 0, 1)) AS BIGINT) AS low_line_count
-FROM orders, lineitem
+FROM {orders}, {lineitem}
 WHERE o_orderkey = l_orderkey AND l_shipmode IN (:mode1, :mode2)
   AND l_commitdate < l_receiptdate AND l_shipdate < l_commitdate
   AND l_receiptdate >= :day AND l_receiptdate < :day + INTERVAL '1' YEAR
@@ -39,7 +42,7 @@ ORDER BY l_shipmode"""
 
 Q13A_VIEW = """
 SELECT c_custkey AS custkey, COUNT(o_orderkey) AS ordercount
-FROM customer LEFT OUTER JOIN orders ON c_custkey = o_custkey AND o_comment NOT LIKE :pattern
+FROM {customer} LEFT OUTER JOIN {orders} ON c_custkey = o_custkey AND o_comment NOT LIKE :pattern
 GROUP BY c_custkey"""
 
 Q13A = """
@@ -51,36 +54,39 @@ ORDER BY custdist DESC, ordercount DESC"""
 Q14A = """
 SELECT 100.0 * CAST(SUM(decode(substring(p_type FROM 1 FOR 5), 'PROMO', l_extendedprice * (1 - l_discount), 0)) AS DOUBLE)
        / CAST(SUM(l_extendedprice * (1 - l_discount)) AS DOUBLE) AS promo_revenue
-FROM lineitem, part
+FROM {lineitem}, {part}
 WHERE l_partkey = p_partkey AND l_shipdate >= :day AND l_shipdate < :day + INTERVAL '1' MONTH"""
 
 Q15_VIEW = """
 SELECT l_suppkey AS supplier_no, SUM(l_extendedprice * (1 - l_discount)) AS total_revenue
-FROM lineitem
+FROM {lineitem}
 WHERE l_shipdate >= :day AND l_shipdate < :day + INTERVAL '3' MONTH
 GROUP BY l_suppkey"""
 
 Q15_BODY = """
 SELECT s_suppkey, s_name, s_address, s_phone, CAST(total_revenue AS DOUBLE) AS total_revenue
-FROM supplier, {view}
+FROM {supplier}, {view}
 WHERE s_suppkey = supplier_no AND total_revenue = (SELECT MAX(total_revenue) FROM {view})
 ORDER BY s_suppkey"""
 
 Q15A = """
 WITH revenue (supplier_no, total_revenue) AS (
-  SELECT l_suppkey, SUM(l_extendedprice * (1 - l_discount)) FROM lineitem
+  SELECT l_suppkey, SUM(l_extendedprice * (1 - l_discount)) FROM {lineitem}
   WHERE l_shipdate >= :day AND l_shipdate < :day + INTERVAL '3' MONTH
   GROUP BY l_suppkey)
-""" + Q15_BODY.format(view="revenue")
+""" + Q15_BODY.replace("{view}", "revenue")
 
 
 def _day(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
 
 
+def _frames(cat: Catalog) -> dict:
+    return {t: cat.table(t) for t in TABLE_NAMES}
+
+
 def _sql(cat: Catalog, text: str, **args) -> DataFrame:
-    cat.register_views()
-    return cat.spark.sql(text, args=args)
+    return cat.spark.sql(text, args=args, **_frames(cat))
 
 
 def q08a_decode(cat: Catalog, nation="NATION_1", region="AMERICA", ptype="ECONOMY") -> DataFrame:
@@ -94,16 +100,17 @@ def q12a_decode(cat: Catalog, mode1="MAIL", mode2="SHIP", day="1996-01-01") -> D
 def _with_view(cat: Catalog, view_sql: str, body: str, name: str, **args) -> DataFrame:
     """Create a named view, plan the query over it, drop the view.
 
-    The view is the parametrised SELECT registered as a temp view (parameter
-    markers are not allowed inside CREATE VIEW text). The analyzed plan keeps
-    the view's definition, so the returned DataFrame stays valid after the drop.
+    The view is the parametrised SELECT registered under a unique name
+    (parameter markers are not allowed inside CREATE VIEW text). The analyzed
+    plan keeps the view's definition, so the returned DataFrame stays valid
+    after the drop.
     """
-    cat.register_views()
-    cat.spark.sql(view_sql, args=args).createOrReplaceTempView(name)
+    view = f"{name}_{uuid.uuid4().hex[:12]}"
+    cat.spark.sql(view_sql, args=args, **_frames(cat)).createOrReplaceTempView(view)
     try:
-        return cat.spark.sql(body.format(view=name))
+        return cat.spark.sql(body.replace("{view}", view), **_frames(cat))
     finally:
-        cat.spark.catalog.dropTempView(name)
+        cat.spark.catalog.dropTempView(view)
 
 
 def q13a_view(cat: Catalog, word1="special", word2="requests") -> DataFrame:

@@ -41,3 +41,16 @@ def test_partition_invariance(spark, qname):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2]
+
+
+def test_variants_leave_caller_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("lineitem")
+    try:
+        cat = Catalog(spark, SF_MID)
+        for fn in (V.q08a_decode, V.q13a_view, V.q15_view, V.q15a_cte):
+            fn(cat).collect()
+        assert spark.table("lineitem").columns == ["id"]
+        names = {t.name for t in spark.catalog.listTables()}
+        assert not any(n.startswith(("orders_per_cust", "revenue0")) for n in names)
+    finally:
+        spark.catalog.dropTempView("lineitem")
