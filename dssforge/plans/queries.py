@@ -40,6 +40,7 @@ from dssforge.functions.exprs import (
     in_range,
     mean,
     revenue,
+    revenue_by,
     year,
 )
 from dssforge.sources.tables import Catalog
@@ -137,9 +138,8 @@ def q05(cat: Catalog, region: str = "ASIA", day: str = "1996-01-01") -> DataFram
               .select("o_orderkey", "c_nationkey"))
     lines = (cat.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount")
              .join(suppliers, c("l_suppkey") == c("s_suppkey")))
-    return (lines.join(orders, (c("l_orderkey") == c("o_orderkey")) & (c("s_nationkey") == c("c_nationkey")))
-            .groupBy("n_name").agg(dsum(revenue()).alias("revenue"))
-            .orderBy(c("revenue").desc(), "n_name"))
+    joined = lines.join(orders, (c("l_orderkey") == c("o_orderkey")) & (c("s_nationkey") == c("c_nationkey")))
+    return revenue_by(joined, ["n_name"]).orderBy(c("revenue").desc(), "n_name")
 
 
 def q06(cat: Catalog, day: str = "1996-01-01", discount: float = 0.06, quantity: int = 24) -> DataFrame:
@@ -170,11 +170,11 @@ def q07(cat: Catalog, nation1: str = "NATION_3", nation2: str = "NATION_7") -> D
              .join(supp, c("l_suppkey") == c("s_suppkey")))
     orders = (cat.orders.select("o_orderkey", "o_custkey")
               .join(cust, c("o_custkey") == c("c_custkey")))
-    return (lines.join(orders, c("l_orderkey") == c("o_orderkey"))
-            .filter(((c("supp_nation") == nation1) & (c("cust_nation") == nation2))
-                    | ((c("supp_nation") == nation2) & (c("cust_nation") == nation1)))
-            .groupBy("supp_nation", "cust_nation", year("l_shipdate").alias("l_year"))
-            .agg(dsum(revenue()).alias("revenue"))
+    shipping = (lines.join(orders, c("l_orderkey") == c("o_orderkey"))
+                .filter(((c("supp_nation") == nation1) & (c("cust_nation") == nation2))
+                        | ((c("supp_nation") == nation2) & (c("cust_nation") == nation1)))
+                .withColumn("l_year", year("l_shipdate")))
+    return (revenue_by(shipping, ["supp_nation", "cust_nation", "l_year"])
             .orderBy("supp_nation", "cust_nation", "l_year"))
 
 
@@ -195,9 +195,12 @@ def q08(cat: Catalog, nation: str = "NATION_1", region: str = "AMERICA", ptype:
               .join(parts, c("l_partkey") == c("p_partkey"), "left_semi")
               .join(orders, c("l_orderkey") == c("o_orderkey"))
               .join(supp, c("l_suppkey") == c("s_suppkey"))
-              .select("o_year", "nation", revenue().alias("volume")))
-    return (volume.groupBy("o_year")
-            .agg((F.sum(F.when(c("nation") == nation, c("volume")).otherwise(F.lit(Decimal("0")))).cast("double")
+              .select("o_year", (c("nation") == nation).alias("in_nation"), "l_extendedprice", "l_discount"))
+    # volume summed per (year, nation flag) through prices per discount value
+    per_flag = revenue_by(volume, ["o_year", "in_nation"], alias="volume")
+    zero = F.lit(Decimal("0"))
+    return (per_flag.groupBy("o_year")
+            .agg((F.sum(F.when(c("in_nation"), c("volume")).otherwise(zero)).cast("double")
                   / F.sum("volume").cast("double")).alias("mkt_share"))
             .orderBy("o_year"))
 
@@ -315,9 +318,10 @@ def q14(cat: Catalog, day: str = "1996-09-01") -> DataFrame:
     lines = (cat.lineitem.filter(in_range("l_shipdate", date(day), add_months(day, 1)))
              .select("l_partkey", "l_extendedprice", "l_discount")
              .join(cat.part.select("p_partkey", "p_type"), c("l_partkey") == c("p_partkey")))
-    promo = F.sum(F.when(c("p_type").startswith("PROMO"), revenue()).otherwise(F.lit(Decimal("0"))))
-    return lines.agg((F.lit(100.0) * promo.cast("double") / F.sum(revenue()).cast("double"))
-                     .alias("promo_revenue"))
+    per_kind = revenue_by(lines.withColumn("promo", c("p_type").startswith("PROMO")), ["promo"], alias="rev")
+    promo = F.sum(F.when(c("promo"), c("rev")).otherwise(F.lit(Decimal("0"))))
+    return per_kind.agg((F.lit(100.0) * promo.cast("double") / F.sum("rev").cast("double"))
+                        .alias("promo_revenue"))
 
 
 def supplier_revenue(cat: Catalog, day: str) -> DataFrame:
@@ -424,9 +428,8 @@ def q19(cat: Catalog, brands: tuple = ("Brand#2", "Brand#4", "Brand#24"), quanti
     parts = (cat.part.filter(c("p_brand").isin(*brands) & c("p_size").between(1, 15)
                              & c("p_container").isin(*[x for b in Q19_BANDS for x in b[0]]))
              .select("p_partkey", "p_brand", "p_container", "p_size"))
-    return (lines.join(parts, c("l_partkey") == c("p_partkey"))
-            .filter(band(0) | band(1) | band(2))
-            .agg(dsum(revenue()).alias("revenue")))
+    matched = lines.join(parts, c("l_partkey") == c("p_partkey")).filter(band(0) | band(1) | band(2))
+    return revenue_by(matched, [])
 
 
 def q20(cat: Catalog, color: str = "blue", day: str = "1996-01-01", nation: str = "NATION_9") -> DataFrame:
