@@ -217,9 +217,13 @@ def q09(cat: Catalog, color: str = "blue") -> DataFrame:
              .join(ps, (c("l_partkey") == c("ps_partkey")) & (c("l_suppkey") == c("ps_suppkey")))
              .join(supp, c("l_suppkey") == c("s_suppkey"))
              .join(cat.orders.select("o_orderkey", "o_orderdate"), c("l_orderkey") == c("o_orderkey")))
-    amount = revenue() - c("ps_supplycost") * c("l_quantity")
-    return (lines.groupBy("nation", year("o_orderdate").alias("o_year"))
-            .agg(dsum(amount).alias("sum_profit"))
+    # Sum prices and supply costs per (nation, year, discount, quantity) --
+    # both factors are DECIMAL with few values -- and multiply once per group:
+    # the exact sum of price * (1 - discount) - supplycost * quantity.
+    per_factor = (lines.groupBy("nation", year("o_orderdate").alias("o_year"), "l_discount", "l_quantity")
+                  .agg(F.sum("l_extendedprice").alias("price"), F.sum("ps_supplycost").alias("cost")))
+    return (per_factor.groupBy("nation", "o_year")
+            .agg(dsum(revenue("price") - c("cost") * c("l_quantity")).alias("sum_profit"))
             .orderBy("nation", c("o_year").desc()))
 
 
