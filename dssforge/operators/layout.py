@@ -56,8 +56,31 @@ def write_sorted(df: DataFrame, path: str, sort_cols: list[str], compression: st
     (df.sortWithinPartitions(*sort_cols).write.mode(mode).option("compression", compression).parquet(path))
 
 
-def write_compressed(df: DataFrame, path: str, codec: str = "zstd", mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("compression", codec).parquet(path)
+# --- fixed values: compression by scale ---
+ZSTD_FROM_SCALE = 1000
+ZSTD_LEVEL = 1
+
+
+def codec_for_scale(sf: float) -> tuple[str, dict]:
+    """Parquet codec and writer options for a scale factor: zstd level 1 from SF 1000 on."""
+    if sf >= ZSTD_FROM_SCALE:
+        return "zstd", {"parquet.compression.codec.zstd.level": str(ZSTD_LEVEL)}
+    return "snappy", {}
+
+
+def write_compressed(df: DataFrame, path: str, codec: str = "zstd", level: int | None = None,
+                     mode: str = "errorifexists") -> None:
+    w = df.write.mode(mode).option("compression", codec)
+    if codec == "zstd" and level is not None:
+        w = w.option("parquet.compression.codec.zstd.level", str(level))
+    w.parquet(path)
+
+
+def write_distributed(df: DataFrame, path: str, files: int, key: str | None = None,
+                      mode: str = "errorifexists") -> None:
+    """Distribute rows over ``files`` files by hash of ``key``, or evenly when no key is given."""
+    out = df.repartition(files, key) if key else df.repartition(files)
+    out.write.mode(mode).parquet(path)
 
 
 def compute_stats(spark: SparkSession, table: str) -> None:

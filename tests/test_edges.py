@@ -298,3 +298,18 @@ def test_plan_text_shows_pushdown_and_final_plan(spark):
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_shipdate" in text
     rows, final = plan_after_run(Q.q04(cat))
     assert len(rows) == 5 and "isFinalPlan=true" in final
+
+
+def test_zstd_level_and_distribution(spark, tmp_dir):
+    from dssforge.operators import layout
+    assert layout.codec_for_scale(1000) == ("zstd", {"parquet.compression.codec.zstd.level": "1"})
+    assert layout.codec_for_scale(100)[0] == "snappy"
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    out = str(Path(tmp_dir) / "z")
+    layout.write_compressed(df, out, "zstd", level=1)
+    f = next(Path(out).glob("part-*.parquet"))
+    assert pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD"
+    out2 = str(Path(tmp_dir) / "d")
+    layout.write_distributed(df, out2, 4, key="k")
+    assert len(list(Path(out2).glob("part-*.parquet"))) == 4
+    assert spark.read.parquet(out2).count() == 1000
