@@ -8,8 +8,14 @@ Plan shape, chosen for very large fact tables:
 
 * dimensions are filtered before they meet the fact table; only region and
   nation (fixed size, checked) carry a broadcast hint, every other join is
-  left to the planner and to adaptive execution, which broadcasts a side only
-  once its measured size is under the threshold;
+  left to the planner's size check (estimate under the threshold, re-checked
+  by adaptive execution with measured sizes; a sort-merge join beyond it);
+* an inner join with a dimension whose columns are not needed afterwards is
+  written as a left semi join on its primary key (q03, q08, q09, q17, q21):
+  equal under the declared key, which ``pk_violations`` checks, and it never
+  multiplies fact rows;
+* sums of money products add prices per value of the few-valued decimal
+  factors first and multiply once per group (q01, q06, q09, ``revenue_by``);
 * correlated subqueries become one aggregate per key plus an equi-join
   (q02, q17, q20), never a per-row re-scan;
 * ``IN (grouped ... HAVING)`` (q18) and the two ``EXISTS`` over the same
