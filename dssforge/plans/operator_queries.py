@@ -28,7 +28,8 @@ from dssforge.plans.queries import q01, q05
 from dssforge.session import scratch_path
 from dssforge.sources.delimited import load_delimited, to_file_shape, write_delimited
 from dssforge.sources.runlog import events_runlog, parse_runlog, read_runlog, runlog_lines
-from dssforge.sources.tables import Catalog
+from dssforge.sources.load import load_tables
+from dssforge.sources.tables import TABLE_NAMES, Catalog
 from dssforge.streaming.refresh_stream import append_stream, read_target
 
 c = F.col
@@ -58,6 +59,19 @@ def load_copy_q(cat: Catalog, files: int = 4) -> DataFrame:
                      "c_mktsegment", "c_phone")
 
 
+def write_tbl_dataset(cat: Catalog, folder: str, chunks: int = 2) -> None:
+    """Every table written as table files ``{folder}/{table}.tbl/part-*``."""
+    for table in TABLE_NAMES:
+        write_delimited(to_file_shape(cat.table(table), table).repartition(chunks), f"{folder}/{table}.tbl")
+
+
+def load_tables_q(cat: Catalog) -> DataFrame:
+    """All eight tables written as table files and loaded into a Parquet folder."""
+    src, dst = scratch_path(cat.spark, "tbl-dataset"), scratch_path(cat.spark, "loaded-dataset")
+    write_tbl_dataset(cat, src)
+    return load_tables(cat.spark, src, dst)
+
+
 def write_table_q(cat: Catalog) -> DataFrame:
     """q05's result written as a table, then the same query appended."""
     path = scratch_path(cat.spark, "result-q05")

@@ -203,6 +203,9 @@ IO_SQL = {
     "load_counts": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS tuples FROM {t}"
         for t in ["region", "nation", "supplier", "customer", "part", "partsupp", "orders", "lineitem"]),
+    "load_tables": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS tuples FROM {t}"
+        for t in ["region", "nation", "supplier", "customer", "part", "partsupp", "orders", "lineitem"]),
     "load_delimited": LINES_RESULT,
     "load_csv_nodummy": ORDERS_RESULT,
     "load_copy": """SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DOUBLE) AS c_acctbal, c_mktsegment, c_phone

@@ -43,6 +43,7 @@ OPERATORS = {
     "load_csv_nodummy": io.load_csv_nodummy_q,
     "load_copy": io.load_copy_q,
     "load_counts": load_counts,
+    "load_tables": io.load_tables_q,
     "write_table": io.write_table_q,
     # 2E layout
     "layout_year_partition": io.layout_year_partition_q,
