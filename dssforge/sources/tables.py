@@ -118,10 +118,12 @@ class Catalog:
         return f"{self.sf_dir}/{name}.parquet"
 
     def _exists(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        jsc = self.spark.sparkContext._jsc
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return p.getFileSystem(jsc.hadoopConfiguration()).exists(p)
+        from pyspark.errors import AnalysisException
+        try:
+            self.spark.read.parquet(self.path(name))
+            return True
+        except AnalysisException:
+            return False
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))

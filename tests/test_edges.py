@@ -190,7 +190,8 @@ def test_broadcast_hint_needs_checked_bound(spark, tmp_dir):
     t = base_tables()
     write_fixture(tmp_dir, t)
     cat = Catalog(spark, tmp_dir)
-    assert "ResolvedHint" in cat.small("nation")._jdf.queryExecution().analyzed().toString()
+    from dssforge.plans.explain import plan_text
+    assert "broadcast" in plan_text(cat.small("nation"), "extended").lower()
     with pytest.raises(KeyError):
         cat.small("lineitem")          # no schema bound: never hinted
     big = Path(tmp_dir) / "big"
@@ -199,7 +200,7 @@ def test_broadcast_hint_needs_checked_bound(spark, tmp_dir):
                                 "n_regionkey": pd.array([0] * 30, "int32")})
     write_fixture(big, {"nation": t["nation"]})
     over = Catalog(spark, str(big)).small("nation")
-    assert "ResolvedHint" not in over._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in plan_text(over, "extended").lower()
     assert over.count() == 30
 
 
@@ -209,8 +210,9 @@ def test_bucketed_join_needs_no_shuffle(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        from dssforge.plans.explain import plan_text
         df = layout_hash_q(Catalog(spark, "/root/testdata/sf0.001"))
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = plan_text(df, "simple")
         join_part = plan[plan.index("SortMergeJoin"):]
         assert "Exchange" not in join_part, plan
         assert df.count() > 0
@@ -220,8 +222,9 @@ def test_bucketed_join_needs_no_shuffle(spark):
 
 def test_year_partition_read_is_pruned(spark):
     from dssforge.plans.operator_queries import layout_year_partition_q
+    from dssforge.plans.explain import plan_text
     df = layout_year_partition_q(Catalog(spark, "/root/testdata/sf0.001"))
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(df, "simple")
     assert "PartitionFilters: [isnotnull(year" in plan and "1997" in plan
 
 
