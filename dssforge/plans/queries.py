@@ -32,7 +32,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dssforge.functions.constants import SUPPLIERS_PER_SF, TOP_K
@@ -381,15 +381,24 @@ def q16(cat: Catalog, brand: str = "Brand#4", type_prefix: str = "MEDIUM",
 
 
 def q17(cat: Catalog, brand: str = "Brand#24", container: str = "WRAP CASE") -> DataFrame:
-    """Small-quantity order revenue: yearly loss from lines under 20% of the part's mean quantity."""
+    """Small-quantity order revenue: yearly loss from lines under 20% of the part's mean quantity.
+
+    The condition depends on (part, quantity) only, so the selected parts'
+    lines are read once and summed per (part, quantity). The mean per part
+    comes from those few rows (a window over at most one row per quantity
+    value, bounded by the quantity domain, whatever the part's line count),
+    and the qualifying groups' prices are summed: no join back to the lines.
+    """
     parts = cat.part.filter((c("p_brand") == brand) & (c("p_container") == container)).select("p_partkey")
-    lines = (cat.lineitem.select("l_partkey", "l_quantity", "l_extendedprice")
-             .join(parts, c("l_partkey") == c("p_partkey"), "left_semi"))
-    avg_qty = (lines.groupBy(c("l_partkey").alias("a_partkey"))
-               .agg((F.lit(0.2) * mean("l_quantity")).alias("limit_qty")))
-    return (lines.join(avg_qty, c("l_partkey") == c("a_partkey"))
+    per_qty = (cat.lineitem.select("l_partkey", "l_quantity", "l_extendedprice")
+               .join(parts, c("l_partkey") == c("p_partkey"), "left_semi")
+               .groupBy("l_partkey", "l_quantity")
+               .agg(F.sum("l_extendedprice").alias("price"), F.count("l_quantity").alias("n")))
+    part = Window.partitionBy("l_partkey")
+    mean_qty = F.sum(c("l_quantity") * c("n")).over(part).cast("double") / F.sum("n").over(part)
+    return (per_qty.withColumn("limit_qty", F.lit(0.2) * mean_qty)
             .filter(c("l_quantity") < c("limit_qty"))
-            .agg((F.sum("l_extendedprice").cast("double") / F.lit(7.0)).alias("avg_yearly")))
+            .agg((F.sum("price").cast("double") / F.lit(7.0)).alias("avg_yearly")))
 
 
 def q18(cat: Catalog, quantity: int = 250) -> DataFrame:
