@@ -29,7 +29,7 @@ def test_q13a_equals_q13(spark):
     assert rows_of(a) == rows_of(Q.q13(cat))
 
 
-@pytest.mark.parametrize("qname", ["q01", "q09", "q15", "q18", "q21"])
+@pytest.mark.parametrize("qname", ["q01", "q05", "q09", "q15", "q17", "q18", "q21"])
 def test_partition_invariance(spark, qname):
     cat = Catalog(spark, SF_MID)
     results = []
