@@ -17,7 +17,8 @@ Plan shape, chosen for very large fact tables:
 * sums of money products add prices per value of the few-valued decimal
   factors first and multiply once per group (q01, q06, q09, ``revenue_by``);
 * correlated subqueries become one aggregate per key plus an equi-join
-  (q02, q17, q20), never a per-row re-scan;
+  (q02, q20), or, for q17, sums per (part, quantity) with the part's mean
+  taken from those few rows -- never a per-row re-scan;
 * ``IN (grouped ... HAVING)`` (q18) and the two ``EXISTS`` over the same
   order (q21) read lineitem once and aggregate per order with partial
   (map-side) aggregation, so a hot order key is combined before the shuffle
