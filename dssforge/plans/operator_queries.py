@@ -24,11 +24,11 @@ from dssforge.operators.reports import (
     report_queries,
     report_sessions,
 )
-from dssforge.plans.queries import q01, q05
+from dssforge.plans.queries import q01, q05, q18
 from dssforge.session import scratch_path
 from dssforge.sources.delimited import load_delimited, to_file_shape, write_delimited
 from dssforge.sources.runlog import events_runlog, parse_runlog, read_runlog, runlog_lines
-from dssforge.sources.load import load_tables
+from dssforge.sources.load import load_tables, store_bucketed
 from dssforge.sources.tables import TABLE_NAMES, Catalog
 from dssforge.streaming.refresh_stream import append_stream, read_target
 
@@ -102,6 +102,16 @@ def layout_hash_q(cat: Catalog, buckets: int = 8) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("line_count"), F.sum("l_quantity").cast("double").alias("quantity")))
 
 
+def layout_bucketed_q(cat: Catalog, buckets: int = 8) -> DataFrame:
+    """q18 over orders and lineitem stored bucketed by order key.
+
+    The per-order sums and the join with orders read matching buckets: no
+    shuffle of either fact table on the order key.
+    """
+    db = f"dss_{uuid.uuid4().hex[:12]}"
+    return q18(store_bucketed(cat, db, scratch_path(cat.spark, db), buckets))
+
+
 def layout_minmax_q(cat: Catalog, lo: str = "1997-03-01", hi: str = "1997-04-01") -> DataFrame:
     """lineitem sorted by ship date, zstd-compressed; a date range reads few row groups."""
     path = scratch_path(cat.spark, "lineitem-sorted")

@@ -234,6 +234,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority"""
 
 def operator_oracles() -> dict[str, str]:
     out = {
+        "layout_bucketed": with_tables(QUERY_SQL["q18_large_orders"]),
         "pk_violations": with_tables(_pk_sql()),
         "fk_orphans": with_tables(_fk_sql()),
         "not_null": with_tables(_not_null_sql()),

@@ -48,6 +48,7 @@ OPERATORS = {
     # 2E layout
     "layout_year_partition": io.layout_year_partition_q,
     "layout_hash": io.layout_hash_q,
+    "layout_bucketed": io.layout_bucketed_q,
     "layout_minmax": io.layout_minmax_q,
     "compact": io.compact_q,
     "stats": io.stats_q,

@@ -37,3 +37,23 @@ def load_tables(spark: SparkSession, src: str, dst: str, tables: list[str] | Non
         counts.append(spark.read.parquet(out).agg(F.count(F.lit(1)).alias("tuples"))
                       .select(F.lit(table).alias("table_name"), "tuples"))
     return union_all(counts)
+
+
+def store_bucketed(cat, database: str, location: str, buckets: int):
+    """Store orders and lineitem bucketed (and sorted) by order key.
+
+    Both are written as catalog tables of ``database`` with the same number
+    of buckets, so joins and per-order aggregations on the order key read
+    matching buckets without a shuffle. Returns a Catalog that reads those
+    two tables and everything else from the original folder.
+    """
+    from dssforge.operators.layout import write_bucketed
+    from dssforge.sources.tables import Catalog
+    spark = cat.spark
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location.rstrip('/')}/{database}.db'")
+    names = {}
+    for table, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        ident = f"{database}.{table}"
+        write_bucketed(cat.table(table), ident, f"{location.rstrip('/')}/{database}.{table}", key, buckets)
+        names[table] = ident
+    return Catalog(spark, cat.sf_dir, tables=names)

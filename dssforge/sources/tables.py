@@ -108,17 +108,24 @@ def clear_table_cache() -> None:
 class Catalog:
     """Lazily loaded, typed and completed benchmark tables of one folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict[str, str] | None = None):
+        """``tables`` maps a table name to a catalog table to read instead of
+        ``{sf_dir}/{name}.parquet`` (for example tables stored bucketed)."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.tables = dict(tables or {})
         self._cache: dict[str, DataFrame] = {}
 
     # -- raw access -------------------------------------------------------
     def path(self, name: str) -> str:
+        if name in self.tables:
+            return f"table:{self.tables[name]}"
         return f"{self.sf_dir}/{name}.parquet"
 
     def _exists(self, name: str) -> bool:
         from pyspark.errors import AnalysisException
+        if name in self.tables:
+            return True
         try:
             self.spark.read.parquet(self.path(name))
             return True
@@ -126,6 +133,8 @@ class Catalog:
             return False
 
     def raw(self, name: str) -> DataFrame:
+        if name in self.tables:
+            return self.spark.table(self.tables[name])
         return self.spark.read.parquet(self.path(name))
 
     # -- typed tables -----------------------------------------------------

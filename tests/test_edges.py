@@ -330,3 +330,22 @@ def test_loaded_dataset_answers_like_the_original(spark, tmp_dir):
     loaded = Catalog(spark, dst)
     for q in (Q.q05, Q.q09, Q.q16, Q.q21):
         assert sorted(map(tuple, q(loaded).collect())) == sorted(map(tuple, q(cat).collect())), q.__name__
+
+
+def test_bucketed_catalog_removes_order_key_shuffles(spark, tmp_dir):
+    import uuid
+    from dssforge.plans.explain import plan_text
+    from dssforge.sources.load import store_bucketed
+    cat = Catalog(spark, "/root/testdata/sf0.001")
+    bcat = store_bucketed(cat, f"dssb_{uuid.uuid4().hex[:8]}", tmp_dir, 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for q in (Q.q04, Q.q12, Q.q18, Q.q21):
+            assert sorted(map(tuple, q(bcat).collect())) == sorted(map(tuple, q(cat).collect())), q.__name__
+        plan = plan_text(Q.q18(bcat), "simple").split("== Initial Plan ==")[-1]
+        assert "hashpartitioning(l_orderkey" not in plan and "hashpartitioning(o_orderkey" not in plan, plan
+        plan4 = plan_text(Q.q04(bcat), "simple").split("== Initial Plan ==")[-1]
+        assert "hashpartitioning(o_orderkey" not in plan4 and "hashpartitioning(l_orderkey" not in plan4, plan4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
