@@ -9,9 +9,10 @@
 * zstd compression, statistics for the cost-based optimizer, compaction,
   schema re-creation.
 
-Writers never shuffle a fact table just to lay it out by a low-cardinality
-column: rows are sorted within their task and written to one file per
-(task, folder), with ``maxRecordsPerFile`` bounding file size.
+Layout writers pay one shuffle at write time so that later reads do not:
+yearly folders are written from date ranges (one or two folders per task,
+not one file per task and year), buckets from a hash partitioning with one
+task per bucket, and ``maxRecordsPerFile`` bounds file size.
 """
 
 from __future__ import annotations
@@ -33,18 +34,33 @@ def year_partition(col: str) -> F.Column:
 
 
 def write_year_partitioned(df: DataFrame, date_col: str, path: str, part_col: str = "year",
-                           sort_cols: list[str] | None = None, max_records: int = 5_000_000,
+                           spread_cols: list[str] | None = None, max_records: int = 5_000_000,
                            compression: str = "snappy", mode: str = "errorifexists") -> None:
-    out = df.withColumn(part_col, year_partition(date_col))
-    out = out.sortWithinPartitions(part_col, *(sort_cols or [date_col]))
+    """Write into yearly folders (1992-1998 plus ``others``).
+
+    Rows are range-partitioned by the date (then ``spread_cols``, so one very
+    large day is still split over several tasks): each task holds a
+    contiguous date range and writes to one or two folders, instead of every
+    task writing a file into every year. Within a task rows are sorted by
+    date, so row-group min/max statistics are tight.
+    """
+    keys = [date_col] + list(spread_cols or [])
+    out = df.repartitionByRange(*keys).withColumn(part_col, year_partition(date_col))
+    out = out.sortWithinPartitions(part_col, *keys)
     (out.write.mode(mode).option("maxRecordsPerFile", max_records).option("compression", compression)
      .partitionBy(part_col).parquet(path))
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
                    sort: bool = True, mode: str = "errorifexists") -> None:
-    """Hash-distribute by ``key`` into ``buckets`` files per table (catalog table at ``path``)."""
-    w = df.write.mode(mode).format("parquet").option("path", path).bucketBy(buckets, key)
+    """Hash-distribute by ``key`` into ``buckets`` buckets (catalog table at ``path``).
+
+    Rows are first hash-partitioned by the key into as many partitions as
+    buckets (Spark uses the same hash for both), so each bucket is written
+    by one task as one file instead of one file per writing task and bucket.
+    """
+    w = (df.repartition(buckets, key).write.mode(mode).format("parquet").option("path", path)
+         .bucketBy(buckets, key))
     if sort:
         w = w.sortBy(key)
     w.saveAsTable(table)

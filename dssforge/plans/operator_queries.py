@@ -84,7 +84,7 @@ def write_table_q(cat: Catalog) -> DataFrame:
 def layout_year_partition_q(cat: Catalog, year: int = 1997) -> DataFrame:
     """lineitem in yearly ship-date folders; a one-year read prunes the others."""
     path = scratch_path(cat.spark, "lineitem-by-year")
-    layout.write_year_partitioned(cat.lineitem, "l_shipdate", path)
+    layout.write_year_partitioned(cat.lineitem, "l_shipdate", path, spread_cols=["l_orderkey", "l_linenumber"])
     return as_result(cat.spark.read.parquet(path).filter(c("year") == str(year)), LINE_COLS)
 
 

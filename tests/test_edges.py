@@ -349,3 +349,14 @@ def test_bucketed_catalog_removes_order_key_shuffles(spark, tmp_dir):
         assert "hashpartitioning(o_orderkey" not in plan4 and "hashpartitioning(l_orderkey" not in plan4, plan4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_bucketed_write_is_one_file_per_bucket(spark, tmp_dir):
+    import uuid
+    from dssforge.operators.layout import write_bucketed
+    df = spark.range(5000).withColumnRenamed("id", "k").repartition(7)
+    name = f"b_{uuid.uuid4().hex[:8]}"
+    path = str(Path(tmp_dir) / name)
+    write_bucketed(df, name, path, "k", 4)
+    assert len(list(Path(path).glob("part-*"))) == 4
+    assert spark.table(name).count() == 5000
