@@ -67,9 +67,21 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
 
 
 def write_sorted(df: DataFrame, path: str, sort_cols: list[str], compression: str = "snappy",
-                 mode: str = "errorifexists") -> None:
-    """Sort rows within each task so row-group min/max statistics are tight (skipping)."""
-    (df.sortWithinPartitions(*sort_cols).write.mode(mode).option("compression", compression).parquet(path))
+                 spread_cols: list[str] | None = None, cluster: bool = True,
+                 mode: str = "errorifexists", options: dict | None = None) -> None:
+    """Write rows ordered by ``sort_cols`` so min/max statistics skip data.
+
+    With ``cluster`` the rows are first range-partitioned by the sort columns
+    (then ``spread_cols``, so one very large value is still split over
+    tasks): files then cover disjoint ranges and a range predicate skips
+    whole files, not only row groups inside each file.
+    """
+    keys = list(sort_cols) + list(spread_cols or [])
+    out = df.repartitionByRange(*keys) if cluster else df
+    w = out.sortWithinPartitions(*keys).write.mode(mode).option("compression", compression)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    w.parquet(path)
 
 
 # --- fixed values: compression by scale ---

@@ -115,7 +115,8 @@ def layout_bucketed_q(cat: Catalog, buckets: int = 8) -> DataFrame:
 def layout_minmax_q(cat: Catalog, lo: str = "1997-03-01", hi: str = "1997-04-01") -> DataFrame:
     """lineitem sorted by ship date, zstd-compressed; a date range reads few row groups."""
     path = scratch_path(cat.spark, "lineitem-sorted")
-    layout.write_sorted(cat.lineitem, path, ["l_shipdate"], compression="zstd")
+    layout.write_sorted(cat.lineitem, path, ["l_shipdate"], compression="zstd",
+                        spread_cols=["l_orderkey", "l_linenumber"])
     df = cat.spark.read.parquet(path)
     return as_result(df.filter((c("l_shipdate") >= F.lit(lo).cast("date")) & (c("l_shipdate") < F.lit(hi).cast("date"))),
                      LINE_COLS)

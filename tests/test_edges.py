@@ -360,3 +360,26 @@ def test_bucketed_write_is_one_file_per_bucket(spark, tmp_dir):
     write_bucketed(df, name, path, "k", 4)
     assert len(list(Path(path).glob("part-*"))) == 4
     assert spark.table(name).count() == 5000
+
+
+def test_clustered_sorted_files_cover_disjoint_date_ranges(spark, tmp_dir):
+    from dssforge.operators.layout import write_sorted
+    cat = Catalog(spark, "/root/testdata/sf0.01")
+    out = str(Path(tmp_dir) / "sorted")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_sorted(cat.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate"), out, ["l_shipdate"],
+                     spread_cols=["l_orderkey", "l_linenumber"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    ranges = []
+    for f in sorted(Path(out).glob("part-*.parquet")):
+        md = pq.ParquetFile(f).metadata
+        idx = md.schema.names.index("l_shipdate")
+        stats = [md.row_group(i).column(idx).statistics for i in range(md.num_row_groups)]
+        ranges.append((min(s.min for s in stats), max(s.max for s in stats)))
+    ranges.sort()
+    assert len(ranges) > 1
+    # consecutive files may share a boundary day only
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
