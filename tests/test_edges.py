@@ -383,3 +383,42 @@ def test_clustered_sorted_files_cover_disjoint_date_ranges(spark, tmp_dir):
     assert len(ranges) > 1
     # consecutive files may share a boundary day only
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+# -- business rules on data built by the rules ------------------------------------
+def test_rules_hold_on_rule_built_fixture(spark, tmp_dir):
+    from dssforge.operators import rules as R
+    t = base_tables()
+    pk = [1, 2, 3, 1000, 123456]
+    t["part"] = pd.DataFrame({"p_partkey": pk, "p_name": ["x"] * 5, "p_brand": ["B"] * 5, "p_type": ["T"] * 5,
+                              "p_size": pd.array([1] * 5, "int32"),
+                              "p_retailprice": [(90000 + (p // 10) % 20001 + (p % 1000) * 100) / 100 for p in pk]})
+    price = dict(zip(pk, t["part"]["p_retailprice"]))
+    rows, orders = [], []
+    for i, okey in enumerate([1, 2, 33, 65]):                 # sparse keys: bits 3-4 are zero
+        total, nf, n = 0, 0, 3
+        for ln in range(1, n + 1):
+            p, q, d, x = pk[(i + ln) % 5], 1 + (i * 7 + ln) % 50, (i + ln) % 11, (i * ln) % 9
+            ship = ts("1995-06-10") + dt.timedelta(days=3 * i + ln)
+            e = round(price[p] * 100) * q
+            total += ((e * (100 - d)) // 100) * (100 + x) // 100
+            status = "F" if ship <= ts("1995-06-17") else "O"
+            nf += status == "F"
+            rows.append((okey, p, 1, ln, float(q), e / 100, d / 100, x / 100, "N", status, ship))
+        orders.append((okey, 1 + 3 * i + 1, "F" if nf == n else ("O" if nf == 0 else "P"), total / 100,
+                       ts("1995-06-01"), "5-LOW"))
+    t["orders"] = pd.DataFrame(orders, columns=["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                "o_orderdate", "o_orderpriority"])
+    t["lineitem"] = lines(rows)
+    write_fixture(tmp_dir, t)
+    cat = Catalog(spark, tmp_dir)
+    for fn in (R.rule_retail_price, R.rule_extended_price, R.rule_order_total, R.rule_order_status,
+               R.rule_sparse_order_key, R.rule_customer_gap):
+        got = fn(cat).collect()
+        assert all(r.disagree == 0 and r.checked > 0 for r in got), (fn.__name__, got)
+    # one broken value is found
+    t["orders"].loc[0, "o_totalprice"] += 0.01
+    broken = Path(tmp_dir) / "broken"
+    broken.mkdir()
+    write_fixture(broken, t)
+    assert R.rule_order_total(Catalog(spark, str(broken))).collect()[0].disagree == 1
