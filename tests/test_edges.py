@@ -8,6 +8,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from dssforge.operators.compare import result_diff
 from dssforge.operators.windows import distributed_rank
@@ -422,3 +423,25 @@ def test_rules_hold_on_rule_built_fixture(spark, tmp_dir):
     broken.mkdir()
     write_fixture(broken, t)
     assert R.rule_order_total(Catalog(spark, str(broken))).collect()[0].disagree == 1
+
+
+# -- reports on hand-made log lines ----------------------------------------------
+def test_reports_on_hand_made_log(spark):
+    from dssforge.operators import reports as Rp
+    single = parse_runlog(spark.createDataFrame([(x,) for x in [
+        "1|tpch.06|1|00:00:01.1250", "2|tpch.06|1|00:00:00.900", "101|tpch.lineitem|60|00:01:05.65123",
+        "102|tpch.lineitem|40|00:00:02.2000", "201|tpch.analyze|0|00:00:00.750"]], "value string"))
+    q = {r.id: (r.tuples, r.duration) for r in Rp.report_queries(single).collect()}
+    assert q == {"06": (1, 0.9), "lineitem": (60, 2.0), "analyze": (0, 0.75)}
+    loads = {r.table_name: (r.tuples, r.duration) for r in Rp.report_loads(single).collect()}
+    assert loads == {"06": (2, 2.15), "lineitem": (100, 67.123)}
+    assert [(r.description, r.seconds) for r in Rp.report_analyze(single).collect()] == [("tpch.analyze", 0.75)]
+    total = single.agg(F.sum("duration_ms").alias("duration_ms"))
+    gen = {r.time: r.value for r in Rp.report_gen_data(total).collect()}
+    assert gen["Seconds"] == 70.023 and abs(gen["Hours"] - 70.023 / 3600) < 1e-12
+    multi = parse_runlog(spark.createDataFrame([(x,) for x in [
+        "1|1.06|1|00:00:01.1000", "1|2.06|1|00:00:02.2000", "2|1.14|1|00:00:00.500", "3|12.06|1|00:00:03.3000"]],
+        "value string"))
+    rows = {r.query_id: r.asDict() for r in Rp.report_sessions(multi).collect()}
+    assert rows["06"]["session_1"] == 1.0 and rows["06"]["session_2"] == 2.0 and rows["06"]["session_12"] == 3.0
+    assert rows["14"]["session_1"] == 0.5 and rows["14"]["session_2"] == 0.0
