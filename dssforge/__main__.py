@@ -14,6 +14,8 @@ import argparse
 import re
 import time
 
+from pyspark.sql import SparkSession
+
 from dssforge.plans.params import SIGNATURES, read_params
 from dssforge.registry import registered_queries
 from dssforge.session import get_spark
@@ -28,6 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--rows", type=int, default=20)
     ap.add_argument("--master")
     a = ap.parse_args(argv)
+    created = SparkSession.getActiveSession() is None
     spark = get_spark(a.master)
     queries = registered_queries()
     keys = a.keys or [k for k in queries if re.match(r"q\d\d_", k)]
@@ -43,7 +46,8 @@ def main(argv: list[str] | None = None) -> int:
         print(f"== {key}")
         df.show(a.rows, truncate=False)
         print(f"-- {time.perf_counter() - t0:.2f}s")
-    spark.stop()
+    if created:
+        spark.stop()
     return 0
 
 

@@ -445,3 +445,14 @@ def test_reports_on_hand_made_log(spark):
     rows = {r.query_id: r.asDict() for r in Rp.report_sessions(multi).collect()}
     assert rows["06"]["session_1"] == 1.0 and rows["06"]["session_2"] == 2.0 and rows["06"]["session_12"] == 3.0
     assert rows["14"]["session_1"] == 0.5 and rows["14"]["session_2"] == 0.0
+
+
+def test_command_line_runner(spark, capsys, tmp_dir):
+    from dssforge.__main__ import main
+    params = Path(tmp_dir) / "p"
+    params.write_text("6\t1996-01-01\t0.06\t24\n")
+    assert main(["/root/testdata/sf0.001", "q06_forecast_revenue", "w_rank", "--params", str(params),
+                 "--rows", "2"]) == 0
+    out = capsys.readouterr().out
+    assert "== q06_forecast_revenue" in out and "== w_rank" in out and "revenue" in out
+    assert spark.range(1).count() == 1          # the shared session is still alive
