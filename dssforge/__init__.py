@@ -2,12 +2,15 @@
 
 Sub-packages:
 
-* ``sources``   -- typed table loading (Parquet / delimited text), run logs, sinks
+* ``sources``   -- typed table catalog (Parquet folders or catalog tables),
+                   delimited text load/write, dataset loading, run logs
 * ``functions`` -- shared column expressions (money, dates, durations)
 * ``plans``     -- the 22 parametrised analytic queries and their variants
 * ``operators`` -- integrity checks, business rules, refresh sets, layout,
                    reports, result comparison, window helpers
 * ``streaming`` -- file-stream refresh
+
+``python -m dssforge DATA_DIR [KEY ...]`` runs registered queries from a shell.
 """
 
 __version__ = "0.1.0"
