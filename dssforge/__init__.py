@@ -4,8 +4,8 @@ Sub-packages:
 
 * ``sources``   -- typed table catalog (Parquet folders or catalog tables),
                    delimited text load/write, dataset loading, run logs
-* ``functions`` -- shared column expressions (money, dates, durations)
-* ``plans``     -- the 22 parametrised analytic queries and their variants
+* ``functions`` -- shared column expressions (exact money, dates) and fixed values
+* ``plans``     -- the 22 parametrised queries, variants, parameter files, SQL oracles
 * ``operators`` -- integrity checks, business rules, refresh sets, layout,
                    reports, result comparison, window helpers
 * ``streaming`` -- file-stream refresh
