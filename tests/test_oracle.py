@@ -27,3 +27,13 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["n_name", "revenue"]
     assert df.count() >= 0
+
+
+MID = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if k[1:3].isdigit()))
+def test_query_matches_oracle_at_sf001(spark, name):
+    got = rows_of(QUERIES[name](spark, MID))
+    want = duck(MID, ORACLES[name])
+    assert got == want
