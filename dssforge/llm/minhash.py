@@ -10,9 +10,10 @@ dropped only where that estimate is far below the threshold (``MARGIN``, over si
 standard deviations); what remains is confirmed on the two full sets.
 
 Pairs inside a band bucket are not listed.  Every member is first compared
-with one hub of its bucket; confirmed links join components; then members of
-different components of a bucket are compared, and only those, until no bucket
-holds an untested pair of different components.  So no link is lost, whatever
+with one hub of its bucket; confirmed links join components; then the members
+outside a bucket's largest component are compared with other hubs drawn from
+that, and at last with every member of another component, until no bucket holds
+an untested pair of different components.  So no link is lost, whatever
 the size of a group; a pair that shares no band (fewer than 1 in 10 million
 at the threshold) is the only miss.
 
@@ -33,14 +34,14 @@ from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
 from dssforge.llm.components import components
-from dssforge.llm.store import Scratch, small
+from dssforge.llm.store import Scratch, few, fewer_tasks, small
 
 WIDTH, PERCENT = 2, 80
 SAMPLES, ROWS = 128, 4
 SKETCH_BITS = 512
 #: How far below the threshold an estimate must be for a pair to be dropped unconfirmed.
 MARGIN = 0.3
-#: Further rounds of hubs while listing the untested pairs would take more than this many rows per bucket row.
+#: Further rounds of hubs while the untested pairs are more than this many for each member outside its bucket's largest component.
 HUB_ROUNDS, PAIRS_PER_ROW = 4, 4
 
 _RNG = np.random.Generator(np.random.PCG64(7))
@@ -118,7 +119,7 @@ def _sign(width: int):
     return run
 
 
-def estimate(a: str = "sketch_a", b: str = "sketch_b"):
+def estimate(a, b):
     """Similarity estimated from two odd sketches: 1 + n / 4k * ln(1 - 2 z / n) for z differing bits of n, k samples."""
     z = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     part = F.greatest(1 - 2 * z / F.lit(float(SKETCH_BITS)), F.lit(1e-9))
@@ -126,29 +127,42 @@ def estimate(a: str = "sketch_a", b: str = "sketch_b"):
 
 
 def _confirm(width: int, percent: int):
-    """Tasks that keep the pairs whose full sets are similar enough."""
+    """Tasks that keep the pairs with similar full sets (of any texts, where a doc_id has several)."""
+
+    def linked(x: np.ndarray, y: np.ndarray) -> bool:
+        if not len(x) or not len(y) or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+            return False
+        shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+        return 100 * shared >= percent * (len(x) + len(y) - shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = []
             for c in (2, 3):
-                sets: list[np.ndarray] = []
-                for _, _, data, at in B.slices(batch.column(c)):
+                lists, sets = batch.column(c), []
+                for _, _, data, at in B.slices(lists.flatten()):
                     sets += shingle_sets(data, at, width)
-                sides.append(sets)
-            similar = []
-            for x, y in zip(*sides):
-                low, high = sorted((len(x), len(y)))
-                shared = 0
-                if 100 * low >= percent * high:
-                    where = np.minimum(np.searchsorted(y, x), len(y) - 1) if len(y) else []
-                    shared = int((y[where] == x).sum()) if len(y) else 0
-                similar.append(shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared))
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in lists.to_pylist()])])
+                sides.append([sets[a:b] for a, b in zip(ends[:-1], ends[1:])])
+            similar = [any(linked(x, y) for x in xs for y in ys) for xs, ys in zip(*sides)]
             yield batch.filter(pa.array(similar, pa.bool_())).select([0, 1])
 
     return run
 
 
+def _paired(pairs: DataFrame, rows: int, table: DataFrame, column: str) -> DataFrame:
+    """(a, b, a_side, b_side): ``column`` of ``table`` (doc_id, column) for both ends of each pair, as lists.
+
+    The table is met once, by both ends together, and then regrouped by pair;
+    a hub that is in many pairs is never one key.
+    """
+    ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(0).alias("side")), F.struct(F.col("b").alias("id"), F.lit(1).alias("side"))))
+    ends = pairs.select("a", "b", ends.alias("end")).select("a", "b", "end.id", "end.side")
+    met = table.join(few(ends, 2 * rows), F.col("doc_id") == F.col("id"))
+    sides = [F.collect_set(F.when(F.col("side") == k, F.col(column))).alias(name) for k, name in enumerate(("a_side", "b_side"))]
+    return met.groupBy("a", "b").agg(*sides)
+
+
 class _Links:
     """Confirms candidate pairs of nodes on their texts."""
 
@@ -156,22 +170,16 @@ class _Links:
         self.scratch, self.docs, self.nodes = scratch, docs, nodes
         self.width, self.percent, self.rounds = width, percent, 0
 
-    def of(self, pairs: DataFrame) -> DataFrame:
-        """The links among ``pairs`` (a, b), written."""
+    def of(self, pairs: DataFrame, rows: int) -> DataFrame:
+        """The links among the distinct ``pairs`` (a, b), of which there are ``rows``, written."""
         self.rounds += 1
-        sketch = self.nodes.select("doc_id", "sketch")
-        near = (
-            pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
-            .where(estimate() >= self.percent / 100 - MARGIN).select("a", "b")
-        )
-        near = self.scratch.keep(near, f"near-{self.rounds}")
-        ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-        ids = self.scratch.keep(ids, f"ids-{self.rounds}")
-        texts = self.scratch.keep(self.docs.join(small(ids), F.col("doc_id") == F.col("id"), "left_semi"), f"texts-{self.rounds}")
-        both = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        links = both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(self.width, self.percent), "a long, b long").distinct()
+        both = _paired(pairs, rows, self.nodes.select("doc_id", "sketch"), "sketch")
+        near = both.where(estimate(F.col("a_side")[0], F.col("b_side")[0]) >= self.percent / 100 - MARGIN).select("a", "b")
+        near = self.scratch.keep(fewer_tasks(near, rows), f"near-{self.rounds}")
+        texts = _paired(near, near.count(), self.docs, "text")
+        links = texts.select("a", "b", "a_side", "b_side").mapInArrow(_confirm(self.width, self.percent), "a long, b long")
         links = self.scratch.keep(links, f"links-{self.rounds}")
-        self.scratch.drop(f"near-{self.rounds}", f"ids-{self.rounds}", f"texts-{self.rounds}")
+        self.scratch.drop(f"near-{self.rounds}")
         return links
 
 
@@ -181,58 +189,74 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     Documents are linked where 100 * intersection >= ``percent`` * union of
     their shingle sets; component_id is the smallest doc_id reachable.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     signed = scratch.keep(docs.mapInArrow(_sign(width), _SIGNED), "signed")
     has = signed.where("n_shingles > 0 and doc_id is not null")
-    first = scratch.keep(has.groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "first")
-    owner = signed.where("n_shingles > 0").select("doc_id", "d1", "d2").join(first, ["d1", "d2"])
-    nodes = scratch.keep(
-        has.join(first.withColumnRenamed("node", "doc_id"), ["d1", "d2", "doc_id"], "left_semi").select("doc_id", "bands", "sketch"), "nodes"
-    )
 
-    rows = nodes.select("doc_id", F.explode("bands").alias("band"))
-    full = rows.groupBy("band").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
-    buckets = scratch.keep(rows.join(full.select("band", "hub"), "band").distinct(), "buckets")
+    # One node for each distinct set, named by its smallest doc_id.
+    first = scratch.keep(has.groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "first")
+    owned = signed.select("doc_id", "n_shingles", *(F.when(F.col("n_shingles") > 0, F.col(d)).alias(d) for d in ("d1", "d2")))
+    owned = scratch.keep(owned.join(first, ["d1", "d2"], "left").select("doc_id", "n_shingles", "node"), "owned")
+    nodes = has.join(first.withColumnRenamed("node", "doc_id"), ["d1", "d2", "doc_id"], "left_semi")
+    nodes = scratch.keep(nodes.select("doc_id", "bands", "sketch"), "nodes")
+    # Rows that repeat a doc_id with other texts are one document: its nodes are linked.
+    versions = owned.where("doc_id is not null").groupBy("doc_id").agg(F.collect_set("node").alias("n")).where("size(n) > 1")
+    edges = scratch.keep(versions.select(F.explode("n").alias("a"), F.array_min("n").alias("b")).where("a <> b"), "edges-0")
+    n_edges = edges.count()
+
+    bands = nodes.select("doc_id", F.explode("bands").alias("band"))
+    full = bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
+    full = scratch.keep(full.select(F.col("band").alias("key"), "hub"), "full")
+    buckets = bands.join(small(full), F.col("band") == F.col("key")).select("band", "doc_id", "hub")
+    buckets = scratch.keep(buckets, "buckets")
+    n_rows = buckets.count()
 
     links = _Links(scratch, docs, nodes, width, percent)
-    tested = scratch.keep(buckets.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(), "tested-0")
-    edges = links.of(tested)
-    # Rows that repeat a doc_id with other text are one document: their nodes are linked.
-    edges = edges.unionByName(owner.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).join(
-        nodes.select(F.col("doc_id").alias("a")), "a", "left_semi").select("a", "b"))
-
-    for turn in range(1, HUB_ROUNDS + 2):
-        names = components(edges, scratch, f"c{turn}")
-        placed = buckets.join(names, F.col("doc_id") == F.col("node"), "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        counts = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-        open_ = counts.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own")).where("n * n > own")
-        size = open_.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
-        if not size["pairs"]:
+    star = buckets.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
+    tested = scratch.keep(fewer_tasks(star, n_rows), "tested-0")
+    n_tested = tested.count()
+    edges, n_edges = edges.unionByName(links.of(tested, n_tested)), n_edges + n_tested
+
+    turn = 0
+    while True:
+        names, n_nodes = components(edges, scratch, f"named-{turn}", n_edges), 2 * n_edges
+        placed = buckets.select("band", "doc_id").join(few(names, n_nodes), F.col("doc_id") == F.col("node"), "left")
+        placed = scratch.keep(placed.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component")), f"placed-{turn}")
+        # Per bucket its largest component, a hub drawn from it anew each turn, and how many pairs are in different components.
+        draw = F.xxhash64("doc_id", "band", F.lit(turn))
+        counts = placed.groupBy("band", "component").agg(F.count("*").alias("n"), F.min_by("doc_id", draw).alias("hub"))
+        mixed = counts.groupBy(F.col("band").alias("key")).agg(
+            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.max_by(F.struct("component", "hub"), F.struct("n", "component")).alias("major"))
+        mixed = mixed.where("n * n > own").select("key", "major.*", (F.col("n") * F.col("n") - F.col("own")).alias("ordered_pairs"))
+        mixed = scratch.keep(fewer_tasks(mixed.withColumnRenamed("component", "major"), n_rows), f"mixed-{turn}")
+        size = mixed.agg(F.count("*").alias("bands"), F.sum("ordered_pairs").alias("pairs")).first()
+        if not size["bands"]:
             break
-        placed = scratch.keep(placed.join(open_.select("band"), "band", "left_semi"), f"placed-{turn}")
-        last = turn > HUB_ROUNDS or size["pairs"] <= PAIRS_PER_ROW * size["rows"]
-        if last:
-            x, y = placed.toDF("band", "a", "ca"), placed.toDF("band", "b", "cb")
-            pairs = x.join(y, "band").where("ca <> cb and a > b")
-        else:  # another hub, chosen afresh in each bucket
-            hub = placed.groupBy("band").agg(F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", "band", F.lit(turn))).alias("hub"))
-            pairs = placed.join(hub, "band").where("component <> hub.component").select(
-                F.greatest("doc_id", "hub.doc_id").alias("a"), F.least("doc_id", "hub.doc_id").alias("b"))
-        pairs = scratch.keep(pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), f"tested-{turn}")
-        edges = edges.unionByName(links.of(pairs))
-        tested = tested.unionByName(pairs)
+        turn += 1
+        others = placed.join(few(mixed, size["bands"]), F.col("band") == F.col("key")).where("component <> major")
+        others = scratch.keep(others.select(F.col("band").alias("key"), F.col("doc_id").alias("id"), F.col("component").alias("own"), "hub", "major"), f"others-{turn}")
+        n_others = others.count()
+        last = turn > HUB_ROUNDS or size["pairs"] <= 2 * PAIRS_PER_ROW * n_others
+        if last:  # every pair of members of different components; one of them is outside the largest
+            met = placed.join(few(others, n_others), F.col("band") == F.col("key"))
+            pairs = met.where("component <> own and (component = major or doc_id > id)").select(F.greatest("doc_id", "id").alias("a"), F.least("doc_id", "id").alias("b"))
+        else:
+            pairs = others.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"))
+        bound = size["pairs"] if last else n_others
+        pairs = pairs.distinct().join(few(tested, n_tested), ["a", "b"], "left_anti")
+        pairs = scratch.keep(fewer_tasks(pairs, bound), f"tested-{turn}")
+        n_pairs = pairs.count()
+        edges, n_edges = edges.unionByName(links.of(pairs, n_pairs)), n_edges + n_pairs
+        tested, n_tested = tested.unionByName(pairs), n_tested + n_pairs
         if last:
-            names = components(edges, scratch, "c-last")
+            names, n_nodes = components(edges, scratch, f"named-{turn}", n_edges), 2 * n_edges
             break
 
-    per_node = owner.select("doc_id", "node").where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("node"))
-    per_doc = per_node.join(names.toDF("n", "component"), F.col("node") == F.col("n"), "left").select(
-        F.col("doc_id").alias("id"), F.coalesce("component", "node").alias("component"))
-    out = signed.select("doc_id", "n_shingles").join(per_doc, F.col("doc_id") == F.col("id"), "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    out = owned.join(few(names.toDF("n", "component"), n_nodes), F.col("node") == F.col("n"), "left")
+    component = F.coalesce("component", "node", "doc_id")
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), kept.alias("kept"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

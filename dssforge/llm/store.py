@@ -53,6 +53,20 @@ class Scratch:
             fs.delete(path, True)
 
 
+#: Rows of a small intermediate table per task.
+ROWS_PER_TASK = 250_000
+
+
 def small(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     """``ids`` marked for broadcast when its counted rows stay within ``most``, else as it is."""
     return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast when ``rows``, a counted bound of its rows, is within ``BROADCAST_IDS``."""
+    return F.broadcast(df) if rows <= BROADCAST_IDS else df
+
+
+def fewer_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as few tasks as a counted bound of its rows asks for, where that is few."""
+    return df.coalesce(rows // ROWS_PER_TASK + 1) if rows <= BROADCAST_IDS else df
