@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dssforge.llm import decontam, minhash
+from dssforge.llm import decontam, minhash, token_counts, token_store, toxicity
 
 _MODULES = {
+    "op2_token_store": token_store,
+    "op3_token_counts": token_counts,
+    "op6_toxicity": toxicity,
     "op7_minhash_dedup": minhash,
     "op9_decontaminate": decontam,
 }
