@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dssforge.llm import decontam, minhash, token_counts, token_store, toxicity
+from dssforge.llm import decontam, minhash, mixing, quality, token_counts, token_store, topk, toxicity
 
 _MODULES = {
     "op2_token_store": token_store,
     "op3_token_counts": token_counts,
+    "op4_exact_topk": topk,
+    "op5_mix_sources": mixing,
     "op6_toxicity": toxicity,
     "op7_minhash_dedup": minhash,
+    "op8_quality": quality,
     "op9_decontaminate": decontam,
 }
 
