@@ -1,11 +1,69 @@
-"""A corpus pipeline of five stages; filled in as its operators land."""
+"""A corpus pipeline of five stages over ``documents``.
 
+Toxic documents go, one document of each group of near-duplicates stays,
+documents with benchmark passages go, sources are mixed to target weights, and
+what remains is written as token ids and read back as an index (doc_id, start,
+n_tokens, ids_crc32).  Each stage works on all that its predecessor kept and
+returns the columns it was given; the last returns the index.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dssforge.llm import decontam, minhash, mixing, token_store, toxicity
+from dssforge.llm.store import Scratch, small
+
+#: Words of a shingle in the near-duplicate stage.
+SHINGLE_WORDS = 5
+
+#: The fields learned and the hash samples drawn have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score stays under the threshold."""
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest doc_id of each group; rows without words or without a doc_id stay."""
+    found = minhash.near_duplicates(docs, width=SHINGLE_WORDS)
+    gone = Scratch(spark).keep(found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    return docs.join(small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark window occurs."""
+    return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), remove="documents")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens follow the tempered shares of sources, languages and topics."""
+    return mixing.mix(docs).where("mix_kept").select(*docs.columns)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Index of the token ids of all documents, read back from the written blocks."""
+    path = Scratch(spark).path("tokens")
+    token_store.write_tokens(docs, path, token_store.tokenizer_path())
+    return token_store.read_index(spark, path)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token_output", write_tokens),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage returns is written and read again."""
+    docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark)
+    for name, stage in STAGES:
+        docs = scratch.keep(stage(spark, docs, sf_dir), name)
     return docs

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dssforge.llm import decontam, minhash, mixing, quality, token_counts, token_store, topk, toxicity
+from dssforge.llm import chat, decontam, line_dedup, minhash, mixing, quality, token_counts, token_store, topk, toxicity
 
 _MODULES = {
+    "op1_line_dedup": line_dedup,
     "op2_token_store": token_store,
     "op3_token_counts": token_counts,
     "op4_exact_topk": topk,
@@ -17,6 +18,7 @@ _MODULES = {
     "op7_minhash_dedup": minhash,
     "op8_quality": quality,
     "op9_decontaminate": decontam,
+    "op10_chat_format": chat,
 }
 
 
