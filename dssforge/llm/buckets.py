@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm.components import components
@@ -22,12 +22,19 @@ from dssforge.llm.store import Scratch, few, fewer_tasks
 ANCHOR_TURNS, PAIRS_PER_ROW = 4, 4
 
 
-def connect(members: DataFrame, rows: int, confirm: Callable[[DataFrame, int], DataFrame], scratch: Scratch, edges: DataFrame | None = None, n_edges: int = 0) -> tuple[DataFrame, int]:
+def connect(
+    members: DataFrame, rows: int, confirm: Callable[[DataFrame, int], DataFrame], scratch: Scratch,
+    edges: DataFrame | None = None, n_edges: int = 0, detail: DataFrame | None = None,
+    worth: Callable[[Column, Column, Column], Column] | None = None,
+) -> tuple[DataFrame, int]:
     """(node, component) of the nodes with links, and a bound of their number.
 
     ``members``: written rows (key, id, anchor), ``rows`` of them, an id once in a
     key; ``confirm``: written links among distinct pairs (a, b), given their number;
-    ``edges``: links known before, ``n_edges`` of them at most.
+    ``edges``: links known before, ``n_edges`` of them at most; ``detail``: (id, info)
+    of every member, and ``worth``: a condition on key, x_info and y_info that may
+    rule out a pair under that key before it becomes a row (by a bound that no
+    link exceeds, or because another key proposes it).
     """
     anchors = members.where("anchor").groupBy(F.col("key").alias("of")).agg(F.min("id").alias("hub"))
     star = members.join(few(fewer_tasks(anchors, rows), rows), F.col("key") == F.col("of")).where("id <> hub")
@@ -59,8 +66,13 @@ def connect(members: DataFrame, rows: int, confirm: Callable[[DataFrame, int], D
         n_others = others.count()
         last = turn > ANCHOR_TURNS or size["pairs"] <= 2 * PAIRS_PER_ROW * n_others
         if last:  # every candidate pair of different components; one of its members is outside the largest
-            met = placed.join(few(others, n_others), F.col("key") == F.col("of"))
+            inside, outside = placed, others
+            if detail is not None:
+                inside = inside.join(detail.toDF("x_id", "x_info"), F.col("id") == F.col("x_id"))
+                outside = outside.join(detail.toDF("y_id", "y_info"), F.col("other") == F.col("y_id"))
+            met = inside.join(few(fewer_tasks(outside, n_others), n_others), F.col("key") == F.col("of"))
             met = met.where("component <> own and (component = major or id > other) and (anchor or other_anchor)")
+            met = met.where(worth(F.col("key"), F.col("x_info"), F.col("y_info"))) if worth else met
             pairs, bound = met.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")), size["pairs"]
         else:
             pairs, bound = others.select(F.greatest("other", "hub").alias("a"), F.least("other", "hub").alias("b")), n_others

@@ -2,20 +2,16 @@
 
 Each text becomes the set of its ``width``-word shingles (A-Z lower-cased,
 words cut at ASCII white space).  Texts with the same set are one node from
-then on, so exact copies never meet in pairs.  ``SAMPLES`` MinHash values per
-node give ``SAMPLES / ROWS`` band keys and an odd sketch: every sample flips one
-bit of a small bitmap, so the XOR of two bitmaps counts differing samples, and
-its population count estimates the similarity.  A pair from a shared band is
-dropped only where that estimate is far below the threshold (``MARGIN``, over six
-standard deviations); what remains is confirmed on the two full sets.
-
-Pairs inside a band bucket are not listed.  Every member is first compared
-with one hub of its bucket; confirmed links join components; then the members
-outside a bucket's largest component are compared with other hubs drawn from
-that, and at last with every member of another component, until no bucket holds
-an untested pair of different components.  So no link is lost, whatever
-the size of a group; a pair that shares no band (fewer than 1 in 10 million
-at the threshold) is the only miss.
+then on, so exact copies never meet in pairs.  ``BANDED / ROWS`` band keys of
+MinHash samples propose pairs, and ``SAMPLES`` of them make an odd sketch: every
+sample flips one bit of a small bitmap, so the XOR of two bitmaps counts
+differing samples, and its population count estimates the similarity.  A pair is
+dropped only where that estimate is ``MARGIN`` below the threshold; what remains is
+confirmed on the two full sets.
+
+Pairs inside a band bucket are not listed (``buckets.connect``), and no link is
+lost, whatever the size of a group; a pair that shares no band (fewer than 1 in
+10 million at the threshold) is the only miss.
 
 Defined results: null, empty or blank text has an empty set and is linked with
 nothing; a text of fewer words than ``width`` is one shingle; rows that repeat
@@ -33,16 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
-from dssforge.llm.components import components
+from dssforge.llm.buckets import connect, ends
 from dssforge.llm.store import Scratch, few, fewer_tasks, small
 
 WIDTH, PERCENT = 2, 80
-SAMPLES, ROWS = 128, 4
-SKETCH_BITS = 512
-#: How far below the threshold an estimate must be for a pair to be dropped unconfirmed.
-MARGIN = 0.3
-#: Further rounds of hubs while the untested pairs are more than this many for each member outside its bucket's largest component.
-HUB_ROUNDS, PAIRS_PER_ROW = 4, 4
+#: MinHash samples: all of them go into the sketch, the first ``BANDED`` into bands of ``ROWS``.
+SAMPLES, BANDED, ROWS = 512, 128, 4
+SKETCH_BITS = 1024
+#: How far below the threshold an estimate must be for a pair to be dropped unconfirmed: six standard deviations.
+MARGIN = 0.14
 
 _RNG = np.random.Generator(np.random.PCG64(7))
 _FACTORS = (_RNG.integers(0, 2**63, SAMPLES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -87,8 +82,8 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
-    keys = np.arange(SAMPLES // ROWS, dtype=np.uint64)
-    for row in samples.reshape(-1, ROWS).T:
+    keys = np.arange(BANDED // ROWS, dtype=np.uint64)
+    for row in samples[:BANDED].reshape(-1, ROWS).T:
         keys = B.mix(keys * np.uint64(0x9E3779B97F4A7C15) + row)
     return B.signed(keys)
 
@@ -126,6 +121,11 @@ def estimate(a, b):
     return 1 + F.lit(SKETCH_BITS / (4.0 * SAMPLES)) * F.log(part)
 
 
+def may_link(a, b, percent: int):
+    """Whether two sketches leave a similarity of ``percent`` possible."""
+    return estimate(a, b) >= percent / 100 - MARGIN
+
+
 def _confirm(width: int, percent: int):
     """Tasks that keep the pairs with similar full sets (of any texts, where a doc_id has several)."""
 
@@ -154,11 +154,9 @@ def _paired(pairs: DataFrame, rows: int, table: DataFrame, column: str) -> DataF
     """(a, b, a_side, b_side): ``column`` of ``table`` (doc_id, column) for both ends of each pair, as lists.
 
     The table is met once, by both ends together, and then regrouped by pair;
-    a hub that is in many pairs is never one key.
+    a node that is in many pairs is never one key.
     """
-    ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(0).alias("side")), F.struct(F.col("b").alias("id"), F.lit(1).alias("side"))))
-    ends = pairs.select("a", "b", ends.alias("end")).select("a", "b", "end.id", "end.side")
-    met = table.join(few(ends, 2 * rows), F.col("doc_id") == F.col("id"))
+    met = table.join(few(ends(pairs), 2 * rows), F.col("doc_id") == F.col("id"))
     sides = [F.collect_set(F.when(F.col("side") == k, F.col(column))).alias(name) for k, name in enumerate(("a_side", "b_side"))]
     return met.groupBy("a", "b").agg(*sides)
 
@@ -170,11 +168,10 @@ class _Links:
         self.scratch, self.docs, self.nodes = scratch, docs, nodes
         self.width, self.percent, self.rounds = width, percent, 0
 
-    def of(self, pairs: DataFrame, rows: int) -> DataFrame:
-        """The links among the distinct ``pairs`` (a, b), of which there are ``rows``, written."""
+    def __call__(self, pairs: DataFrame, rows: int) -> DataFrame:
         self.rounds += 1
         both = _paired(pairs, rows, self.nodes.select("doc_id", "sketch"), "sketch")
-        near = both.where(estimate(F.col("a_side")[0], F.col("b_side")[0]) >= self.percent / 100 - MARGIN).select("a", "b")
+        near = both.where(may_link(F.col("a_side")[0], F.col("b_side")[0], self.percent)).select("a", "b")
         near = self.scratch.keep(fewer_tasks(near, rows), f"near-{self.rounds}")
         texts = _paired(near, near.count(), self.docs, "text")
         links = texts.select("a", "b", "a_side", "b_side").mapInArrow(_confirm(self.width, self.percent), "a long, b long")
@@ -202,57 +199,22 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     nodes = scratch.keep(nodes.select("doc_id", "bands", "sketch"), "nodes")
     # Rows that repeat a doc_id with other texts are one document: its nodes are linked.
     versions = owned.where("doc_id is not null").groupBy("doc_id").agg(F.collect_set("node").alias("n")).where("size(n) > 1")
-    edges = scratch.keep(versions.select(F.explode("n").alias("a"), F.array_min("n").alias("b")).where("a <> b"), "edges-0")
-    n_edges = edges.count()
+    edges = scratch.keep(versions.select(F.explode("n").alias("a"), F.array_min("n").alias("b")).where("a <> b"), "edges")
 
     bands = nodes.select("doc_id", F.explode("bands").alias("band"))
     full = bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
-    full = scratch.keep(full.select(F.col("band").alias("key"), "hub"), "full")
-    buckets = bands.join(small(full), F.col("band") == F.col("key")).select("band", "doc_id", "hub")
-    buckets = scratch.keep(buckets, "buckets")
-    n_rows = buckets.count()
-
-    links = _Links(scratch, docs, nodes, width, percent)
-    star = buckets.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    tested = scratch.keep(fewer_tasks(star, n_rows), "tested-0")
-    n_tested = tested.count()
-    edges, n_edges = edges.unionByName(links.of(tested, n_tested)), n_edges + n_tested
-
-    turn = 0
-    while True:
-        names, n_nodes = components(edges, scratch, f"named-{turn}", n_edges), 2 * n_edges
-        placed = buckets.select("band", "doc_id").join(few(names, n_nodes), F.col("doc_id") == F.col("node"), "left")
-        placed = scratch.keep(placed.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component")), f"placed-{turn}")
-        # Per bucket its largest component, a hub drawn from it anew each turn, and how many pairs are in different components.
-        draw = F.xxhash64("doc_id", "band", F.lit(turn))
-        counts = placed.groupBy("band", "component").agg(F.count("*").alias("n"), F.min_by("doc_id", draw).alias("hub"))
-        mixed = counts.groupBy(F.col("band").alias("key")).agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.max_by(F.struct("component", "hub"), F.struct("n", "component")).alias("major"))
-        mixed = mixed.where("n * n > own").select("key", "major.*", (F.col("n") * F.col("n") - F.col("own")).alias("ordered_pairs"))
-        mixed = scratch.keep(fewer_tasks(mixed.withColumnRenamed("component", "major"), n_rows), f"mixed-{turn}")
-        size = mixed.agg(F.count("*").alias("bands"), F.sum("ordered_pairs").alias("pairs")).first()
-        if not size["bands"]:
-            break
-        turn += 1
-        others = placed.join(few(mixed, size["bands"]), F.col("band") == F.col("key")).where("component <> major")
-        others = scratch.keep(others.select(F.col("band").alias("key"), F.col("doc_id").alias("id"), F.col("component").alias("own"), "hub", "major"), f"others-{turn}")
-        n_others = others.count()
-        last = turn > HUB_ROUNDS or size["pairs"] <= 2 * PAIRS_PER_ROW * n_others
-        if last:  # every pair of members of different components; one of them is outside the largest
-            met = placed.join(few(others, n_others), F.col("band") == F.col("key"))
-            pairs = met.where("component <> own and (component = major or doc_id > id)").select(F.greatest("doc_id", "id").alias("a"), F.least("doc_id", "id").alias("b"))
-        else:
-            pairs = others.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"))
-        bound = size["pairs"] if last else n_others
-        pairs = pairs.distinct().join(few(tested, n_tested), ["a", "b"], "left_anti")
-        pairs = scratch.keep(fewer_tasks(pairs, bound), f"tested-{turn}")
-        n_pairs = pairs.count()
-        edges, n_edges = edges.unionByName(links.of(pairs, n_pairs)), n_edges + n_pairs
-        tested, n_tested = tested.unionByName(pairs), n_tested + n_pairs
-        if last:
-            names, n_nodes = components(edges, scratch, f"named-{turn}", n_edges), 2 * n_edges
-            break
-
+    full = scratch.keep(full.select(F.col("band").alias("key")), "full")
+    members = bands.join(small(full), F.col("band") == F.col("key")).select("key", F.col("doc_id").alias("id"), F.lit(True).alias("anchor"))
+    members = scratch.keep(members, "members")
+
+    def worth(key, x, y):
+        """Only under the first band that the two share, and only if their sketches are near."""
+        shared = F.array_position(F.zip_with(x["bands"], y["bands"], lambda p, q: p == q), True)
+        return (F.array_position(x["bands"], key) == shared) & may_link(x["sketch"], y["sketch"], percent)
+
+    names, n_nodes = connect(
+        members, members.count(), _Links(scratch, docs, nodes, width, percent), scratch, edges, edges.count(),
+        nodes.select("doc_id", F.struct("bands", "sketch").alias("info")), worth)
     out = owned.join(few(names.toDF("n", "component"), n_nodes), F.col("node") == F.col("n"), "left")
     component = F.coalesce("component", "node", "doc_id")
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
