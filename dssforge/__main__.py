@@ -27,7 +27,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("data_dir")
     ap.add_argument("keys", nargs="*")
     ap.add_argument("--params")
-    ap.add_argument("--rows", type=int, default=20)
+    ap.add_argument("--rows", type=int, default=20, help="rows shown of each result")
+    ap.add_argument("--out", help="folder that gets every row of each result, as Parquet")
+    ap.add_argument("--complete", action="store_true", help="derive columns and partsupp that the data set lacks")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     created = SparkSession.getActiveSession() is None
@@ -35,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     queries = registered_queries()
     keys = a.keys or [k for k in queries if re.match(r"q\d\d_", k)]
     params = read_params(a.params) if a.params else {}
-    cat = Catalog(spark, a.data_dir)
+    cat = Catalog(spark, a.data_dir, complete=a.complete)
     for key in keys:
         t0 = time.perf_counter()
         n = int(key[1:3]) if re.match(r"q\d\d_", key) else None
@@ -44,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             df = queries[key](spark, a.data_dir)
         print(f"== {key}")
+        if a.out:
+            df.write.mode("errorifexists").parquet(f"{a.out.rstrip('/')}/{key}")
         df.show(a.rows, truncate=False)
         print(f"-- {time.perf_counter() - t0:.2f}s")
     if created:

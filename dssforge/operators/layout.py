@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dssforge.sources.sizing import written_parts
+
 c = F.col
 
 # --- fixed values: yearly partitions of the date-partitioned layout ---
@@ -84,18 +86,6 @@ def write_sorted(df: DataFrame, path: str, sort_cols: list[str], compression: st
     w.parquet(path)
 
 
-# --- fixed values: compression by scale ---
-ZSTD_FROM_SCALE = 1000
-ZSTD_LEVEL = 1
-
-
-def codec_for_scale(sf: float) -> tuple[str, dict]:
-    """Parquet codec and writer options for a scale factor: zstd level 1 from SF 1000 on."""
-    if sf >= ZSTD_FROM_SCALE:
-        return "zstd", {"parquet.compression.codec.zstd.level": str(ZSTD_LEVEL)}
-    return "snappy", {}
-
-
 def write_compressed(df: DataFrame, path: str, codec: str = "zstd", level: int | None = None,
                      mode: str = "errorifexists") -> None:
     w = df.write.mode(mode).option("compression", codec)
@@ -127,9 +117,9 @@ def table_stats(spark: SparkSession, table: str, column: str) -> dict:
     return {"rows": rows, "min": int(col["min"]), "max": int(col["max"]), "num_nulls": int(col["num_nulls"])}
 
 
-def compact(spark: SparkSession, src: str, dst: str, files: int) -> None:
-    """Rewrite a table into ``files`` files (a new folder; readers switch afterwards)."""
-    spark.read.parquet(src).repartition(files).write.mode("errorifexists").parquet(dst)
+def compact(spark: SparkSession, src: str, dst: str, files: int | None = None) -> None:
+    """Rewrite a table into ``files`` files, by default of the target size (a new folder; readers switch afterwards)."""
+    spark.read.parquet(src).repartition(files or written_parts(spark, src)).write.mode("errorifexists").parquet(dst)
 
 
 def recreate_schema(spark: SparkSession, name: str, location: str | None = None) -> None:

@@ -79,9 +79,11 @@ def write_state(df: DataFrame, name: str, path: str | None = None) -> str:
     return out
 
 
-ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+              "o_shippriority", "o_comment"]
 LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate", "l_commitdate",
+             "l_receiptdate", "l_shipinstruct", "l_shipmode"]
 _MONEY = {"o_totalprice", "l_quantity", "l_extendedprice", "l_discount", "l_tax"}
 
 
@@ -90,48 +92,74 @@ def as_result(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[c(x).cast("double").alias(x) if x in _MONEY else c(x) for x in cols])
 
 
-def write_update_files(cat: Catalog, sets: RefreshSets, segments: int = 4) -> dict[str, str]:
-    """Write a refresh set in the benchmark's update-file format.
+def write_update_files(cat: Catalog, sets: RefreshSets, kinds: tuple[str, ...] = ("orders", "lineitem", "delete")) -> dict[str, str]:
+    """Write the named parts of a refresh set in the benchmark's update-file format.
 
-    orders and lineitem insert files (table format, trailing separator) in
-    ``segments`` numbered files each, and the delete keys as a one-column key
-    file; returns their folders.
+    orders and lineitem insert files (table format, trailing separator) and
+    the delete keys as one-column key files, as many numbered files each as
+    the data has tasks; returns their folders.
     """
-    spark = cat.spark
-    out = {k: scratch_path(spark, f"update-{k}") for k in ("orders", "lineitem", "delete")}
-    write_delimited(to_file_shape(sets.insert_orders, "orders").repartition(segments, "o_orderkey"), out["orders"])
-    write_delimited(to_file_shape(sets.insert_lines, "lineitem").repartition(segments, "l_orderkey"), out["lineitem"])
-    write_delimited(sets.delete_keys.repartition(segments, "o_orderkey"), out["delete"])
+    rows = {"orders": lambda: to_file_shape(sets.insert_orders, "orders"),
+            "lineitem": lambda: to_file_shape(sets.insert_lines, "lineitem"),
+            "delete": lambda: sets.delete_keys}
+    out = {}
+    for kind in kinds:
+        out[kind] = scratch_path(cat.spark, f"update-{kind}")
+        write_delimited(rows[kind](), out[kind])
     return out
 
 
-def refresh_insert_query(cat: Catalog) -> DataFrame:
-    """Orders state after loading the insert files and adding them to the base state."""
+def _inserted(cat: Catalog, table: str) -> DataFrame:
+    """State of one table after its insert files are loaded and added to the base state."""
     s = refresh_sets(cat)
-    files = write_update_files(cat, s)
-    new_orders = load_delimited(cat.spark, f"{files['orders']}/part-*", "orders")
-    new_lines = load_delimited(cat.spark, f"{files['lineitem']}/part-*", "lineitem")
-    orders, _ = refresh_insert(s.base_orders.select(*ORDER_COLS), s.base_lines.select(*LINE_COLS),
-                               new_orders.select(*ORDER_COLS), new_lines.select(*LINE_COLS))
-    return as_result(orders, ORDER_COLS)
+    files = write_update_files(cat, s, (table,))
+    base, cols = (s.base_orders, ORDER_COLS) if table == "orders" else (s.base_lines, LINE_COLS)
+    new = load_delimited(cat.spark, f"{files[table]}/part-*", table)
+    return as_result(base.select(*cols).unionByName(new.select(*cols)), cols)
+
+
+def _deleted(cat: Catalog, table: str, state: DataFrame, key: str, s: RefreshSets) -> DataFrame:
+    """``state`` without the rows of the orders in the delete key file."""
+    files = write_update_files(cat, s, ("delete",))
+    keys = load_delete_keys(cat.spark, f"{files['delete']}/part-*").select(c("o_orderkey").alias("_dk")).dropna()
+    return state.join(keys, c(key) == c("_dk"), "left_anti")
+
+
+def _applied(cat: Catalog, table: str) -> DataFrame:
+    """State of one table after the delete file, then the insert files, applied to the base state."""
+    s = refresh_sets(cat)
+    base, cols, key = (s.base_orders, ORDER_COLS, "o_orderkey") if table == "orders" else (s.base_lines, LINE_COLS, "l_orderkey")
+    files = write_update_files(cat, s, (table,))
+    new = load_delimited(cat.spark, f"{files[table]}/part-*", table)
+    left = _deleted(cat, table, base.select(*cols), key, s)
+    return as_result(left.unionByName(new.select(*cols)), cols)
+
+
+def refresh_insert_query(cat: Catalog) -> DataFrame:
+    """Orders state after the insert files."""
+    return _inserted(cat, "orders")
+
+
+def refresh_insert_lines_query(cat: Catalog) -> DataFrame:
+    """lineitem state after the insert files."""
+    return _inserted(cat, "lineitem")
 
 
 def refresh_delete_query(cat: Catalog) -> DataFrame:
     """lineitem state after deleting the orders listed in the delete key file."""
-    s = refresh_sets(cat)
-    files = write_update_files(cat, s)
-    keys = load_delete_keys(cat.spark, f"{files['delete']}/part-*")
-    _, lines = refresh_delete(cat.orders, cat.lineitem, keys)
-    return as_result(lines, LINE_COLS)
+    return as_result(_deleted(cat, "lineitem", cat.lineitem, "l_orderkey", refresh_sets(cat)), LINE_COLS)
+
+
+def refresh_delete_orders_query(cat: Catalog) -> DataFrame:
+    """Orders state after deleting the orders listed in the delete key file."""
+    return as_result(_deleted(cat, "orders", cat.orders, "o_orderkey", refresh_sets(cat)), ORDER_COLS)
 
 
 def refresh_apply_query(cat: Catalog) -> DataFrame:
-    """Orders state after the delete file, then the insert files, applied to the base state."""
-    s = refresh_sets(cat)
-    files = write_update_files(cat, s)
-    keys = load_delete_keys(cat.spark, f"{files['delete']}/part-*")
-    new_orders = load_delimited(cat.spark, f"{files['orders']}/part-*", "orders")
-    new_lines = load_delimited(cat.spark, f"{files['lineitem']}/part-*", "lineitem")
-    orders, _ = refresh_apply(s.base_orders.select(*ORDER_COLS), s.base_lines.select(*LINE_COLS), keys,
-                              new_orders.select(*ORDER_COLS), new_lines.select(*LINE_COLS))
-    return as_result(orders, ORDER_COLS)
+    """Orders state after the delete file, then the insert files."""
+    return _applied(cat, "orders")
+
+
+def refresh_apply_lines_query(cat: Catalog) -> DataFrame:
+    """lineitem state after the delete file, then the insert files."""
+    return _applied(cat, "lineitem")

@@ -86,7 +86,7 @@ def rule_supplier_bridge(cat: Catalog) -> DataFrame:
 def rule_extended_price(cat: Catalog) -> DataFrame:
     """l_extendedprice = p_retailprice * l_quantity."""
     lines = (cat.lineitem.select("l_partkey", "l_quantity", "l_extendedprice")
-             .join(cat.part.select("p_partkey", "p_retailprice"), c("l_partkey") == c("p_partkey")))
+             .join(cat.part.select("p_partkey", "p_retailprice"), c("l_partkey") == c("p_partkey"), "left"))
     return _counts("extended_price", lines, c("l_extendedprice") == c("p_retailprice") * c("l_quantity"))
 
 
@@ -100,7 +100,8 @@ def line_charge_cents(cat: Catalog) -> DataFrame:
 
 def rule_order_total(cat: Catalog) -> DataFrame:
     per_order = line_charge_cents(cat)
-    orders = cat.orders.select("o_orderkey", "o_totalprice").join(per_order, c("o_orderkey") == c("l_orderkey"))
+    orders = cat.orders.select("o_orderkey", "o_totalprice").join(
+        per_order, c("o_orderkey") == c("l_orderkey"), "left")
     return _counts("order_total", orders, cents("o_totalprice") == c("total_cents"))
 
 
@@ -109,7 +110,8 @@ def rule_order_status(cat: Catalog) -> DataFrame:
     per_order = (cat.lineitem.groupBy("l_orderkey")
                  .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(c("l_linestatus") == "F", 1)).alias("nf")))
     expected = F.when(c("nf") == c("n"), "F").when(c("nf") == 0, "O").otherwise("P")
-    orders = cat.orders.select("o_orderkey", "o_orderstatus").join(per_order, c("o_orderkey") == c("l_orderkey"))
+    orders = cat.orders.select("o_orderkey", "o_orderstatus").join(
+        per_order, c("o_orderkey") == c("l_orderkey"), "left")
     return _counts("order_status", orders, c("o_orderstatus") == expected)
 
 

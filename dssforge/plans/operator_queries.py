@@ -24,12 +24,13 @@ from dssforge.operators.reports import (
     report_queries,
     report_sessions,
 )
-from dssforge.plans.queries import q01, q05, q18
+from dssforge.plans.queries import q01, q05, q10, q18
 from dssforge.session import scratch_path
 from dssforge.sources.delimited import load_delimited, to_file_shape, write_delimited
 from dssforge.sources.runlog import events_runlog, parse_runlog, read_runlog, runlog_lines
 from dssforge.sources.load import load_tables, store_bucketed
-from dssforge.sources.tables import TABLE_NAMES, Catalog
+from dssforge.sources.sizing import written_parts
+from dssforge.sources.tables import TABLE_NAMES, Catalog, union_all
 from dssforge.streaming.refresh_stream import append_stream, read_target
 
 c = F.col
@@ -50,19 +51,29 @@ def load_csv_nodummy_q(cat: Catalog) -> DataFrame:
     return as_result(load_delimited(cat.spark, path, "orders", dummy=False), ORDER_COLS)
 
 
-def load_copy_q(cat: Catalog, files: int = 4) -> DataFrame:
+def load_copy_q(cat: Catalog) -> DataFrame:
     """customer written as one file per writer and loaded through a glob."""
     path = scratch_path(cat.spark, "copy-customer")
-    write_delimited(to_file_shape(cat.customer, "customer").repartition(files), path)
+    write_delimited(to_file_shape(cat.customer, "customer"), path)
     df = load_delimited(cat.spark, f"{path}/part-*", "customer")
-    return df.select("c_custkey", "c_name", "c_nationkey", c("c_acctbal").cast("double").alias("c_acctbal"),
-                     "c_mktsegment", "c_phone")
+    return df.select("c_custkey", "c_name", "c_address", "c_nationkey", "c_phone",
+                     c("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment", "c_comment")
 
 
-def write_tbl_dataset(cat: Catalog, folder: str, chunks: int = 2) -> None:
-    """Every table written as table files ``{folder}/{table}.tbl/part-*``."""
+def write_delimited_q(cat: Catalog) -> DataFrame:
+    """The text lines that nation and part are written as."""
+    out = []
+    for table in ("nation", "part"):
+        path = scratch_path(cat.spark, f"text-{table}")
+        write_delimited(to_file_shape(cat.table(table), table), path)
+        out.append(cat.spark.read.text(path).select(F.lit(table).alias("table_name"), c("value").alias("line")))
+    return union_all(out)
+
+
+def write_tbl_dataset(cat: Catalog, folder: str) -> None:
+    """Every table written as table files ``{folder}/{table}.tbl/part-*``, a file per task that reads it."""
     for table in TABLE_NAMES:
-        write_delimited(to_file_shape(cat.table(table), table).repartition(chunks), f"{folder}/{table}.tbl")
+        write_delimited(to_file_shape(cat.table(table), table), f"{folder}/{table}.tbl")
 
 
 def load_tables_q(cat: Catalog) -> DataFrame:
@@ -80,6 +91,24 @@ def write_table_q(cat: Catalog) -> DataFrame:
     return cat.spark.read.parquet(path)
 
 
+def table_from_query(cat: Catalog, query, name: str, path: str) -> None:
+    """CREATE TABLE AS of a query's result, then INSERT INTO .. SELECT of the same query."""
+    result = query(cat)
+    result.write.mode("errorifexists").format("parquet").option("path", path).saveAsTable(name)
+    query(cat).select(*cat.spark.table(name).columns).write.insertInto(name)
+
+
+def table_from_query_q(cat: Catalog) -> DataFrame:
+    """q10's result as a catalog table, created from the query and inserted into once more."""
+    name = f"result_{uuid.uuid4().hex[:12]}"
+    path = scratch_path(cat.spark, name)
+    table_from_query(cat, q10, name, path)
+    try:
+        return cat.spark.read.parquet(path)
+    finally:
+        cat.spark.sql(f"DROP TABLE {name}")  # external: the files stay for the result
+
+
 # -- layouts ---------------------------------------------------------------
 def layout_year_partition_q(cat: Catalog, year: int = 1997) -> DataFrame:
     """lineitem in yearly ship-date folders; a one-year read prunes the others."""
@@ -88,8 +117,14 @@ def layout_year_partition_q(cat: Catalog, year: int = 1997) -> DataFrame:
     return as_result(cat.spark.read.parquet(path).filter(c("year") == str(year)), LINE_COLS)
 
 
-def layout_hash_q(cat: Catalog, buckets: int = 8) -> DataFrame:
+def _buckets(cat: Catalog) -> int:
+    """Buckets of the fact tables, from lineitem's bytes."""
+    return written_parts(cat.spark, cat.path("lineitem"))
+
+
+def layout_hash_q(cat: Catalog, buckets: int | None = None) -> DataFrame:
     """orders and lineitem bucketed by order key; their join reads matching buckets."""
+    buckets = buckets or _buckets(cat)
     tag = uuid.uuid4().hex[:12]
     o_name, l_name = f"orders_b_{tag}", f"lineitem_b_{tag}"
     layout.write_bucketed(cat.orders.select("o_orderkey", "o_orderpriority"), o_name,
@@ -102,14 +137,14 @@ def layout_hash_q(cat: Catalog, buckets: int = 8) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("line_count"), F.sum("l_quantity").cast("double").alias("quantity")))
 
 
-def layout_bucketed_q(cat: Catalog, buckets: int = 8) -> DataFrame:
+def layout_bucketed_q(cat: Catalog, buckets: int | None = None) -> DataFrame:
     """q18 over orders and lineitem stored bucketed by order key.
 
     The per-order sums and the join with orders read matching buckets: no
     shuffle of either fact table on the order key.
     """
     db = f"dss_{uuid.uuid4().hex[:12]}"
-    return q18(store_bucketed(cat, db, scratch_path(cat.spark, db), buckets))
+    return q18(store_bucketed(cat, db, scratch_path(cat.spark, db), buckets or _buckets(cat)))
 
 
 def layout_minmax_q(cat: Catalog, lo: str = "1997-03-01", hi: str = "1997-04-01") -> DataFrame:
@@ -122,11 +157,11 @@ def layout_minmax_q(cat: Catalog, lo: str = "1997-03-01", hi: str = "1997-04-01"
                      LINE_COLS)
 
 
-def compact_q(cat: Catalog, files: int = 2) -> DataFrame:
-    """orders written in many files, then compacted into ``files`` files."""
+def compact_q(cat: Catalog) -> DataFrame:
+    """orders written in many files, then compacted into files of the target size."""
     src, dst = scratch_path(cat.spark, "orders-many"), scratch_path(cat.spark, "orders-compact")
-    cat.orders.repartition(16).write.parquet(src)
-    layout.compact(cat.spark, src, dst, files)
+    cat.orders.repartition(16 * written_parts(cat.spark, cat.path("orders"))).write.parquet(src)
+    layout.compact(cat.spark, src, dst)
     return as_result(cat.spark.read.parquet(dst), ORDER_COLS)
 
 
@@ -143,17 +178,26 @@ def stats_q(cat: Catalog) -> DataFrame:
 
 
 # -- refresh stream --------------------------------------------------------
-def refresh_stream_q(cat: Catalog, segments: int = 4) -> DataFrame:
-    """Insert set arriving as segment files, appended to the base orders by a stream."""
-    s = refresh_sets(cat)
-    landing = scratch_path(cat.spark, "landing-orders")
-    target = scratch_path(cat.spark, "orders-state")
-    s.base_orders.write.parquet(f"{target}/batch_id=base")
-    s.insert_orders.repartition(segments, "o_orderkey").write.parquet(landing)
-    q = append_stream(cat.spark, landing, cat.orders.schema, target,
-                      scratch_path(cat.spark, "ckpt-orders"), files_per_batch=1)
+def _streamed(cat: Catalog, name: str, base: DataFrame, arriving: DataFrame, files_per_batch: int) -> DataFrame:
+    landing, target = scratch_path(cat.spark, f"landing-{name}"), scratch_path(cat.spark, f"{name}-state")
+    base.write.parquet(f"{target}/batch_id=base")
+    arriving.write.parquet(landing)
+    q = append_stream(cat.spark, landing, base.schema, target, scratch_path(cat.spark, f"ckpt-{name}"),
+                      files_per_batch=files_per_batch)
     q.awaitTermination()
-    return as_result(read_target(cat.spark, target, cat.orders.schema), ORDER_COLS)
+    return read_target(cat.spark, target, base.schema)
+
+
+def refresh_stream_q(cat: Catalog, files_per_batch: int = 1000) -> DataFrame:
+    """Insert set arriving as files, appended to the base orders by a stream."""
+    s = refresh_sets(cat)
+    return as_result(_streamed(cat, "orders", s.base_orders, s.insert_orders, files_per_batch), ORDER_COLS)
+
+
+def refresh_stream_lines_q(cat: Catalog, files_per_batch: int = 1000) -> DataFrame:
+    """Lines of the insert set arriving as files, appended to the base lines by a stream."""
+    s = refresh_sets(cat)
+    return as_result(_streamed(cat, "lineitem", s.base_lines, s.insert_lines, files_per_batch), LINE_COLS)
 
 
 # -- run logs and reports --------------------------------------------------

@@ -2,10 +2,43 @@
 
 from __future__ import annotations
 
-from dssforge.operators.checks import FOREIGN_KEYS, PRIMARY_KEYS
-from dssforge.operators.rules import NATION_ADJUSTMENTS
 from dssforge.plans.oracle import QUERY_SQL, with_tables
 
+# The oracle states its own lists, so that a wrong one in the engine shows.
+# --- fixed values: declared primary keys ---
+PRIMARY_KEYS = {
+    "nation": ["n_nationkey"],
+    "region": ["r_regionkey"],
+    "customer": ["c_custkey"],
+    "part": ["p_partkey"],
+    "supplier": ["s_suppkey"],
+    "partsupp": ["ps_partkey", "ps_suppkey"],
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
+}
+
+# --- fixed values: declared foreign keys (name, child, child cols, parent, parent cols) ---
+FOREIGN_KEYS = [
+    ("supplier_nation_fk", "supplier", ["s_nationkey"], "nation", ["n_nationkey"]),
+    ("partsupp_part_fk", "partsupp", ["ps_partkey"], "part", ["p_partkey"]),
+    ("partsupp_supplier_fk", "partsupp", ["ps_suppkey"], "supplier", ["s_suppkey"]),
+    ("customer_nation_fk", "customer", ["c_nationkey"], "nation", ["n_nationkey"]),
+    ("orders_customer_fk", "orders", ["o_custkey"], "customer", ["c_custkey"]),
+    ("lineitem_order_fk", "lineitem", ["l_orderkey"], "orders", ["o_orderkey"]),
+    ("lineitem_part_fk", "lineitem", ["l_partkey"], "part", ["p_partkey"]),
+    ("lineitem_partsupp_fk", "lineitem", ["l_partkey", "l_suppkey"], "partsupp", ["ps_partkey", "ps_suppkey"]),
+    ("nation_region_fk", "nation", ["n_regionkey"], "region", ["r_regionkey"]),
+]
+
+# --- fixed values: nations in key order with their region adjustments ---
+NATION_ADJUSTMENTS = [
+    ("ALGERIA", 0), ("ARGENTINA", 1), ("BRAZIL", 0), ("CANADA", 0), ("EGYPT", 3),
+    ("ETHIOPIA", -4), ("FRANCE", 3), ("GERMANY", 0), ("INDIA", -1), ("INDONESIA", 0),
+    ("IRAN", 2), ("IRAQ", 0), ("JAPAN", -2), ("JORDAN", 2), ("KENYA", -4),
+    ("MOROCCO", 0), ("MOZAMBIQUE", 0), ("PERU", 1), ("CHINA", 1), ("ROMANIA", 1),
+    ("SAUDI ARABIA", 1), ("VIETNAM", -2), ("RUSSIA", 1), ("UNITED KINGDOM", 0), ("UNITED STATES", -2),
+]
+
 # Columns of each typed, completed table (as the catalog exposes them).
 CATALOG_COLUMNS = {
     "nation": ["n_nationkey", "n_name", "n_regionkey"],
@@ -23,10 +56,11 @@ CATALOG_COLUMNS = {
 }
 
 ORDERS_RESULT = """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice,
-  o_orderdate, o_orderpriority FROM orders"""
+  o_orderdate, o_orderpriority, o_shippriority, o_comment FROM orders"""
 LINES_RESULT = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity,
   CAST(l_extendedprice AS DOUBLE) AS l_extendedprice, CAST(l_discount AS DOUBLE) AS l_discount,
-  CAST(l_tax AS DOUBLE) AS l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem"""
+  CAST(l_tax AS DOUBLE) AS l_tax, l_returnflag, l_linestatus, l_shipdate, l_commitdate, l_receiptdate,
+  l_shipinstruct, l_shipmode FROM lineitem"""
 
 
 def _counts(rule: str, source: str, ok: str) -> str:
@@ -81,18 +115,18 @@ FROM partsupp LEFT JOIN (
   FROM part, (SELECT COUNT(*) AS n FROM supplier) s, range(0, 4) t(i)) b
 ON ps_partkey = b.b_partkey AND ps_suppkey = b.b_suppkey""",
     "rule_extended_price": _counts(
-        "extended_price", "lineitem JOIN part ON l_partkey = p_partkey",
+        "extended_price", "lineitem LEFT JOIN part ON l_partkey = p_partkey",
         "l_extendedprice = p_retailprice * l_quantity"),
     "rule_order_total": _counts(
         "order_total",
-        """orders JOIN (SELECT l_orderkey, SUM(((e * (100 - d)) // 100 * (100 + t)) // 100) AS total_cents
+        """orders LEFT JOIN (SELECT l_orderkey, SUM(((e * (100 - d)) // 100 * (100 + t)) // 100) AS total_cents
           FROM (SELECT l_orderkey, CAST(l_extendedprice * 100 AS BIGINT) AS e, CAST(l_discount * 100 AS BIGINT) AS d,
                        CAST(l_tax * 100 AS BIGINT) AS t FROM lineitem) x GROUP BY l_orderkey) lt
           ON o_orderkey = lt.l_orderkey""",
         "CAST(o_totalprice * 100 AS BIGINT) = total_cents"),
     "rule_order_status": _counts(
         "order_status",
-        """orders JOIN (SELECT l_orderkey, COUNT(*) AS n, COUNT(CASE WHEN l_linestatus = 'F' THEN 1 END) AS nf
+        """orders LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n, COUNT(CASE WHEN l_linestatus = 'F' THEN 1 END) AS nf
           FROM lineitem GROUP BY l_orderkey) lt ON o_orderkey = lt.l_orderkey""",
         "o_orderstatus = CASE WHEN nf = n THEN 'F' WHEN nf = 0 THEN 'O' ELSE 'P' END"),
     "rule_line_flags": _counts(
@@ -128,10 +162,10 @@ FROM (SELECT CAST(unnest(generate_series(CAST(d0 AS TIMESTAMP), CAST(d1 AS TIMES
       FROM (SELECT MIN(o_orderdate) AS d0 FROM orders), (SELECT MAX(l_receiptdate) AS d1 FROM lineitem))""",
 }
 
-EVENTS_LOG = """log AS (SELECT CAST(event_id AS INTEGER) AS id,
+EVENTS_LOG = """log AS (SELECT CAST(event_id AS BIGINT) AS id,
     CAST(user_id % 10 + 1 AS VARCHAR) || '.' || event_type AS description,
     CAST(user_id % 3 AS BIGINT) AS tuples,
-    CAST(round(value * 1000) AS BIGINT) % 86400000 AS duration_ms
+    CAST(round(value * 1000) AS BIGINT) AS duration_ms
   FROM events)"""
 
 
@@ -208,8 +242,13 @@ IO_SQL = {
         for t in ["region", "nation", "supplier", "customer", "part", "partsupp", "orders", "lineitem"]),
     "load_delimited": LINES_RESULT,
     "load_csv_nodummy": ORDERS_RESULT,
-    "load_copy": """SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DOUBLE) AS c_acctbal, c_mktsegment, c_phone
-FROM customer""",
+    "load_copy": """SELECT c_custkey, c_name, c_address, c_nationkey, c_phone, CAST(c_acctbal AS DOUBLE) AS c_acctbal,
+  c_mktsegment, c_comment FROM customer""",
+    "write_delimited": """SELECT 'nation' AS table_name,
+  concat_ws('|', n_nationkey, n_name, n_regionkey, '') || '|' AS line FROM nation
+UNION ALL SELECT 'part', concat_ws('|', p_partkey, p_name, p_mfgr, p_brand, p_type, p_size, p_container, p_retailprice, '') || '|'
+FROM part""",
+    "table_from_query": f"({QUERY_SQL['q10_returned_items']})\nUNION ALL\n({QUERY_SQL['q10_returned_items']})",
     "write_table": f"({QUERY_SQL['q05_local_supplier_volume'].replace('ORDER BY revenue DESC', '')})\nUNION ALL\n"
                    f"({QUERY_SQL['q05_local_supplier_volume'].replace('ORDER BY revenue DESC', '')})",
     "layout_year_partition": f"{LINES_RESULT} WHERE year(l_shipdate) = 1997",
@@ -221,6 +260,11 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority"""
   MAX(o_orderkey) AS key_max, COUNT(*) - COUNT(o_orderkey) AS key_nulls FROM orders""",
     "refresh_insert": ORDERS_RESULT,
     "refresh_stream": ORDERS_RESULT,
+    "refresh_insert_lines": LINES_RESULT,
+    "refresh_stream_lines": LINES_RESULT,
+    "refresh_delete_orders": _orders_minus_deleted(),
+    "refresh_apply_lines": f"""{LINES_RESULT} l WHERE NOT EXISTS (
+  SELECT 1 FROM orders d WHERE d.o_orderdate < DATE '1996-01-01' AND d.o_orderkey = l.l_orderkey)""",
     "refresh_delete": f"""{LINES_RESULT} l WHERE NOT EXISTS (
   SELECT 1 FROM orders d WHERE d.o_orderdate < DATE '1996-01-01' AND d.o_orderkey = l.l_orderkey)""",
     "refresh_apply": _orders_minus_deleted("(NOT (o_orderdate >= DATE '1999-01-01') OR o_orderdate IS NULL) AND ")

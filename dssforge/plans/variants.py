@@ -81,12 +81,13 @@ def _day(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
 
 
-def _frames(cat: Catalog) -> dict:
-    return {t: cat.table(t) for t in TABLE_NAMES}
+def _frames(cat: Catalog, text: str) -> dict:
+    """The tables that the text names."""
+    return {t: cat.table(t) for t in TABLE_NAMES if f"{{{t}}}" in text}
 
 
 def _sql(cat: Catalog, text: str, **args) -> DataFrame:
-    return cat.spark.sql(text, args=args, **_frames(cat))
+    return cat.spark.sql(text, args=args, **_frames(cat, text))
 
 
 def q08a_decode(cat: Catalog, nation="NATION_1", region="AMERICA", ptype="ECONOMY") -> DataFrame:
@@ -106,9 +107,9 @@ def _with_view(cat: Catalog, view_sql: str, body: str, name: str, **args) -> Dat
     after the drop.
     """
     view = f"{name}_{uuid.uuid4().hex[:12]}"
-    cat.spark.sql(view_sql, args=args, **_frames(cat)).createOrReplaceTempView(view)
+    cat.spark.sql(view_sql, args=args, **_frames(cat, view_sql)).createOrReplaceTempView(view)
     try:
-        return cat.spark.sql(body.replace("{view}", view), **_frames(cat))
+        return cat.spark.sql(body.replace("{view}", view), **_frames(cat, body))
     finally:
         cat.spark.catalog.dropTempView(view)
 

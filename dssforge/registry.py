@@ -35,16 +35,22 @@ OPERATORS = {
     "calendar_dim": rules.calendar_dim,
     # 2H refresh sets
     "refresh_insert": refresh.refresh_insert_query,
+    "refresh_insert_lines": refresh.refresh_insert_lines_query,
     "refresh_delete": refresh.refresh_delete_query,
+    "refresh_delete_orders": refresh.refresh_delete_orders_query,
     "refresh_apply": refresh.refresh_apply_query,
+    "refresh_apply_lines": refresh.refresh_apply_lines_query,
     "refresh_stream": io.refresh_stream_q,
+    "refresh_stream_lines": io.refresh_stream_lines_q,
     # 2D sources and sinks
     "load_delimited": io.load_delimited_q,
     "load_csv_nodummy": io.load_csv_nodummy_q,
     "load_copy": io.load_copy_q,
     "load_counts": load_counts,
     "load_tables": io.load_tables_q,
+    "write_delimited": io.write_delimited_q,
     "write_table": io.write_table_q,
+    "table_from_query": io.table_from_query_q,
     # 2E layout
     "layout_year_partition": io.layout_year_partition_q,
     "layout_hash": io.layout_hash_q,
@@ -69,7 +75,7 @@ OPERATORS = {
 
 def _on_catalog(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Catalog(spark, sf_dir))
+        return fn(Catalog(spark, sf_dir, complete=True))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run

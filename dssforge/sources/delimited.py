@@ -1,18 +1,22 @@
-"""Delimited text tables: ``|``-separated, no header, empty field = NULL.
+"""Delimited text tables: ``|``-separated, no header, no quoting, empty field = NULL.
 
-The benchmark's table files end every line with a separator, which readers
-see as one extra, empty column; it is declared as ``dummy`` and dropped.
+A backslash escapes the character after it: a separator, a backslash, or a line
+break (``\\n``, ``\\r``). Quotes and blanks are ordinary characters. The benchmark's table
+files end every line with a separator, which makes one extra, empty field.
 Money is written with two decimals (``d.cc``), dates as ``yyyy-MM-dd``.
 
-Reading is ``spark.read.csv`` with an explicit schema (no inference), so a
-folder or glob of many files is split across tasks like any file source.
+Lines are read with ``spark.read.text`` (a folder or glob of many files is split
+across tasks like any file source) and cut at unescaped separators with
+built-in expressions. A line with another number of fields than the schema,
+or a field that is no value of its type, fails the read. CHAR columns are padded
+in some files and lose their trailing blanks.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dssforge.sources.tables import Catalog, union_all
@@ -32,7 +36,7 @@ TBL_SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice decimal(12,2), "
               "o_orderdate date, o_orderpriority string, o_clerk string, o_shippriority int, o_comment string",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-                "l_quantity decimal(4,0), l_extendedprice decimal(12,2), l_discount decimal(4,2), "
+                "l_quantity decimal(15,2), l_extendedprice decimal(12,2), l_discount decimal(4,2), "
                 "l_tax decimal(4,2), l_returnflag string, l_linestatus string, l_shipdate date, "
                 "l_commitdate date, l_receiptdate date, l_shipinstruct string, l_shipmode string, "
                 "l_comment string",
@@ -44,30 +48,55 @@ DELETE_SCHEMA = "o_orderkey bigint"
 def to_file_shape(df: DataFrame, table: str) -> DataFrame:
     """Columns of the table file in file order; columns the frame lacks are NULL (empty fields)."""
     cols = []
-    for part in re.split(r",\s*(?![^()]*\))", TBL_SCHEMAS[table]):
-        name, typ = part.split(None, 1)
+    for name, typ in schema_fields(TBL_SCHEMAS[table]):
         cols.append(F.col(name).cast(typ) if name in df.columns else F.lit(None).cast(typ).alias(name))
     return df.select(*cols)
 
 
-def _reader(spark: SparkSession, schema: str):
-    return (spark.read.schema(schema)
-            .option("sep", "|").option("header", "false").option("escape", "\\")
-            .option("nullValue", "").option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST"))
+# --- fixed values: columns declared CHAR (blank-padded) ---
+CHAR_COLUMNS = {
+    "c_phone", "c_mktsegment", "l_returnflag", "l_linestatus", "l_shipinstruct", "l_shipmode", "n_name",
+    "o_orderstatus", "o_orderpriority", "o_clerk", "p_mfgr", "p_brand", "p_container", "r_name", "s_name", "s_phone",
+}
+
+# One field and the separator that ends it: plain characters, or a backslash with the character after it.
+_FIELD = r"([^|\\]*+(?:\\.[^|\\]*+)*+)\|"
+
+
+def schema_fields(schema: str) -> list[tuple[str, str]]:
+    """(name, type) of a schema string."""
+    return [tuple(part.split(None, 1)) for part in re.split(r",\s*(?![^()]*\))", schema)]
+
+
+def _parse(text: Column, name: str, kind: str) -> Column:
+    plain = text
+    for code, break_ in (("n", "\n"), ("r", "\r")):  # after an even number of backslashes
+        plain = F.regexp_replace(plain, rf"(?<!\\)((?:\\\\)*)\\{code}", f"$1{break_}")
+    plain = F.regexp_replace(plain, r"\\([^\n\r])", "$1")
+    if name in CHAR_COLUMNS:
+        plain = F.rtrim(plain)
+    value = F.when(text != "", plain)
+    if kind == "string":
+        return value.alias(name)
+    typed = value.try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"no {kind} in field {name}: "), value)).cast(kind)
+    return F.when(value.isNotNull() & typed.isNull(), wrong).otherwise(typed).alias(name)
 
 
 def load_delimited(spark: SparkSession, path: str, table: str | None = None, schema: str | None = None,
                    dummy: bool = True) -> DataFrame:
     """Read table files (file, folder or glob) with the table's schema.
 
-    ``dummy=True`` expects the trailing separator of the benchmark's files
-    and drops the empty column it creates; ``dummy=False`` reads files
-    without it.
+    ``dummy=True`` expects the trailing separator of the benchmark's files;
+    ``dummy=False`` reads files without it.
     """
-    schema = schema or TBL_SCHEMAS[table]
-    full = schema + (", dummy string" if dummy else "")
-    df = _reader(spark, full).csv(path)
-    return df.drop("dummy") if dummy else df
+    fields = schema_fields(schema or TBL_SCHEMAS[table])
+    end = "" if dummy else "|"
+    found = F.regexp_extract_all(F.concat(F.col("value"), F.lit(end)), F.lit(_FIELD), 1)
+    whole = F.regexp_like(F.concat(F.col("value"), F.lit(end)), F.lit(f"(?s)^(?:{_FIELD})*+$"))
+    wrong = F.raise_error(F.concat(F.lit(f"not {len(fields)} fields: "), F.col("value"))).cast("array<string>")
+    cut = spark.read.text(path).select(F.when(whole & (F.size(found) == len(fields)), found).otherwise(wrong).alias("f"))
+    return cut.select(*[_parse(F.get("f", F.lit(i)), name, kind) for i, (name, kind) in enumerate(fields)])
 
 
 def load_delete_keys(spark: SparkSession, path: str, dummy: bool = True) -> DataFrame:
@@ -75,16 +104,22 @@ def load_delete_keys(spark: SparkSession, path: str, dummy: bool = True) -> Data
     return load_delimited(spark, path, schema=DELETE_SCHEMA, dummy=dummy)
 
 
+def _text(column: str) -> Column:
+    """A value as escaped text; NULL is empty."""
+    escaped = F.regexp_replace(F.col(column).cast("string"), r"([\\|])", r"\\$1")
+    for code, break_ in (("n", "\n"), ("r", "\r")):
+        escaped = F.replace(escaped, F.lit(break_), F.lit(f"\\{code}"))
+    return F.coalesce(escaped, F.lit(""))
+
+
 def write_delimited(df: DataFrame, path: str, trailing_separator: bool = True, mode: str = "errorifexists",
                     compression: str | None = None) -> None:
-    """Write rows as ``|``-separated text in the table file format."""
-    out = df.withColumn("dummy", F.lit(None).cast("string")) if trailing_separator else df
-    w = (out.write.mode(mode).option("sep", "|").option("header", "false").option("escape", "\\")
-         .option("nullValue", "").option("emptyValue", "").option("dateFormat", "yyyy-MM-dd")
-         .option("quoteAll", "false"))
+    """Write rows as ``|``-separated text in the table file format (NULL and the empty text are both empty)."""
+    line = F.concat_ws("|", *[_text(x) for x in df.columns])
+    w = df.select((F.concat(line, F.lit("|")) if trailing_separator else line).alias("value")).write.mode(mode)
     if compression:
         w = w.option("compression", compression)
-    w.csv(path)
+    w.text(path)
 
 
 def load_counts(cat: Catalog, tables: list[str] | None = None) -> DataFrame:

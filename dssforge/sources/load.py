@@ -61,4 +61,4 @@ def store_bucketed(cat, database: str, location: str, buckets: int):
         ident = f"{database}.{table}"
         write_bucketed(cat.table(table), ident, f"{location.rstrip('/')}/{database}.{table}", key, buckets)
         names[table] = ident
-    return Catalog(spark, cat.sf_dir, tables=names)
+    return Catalog(spark, cat.sf_dir, tables=names, complete=cat.complete)

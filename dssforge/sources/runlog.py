@@ -3,8 +3,8 @@
 Line format ``id|description|tuples|HH:MM:SS.F`` where the benchmark's
 logger prints hours modulo 24 and, after the seconds, the *total*
 milliseconds of the step (at least three digits). So ``00:01:05.65123``
-means 65.123 s: the duration is h:m:s plus the last three digits of F as
-milliseconds. Durations are kept as exact bigint milliseconds.
+means 65.123 s and ``01:00:00.90000000`` means 25 h: F alone is the duration,
+which is kept as exact bigint milliseconds.
 """
 
 from __future__ import annotations
@@ -22,20 +22,18 @@ def format_duration(ms: Column) -> Column:
 
 
 def parse_duration(text: Column) -> Column:
-    """Milliseconds from ``HH:MM:SS.F``; the last three digits of F are the milliseconds."""
+    """Milliseconds from ``HH:MM:SS.F``: F, the total; from the clock where F is missing."""
     parts = F.split(text, "[:.]")
-    frac = F.coalesce(parts.getItem(3), F.lit("0"))
-    padded = F.when(F.length(frac) < 3, F.lpad(frac, 3, "0")).otherwise(frac)
-    ms = F.substring(padded, -3, 3).cast("bigint")
-    return (parts.getItem(0).cast("bigint") * 3600000 + parts.getItem(1).cast("bigint") * 60000
-            + parts.getItem(2).cast("bigint") * 1000 + ms)
+    clock = (F.get(parts, F.lit(0)).cast("bigint") * 3600 + F.get(parts, F.lit(1)).cast("bigint") * 60
+             + F.get(parts, F.lit(2)).cast("bigint"))
+    return F.coalesce(F.get(parts, F.lit(3)).cast("bigint"), clock * 1000)
 
 
 def parse_runlog(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse a frame of log text lines into (id, description, tuples, duration_ms)."""
     f = F.split(c(column), r"\|")
     return (lines.filter(F.length(F.trim(c(column))) > 0)
-            .select(f.getItem(0).cast("int").alias("id"),
+            .select(f.getItem(0).cast("bigint").alias("id"),
                     f.getItem(1).alias("description"),
                     f.getItem(2).cast("bigint").alias("tuples"),
                     parse_duration(f.getItem(3)).alias("duration_ms")))
@@ -60,7 +58,7 @@ def events_runlog(events: DataFrame) -> DataFrame:
     duration = value seconds as whole milliseconds.
     """
     return events.select(
-        c("event_id").cast("int").alias("id"),
+        c("event_id").cast("bigint").alias("id"),
         F.concat((c("user_id") % 10 + 1).cast("string"), F.lit("."), c("event_type")).alias("description"),
         (c("user_id") % 3).cast("bigint").alias("tuples"),
         F.round(c("value") * 1000).cast("bigint").alias("duration_ms"))

@@ -9,10 +9,12 @@ benchmark's logical types once, at load:
   comparisons, so date predicates still reach the Parquet scan as
   ``PushedFilters``.
 
-Columns the benchmark schema has but a data set lacks are *completed* by
+With ``complete=True`` (used by the registered queries, whose test tables need
+it) columns the benchmark schema has but a data set lacks are *completed* by
 deterministic expressions over the row's own columns (never by sampling or
 dropping rows). A column present in the data is always used as it is, and a
 ``partsupp`` table present in the folder is read instead of being derived.
+Otherwise nothing is made up.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from dssforge.functions.constants import (
 
 MONEY = "decimal(12,2)"
 RATE = "decimal(4,2)"
-QTY = "decimal(4,0)"
+QTY = "decimal(15,2)"
 
 TABLE_NAMES = ["region", "nation", "supplier", "customer", "part", "partsupp",
                "orders", "lineitem"]
@@ -92,8 +94,6 @@ def _completions() -> dict[str, dict[str, object]]:
     }
 
 
-_BOUND_CHECKED: dict[str, bool] = {}
-
 # Typed tables per (session, path): reading a Parquet footer and analysing the
 # completion/cast projection costs driver round trips, so each table is
 # planned once per session. Call ``clear_table_cache`` after rewriting a path.
@@ -102,19 +102,25 @@ _TABLE_CACHE: dict[tuple, DataFrame] = {}
 
 def clear_table_cache() -> None:
     _TABLE_CACHE.clear()
-    _BOUND_CHECKED.clear()
 
 
 class Catalog:
     """Lazily loaded, typed and completed benchmark tables of one folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict[str, str] | None = None,
+                 complete: bool = False):
         """``tables`` maps a table name to a catalog table to read instead of
-        ``{sf_dir}/{name}.parquet`` (for example tables stored bucketed)."""
+        ``{sf_dir}/{name}.parquet`` (for example tables stored bucketed).
+
+        ``complete`` derives the columns and the partsupp table that a data
+        set lacks; without it a missing table or column is an error.
+        """
+        self.complete = complete
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.tables = dict(tables or {})
         self._cache: dict[str, DataFrame] = {}
+        self._bounded: dict[str, bool] = {}
 
     # -- raw access -------------------------------------------------------
     def path(self, name: str) -> str:
@@ -129,8 +135,10 @@ class Catalog:
         try:
             self.spark.read.parquet(self.path(name))
             return True
-        except AnalysisException:
-            return False
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":  # anything else is a damaged table
+                return False
+            raise
 
     def raw(self, name: str) -> DataFrame:
         if name in self.tables:
@@ -140,12 +148,12 @@ class Catalog:
     # -- typed tables -----------------------------------------------------
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            key = (self.spark.sparkContext.applicationId, id(self.spark), self.path(name))
+            key = (self.spark.sparkContext.applicationId, self.complete, self.path(name))
             if key not in _TABLE_CACHE:
-                if name == "partsupp" and not self._exists("partsupp"):
+                if name == "partsupp" and self.complete and not self._exists("partsupp"):
                     df = self._materialized("partsupp", self._derive_partsupp)
                 else:
-                    df = self._complete(name, self.raw(name))
+                    df = self._complete(name, self.raw(name)) if self.complete else self.raw(name)
                 _TABLE_CACHE[key] = self._typed(name, df)
             self._cache[name] = _TABLE_CACHE[key]
         return self._cache[name]
@@ -204,12 +212,15 @@ class Catalog:
         path on the data itself; an oversized table is returned without the
         hint and the planner picks the join strategy.
         """
+        small = self.is_small(name)
+        return F.broadcast(self.table(name)) if small else self.table(name)
+
+    def is_small(self, name: str) -> bool:
+        """Whether a dimension keeps within its schema's row bound (counted once per catalog)."""
         bound = BOUNDED_ROWS[name]       # KeyError for tables without a schema bound
-        df = self.table(name)
-        key = self.path(name)
-        if key not in _BOUND_CHECKED:
-            _BOUND_CHECKED[key] = self.raw(name).limit(bound + 1).count() <= bound
-        return F.broadcast(df) if _BOUND_CHECKED[key] else df
+        if name not in self._bounded:
+            self._bounded[name] = self.raw(name).limit(bound + 1).count() <= bound
+        return self._bounded[name]
 
     def register_views(self, names: list[str] | None = None) -> None:
         """Register typed tables as temp views (for the SQL-text variants)."""

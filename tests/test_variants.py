@@ -19,19 +19,19 @@ PAIRS = [
 
 @pytest.mark.parametrize("variant,base,rename", PAIRS)
 def test_variant_equals_base(spark, variant, base, rename):
-    cat = Catalog(spark, SF_MID)
+    cat = Catalog(spark, SF_MID, complete=True)
     assert rows_of(variant(cat)) == rows_of(base(cat))
 
 
 def test_q13a_equals_q13(spark):
-    cat = Catalog(spark, SF_MID)
+    cat = Catalog(spark, SF_MID, complete=True)
     a = V.q13a_view(cat).withColumnRenamed("ordercount", "c_count")
     assert rows_of(a) == rows_of(Q.q13(cat))
 
 
 @pytest.mark.parametrize("qname", ["q01", "q05", "q09", "q15", "q17", "q18", "q21"])
 def test_partition_invariance(spark, qname):
-    cat = Catalog(spark, SF_MID)
+    cat = Catalog(spark, SF_MID, complete=True)
     results = []
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
@@ -46,7 +46,7 @@ def test_partition_invariance(spark, qname):
 def test_variants_leave_caller_views_alone(spark):
     spark.range(3).createOrReplaceTempView("lineitem")
     try:
-        cat = Catalog(spark, SF_MID)
+        cat = Catalog(spark, SF_MID, complete=True)
         for fn in (V.q08a_decode, V.q13a_view, V.q15_view, V.q15a_cte):
             fn(cat).collect()
         assert spark.table("lineitem").columns == ["id"]
