@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
+from dssforge.llm.memo import Memo
 
 TOKENIZER, LIMIT = "byte_bpe_50k.json", 512
-#: Distinct words and token pairs that a task keeps; at the limit it starts afresh.
-CACHED, CACHED_PAIRS, LONGEST_CACHED = 300_000, 500_000, 64
+#: Words and token pairs that a task keeps in each of two generations, and the longest of these words.
+CACHED, CACHED_PAIRS, LONGEST_CACHED = 400_000, 400_000, 64
 
 # White space as the tokenizer's own pattern has it.
 _WS = "\t-\r \x85\xa0  -     　"
@@ -55,26 +57,26 @@ class PrefixCounts:
         vocabulary = library.get_vocab(with_added_tokens=False)
         self.tokens = set(vocabulary)
         self.longest = max(map(len, self.tokens))
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.pairs, self.known = Memo(CACHED_PAIRS), Memo(CACHED)
 
     def _stands(self, *tokens: str) -> bool:
         """Whether merging the joined string gives exactly these tokens."""
-        found = self.pairs.get(tokens)
+        found = self.pairs.new.get(tokens)
         if found is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            merged = self.merge("".join(tokens))
-            found = self.pairs[tokens] = len(merged) == len(tokens) and merged[0].value == tokens[0]
+            found = self.pairs.old.get(tokens)
+            if found is None:
+                merged = self.merge("".join(tokens))
+                found = len(merged) == len(tokens) and merged[0].value == tokens[0]
+            self.pairs.put(tokens, found)
         return found
 
     def piece(self, piece: str) -> list[int]:
         """Token count of each nonempty prefix of a piece (one character per byte)."""
-        n, counts, last = len(piece), [0], [""]
+        n, counts, last, tokens, stands = len(piece), [0], [""], self.tokens, self._stands
         for end in range(1, n + 1):
             for start in range(max(0, end - self.longest), end):
                 token = piece[start:end]
-                if token in self.tokens and (self._stands(last[start], token) if start else self._stands(token)):
+                if token in tokens and (stands(last[start], token) if start else stands(token)):
                     counts.append(counts[start] + 1)
                     last.append(token)
                     break
@@ -96,16 +98,18 @@ class PrefixCounts:
     def _plain(self, text: str) -> bytes:
         """Changes of a text without special tokens."""
         chunks = _CHUNK.findall(text)
-        parts = list(map(self.known.get, chunks))
+        parts = self.known.all(chunks)
         if None in parts:
+            fresh: dict[str, bytes] = {}
             for i, part in enumerate(parts):
                 if part is None:
                     chunk = chunks[i]
-                    part = parts[i] = self.known.get(chunk) or self._word(chunk)
-                    if len(chunk) <= LONGEST_CACHED:
-                        if len(self.known) >= CACHED:
-                            self.known.clear()
-                        self.known[chunk] = part
+                    if chunk not in fresh:
+                        fresh[chunk] = self._word(chunk)
+                    parts[i] = fresh[chunk]
+            for chunk, part in fresh.items():
+                if len(chunk) <= LONGEST_CACHED:
+                    self.known.put(chunk, part)
         joined = b"".join(parts)
         return self._runs(text, joined) if _RUN.search(text) else joined
 
@@ -156,9 +160,15 @@ def longest_within(changes: bytes, raw: bytes, budget: int) -> int:
 _COUNTED = "n_bytes long, n_tokens long, fits_bytes long"
 
 
+@lru_cache(1)
+def _counter(path: str) -> PrefixCounts:
+    """One counter for each worker process, so later tasks find its words."""
+    return PrefixCounts(path)
+
+
 def _count(path: str, budget: int, keep_changes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = PrefixCounts(path)
+        count = _counter(path)
         for batch in batches:
             for lo, hi, _, _ in B.slices(batch.column(1)):
                 n_bytes, n_tokens, fits, kept = [], [], [], []

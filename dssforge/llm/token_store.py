@@ -22,9 +22,14 @@ repeat a doc_id follow each other ordered by text; null doc_ids come first.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +37,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dssforge.llm.memo import Memo
 from dssforge.llm.store import Scratch
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 BLOCK_TOKENS = 1 << 20
 SAMPLE = 64
-#: Distinct words whose ids a task keeps; at the limit it starts afresh.
-CACHED_WORDS = 400_000
+#: Words whose ids a task keeps in each of two generations, and the longest of them in bytes.
+CACHED_WORDS, LONGEST_CACHED = 400_000, 64
 
 _HEAD = struct.Struct("<4sB3xIIQq")
 _LIST = struct.Struct("<IBxxxII")
@@ -147,49 +153,68 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins across it, so a text is
     the sequence of its ASCII-white-space-separated words, each encoded by the
-    library once and kept.  Lower-casing an all-ASCII text first only shares
-    words, since the tokenizer lower-cases.  Texts that may hold a special
-    token's string go to the library whole.
+    library once and kept.  Two steps before the cut only share words: marks after
+    a letter at a word's end are set apart, as the tokenizer's pattern does, and
+    A-Z become a-z, as its normalizer does (not in texts with combining marks,
+    which compose with some letters of one case only).  Texts that may hold a
+    special token's string go to the library whole.
     """
 
+    #: Marks at the end of a word, after a letter of ASCII or Latin-1.
+    ending = re.compile(rb"([a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([.,;:!?]+)(?=[ \t-\r]|$)")
+
     def __init__(self, path: str, end_id: int | None, words_apart: bool = True):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.id_bytes = 2 if self.library.get_vocab_size() <= 1 << 16 and (end_id or 0) < 1 << 16 else 4
-        self.kind = f"<u{self.id_bytes}"
-        self.end = b"" if end_id is None else np.array([end_id], self.kind).tobytes()
+        self.kind = "H" if self.id_bytes == 2 else "I"
+        self.end = b"" if end_id is None else self._bytes([end_id])
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.words_apart = words_apart
-        self.known: dict[bytes, bytes] = {}
+        self.known = Memo(CACHED_WORDS)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        packed = array(self.kind, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _library(self, texts: list[bytes]) -> list[bytes]:
         found = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        return [self._bytes(e.ids) for e in found]
 
     def __call__(self, raw: bytes) -> bytes:
         low = raw.lower()
         if not self.words_apart or any(s.lower() in low for s in self.special):
             return self._library([raw])[0] + self.end
-        words = (low if raw.isascii() else raw).split()
-        parts = list(map(self.known.get, words))
+        if b"\xcc" not in raw and b"\xcd" not in raw:
+            raw = low
+        words = self.ending.sub(rb"\1 \2", raw).split()
+        parts = self.known.all(words)
         if None in parts:
             new = list({w for w, p in zip(words, parts) if p is None})
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known.clear()
-                new = list(set(words))
             fresh = dict(zip(new, self._library(new)))
-            self.known.update((w, p) for w, p in fresh.items() if len(w) <= 64)
-            parts = [fresh[w] if w in fresh else self.known[w] for w in words]
+            parts = [fresh[w] if p is None else p for w, p in zip(words, parts)]
+            for w, p in fresh.items():
+                if len(w) <= LONGEST_CACHED:
+                    self.known.put(w, p)
         return b"".join(parts) + self.end
 
 
 _BLOCKS = "part int, block int, n_docs int, n_tokens long, payload binary"
 
 
+@lru_cache(1)
+def _encoder(path: str, end_id: int | None, words_apart: bool) -> WordEncoder:
+    """One encoder for each worker process, so later tasks find its words."""
+    return WordEncoder(path, end_id, words_apart)
+
+
 def _pack(path: str, end_id: int | None, words_apart: bool, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(path, end_id, words_apart)
+        encode = _encoder(path, end_id, words_apart)
         part, block = TaskContext.get().partitionId(), 0
         docs, lengths, parts, size = [], [], [], 0
 
