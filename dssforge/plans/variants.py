@@ -17,64 +17,65 @@ from pyspark.sql import DataFrame
 from dssforge.sources.tables import TABLE_NAMES, Catalog
 
 Q08A = """
-SELECT o_year, CAST(SUM(decode(nation, :nation, volume, 0)) AS DOUBLE) / CAST(SUM(volume) AS DOUBLE) AS mkt_share
-FROM (
-  SELECT CAST(EXTRACT(YEAR FROM o_orderdate) AS BIGINT) AS o_year,
-         l_extendedprice * (1 - l_discount) AS volume, n2.n_name AS nation
-  FROM {part}, {supplier}, {lineitem}, {orders}, {customer}, {nation} n1, {nation} n2, {region}
-  WHERE p_partkey = l_partkey AND s_suppkey = l_suppkey AND l_orderkey = o_orderkey
-    AND o_custkey = c_custkey AND c_nationkey = n1.n_nationkey AND n1.n_regionkey = r_regionkey
-    AND r_name = :region AND s_nationkey = n2.n_nationkey
-    AND o_orderdate BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND p_type = :ptype) all_nations
-GROUP BY o_year
-ORDER BY o_year"""
+WITH sold AS (
+  SELECT o.o_orderdate, li.l_suppkey, li.l_extendedprice * (1 - li.l_discount) AS earned
+  FROM {lineitem} li
+  LEFT SEMI JOIN {part} p ON p.p_partkey = li.l_partkey AND p.p_type = :ptype
+  JOIN {orders} o ON o.o_orderkey = li.l_orderkey AND o.o_orderdate >= DATE '1995-01-01' AND o.o_orderdate < DATE '1997-01-01'
+  JOIN {customer} c ON c.c_custkey = o.o_custkey
+  JOIN {nation} home ON home.n_nationkey = c.c_nationkey
+  JOIN {region} r ON r.r_regionkey = home.n_regionkey AND r.r_name = :region)
+SELECT CAST(year(sold.o_orderdate) AS BIGINT) AS o_year,
+       CAST(SUM(decode(n.n_name, :nation, sold.earned, 0)) AS DOUBLE) / CAST(SUM(sold.earned) AS DOUBLE) AS mkt_share
+FROM sold JOIN {supplier} s ON s.s_suppkey = sold.l_suppkey JOIN {nation} n ON n.n_nationkey = s.s_nationkey
+GROUP BY 1 ORDER BY 1"""
 
 Q12A = """
-SELECT l_shipmode,
-  CAST(SUM(decode(o_orderpriority, '1-URGENT', 1, '2-HIGH', 1, 0)) AS BIGINT) AS high_line_count,
-  CAST(SUM(decode(o_orderpriority, '1-URGENT', 0, '2-HIGH', 0, 1)) AS BIGINT) AS low_line_count
-FROM {orders}, {lineitem}
-WHERE o_orderkey = l_orderkey AND l_shipmode IN (:mode1, :mode2)
-  AND l_commitdate < l_receiptdate AND l_shipdate < l_commitdate
-  AND l_receiptdate >= :day AND l_receiptdate < :day + INTERVAL '1' YEAR
-GROUP BY l_shipmode
-ORDER BY l_shipmode"""
+WITH late AS (
+  SELECT l_orderkey, l_shipmode FROM {lineitem}
+  WHERE l_shipmode IN (:mode1, :mode2) AND l_receiptdate >= :day AND l_receiptdate < :day + INTERVAL '1' YEAR
+    AND l_receiptdate > l_commitdate AND l_commitdate > l_shipdate),
+rated AS (
+  SELECT late.l_shipmode, decode(o.o_orderpriority, '1-URGENT', 1, '2-HIGH', 1, 0) AS high
+  FROM late JOIN {orders} o ON o.o_orderkey = late.l_orderkey)
+SELECT l_shipmode, CAST(SUM(high) AS BIGINT) AS high_line_count, CAST(SUM(1 - high) AS BIGINT) AS low_line_count
+FROM rated GROUP BY l_shipmode ORDER BY l_shipmode"""
 
 Q13A_VIEW = """
-SELECT c_custkey AS custkey, COUNT(o_orderkey) AS ordercount
-FROM {customer} LEFT OUTER JOIN {orders} ON c_custkey = o_custkey AND o_comment NOT LIKE :pattern
-GROUP BY c_custkey"""
+SELECT c.c_custkey AS custkey, COUNT(o.o_orderkey) AS ordercount
+FROM {customer} c LEFT JOIN {orders} o ON o.o_custkey = c.c_custkey AND NOT (o.o_comment LIKE :pattern)
+GROUP BY c.c_custkey"""
 
 Q13A = """
-SELECT ordercount, COUNT(*) AS custdist
-FROM {view}
-GROUP BY ordercount
-ORDER BY custdist DESC, ordercount DESC"""
+SELECT v.ordercount, COUNT(*) AS custdist FROM {view} v GROUP BY v.ordercount ORDER BY 2 DESC, 1 DESC"""
 
 Q14A = """
-SELECT 100.0 * CAST(SUM(decode(substring(p_type FROM 1 FOR 5), 'PROMO', l_extendedprice * (1 - l_discount), 0)) AS DOUBLE)
-       / CAST(SUM(l_extendedprice * (1 - l_discount)) AS DOUBLE) AS promo_revenue
-FROM {lineitem}, {part}
-WHERE l_partkey = p_partkey AND l_shipdate >= :day AND l_shipdate < :day + INTERVAL '1' MONTH"""
+WITH month_sales AS (
+  SELECT decode(left(p.p_type, 5), 'PROMO', 1, 0) AS promoted, li.l_extendedprice * (1 - li.l_discount) AS earned
+  FROM {lineitem} li JOIN {part} p ON p.p_partkey = li.l_partkey
+  WHERE li.l_shipdate >= :day AND li.l_shipdate < :day + INTERVAL '1' MONTH)
+SELECT 100.0 * CAST(SUM(decode(promoted, 1, earned, 0)) AS DOUBLE) / CAST(SUM(earned) AS DOUBLE) AS promo_revenue
+FROM month_sales"""
 
 Q15_VIEW = """
-SELECT l_suppkey AS supplier_no, SUM(l_extendedprice * (1 - l_discount)) AS total_revenue
-FROM {lineitem}
-WHERE l_shipdate >= :day AND l_shipdate < :day + INTERVAL '3' MONTH
-GROUP BY l_suppkey"""
+SELECT li.l_suppkey AS supplier_no, SUM(li.l_extendedprice * (1 - li.l_discount)) AS total_revenue
+FROM {lineitem} li WHERE li.l_shipdate >= :day AND li.l_shipdate < :day + INTERVAL '3' MONTH
+GROUP BY li.l_suppkey"""
 
 Q15_BODY = """
-SELECT s_suppkey, s_name, s_address, s_phone, CAST(total_revenue AS DOUBLE) AS total_revenue
-FROM {supplier}, {view}
-WHERE s_suppkey = supplier_no AND total_revenue = (SELECT MAX(total_revenue) FROM {view})
-ORDER BY s_suppkey"""
+SELECT s.s_suppkey, s.s_name, s.s_address, s.s_phone, CAST(v.total_revenue AS DOUBLE) AS total_revenue
+FROM {view} v JOIN {supplier} s ON s.s_suppkey = v.supplier_no
+WHERE v.total_revenue >= (SELECT MAX(total_revenue) FROM {view})
+ORDER BY s.s_suppkey"""
 
 Q15A = """
-WITH revenue (supplier_no, total_revenue) AS (
-  SELECT l_suppkey, SUM(l_extendedprice * (1 - l_discount)) FROM {lineitem}
-  WHERE l_shipdate >= :day AND l_shipdate < :day + INTERVAL '3' MONTH
-  GROUP BY l_suppkey)
-""" + Q15_BODY.replace("{view}", "revenue")
+WITH earnings (supplier_no, total) AS (
+  SELECT li.l_suppkey, SUM(li.l_extendedprice * (1 - li.l_discount)) FROM {lineitem} li
+  WHERE li.l_shipdate >= :day AND li.l_shipdate < :day + INTERVAL '3' MONTH GROUP BY li.l_suppkey)
+SELECT s.s_suppkey, s.s_name, s.s_address, s.s_phone, CAST(e.total AS DOUBLE) AS total_revenue
+FROM earnings e JOIN {supplier} s ON s.s_suppkey = e.supplier_no
+WHERE e.total >= (SELECT MAX(total) FROM earnings)
+ORDER BY s.s_suppkey"""
 
 
 def _day(s: str) -> dt.date:
