@@ -2,18 +2,19 @@
 
 ``plan_text`` returns what ``DataFrame.explain(mode)`` prints (``formatted``
 shows the scans' PushedFilters and ReadSchema, the exchanges and the join
-strategies). ``plan_after_run`` runs the query first, which makes adaptive
-execution settle its final plan (coalesced partitions, joins switched to
-broadcast, skew splits), and then returns that plan. Use it only for results
-known to be small, because it collects them.
+strategies). ``run_with_statistics`` runs the query in full through the ``noop``
+sink, so no row reaches the driver, and returns the rows it made and the
+seconds it took with its plan.
 """
 
 from __future__ import annotations
 
 import contextlib
 import io
+import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
@@ -23,7 +24,9 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return buf.getvalue()
 
 
-def plan_after_run(df: DataFrame, mode: str = "formatted") -> tuple[list, str]:
-    """(rows, final plan text) for a query with a small result."""
-    rows = df.collect()
-    return rows, plan_text(df, mode)
+def run_with_statistics(df: DataFrame, mode: str = "formatted") -> dict:
+    """Rows, seconds and plan text of one whole run of a query."""
+    seen = Observation()
+    begun = time.perf_counter()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    return {"rows": seen.get["rows"], "seconds": time.perf_counter() - begun, "plan": plan_text(df, mode)}

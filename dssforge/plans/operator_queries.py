@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.operators import layout
+from dssforge.operators.checks import PRIMARY_KEYS
 from dssforge.operators.compare import result_diff
 from dssforge.operators.refresh import LINE_COLS, ORDER_COLS, as_result, refresh_sets
 from dssforge.operators.reports import (
@@ -165,16 +166,47 @@ def compact_q(cat: Catalog) -> DataFrame:
     return as_result(cat.spark.read.parquet(dst), ORDER_COLS)
 
 
+def layout_random_q(cat: Catalog) -> DataFrame:
+    """orders dealt evenly over files of the target size, without a key."""
+    path = scratch_path(cat.spark, "orders-random")
+    layout.write_distributed(cat.orders, path, written_parts(cat.spark, cat.path("orders")))
+    return as_result(cat.spark.read.parquet(path), ORDER_COLS)
+
+
+def layout_compress_q(cat: Catalog, codec: str = "zstd", level: int = 9) -> DataFrame:
+    """orders written with a codec and level, read back."""
+    path = scratch_path(cat.spark, "orders-compressed")
+    layout.write_compressed(cat.orders, path, codec, level)
+    return as_result(cat.spark.read.parquet(path), ORDER_COLS)
+
+
+def recreate_schema_q(cat: Catalog) -> DataFrame:
+    """A schema that holds a table is dropped with it, created again and filled with region."""
+    db = f"dss_{uuid.uuid4().hex[:12]}"
+    layout.recreate_schema(cat.spark, db, scratch_path(cat.spark, db))
+    cat.nation.write.format("parquet").saveAsTable(f"{db}.nation")
+    layout.recreate_schema(cat.spark, db, scratch_path(cat.spark, db))
+    if cat.spark.catalog.tableExists(f"{db}.nation"):
+        raise RuntimeError("the schema kept a table")
+    cat.region.select("r_regionkey", "r_name").write.format("parquet").saveAsTable(f"{db}.region")
+    return cat.spark.table(f"{db}.region")
+
+
 def stats_q(cat: Catalog) -> DataFrame:
-    """orders saved in a re-created schema, analyzed; the optimizer's statistics."""
+    """All tables saved in a re-created schema, analyzed; the optimizer's statistics of rows and first key column."""
     db = f"dss_{uuid.uuid4().hex[:12]}"
     layout.recreate_schema(cat.spark, db, scratch_path(cat.spark, db))
-    cat.orders.write.format("parquet").saveAsTable(f"{db}.orders")
-    layout.compute_stats(cat.spark, f"{db}.orders")
-    st = layout.table_stats(cat.spark, f"{db}.orders", "o_orderkey")
+    rows = []
+    try:
+        for table, keys in PRIMARY_KEYS.items():
+            cat.table(table).write.format("parquet").saveAsTable(f"{db}.{table}")
+            layout.compute_stats(cat.spark, f"{db}.{table}")
+            st = layout.table_stats(cat.spark, f"{db}.{table}", keys[0])
+            rows.append((table, st["rows"], st["min"], st["max"], st["num_nulls"]))
+    finally:
+        cat.spark.sql(f"DROP DATABASE {db} CASCADE")
     return cat.spark.createDataFrame(
-        [("orders", st["rows"], st["min"], st["max"], st["num_nulls"])],
-        "table_name string, row_count bigint, key_min bigint, key_max bigint, key_nulls bigint")
+        rows, "table_name string, row_count bigint, key_min bigint, key_max bigint, key_nulls bigint")
 
 
 # -- refresh stream --------------------------------------------------------

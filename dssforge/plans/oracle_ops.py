@@ -175,7 +175,9 @@ def _log(body: str) -> str:
 
 _SESSIONS = ",\n  ".join(
     f"CAST(COALESCE(SUM(CASE WHEN split_part(description, '.', 1) = '{k}' THEN duration_ms END), 0) AS DOUBLE)"
-    f" / 1000.0 AS session_{k}" for k in range(1, 11))
+    f" / 1000.0 AS session_{k}" for k in range(1, 11)) + """,
+  CAST(COALESCE(SUM(CASE WHEN CAST(split_part(description, '.', 1) AS INTEGER) NOT BETWEEN 1 AND 10 THEN duration_ms END), 0) AS DOUBLE)
+    / 1000.0 AS session_other"""
 
 REPORT_SQL = {
     "runlog_load": _log("SELECT id, description, tuples, duration_ms FROM log"),
@@ -256,8 +258,13 @@ FROM part""",
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority""",
     "layout_minmax": f"{LINES_RESULT} WHERE l_shipdate >= DATE '1997-03-01' AND l_shipdate < DATE '1997-04-01'",
     "compact": ORDERS_RESULT,
-    "stats": """SELECT 'orders' AS table_name, COUNT(*) AS row_count, MIN(o_orderkey) AS key_min,
-  MAX(o_orderkey) AS key_max, COUNT(*) - COUNT(o_orderkey) AS key_nulls FROM orders""",
+    "stats": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, CAST(MIN({k[0]}) AS BIGINT) AS key_min, "
+        f"CAST(MAX({k[0]}) AS BIGINT) AS key_max, COUNT(*) - COUNT({k[0]}) AS key_nulls FROM {t}"
+        for t, k in PRIMARY_KEYS.items()),
+    "layout_random": ORDERS_RESULT,
+    "layout_compress": ORDERS_RESULT,
+    "recreate_schema": "SELECT r_regionkey, r_name FROM region",
     "refresh_insert": ORDERS_RESULT,
     "refresh_stream": ORDERS_RESULT,
     "refresh_insert_lines": LINES_RESULT,

@@ -56,6 +56,9 @@ OPERATORS = {
     "layout_hash": io.layout_hash_q,
     "layout_bucketed": io.layout_bucketed_q,
     "layout_minmax": io.layout_minmax_q,
+    "layout_random": io.layout_random_q,
+    "layout_compress": io.layout_compress_q,
+    "recreate_schema": io.recreate_schema_q,
     "compact": io.compact_q,
     "stats": io.stats_q,
     # 2I run-log reports

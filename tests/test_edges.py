@@ -295,13 +295,13 @@ def test_parameter_file_replays_every_query(spark, tmp_dir):
 
 # -- plans as text --------------------------------------------------------------
 def test_plan_text_shows_pushdown_and_final_plan(spark):
-    from dssforge.plans.explain import plan_after_run, plan_text
+    from dssforge.plans.explain import plan_text, run_with_statistics
     cat = Catalog(spark, "/root/testdata/sf0.001", complete=True)
     text = plan_text(Q.q06(cat))
     assert "PushedFilters" in text and "GreaterThanOrEqual(l_shipdate" in text
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_shipdate" in text
-    rows, final = plan_after_run(Q.q04(cat))
-    assert len(rows) == 5 and "isFinalPlan=true" in final
+    run = run_with_statistics(Q.q04(cat))
+    assert run["rows"] == 5 and run["seconds"] > 0 and "HashAggregate" in run["plan"]
 
 
 def test_zstd_level_and_distribution(spark, tmp_dir):
@@ -441,7 +441,9 @@ def test_reports_on_hand_made_log(spark):
         "1|1.06|1|00:00:01.1000", "1|2.06|1|00:00:02.2000", "2|1.14|1|00:00:00.500", "3|12.06|1|00:00:03.3000"]],
         "value string"))
     rows = {r.query_id: r.asDict() for r in Rp.report_sessions(multi).collect()}
-    assert rows["06"]["session_1"] == 1.0 and rows["06"]["session_2"] == 2.0 and rows["06"]["session_12"] == 3.0
+    assert rows["06"]["session_1"] == 1.0 and rows["06"]["session_2"] == 2.0 and rows["06"]["session_other"] == 3.0
+    named = {r.query_id: r.asDict() for r in Rp.report_sessions(multi, ["2", "12"]).collect()}
+    assert named["06"]["session_12"] == 3.0 and named["06"]["session_other"] == 1.0
     assert rows["14"]["session_1"] == 0.5 and rows["14"]["session_2"] == 0.0
 
 
