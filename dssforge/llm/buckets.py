@@ -3,38 +3,39 @@
 A bucket proposes all its pairs with at least one *anchor* member as candidates.
 Every member is first compared with one anchor; confirmed links join components;
 then the members outside a bucket's largest component are compared with other
-anchors drawn from that, and at last with every member of another component,
-until no bucket holds an untested candidate pair of different components.
-So the components are those of all links, and no task holds a bucket.
+anchors drawn from that, while that still finds links.  At last they meet every
+member of another component of their buckets: as pairs, or (``settle``) family by
+family, where a family is a largest component and all members outside it in
+its buckets.  Then no bucket holds an untested candidate pair of different
+components, so the components are those of all links, and no task holds a
+bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm.components import components
 from dssforge.llm.store import Scratch, few, fewer_tasks
 
-#: Further turns of anchors while the untested pairs are more than this many for each member outside its bucket's largest component.
-ANCHOR_TURNS, PAIRS_PER_ROW = 4, 4
+#: Most further turns of anchors, and the share of the members outside that a turn must link for another one.
+ANCHOR_TURNS, WORTH_A_TURN = 4, 0.05
 
 
 def connect(
     members: DataFrame, rows: int, confirm: Callable[[DataFrame, int], DataFrame], scratch: Scratch,
-    edges: DataFrame | None = None, n_edges: int = 0, detail: DataFrame | None = None,
-    worth: Callable[[Column, Column, Column], Column] | None = None,
+    edges: DataFrame | None = None, n_edges: int = 0, settle: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, int]:
     """(node, component) of the nodes with links, and a bound of their number.
 
     ``members``: written rows (key, id, anchor), ``rows`` of them, an id once in a
     key; ``confirm``: written links among distinct pairs (a, b), given their number;
-    ``edges``: links known before, ``n_edges`` of them at most; ``detail``: (id, info)
-    of every member, and ``worth``: a condition on key, x_info and y_info that may
-    rule out a pair under that key before it becomes a row (by a bound that no
-    link exceeds, or because another key proposes it).
+    ``edges``: links known before, ``n_edges`` of them at most; ``settle``: written
+    links between the members outside, (family, id), and all ids of their families,
+    (family, id), used for the last turn instead of pairs.
     """
     anchors = members.where("anchor").groupBy(F.col("key").alias("of")).agg(F.min("id").alias("hub"))
     star = members.join(few(fewer_tasks(anchors, rows), rows), F.col("key") == F.col("of")).where("id <> hub")
@@ -42,7 +43,8 @@ def connect(
     tested = scratch.keep(fewer_tasks(star, rows), "tested-0")
     n_tested, turn = tested.count(), 0
     links = confirm(tested, n_tested)
-    edges, n_edges = (edges.unionByName(links) if edges is not None else links), n_edges + n_tested
+    n_links = links.count()
+    edges, n_edges = (edges.unionByName(links) if edges is not None else links), n_edges + n_links
     while True:
         names, n_nodes = components(edges, scratch, f"named-{turn}", n_edges), 2 * n_edges
         placed = members.join(few(names, n_nodes), F.col("id") == F.col("node"), "left")
@@ -64,22 +66,26 @@ def connect(
         others = others.select("of", F.col("id").alias("other"), F.col("anchor").alias("other_anchor"), F.col("component").alias("own"), "hub", "major")
         others = scratch.keep(others, f"others-{turn}")
         n_others = others.count()
-        last = turn > ANCHOR_TURNS or size["pairs"] <= 2 * PAIRS_PER_ROW * n_others
+        last = turn > ANCHOR_TURNS or turn > 1 and n_links < WORTH_A_TURN * n_others
+        if last and settle:
+            outside = scratch.keep(fewer_tasks(others.select(F.col("major").alias("family"), F.col("other").alias("id")).distinct(), n_others), "outside")
+            families = outside.select("family").distinct()
+            inside = names.join(few(families, n_others), F.col("component") == F.col("family")).select("family", F.col("node").alias("id"))
+            inside = inside.unionByName(families.select("family", F.col("family").alias("id"))).unionByName(outside).distinct()
+            links = settle(outside, scratch.keep(inside, "inside"))
+            return components(edges.unionByName(links), scratch, "named-last", n_edges + links.count()), 2 * (n_edges + links.count())
         if last:  # every candidate pair of different components; one of its members is outside the largest
-            inside, outside = placed, others
-            if detail is not None:
-                inside = inside.join(detail.toDF("x_id", "x_info"), F.col("id") == F.col("x_id"))
-                outside = outside.join(detail.toDF("y_id", "y_info"), F.col("other") == F.col("y_id"))
-            met = inside.join(few(fewer_tasks(outside, n_others), n_others), F.col("key") == F.col("of"))
+            met = placed.join(few(others, n_others), F.col("key") == F.col("of"))
             met = met.where("component <> own and (component = major or id > other) and (anchor or other_anchor)")
-            met = met.where(worth(F.col("key"), F.col("x_info"), F.col("y_info"))) if worth else met
             pairs, bound = met.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")), size["pairs"]
         else:
             pairs, bound = others.select(F.greatest("other", "hub").alias("a"), F.least("other", "hub").alias("b")), n_others
         pairs = pairs.distinct().join(few(tested, n_tested), ["a", "b"], "left_anti")
         pairs = scratch.keep(fewer_tasks(pairs, bound), f"tested-{turn}")
         n_pairs = pairs.count()
-        edges, n_edges = edges.unionByName(confirm(pairs, n_pairs)), n_edges + n_pairs
+        links = confirm(pairs, n_pairs)
+        n_links = links.count()
+        edges, n_edges = edges.unionByName(links), n_edges + n_links
         tested, n_tested = tested.unionByName(pairs), n_tested + n_pairs
         if last:
             return components(edges, scratch, f"named-{turn}", n_edges), 2 * n_edges

@@ -39,6 +39,9 @@ SKETCH_BITS = 1024
 #: How far below the threshold an estimate must be for a pair to be dropped unconfirmed: six standard deviations.
 MARGIN = 0.14
 
+#: Most members of a block, about, where whole families are compared.
+OUTSIDE_BLOCK, INSIDE_BLOCK = 128, 512
+
 _RNG = np.random.Generator(np.random.PCG64(7))
 _FACTORS = (_RNG.integers(0, 2**63, SAMPLES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _OFFSETS = _RNG.integers(0, 2**63, SAMPLES, dtype=np.uint64)
@@ -179,6 +182,71 @@ class _Links:
         self.scratch.drop(f"near-{self.rounds}")
         return links
 
+    def in_families(self, outside: DataFrame, inside: DataFrame) -> DataFrame:
+        """The links between ``outside`` and ``inside`` (family, id) of the same family, written.
+
+        Both sides of a family are cut into blocks of bounded size, and each
+        pair of blocks is compared in one task on the full sets; only links
+        become rows.
+        """
+        sizes = inside.groupBy("family").agg(F.count("*").alias("m")).join(
+            outside.groupBy(F.col("family").alias("f")).agg(F.count("*").alias("o")), F.col("family") == F.col("f"))
+        sizes = sizes.select(F.col("family").alias("f"), F.ceil(F.col("o") / OUTSIDE_BLOCK).alias("o"), F.ceil(F.col("m") / INSIDE_BLOCK).alias("m"))
+        sizes = self.scratch.keep(sizes, "sizes")
+        n_families, n_inside = sizes.count(), inside.count()
+        ids = fewer_tasks(inside.select("id").distinct(), n_inside)
+        texts = self.docs.where("text is not null").join(few(ids, n_inside), F.col("doc_id") == F.col("id"), "left_semi")
+        texts = self.scratch.keep(texts.distinct(), "family-texts")
+
+        def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+            """Rows with their block and text, once for each block of the other side."""
+            placed = rows.join(few(sizes, n_families), F.col("family") == F.col("f"))
+            placed = placed.withColumn(f"{own}_block", F.pmod(F.xxhash64("id"), F.col(own)))
+            placed = placed.withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+            own_texts = texts.select(F.col("doc_id").alias("of"), F.col("text").alias("said"))  # columns of its own for each side
+            placed = placed.join(own_texts, F.col("id") == F.col("of"))
+            return placed.select("family", "o_block", "m_block", F.col("id").alias("id"), F.col("said").alias("text"))
+
+        keys = ["family", "o_block", "m_block"]
+        found = dealt(outside, "o", "m").groupBy(*keys).cogroup(dealt(inside, "m", "o").groupBy(*keys)).applyInArrow(
+            _compare(self.width, self.percent), "a long, b long")
+        return self.scratch.keep(found, "family-links")
+
+
+def _compare(width: int, percent: int):
+    """Tasks that list the links between two blocks of (.., id, text), through an index of the first block's shingles."""
+
+    def sets_of(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+        found: list[np.ndarray] = []
+        for chunk in table["text"].chunks:
+            for _, _, data, at in B.slices(chunk):
+                found += shingle_sets(data, at, width)
+        return table["id"].to_numpy(), found
+
+    def run(outside: pa.Table, inside: pa.Table) -> pa.Table:
+        pairs: list[tuple[int, int]] = []
+        if outside.num_rows and inside.num_rows:
+            ids, sets = sets_of(outside)
+            sizes = np.array([len(s) for s in sets])
+            flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(flat, kind="stable")
+            names, begin = np.unique(flat[order], return_index=True)
+            begin, owner = np.append(begin, len(flat)), owner[order]
+            for id_, s in zip(*sets_of(inside)):
+                if not len(s) or not len(names):
+                    continue
+                at = np.minimum(np.searchsorted(names, s), len(names) - 1)
+                at = at[names[at] == s]
+                runs = begin[at + 1] - begin[at]
+                hit = np.repeat(begin[at] - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
+                shared = np.bincount(owner[hit], minlength=len(sets))
+                for k in np.flatnonzero((100 * shared >= percent * (sizes + len(s) - shared)) & (shared > 0) & (ids != id_)):
+                    pairs.append((max(int(ids[k]), int(id_)), min(int(ids[k]), int(id_))))
+        pairs = sorted(set(pairs))
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+    return run
+
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
@@ -207,14 +275,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     members = bands.join(small(full), F.col("band") == F.col("key")).select("key", F.col("doc_id").alias("id"), F.lit(True).alias("anchor"))
     members = scratch.keep(members, "members")
 
-    def worth(key, x, y):
-        """Only under the first band that the two share, and only if their sketches are near."""
-        shared = F.array_position(F.zip_with(x["bands"], y["bands"], lambda p, q: p == q), True)
-        return (F.array_position(x["bands"], key) == shared) & may_link(x["sketch"], y["sketch"], percent)
-
-    names, n_nodes = connect(
-        members, members.count(), _Links(scratch, docs, nodes, width, percent), scratch, edges, edges.count(),
-        nodes.select("doc_id", F.struct("bands", "sketch").alias("info")), worth)
+    links = _Links(scratch, docs, nodes, width, percent)
+    names, n_nodes = connect(members, members.count(), links, scratch, edges, edges.count(), links.in_families)
     out = owned.join(few(names.toDF("n", "component"), n_nodes), F.col("node") == F.col("n"), "left")
     component = F.coalesce("component", "node", "doc_id")
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))

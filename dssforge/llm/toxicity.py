@@ -41,7 +41,7 @@ from dssforge.llm.training import labelled_sample, logistic, sigmoid
 PARTS, HELD_OUT_PART, THRESHOLD = 3, 1, 0.7
 SPAN_AT = 0.5
 TABLE = 1 << 18
-MAX_TOKENS, LONGEST_CHAIN = 400_000, 256
+MAX_TOKENS, LONGEST_CHAIN = 300_000, 256
 _PREFIXES, _SUFFIX = (3, 4, 5, 6, 8), 3
 
 
@@ -58,16 +58,16 @@ class Chains:
 
 def chains(data: np.ndarray, at: np.ndarray) -> Chains:
     starts, ends, first = B.spans(data, at, B.WORD)
-    kinds = [B.span_hashes(data, starts, ends)]
-    for k in _PREFIXES:
-        kinds.append(B.mix(B.span_hashes(data, starts, np.minimum(starts + k, ends)) + np.uint64(k)))
-    kinds.append(B.mix(B.span_hashes(data, np.maximum(ends - _SUFFIX, starts), ends) + np.uint64(99)))
+    features = np.empty((len(starts), len(_PREFIXES) + 2), dtype=np.uint64)
+    features[:, 0] = B.span_hashes(data, starts, ends)
+    for n, k in enumerate(_PREFIXES, 1):
+        features[:, n] = B.mix(B.span_hashes(data, starts, np.minimum(starts + k, ends)) + np.uint64(k))
+    features[:, -1] = B.mix(B.span_hashes(data, np.maximum(ends - _SUFFIX, starts), ends) + np.uint64(99))
     breaks = np.zeros(len(starts), dtype=bool)
     if len(starts):
         lines = np.cumsum(data == 10)[starts]
         breaks[0], breaks[1:] = True, lines[1:] != lines[:-1]
         breaks[first[:-1][first[:-1] < len(starts)]] = True
-    features = np.stack(kinds, axis=1) if len(starts) else np.zeros((0, len(kinds)), np.uint64)
     return Chains(features, np.append(np.flatnonzero(breaks), len(starts)), first, starts, ends)
 
 

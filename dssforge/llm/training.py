@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows per class that a classifier is fitted on, and the longest text among them in bytes.
-SAMPLE_PER_CLASS, SAMPLE_TEXT_BYTES = 2000, 1 << 16
+SAMPLE_PER_CLASS, SAMPLE_TEXT_BYTES = 1200, 1 << 15
 
 
 def held_out(doc_id, parts: int, part: int):

@@ -55,10 +55,10 @@ def test_groups_equal_brute_force(spark, width):
     assert got == {d: (want[d], want[d] == d, len(shingles(t, width))) for d, t in docs}
 
 
-@pytest.mark.parametrize("turns,per_row", [(4, 4), (4, 0), (0, 0)])
-def test_one_large_group_keeps_every_link(spark, monkeypatch, turns, per_row):
+@pytest.mark.parametrize("turns,share", [(4, 0.05), (4, 0.0), (0, 1.0)])
+def test_one_large_group_keeps_every_link(spark, monkeypatch, turns, share):
     monkeypatch.setattr(buckets, "ANCHOR_TURNS", turns)
-    monkeypatch.setattr(buckets, "PAIRS_PER_ROW", per_row)
+    monkeypatch.setattr(buckets, "WORTH_A_TURN", share)
     docs = varied(2, 1, 1, (0,))
     rng = random.Random(3)
     base = docs[0][1].split(" ") * 2

@@ -77,7 +77,7 @@ def test_classes_equal_brute_force(spark):
 
 def test_one_dense_group_is_resolved(spark, monkeypatch):
     from dssforge.llm import buckets
-    monkeypatch.setattr(buckets, "PAIRS_PER_ROW", 0)
+    monkeypatch.setattr(buckets, "WORTH_A_TURN", 0.0)
     rng = random.Random(5)
     base = "".join(rng.choice("abcdefgh ") for _ in range(45)).ljust(45, "x").replace(" ", "_")
     lines = [edited(rng, base, rng.randint(0, 4)) for _ in range(150)]
