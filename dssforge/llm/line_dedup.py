@@ -51,16 +51,20 @@ def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
     return start.cast("int"), F.when(F.lit(number) >= short, size + 1).otherwise(size).cast("int")
 
 
-def keys(line: Column, edits: int) -> Column:
-    """Array of (key, anchor): the line's own segments as anchors, and the substrings it probes with."""
-    length, out = F.length(line), []
+def keys(codes: Column, length: Column, edits: int) -> Column:
+    """Array of (key, anchor): the line's own segments as anchors, and the substrings it probes with.
+
+    ``codes`` is the line in UTF-32, where a substring is found without
+    walking over the characters before it.
+    """
+    out = []
     for shorter in range(edits + 1):
         target = length - shorter
         for number in range(edits + 1):
             start, size = _segment(target, number, edits)
             before, after = number, edits - number  # edits that can stand on either side
             for shift in range(max(-before, shorter - after), min(before, shorter + after) + 1):
-                text = F.substring(line, start + shift, size)
+                text = F.substring(codes, 4 * (start + shift) - 3, 4 * size)
                 own = shorter == 0 and shift == 0
                 inside = (start + shift >= 1) & (start + shift + size - 1 <= length)
                 key = F.xxhash64(target, F.lit(number), text)
@@ -141,7 +145,9 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CH
     hashed = lines.withColumn("h", F.xxhash64("line"))
     long_lines = hashed.where(F.length("line") >= min_chars)
 
-    keyed = long_lines.select("h", F.explode(keys(F.col("line"), edits)).alias("k")).select("h", "k.key", "k.anchor").where("key is not null")
+    coded = long_lines.select("h", F.encode("line", "UTF-32").alias("codes"))
+    coded = coded.select("h", "codes", F.expr("octet_length(codes) div 4").cast("int").alias("n"))
+    keyed = coded.select("h", F.explode(keys(F.col("codes"), F.col("n"), edits)).alias("k")).select("h", "k.key", "k.anchor").where("key is not null")
     shared = keyed.groupBy(F.col("key").alias("of")).agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least < most").select("of")
     shared = scratch.keep(shared, "shared")
     members = keyed.join(small(shared), F.col("key") == F.col("of"), "left_semi").groupBy("key", F.col("h").alias("id")).agg(F.max("anchor").alias("anchor"))
