@@ -144,7 +144,8 @@ def test_spans_or_documents_go(spark):
 
 def test_decontamination_of_odd_rows(spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta")], "item_id long, text string")
-    docs = odd_docs(spark).withColumn("n_hit", odd_docs(spark).doc_id)
+    docs = odd_docs(spark)
+    docs = docs.withColumn("n_hit", docs.doc_id)
     rows = decontam.scan(odd_docs(spark), bench).collect()
     assert sorted(r.doc_id for r in rows if r.n_hit) == [5, 5, 6] and len(rows) == 10
     assert decontam.decontaminate(docs, bench).columns == [c for c in docs.columns]
