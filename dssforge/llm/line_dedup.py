@@ -43,33 +43,35 @@ def lines_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     return cut.where(F.trim(F.col("line"), F.lit(" \t\r\x0b\x0c")) != "")
 
 
-def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of a segment of a line of ``length``: the first ones are shorter where it is uneven."""
-    size, long = F.floor(length / (edits + 1)), length % (edits + 1)
-    short = edits + 1 - long
-    start = size * number + F.greatest(F.lit(0), F.lit(number) - short) + 1
-    return start.cast("int"), F.when(F.lit(number) >= short, size + 1).otherwise(size).cast("int")
-
-
-def keys(codes: Column, length: Column, edits: int) -> Column:
-    """Array of (key, anchor): the line's own segments as anchors, and the substrings it probes with.
-
-    ``codes`` is the line in UTF-32, where a substring is found without
-    walking over the characters before it.
-    """
+def _probes(edits: int) -> list[tuple[int, int, int, bool]]:
+    """(characters the partner is shorter by, segment number, shift of its start, own segment) of each key of a line."""
     out = []
     for shorter in range(edits + 1):
-        target = length - shorter
         for number in range(edits + 1):
-            start, size = _segment(target, number, edits)
             before, after = number, edits - number  # edits that can stand on either side
             for shift in range(max(-before, shorter - after), min(before, shorter + after) + 1):
-                text = F.substring(codes, 4 * (start + shift) - 3, 4 * size)
-                own = shorter == 0 and shift == 0
-                inside = (start + shift >= 1) & (start + shift + size - 1 <= length)
-                key = F.xxhash64(target, F.lit(number), text)
-                out.append(F.struct(F.when(inside, key).alias("key"), F.lit(own).alias("anchor")))
-    return F.array(*out)
+                out.append((shorter, number, shift, shorter == 0 and shift == 0))
+    return out
+
+
+def keys(lines: DataFrame, edits: int) -> DataFrame:
+    """(h, key, anchor) of lines (h, codes, n): the line's own segments as anchors, and the substrings it probes with.
+
+    ``codes`` is the line in UTF-32, where a substring is found without
+    walking over the characters before it; ``n`` is its number of characters.
+    A segment is one character longer from the number on at which an uneven
+    length is made up.
+    """
+    probe = F.explode(F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("shorter", "number", "shift", "own"), p))) for p in _probes(edits))))
+    rows = lines.select("h", "codes", "n", probe.alias("p"))
+    length, number = F.col("n") - F.col("p.shorter"), F.col("p.number")
+    rows = rows.select("h", "codes", "n", "p", length.alias("length"), (F.floor(length / (edits + 1)).cast("int")).alias("size"), (edits + 1 - length % (edits + 1)).alias("short"))
+    start = F.col("size") * number + F.greatest(F.lit(0), number - F.col("short")) + 1 + F.col("p.shift")
+    size = F.when(number >= F.col("short"), F.col("size") + 1).otherwise(F.col("size"))
+    rows = rows.select("h", "codes", "n", "length", number.alias("number"), F.col("p.own").alias("anchor"), start.alias("start"), size.alias("size"))
+    rows = rows.where((F.col("start") >= 1) & (F.col("start") + F.col("size") - 1 <= F.col("n")))
+    text = F.substring("codes", 4 * F.col("start") - 3, 4 * F.col("size"))
+    return rows.select("h", F.xxhash64("length", "number", text).alias("key"), "anchor")
 
 
 def _let(value: Column, body) -> Column:
@@ -147,7 +149,7 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CH
 
     coded = long_lines.select("h", F.encode("line", "UTF-32").alias("codes"))
     coded = coded.select("h", "codes", F.expr("octet_length(codes) div 4").cast("int").alias("n"))
-    keyed = coded.select("h", F.explode(keys(F.col("codes"), F.col("n"), edits)).alias("k")).select("h", "k.key", "k.anchor").where("key is not null")
+    keyed = keys(coded, edits)
     shared = keyed.groupBy(F.col("key").alias("of")).agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least < most").select("of")
     shared = scratch.keep(shared, "shared")
     members = keyed.join(small(shared), F.col("key") == F.col("of"), "left_semi").groupBy("key", F.col("h").alias("id")).agg(F.max("anchor").alias("anchor"))
