@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from dssforge.registry import oracle_statements, registered_queries
 from helpers import duck, rows_of
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registered_queries()
+ORACLES = oracle_statements()
 
 
 def test_every_query_has_an_oracle():
