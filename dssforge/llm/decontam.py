@@ -7,9 +7,10 @@ scanned against them, every hit is verified on its words, and the words inside
 a verified window are marked.  Contaminated spans or whole documents can then
 be removed, without moving a document between tasks.
 
-The broadcast is used while the benchmark's windows stay within
-``max_windows``.  Beyond that a bitmap of fixed size (``FILTER_BITS``) is sent
-instead, and the windows it lets through are verified by a join on their words.
+The broadcast is used while the benchmark's counted windows stay within
+``max_windows``.  Beyond that a bitmap of bounded size (``MOST_BITS``) is sent
+instead, and the windows it lets through are verified by a join on their words;
+``hits`` chooses, and the result is the same.
 
 Defined results: null or empty text has no words, hence no hits; an item with
 a null id or without words has no windows; rows that repeat an item_id add
@@ -26,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
+from dssforge.llm.store import Scratch
 
 WINDOW = 10
 MAX_WINDOWS = 200_000
-FILTER_BITS = 1 << 24
+#: Bits of a bitmap over window hashes; that of a large benchmark grows with its windows, up to MOST_BITS.
+FILTER_BITS, MOST_BITS, BITS_PER_WINDOW = 1 << 24, 1 << 27, 16
 
 _WINDOWS = "item_id long, size int, hash long, words binary"
 
@@ -149,78 +152,117 @@ def _scan_exact(shared, text_at: int, extra: pa.Schema):
     return run
 
 
-def _scan_candidates(shared):
-    """Tasks that return each document's candidate windows, and a row with its number of words."""
+def _scan_candidates(shared, text_at: int, extra: pa.Schema):
+    """Tasks that append (n_words, candidates) to their rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = shared.value
         for batch in batches:
-            ids = batch.column(0)
-            for lo, hi, data, at in B.slices(batch.column(1)):
-                _, _, first, found, words = _slice_hits(data, at, look)
-                out = [(ids[lo + t].as_py(), None, None, int(first[t + 1] - first[t])) for t in range(hi - lo)]
+            for lo, hi, data, at in B.slices(batch.column(text_at)):
+                starts, ends, first, found, words = _slice_hits(data, at, look)
+                out = [[] for _ in range(hi - lo)]
                 for t, candidates in found.items():
-                    out += [(ids[lo + t].as_py(), words(p, size), int(p - first[t]), size) for size, p in candidates]
-                cols = list(zip(*out))
-                types = (batch.schema.field(0).type, pa.binary(), pa.int64(), pa.int64())
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "words", "first", "size"])
+                    out[t] = [
+                        {"words": words(p, size), "first": int(p - first[t]), "size": size, "start": int(starts[p] - at[t]), "end": int(ends[p + size - 1] - at[t])}
+                        for size, p in candidates
+                    ]
+                cols = [pa.array(np.diff(first), pa.int64()), pa.array(out, extra.field(1).type)]
+                rows = batch.slice(lo, hi - lo)
+                yield pa.record_batch([*rows.columns, *cols], [*rows.schema.names, *extra.names])
 
     return run
 
 
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, n_hit, item_ids, spans) of rows (row, marks, item_ids)."""
+    for batch in batches:
+        n_hit, spans = [], []
+        for marks in batch.column(1).to_pylist():
+            covered = _covered([(m["first"], m["first"] + m["size"]) for m in marks])
+            start, end = {m["first"]: m["start"] for m in marks}, {m["first"] + m["size"]: m["end"] for m in marks}
+            n_hit.append(sum(b - a for a, b in covered))
+            spans.append([{"start": start[a], "end": end[b]} for a, b in covered])
+        yield pa.record_batch([batch.column(0), pa.array(n_hit, pa.int64()), batch.column(2), pa.array(spans, _FOUND_ARROW.field(3).type)], ["row", *_FOUND_ARROW.names[1:]])
+
+
 _FOUND = "n_words long, n_hit long, item_ids array<long>, spans array<struct<start:long,end:long>>"
 _FOUND_ARROW = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
+_TOLD = "n_words long, candidates array<struct<words:binary,first:long,size:long,start:long,end:long>>"
+_TOLD_ARROW = pa.schema([("n_words", pa.int64()), ("candidates", pa.list_(pa.struct([("words", pa.binary()), *((k, pa.int64()) for k in ("first", "size", "start", "end"))])))])
 
-def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, text: str = "text", max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """``docs`` with n_words, n_hit, item_ids and spans (byte offsets of hit ranges) appended.
 
-    Columns of ``docs`` that already have such a name are replaced.  A
-    benchmark of more than ``max_windows`` windows is refused here; use
-    ``scan_large``.
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, text: str = "text", max_windows: int | None = None) -> DataFrame:
+    """``docs`` with n_words, n_hit, item_ids and spans (byte offsets of hit ranges) appended, for a benchmark of any size.
+
+    Columns of ``docs`` that already have such a name are replaced.  The
+    benchmark's windows are counted; up to ``max_windows`` (``MAX_WINDOWS``) they are broadcast.
     """
-    windows = benchmark_windows(benchmark, n)
-    rows = windows.limit(max_windows + 1).collect()
+    most = MAX_WINDOWS if max_windows is None else max_windows
+    windows = Scratch(docs.sparkSession).keep(benchmark_windows(benchmark, n), "windows")
+    count = windows.count()
+    return _by_broadcast(docs, windows.collect(), text) if count <= most else _by_join(docs, windows, count, text)
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, text: str = "text", max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """``hits`` by the broadcast alone: a benchmark of more than ``max_windows`` windows is refused."""
+    rows = benchmark_windows(benchmark, n).limit(max_windows + 1).collect()
     if len(rows) > max_windows:
-        raise ValueError(f"the benchmark has more than {max_windows} windows; use scan_large")
+        raise ValueError(f"the benchmark has more than {max_windows} windows; use hits")
+    return _by_broadcast(docs, rows, text)
+
+
+def scan_large(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, text: str = "text") -> DataFrame:
+    """``hits`` by the join alone."""
+    windows = Scratch(docs.sparkSession).keep(benchmark_windows(benchmark, n), "windows")
+    return _by_join(docs, windows, windows.count(), text)
+
+
+def _by_broadcast(docs: DataFrame, rows: list, text: str) -> DataFrame:
     keys: dict[bytes, list[int]] = {}
     for r in rows:
         keys.setdefault(bytes(r["words"]), []).append(r["item_id"])
     look = _Filter(sorted({r["size"] for r in rows}), _bitmap(np.array([r["hash"] for r in rows], dtype=np.int64), FILTER_BITS), keys)
     shared = docs.sparkSession.sparkContext.broadcast(look)
     docs = docs.drop(*_FOUND_ARROW.names)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + _FOUND
-    return docs.mapInArrow(_scan_exact(shared, docs.columns.index(text), _FOUND_ARROW), schema)
+    return docs.mapInArrow(_scan_exact(shared, docs.columns.index(text), _FOUND_ARROW), f"{_columns(docs)}, {_FOUND}")
 
 
-def scan_large(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_words, n_hit, item_ids) for a benchmark of any size.
+def _by_join(docs: DataFrame, windows: DataFrame, count: int, text: str) -> DataFrame:
+    """Windows that pass the bitmap meet the benchmark in a join on their words.
 
-    Rows that repeat a doc_id are answered together (their words and hits add
-    up by position).  Windows that pass the bitmap meet the benchmark in a join
-    on their words; a document's hit words are the distinct positions covered.
+    The documents are written once with a row number, their number of words and
+    their candidates; what a row hits is joined back on that number, so
+    repeated and null ids stay apart.
     """
-    windows = benchmark_windows(benchmark, n)
-    parts = windows.select(F.col("size"), (F.col("hash").bitwiseAND(FILTER_BITS - 1)).alias("bit")).distinct()
-    # One row of at most FILTER_BITS / 64 words per size: of fixed size, however many windows there are.
-    packed = parts.groupBy("size", F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    size = min(MOST_BITS, max(FILTER_BITS, 1 << (BITS_PER_WINDOW * count - 1).bit_length()))
+    parts = windows.select(F.col("hash").bitwiseAND(size - 1).alias("bit"))
+    # At most MOST_BITS / 64 rows, however many windows there are.
+    packed = parts.groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    bits = np.zeros(size // 64, dtype=np.int64)
     for r in packed.toLocalIterator():
         bits[r["word"]] = r["bits"]
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most n values
     shared = docs.sparkSession.sparkContext.broadcast(_Filter(sizes, bits.view(np.uint8), None))
-    kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_scan_candidates(shared), f"doc_id {kind}, words binary, first long, size long")
-    per_key = windows.groupBy("words").agg(F.collect_set("item_id").alias("items"))
-    hits = rows.where("words is not null").join(per_key, "words")
-    covered = hits.select("doc_id", F.explode(F.expr("sequence(first, first + size - 1)")).alias("p")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    items = hits.select("doc_id", F.explode("items").alias("item")).groupBy("doc_id").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
-    counts = rows.where("words is null").groupBy("doc_id").agg(F.sum("size").alias("n_words"))
-    return (
-        counts.join(covered.withColumnRenamed("doc_id", "c_id"), F.col("doc_id").eqNullSafe(F.col("c_id")), "left")
-        .join(items.withColumnRenamed("doc_id", "i_id"), F.col("doc_id").eqNullSafe(F.col("i_id")), "left")
-        .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("item_ids", F.expr("cast(array() as array<long>)")).alias("item_ids"))
-    )
+
+    docs = docs.drop(*_FOUND_ARROW.names)
+    names = docs.columns
+    told = docs.mapInArrow(_scan_candidates(shared, names.index(text), _TOLD_ARROW), f"{_columns(docs)}, {_TOLD}")
+    told = told.toDF(*(f"d{k}" for k in range(len(names))), *_TOLD_ARROW.names).withColumn("row", F.monotonically_increasing_id())
+    told = Scratch(docs.sparkSession).keep(told, "told")
+    owners = windows.groupBy("words").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    # Windows of one passage mostly have the same items, which count once in a set of lists.
+    met = told.select("row", F.inline("candidates")).join(owners, "words").groupBy("row").agg(
+        F.collect_list(F.struct("first", "size", "start", "end")).alias("marks"), F.collect_set("items").alias("lists"))
+    met = met.select("row", "marks", F.array_sort(F.array_distinct(F.flatten("lists"))).alias("item_ids"))
+    found = met.mapInArrow(_merge, "row long, " + _FOUND.partition(", ")[2])
+    out = told.drop("candidates").join(found.withColumnRenamed("row", "at"), F.col("row") == F.col("at"), "left")
+    none = {name: F.coalesce(name, F.lit(0) if name == "n_hit" else F.array().cast(found.schema[name].dataType)) for name in _FOUND_ARROW.names[1:]}
+    return out.select(*(F.col(f"d{k}").alias(name) for k, name in enumerate(names)), "n_words", *(c.alias(name) for name, c in none.items()))
 
 
 def _cut(text_at: int, spans_at: int):
@@ -241,7 +283,7 @@ def _cut(text_at: int, spans_at: int):
     return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = WINDOW, text: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = WINDOW, text: str = "text", max_windows: int | None = None) -> DataFrame:
     """``docs`` without contaminated documents, or with the hit spans cut out (``remove="spans"``).
 
     Returns the columns of ``docs``.  A cut joins what stood before and after
@@ -250,7 +292,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """
     if remove not in ("documents", "spans"):
         raise ValueError(remove)
-    found = scan(docs, benchmark, n, text)
+    found = hits(docs, benchmark, n, text, max_windows)
     if remove == "documents":
         return found.where("n_hit = 0").select(*docs.columns)
     schema = found.schema
@@ -260,7 +302,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 def query(spark, sf_dir: str) -> DataFrame:
     """``op9_decontaminate``: hits of every document against the whole benchmark."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text")
+    found = hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text")
     ids = F.array_join(F.array_sort(F.transform("item_ids", lambda x: x.cast("string"))), ",")
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),

@@ -151,3 +151,27 @@ def test_decontamination_of_odd_rows(spark):
     assert decontam.decontaminate(docs, bench).columns == [c for c in docs.columns]
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.scan(no_docs(spark), bench).collect() == [] and not any(r.n_hit for r in decontam.scan(odd_docs(spark), none).collect())
+
+
+def test_any_number_of_windows_gives_the_same_hits(spark):
+    docs, bench = spark.createDataFrame([*DOCS, (None, "Short item"), (None, "nothing")], "doc_id long, text string"), spark.createDataFrame(BENCH, "item_id long, text string")
+    want = sorted([*((d, *brute_hits(t)) for d, t in DOCS), (None, 2, 2, [2]), (None, 1, 0, [])], key=str)
+    rows = [decontam.hits(docs, bench, max_windows=most).collect() for most in (0, 1000)]
+    for got in rows:
+        assert sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in got), key=str) == want
+    assert sorted(map(str, rows[0])) == sorted(map(str, rows[1]))
+    assert sorted((r.doc_id for r in decontam.decontaminate(docs, bench, max_windows=0).collect()), key=str) == [3, 4, 5, None]
+    cut = [sorted(map(str, decontam.decontaminate(docs, bench, "spans", max_windows=most).collect())) for most in (0, 1000)]
+    assert cut[0] == cut[1]
+    assert decontam.hits(no_docs(spark), bench, max_windows=0).collect() == []
+
+
+def test_query_and_pipeline_take_a_benchmark_beyond_the_bound(spark, monkeypatch):
+    import corpus_pipeline
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    results = []
+    for most in (decontam.MAX_WINDOWS, 0):
+        monkeypatch.setattr(decontam, "MAX_WINDOWS", most)
+        results.append([sorted(map(str, df.collect())) for df in (decontam.query(spark, sf), corpus_pipeline.drop_contaminated(spark, docs, sf))])
+    assert results[0] == results[1] and any("contaminated=True" in r for r in results[0][0])
