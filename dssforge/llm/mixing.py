@@ -6,6 +6,13 @@ hold.  A document's probability is its cell's raked weight per token, scaled so
 that the expected tokens are ``fraction`` of all (at most 1), and a document is
 kept when a hash of its doc_id, read as a number in [0, 1), lies below it.
 
+The fit is bounded: no cell's weight counts for more than its tokens can give,
+and what a full cell cannot take goes to the others of its margins.  A value
+whose target is more than all its tokens is kept whole, and the rest of its margin is
+shared out in proportion to the other targets, so ``fraction`` holds.
+``op5_mix_sources`` alone is defined (``ORACLE``) with the unbounded fit, whose
+probabilities are cut at 1: ``bounded=False``.
+
 Only DataFrame functions are used.  Documents are read once into cell sums
 (partial aggregation; a hot source is one row per task) and once to be sampled;
 every step of the fit works on the cell table, whose rows are distinct (source,
@@ -74,12 +81,38 @@ def tempered_targets(cells: DataFrame, temper: float = TEMPER) -> DataFrame:
     return shares.join(F.broadcast(totals), F.col("margin") == F.col("of")).select("margin", "value", (F.col("w") / F.col("total")).alias("share"))
 
 
-def rake(cells: DataFrame, targets: DataFrame, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
+def attainable(cells: DataFrame, targets: DataFrame, scratch: Scratch, fraction: float = FRACTION) -> DataFrame:
+    """``targets`` scaled and filled up so that no share is more than all its value's tokens are of the sample.
+
+    Within a margin the shares are least(most, scale * share), summing to 1 (or to
+    what the values with targets hold, if some margin's hold less than the sample).  The scale
+    is found by Newton steps, each one aggregation; only the scales reach the driver.
+    """
+    total = cells.agg(F.sum("n")).first()[0] or 1.0
+    sums = [cells.groupBy(F.lit(m).alias("margin"), F.col(m).alias("value")).agg(F.sum("n").alias("n")).where("n > 0") for m in MARGINS]
+    most = reduce(DataFrame.unionByName, sums).withColumn("most", F.col("n") / F.lit(total * fraction))
+    goals = scratch.keep(targets.join(most, ["margin", "value"]).where("share > 0").select("margin", "value", "share", "most"), "goals")
+    reach = min([1.0, *(r["most"] for r in goals.groupBy("margin").agg(F.sum("most").alias("most")).collect())])
+    scale = dict.fromkeys(MARGINS, 0.0)
+    while True:
+        by = reduce(lambda out, m: out.when(F.col("margin") == m, F.lit(scale[m])), MARGINS, F.when(F.lit(False), F.lit(0.0)))
+        share = F.col("share") * by
+        full = share >= F.col("most")
+        rows = goals.groupBy("margin").agg(F.sum(F.when(full, F.col("most")).otherwise(0.0)).alias("held"), F.sum(F.when(full, 0.0).otherwise(F.col("share"))).alias("free")).collect()
+        now = scale | {r["margin"]: (reach - r["held"]) / r["free"] for r in rows if r["free"] > 0}
+        if all(now[m] <= scale[m] * (1 + 1e-12) for m in MARGINS):
+            return goals.select("margin", "value", F.least("most", share).alias("share"))
+        scale = {m: max(now[m], scale[m]) for m in MARGINS}
+
+
+def rake(cells: DataFrame, targets: DataFrame, scratch: Scratch, rounds: int = ROUNDS, fraction: float | None = None) -> DataFrame:
     """``cells`` (source, lang, topic, n) with ``w``, fitted to ``targets``; w starts as the cell's share of all n.
 
     Each step multiplies w by target / current sum of one margin.  A value
     without a target gets none of the weight; a target without cells is left
-    out.  Up to ``ONE_TASK_CELLS`` counted cells the steps are windows in one task,
+    out.  With a ``fraction`` no cell's w counts for more than ``most``, its tokens' share
+    of the sample: a step solves the sum of least(w, most) for its target, by one
+    Newton step on the full and the free cells.  Up to ``ONE_TASK_CELLS`` counted cells the steps are windows in one task,
     written every ``STEPS_PER_TABLE`` steps; more cells are summed by partial
     aggregation, joined and written at every step.
     """
@@ -87,21 +120,31 @@ def rake(cells: DataFrame, targets: DataFrame, scratch: Scratch, rounds: int = R
     for m in MARGINS:
         goals = targets.where(F.col("margin") == m).select(F.col("value").alias("of"), F.col("share").alias(f"goal_{m}"))
         now = now.join(goals, F.col(m) == F.col("of"), "left").drop("of").fillna(0.0, [f"goal_{m}"])
+    total = cells.agg(F.sum("n").alias("total")).scalar()
+    now = now.withColumn("most", F.lit(float("inf")) if fraction is None else F.col("n") / (total * fraction))
     now = scratch.keep(now.coalesce(1) if cells.count() <= ONE_TASK_CELLS else now, "raked-0")
     one_task = now.count() <= ONE_TASK_CELLS
     steps = rounds * len(MARGINS)
+    full = F.col("w") >= F.col("most")
+    parts = {"sum": F.sum(F.least("w", "most"))}
+    if fraction is not None:
+        parts |= {"held": F.sum(F.when(full, F.col("most")).otherwise(0.0)), "free": F.sum(F.when(full, 0.0).otherwise(F.col("w")))}
     for step in range(steps):
         m = MARGINS[step % len(MARGINS)]
-        fitted = F.when(F.col("sum") > 0, F.col("w") * F.col(f"goal_{m}") / F.col("sum")).otherwise(F.lit(0.0))
+        goal = F.col(f"goal_{m}")
+        fitted = F.when(F.col("sum") > 0, F.col("w") * goal / F.col("sum")).otherwise(F.lit(0.0))
+        if fraction is not None:
+            more = F.when(F.col("free") > 0, F.col("w") * (goal - F.col("held")) / F.col("free")).otherwise(F.col("w"))
+            fitted = F.when(goal > F.col("sum"), more).otherwise(fitted)
         if one_task:
-            now = (now.coalesce(1) if step % STEPS_PER_TABLE == 0 else now).withColumn("sum", F.sum("w").over(Window.partitionBy(m)))
+            now = (now.coalesce(1) if step % STEPS_PER_TABLE == 0 else now).withColumns({k: v.over(Window.partitionBy(m)) for k, v in parts.items()})
         else:
-            sums = now.groupBy(F.col(m).alias("of")).agg(F.sum("w").alias("sum"))
+            sums = now.groupBy(F.col(m).alias("of")).agg(*(v.alias(k) for k, v in parts.items()))
             now = now.join(sums, F.col(m) == F.col("of")).drop("of")
-        now = now.withColumn("w", fitted).drop("sum")
+        now = now.withColumn("w", fitted).drop(*parts)
         if not one_task or (step + 1) % STEPS_PER_TABLE == 0 or step + 1 == steps:
             now = scratch.keep(now, f"raked-{step + 1}")
-    return now
+    return now.withColumn("w", F.least("w", "most")).drop("most")
 
 
 def probabilities(raked: DataFrame, fraction: float = FRACTION) -> DataFrame:
@@ -110,7 +153,7 @@ def probabilities(raked: DataFrame, fraction: float = FRACTION) -> DataFrame:
     return raked.select(*MARGINS, F.least(F.lit(1.0), F.col("w") / F.col("n") * total * fraction).alias("p"))
 
 
-def mix(docs: DataFrame, targets: DataFrame | None = None, fraction: float = FRACTION, temper: float = TEMPER, rounds: int = ROUNDS, topic_column: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame | None = None, fraction: float = FRACTION, temper: float = TEMPER, rounds: int = ROUNDS, topic_column: str | None = None, bounded: bool = True) -> DataFrame:
     """``docs`` with mix_tokens, mix_topic, mix_p and mix_kept appended; such columns are replaced."""
     scratch = Scratch(docs.sparkSession)
     docs = docs.drop("mix_tokens", "mix_topic", "mix_p", "mix_kept")
@@ -120,7 +163,8 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, fraction: float = FRA
     keyed = told.select(F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"))
     cells = scratch.keep(cells_of(keyed), "cells")
     targets = scratch.keep(tempered_targets(cells, temper), "targets") if targets is None else targets
-    p = probabilities(rake(cells, targets, scratch, rounds), fraction)
+    raked = rake(cells, attainable(cells, targets, scratch, fraction), scratch, rounds, fraction) if bounded else rake(cells, targets, scratch, rounds)
+    p = probabilities(raked, fraction)
     p = scratch.keep(p.toDF("p_source", "p_lang", "p_topic", "mix_p"), "p")
     same = (F.coalesce("source", F.lit("")) == F.col("p_source")) & (F.coalesce("lang", F.lit("")) == F.col("p_lang")) & (F.col("mix_topic") == F.col("p_topic"))
     out = told.join(small(p, 200_000), same, "left").withColumn("mix_p", F.coalesce("mix_p", F.lit(1.0)))
@@ -130,7 +174,7 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, fraction: float = FRA
 def query(spark, sf_dir: str) -> DataFrame:
     """``op5_mix_sources``: cell, probability and decision for every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    return mix(docs).select(
+    return mix(docs, bounded=False).select(
         "doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"),
         F.round("mix_p", 6).alias("p"), F.col("mix_kept").alias("kept"))
 

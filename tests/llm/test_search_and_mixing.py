@@ -69,6 +69,39 @@ def test_raking_meets_all_targets(spark, monkeypatch):
     assert all(abs(three[k] - results[1][k]) < 1e-12 for k in three)
 
 
+def expected_shares(rows, column):
+    total = sum(r.mix_tokens * r.mix_p for r in rows)
+    return {v: sum(r.mix_tokens * r.mix_p for r in rows if r[column] == v) / total for v in {r[column] for r in rows}}, total / sum(r.mix_tokens for r in rows)
+
+
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_skewed_cells_meet_targets_and_fraction_under_the_bound(spark, monkeypatch, most):
+    monkeypatch.setattr(mixing, "ONE_TASK_CELLS", most)
+    # Raked without a bound, the cells (b, x, q) and (c, y, q) get probabilities well over 1.
+    sizes = {("a", "x", "p"): 400, ("a", "x", "q"): 90, ("a", "y", "p"): 80, ("a", "y", "q"): 80, ("b", "x", "p"): 60, ("b", "x", "q"): 5, ("b", "y", "p"): 50, ("b", "y", "q"): 70, ("c", "x", "p"): 60, ("c", "x", "q"): 40, ("c", "y", "p"): 60, ("c", "y", "q"): 5}
+    docs = spark.createDataFrame([(i, "w " * 10, *k) for i, k in enumerate(k for k, n in sizes.items() for _ in range(n))], "doc_id long, text string, source string, lang string, kind string")
+    shares = {"source": {"a": 0.5, "b": 0.28, "c": 0.22}, "lang": {"x": 0.55, "y": 0.45}, "kind": {"p": 0.45, "q": 0.55}}
+    targets = spark.createDataFrame([("topic" if m == "kind" else m, v, s) for m, d in shares.items() for v, s in d.items()], "margin string, value string, share double")
+    rows = mixing.mix(docs, targets, topic_column="kind").collect()
+    assert max(r.mix_p for r in mixing.mix(docs, targets, topic_column="kind", bounded=False).collect()) == 1.0
+    for m, d in shares.items():
+        got, fraction = expected_shares(rows, m)
+        assert abs(fraction - 0.5) < 2e-3 and all(abs(got[v] - s) < 2e-3 for v, s in d.items()), (m, got, fraction)
+
+
+def test_a_target_beyond_its_tokens_is_kept_whole_and_the_rest_shared_out(spark):
+    sizes = {("a", "p"): 500, ("b", "p"): 300, ("a", "q"): 30, ("b", "r"): 170}
+    docs = spark.createDataFrame([(i, "w " * 10, s, "en", t) for i, (s, t) in enumerate(k for k, n in sizes.items() for _ in range(n))], "doc_id long, text string, source string, lang string, kind string")
+    goal = {"p": 0.6, "q": 0.2, "r": 0.2}  # of 1000 documents 500 go; all 30 of q are 0.06 of them
+    targets = spark.createDataFrame([*(("topic", v, s) for v, s in goal.items()), ("source", "a", 0.5), ("source", "b", 0.5), ("lang", "en", 1.0)], "margin string, value string, share double")
+    rows = mixing.mix(docs, targets, topic_column="kind").collect()
+    assert {round(r.mix_p, 9) for r in rows if r.kind == "q"} == {1.0}
+    got, fraction = expected_shares(rows, "kind")
+    assert abs(fraction - 0.5) < 1e-3
+    assert all(abs(got[v] - s) < 1e-3 for v, s in {"q": 0.06, "p": 0.94 * 0.75, "r": 0.94 * 0.25}.items())
+    assert abs(expected_shares(rows, "source")[0]["a"] - 0.5) < 1e-3
+
+
 def test_sample_follows_the_probabilities(spark):
     docs = spark.range(6000).selectExpr("id AS doc_id", "repeat('w ', 150) AS text", "concat('s', id % 3 % 2) AS source", "'en' AS lang", "'t' AS kind")
     rows = mixing.mix(docs, topic_column="kind").groupBy("source", "mix_p").agg(F.avg(F.col("mix_kept").cast("int")).alias("kept")).collect()
