@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dssforge.llm import chat, decontam, line_dedup, minhash, mixing, quality, token_counts, token_store, topk, toxicity
+from dssforge.llm import alignment, audit, chat, decontam, line_dedup, minhash, mixing, packing, quality, token_counts, token_store, topk, toxicity
 
 _MODULES = {
     "op1_line_dedup": line_dedup,
@@ -19,6 +19,9 @@ _MODULES = {
     "op8_quality": quality,
     "op9_decontaminate": decontam,
     "op10_chat_format": chat,
+    "op11_packing": packing,
+    "op12_filter_audit": audit,
+    "op13_token_alignment": alignment,
 }
 
 

@@ -16,4 +16,4 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(k[2:].split("_")[0]) for k in entries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
