@@ -34,12 +34,17 @@ _SPACE = B.byte_class([0x20, *range(0x09, 0x0E)])
 _BLANK = B.byte_class([0x20])
 #: ASCII characters that no pattern takes for white space.
 _SURE = ~B.byte_class([0x20, *range(0x09, 0x0E), *range(0x1C, 0x20), *range(0x80, 0x100)])
+_LETTER = B.byte_class([*range(0x41, 0x5B), *range(0x61, 0x7B)])
+#: Second bytes of the letters from U+00C0 to U+00FF, whose first byte is C3.
+_LATIN = B.byte_class([b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
+_MARK = B.byte_class([b for b in range(0x21, 0x7F) if not (0x30 <= b < 0x3A or 0x41 <= b < 0x5B or 0x61 <= b < 0x7B)])
 
 
-def bounds(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, whole: Sequence[bytes] = ()) -> tuple[np.ndarray, np.ndarray]:
+def bounds(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, whole: Sequence[bytes] = (), marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Offsets of the chunks of texts ``data[at[i]:at[i+1]]`` (and the end), and each text's first chunk (and the end).
 
-    Texts that hold one of the strings ``whole`` are one chunk.
+    ``marks``: also cut between a letter (ASCII or Latin-1) and an ASCII mark after it, where the pattern of a
+    byte-level tokenizer always cuts.  Texts that hold one of the strings ``whole`` are one chunk.
     """
     cut = np.zeros(len(data) + 1, dtype=bool)
     if len(data) > 1:
@@ -51,6 +56,10 @@ def bounds(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, wh
             blank = ((two == 0xC2) & ((one == 0x85) | (one == 0xA0))) | ((three == 0xE1) & ((two == 0x9A) | (two == 0xA0)))
             blank |= ((three == 0xE2) & ((two == 0x80) | (two == 0x81))) | ((three == 0xE3) & (two == 0x80))
             cut[unsure[~blank]] = True
+        if marks:
+            after = np.flatnonzero(_MARK[data[1:]]) + 1
+            one, two = data[after - 1], data[np.maximum(after - 2, 0)]
+            cut[after[_LETTER[one] | ((two == 0xC3) & _LATIN[one])]] = True
     if whole:
         raw = data.tobytes()
         for string in whole:
@@ -74,8 +83,8 @@ class Distinct:
     offsets: np.ndarray
 
 
-def distinct(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, whole: Sequence[bytes] = ()) -> Distinct:
-    offsets, first = bounds(data, at, cut_before, whole)
+def distinct(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, whole: Sequence[bytes] = (), marks: bool = False) -> Distinct:
+    offsets, first = bounds(data, at, cut_before, whole, marks)
     n = len(offsets) - 1
     if n <= 0:
         return Distinct([], np.zeros(0, np.int64), np.zeros(len(at), np.int64), np.zeros(1, np.int64))
@@ -90,10 +99,11 @@ def remembered(memo: Memo, values: list[bytes], fresh: Callable[[list[bytes]], l
     parts = memo.all(values)
     missing = [i for i, part in enumerate(parts) if part is None]
     if missing:
-        for i, part in zip(missing, fresh([values[i] for i in missing])):
+        new = [values[i] for i in missing]
+        found = fresh(new)
+        for i, part in zip(missing, found):
             parts[i] = part
-            if len(values[i]) <= LONGEST_CACHED:
-                memo.put(values[i], part)
+        memo.put_all({chunk: part for chunk, part in zip(new, found) if len(chunk) <= LONGEST_CACHED})
     return parts
 
 
@@ -141,48 +151,37 @@ class ByteLevel:
     def fresh(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of each chunk, 2 bytes each.  Chunks that begin with white space and surely end without go as joined strings."""
         out: list[bytes] = [b""] * len(chunks)
-        groups: list[list[int]] = []
-        joined: list[int] = []
-        size = 0
-        for i, c in enumerate(chunks):
-            if not _SPACE[c[0]] or not _SURE[c[-1]] or self._special(c):
-                groups.append([i])
-                continue
-            joined.append(i)
-            size += len(c)
-            if size >= JOINED:
-                groups.append(joined)
-                joined, size = [], 0
-        if joined:
-            groups.append(joined)
-        texts = [b"".join([chunks[i] for i in g]).decode() for g in groups]
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        blob = b"".join(chunks)
+        data, ends = np.frombuffer(blob, np.uint8), np.cumsum(lengths)
+        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+        joins = _SPACE[data[ends - lengths]] & (_SURE[last] | ((before == 0xC3) & _LATIN[last]))
+        if any(s in blob for s in self.special):
+            joins &= ~np.array([any(s in c for s in self.special) for c in chunks])
+        joined = np.flatnonzero(joins)
+        size = np.cumsum(lengths[joined])
+        groups = np.split(joined, np.flatnonzero(np.diff(size // JOINED)) + 1) if len(joined) else []
+        groups += [np.array([i]) for i in np.flatnonzero(~joins)]
+        texts = [b"".join([chunks[i] for i in g.tolist()]).decode() for g in groups]
         for g, found in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, np.uint16)
             if len(g) == 1:
                 out[g[0]] = ids.tobytes()
                 continue
-            ends = np.cumsum(self.lengths[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(chunks[i]) for i in g])) + 1
+            cuts = 2 * (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(lengths[g])) + 1)
             raw, lo = ids.tobytes(), 0
-            for i, hi in zip(g, cuts.tolist()):
-                out[i] = raw[2 * lo : 2 * hi]
+            for i, hi in zip(g.tolist(), cuts.tolist()):
+                out[i] = raw[lo:hi]
                 lo = hi
         return out
 
-    def _special(self, chunk: bytes) -> bool:
-        for string in self.special:
-            if string in chunk:
-                return True
-        return False
-
     def texts(self, data: np.ndarray, at: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice (each with ``end_id``) and where each text's begin (and the end)."""
-        return ids_of_texts(self.known, self.fresh, self.special, data, at, end_id)
+        return ids_of_texts(self.known, self.fresh, distinct(data, at, whole=self.special, marks=True), end_id)
 
 
-def ids_of_texts(memo: Memo, fresh: Callable, special: Sequence[bytes], data: np.ndarray, at: np.ndarray, end_id: int | None, kind=np.uint16) -> tuple[np.ndarray, np.ndarray]:
+def ids_of_texts(memo: Memo, fresh: Callable, d: Distinct, end_id: int | None, kind=np.uint16) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a slice, each followed by ``end_id``, and where each text's begin (and the end)."""
-    d = distinct(data, at, whole=special)
     parts, index, first = remembered(memo, d.values, fresh), d.index, d.first
     if end_id is not None:
         index = np.insert(index.astype(np.int64), first[1:], len(parts))

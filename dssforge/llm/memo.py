@@ -6,7 +6,7 @@ from collections.abc import Hashable, Sequence
 
 
 class Memo:
-    """Keeps what was used since the generation before last: at most ``2 * limit`` entries, hot ones always."""
+    """Keeps what was used since the generation before last: at most ``2 * limit`` entries and the last batch, hot ones always."""
 
     def __init__(self, limit: int):
         self.limit, self.new, self.old = limit, {}, {}
@@ -16,6 +16,12 @@ class Memo:
             self.new, self.old = {}, self.new
         self.new[key] = value
 
+    def put_all(self, entries: dict) -> None:
+        """Many entries at once: a generation grows beyond the limit by one batch at most."""
+        if len(self.new) >= self.limit:
+            self.new, self.old = {}, self.new
+        self.new.update(entries)
+
     def all(self, keys: Sequence) -> list:
         """Values of the keys, None where unknown."""
         found = list(map(self.new.get, keys))
