@@ -31,7 +31,8 @@ SLICE, CACHED, LONGEST_CACHED = 1 << 22, 300_000, 64
 JOINED = 1 << 15
 
 _SPACE = B.byte_class([0x20, *range(0x09, 0x0E)])
-_BLANK = B.byte_class([0x20])
+#: No cut inside a text.
+NOWHERE = B.byte_class([])
 #: ASCII characters that no pattern takes for white space.
 _SURE = ~B.byte_class([0x20, *range(0x09, 0x0E), *range(0x1C, 0x20), *range(0x80, 0x100)])
 _LETTER = B.byte_class([*range(0x41, 0x5B), *range(0x61, 0x7B)])
@@ -40,11 +41,11 @@ _LATIN = B.byte_class([b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
 _MARK = B.byte_class([b for b in range(0x21, 0x7F) if not (0x30 <= b < 0x3A or 0x41 <= b < 0x5B or 0x61 <= b < 0x7B)])
 
 
-def bounds(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, whole: Sequence[bytes] = (), marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def bounds(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, whole: Sequence[bytes] = (), marks: bool = False, apart: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Offsets of the chunks of texts ``data[at[i]:at[i+1]]`` (and the end), and each text's first chunk (and the end).
 
     ``marks``: also cut between a letter (ASCII or Latin-1) and an ASCII mark after it, where the pattern of a
-    byte-level tokenizer always cuts.  Texts that hold one of the strings ``whole`` are one chunk.
+    byte-level tokenizer always cuts.  ``apart``: white space is a chunk of its own (for tokenizers that drop it).  Texts that hold one of the strings ``whole`` are one chunk.
     """
     cut = np.zeros(len(data) + 1, dtype=bool)
     if len(data) > 1:
@@ -56,6 +57,8 @@ def bounds(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, wh
             blank = ((two == 0xC2) & ((one == 0x85) | (one == 0xA0))) | ((three == 0xE1) & ((two == 0x9A) | (two == 0xA0)))
             blank |= ((three == 0xE2) & ((two == 0x80) | (two == 0x81))) | ((three == 0xE3) & (two == 0x80))
             cut[unsure[~blank]] = True
+        if apart:
+            cut[1:-1] |= cut_before[data[:-1]] & ~space
         if marks:
             after = np.flatnonzero(_MARK[data[1:]]) + 1
             one, two = data[after - 1], data[np.maximum(after - 2, 0)]
@@ -83,8 +86,8 @@ class Distinct:
     offsets: np.ndarray
 
 
-def distinct(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, whole: Sequence[bytes] = (), marks: bool = False) -> Distinct:
-    offsets, first = bounds(data, at, cut_before, whole, marks)
+def distinct(data: np.ndarray, at: np.ndarray, cut_before: np.ndarray = _SPACE, whole: Sequence[bytes] = (), marks: bool = False, apart: bool = False) -> Distinct:
+    offsets, first = bounds(data, at, cut_before, whole, marks, apart)
     n = len(offsets) - 1
     if n <= 0:
         return Distinct([], np.zeros(0, np.int64), np.zeros(len(at), np.int64), np.zeros(1, np.int64))

@@ -1,7 +1,8 @@
 """Token ids of a corpus in binary blocks with Elias-Fano document boundaries.
 
-Documents are ordered by doc_id over range partitions, encoded, and packed into
-blocks of about ``BLOCK_TOKENS`` ids.  A block is one self-contained record::
+Documents are encoded where they are read and written once as ids, which are then
+ordered by doc_id over range partitions and packed into blocks of about
+``BLOCK_TOKENS`` ids, so no text is ever shuffled.  A block is one self-contained record::
 
     magic "EFTS" | id bytes (1) | 3 spare | n_docs u32 | n_null u32 | n_tokens u64 | first doc_id i64
     two Elias-Fano lists: document starts (n_docs + 1 values), doc_id minus first doc_id
@@ -16,14 +17,16 @@ Blocks are the rows of a Parquet table in the shared folder (any store that
 Spark writes to), with their range partition and number, so a document's global
 start is a running sum over partitions, then over a partition's blocks.
 
+Reading goes through the lists in fixed memory: ``select`` for one document,
+``EliasFano.runs`` for all in order, so no 64-bit table of a block is made.
+
 Defined results: null text is empty and encodes as the end id alone; rows that
-repeat a doc_id follow each other ordered by text; null doc_ids come first.
+repeat a doc_id (they may fill many partitions) follow each other ordered by a hash
+of their ids; null doc_ids come first.
 """
 
 from __future__ import annotations
 
-import os
-import re
 import struct
 import sys
 import zlib
@@ -37,14 +40,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dssforge.llm import bytetext as T
+from dssforge.llm import chunks as C
 from dssforge.llm.memo import Memo
 from dssforge.llm.store import Scratch
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 BLOCK_TOKENS = 1 << 20
 SAMPLE = 64
-#: Words whose ids a task keeps in each of two generations, and the longest of them in bytes.
-CACHED_WORDS, LONGEST_CACHED = 400_000, 64
+#: Words whose ids a task keeps in each of two generations.
+CACHED_WORDS = 300_000
+#: Documents that are read at once, and words that go to the library as one string.
+READ_ROWS, JOINED_WORDS = 4096, 2000
 
 _HEAD = struct.Struct("<4sB3xIIQq")
 _LIST = struct.Struct("<IBxxxII")
@@ -103,14 +110,27 @@ class EliasFano:
         one = 8 * word + (byte & -byte).bit_length() - 1
         return ((one - i) << self.low_bits) | self._low(i)
 
+    def runs(self, rows: int = READ_ROWS) -> Iterator[np.ndarray]:
+        """All values in order, at most ``rows`` at a time; memory follows ``rows``, not the list."""
+        done, byte = 0, 0
+        left = np.zeros(0, np.int64)  # positions of one bits read and not yet returned
+        while done < self.n:
+            while len(left) < rows and byte < len(self.high):
+                ones = np.flatnonzero(np.unpackbits(self.high[byte : byte + rows], bitorder="little")) + 8 * byte
+                left, byte = np.concatenate([left, ones]), byte + rows
+            n = min(rows, self.n - done, len(left))
+            out = (left[:n] - np.arange(done, done + n)) << self.low_bits
+            if self.low_bits:
+                first = done * self.low_bits
+                stop = (done + n) * self.low_bits
+                bits = np.unpackbits(self.low[first >> 3 : (stop + 7) >> 3], bitorder="little")[first & 7 :][: stop - first]
+                out = out | (bits.reshape(n, self.low_bits).astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
+            yield out.astype(np.int64)
+            left, done = left[n:], done + n
+
     def values(self) -> np.ndarray:
         """All values."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        out = (ones - np.arange(self.n)) << self.low_bits
-        if self.low_bits:
-            bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-            out = out | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
-        return out.astype(np.int64)
+        return np.concatenate([np.zeros(0, np.int64), *self.runs()])
 
 
 # --- blocks -----------------------------------------------------------------
@@ -141,38 +161,63 @@ class Block:
     def doc_ids(self) -> list[int | None]:
         return [None] * self.n_null + [self.base + int(x) for x in self._ids.values()]
 
+    def documents(self, rows: int = READ_ROWS) -> Iterator[tuple[pa.Array, np.ndarray]]:
+        """(doc_ids, bounds of their ids) of all documents in order, ``rows`` at a time."""
+        names = self._doc_ids(rows)
+        last = np.zeros(0, np.int64)
+        for starts in self.starts.runs(rows):
+            starts, last = np.concatenate([last, starts]), starts[-1:]
+            if len(starts) > 1:
+                n, parts = len(starts) - 1, []
+                while n > sum(map(len, parts)):
+                    parts.append(next(names))
+                both = pa.concat_arrays(parts)
+                if len(both) > n:
+                    names = _again(both.slice(n), names)
+                yield both.slice(0, n), starts
+
+    def _doc_ids(self, rows: int) -> Iterator[pa.Array]:
+        for lo in range(0, self.n_null, rows):
+            yield pa.nulls(min(rows, self.n_null - lo), pa.int64())
+        for values in self._ids.runs(rows):
+            yield pa.array(values + self.base)
+
     def ids(self, i: int) -> np.ndarray:
         return self.tokens[self.starts.select(i) : self.starts.select(i + 1)]
 
 
+def _again(first: pa.Array, rest: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    yield first
+    yield from rest
+
+
 # --- encoding ---------------------------------------------------------------
 
 
 class WordEncoder:
     """Ids of whole texts, word by word, equal to the library's on the whole text.
 
-    The tokenizer drops white space and never joins across it, so a text is
-    the sequence of its ASCII-white-space-separated words, each encoded by the
-    library once and kept.  Two steps before the cut only share words: marks after
-    a letter at a word's end are set apart, as the tokenizer's pattern does, and
-    A-Z become a-z, as its normalizer does (not in texts with combining marks,
-    which compose with some letters of one case only).  Texts that may hold a
+    The tokenizer drops white space and never joins across it, nor across the place
+    where a mark follows a letter, so a text is the sequence of such words; each
+    distinct word of a slice is looked up once, and each new one is encoded by the
+    library and kept.  A-Z become a-z before that, as the tokenizer's normalizer does
+    (not in slices with combining marks, which compose with some letters of one case only, nor
+    in slices that hold a special token's string in any case).  Texts with a
     special token's string go to the library whole.
     """
 
-    #: Marks at the end of a word, after a letter of ASCII or Latin-1.
-    ending = re.compile(rb"([a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([.,;:!?]+)(?=[ \t-\r]|$)")
-
     def __init__(self, path: str, end_id: int | None, words_apart: bool = True):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        C.quiet_library()
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.id_bytes = 2 if self.library.get_vocab_size() <= 1 << 16 and (end_id or 0) < 1 << 16 else 4
         self.kind = "H" if self.id_bytes == 2 else "I"
-        self.end = b"" if end_id is None else self._bytes([end_id])
+        self.end_id, self.end = end_id, b"" if end_id is None else self._bytes([end_id])
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.words_apart = words_apart
+        self.ending_token = np.zeros(self.library.get_vocab_size(), dtype=bool)
+        self.ending_token[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
         self.known = Memo(CACHED_WORDS)
 
     def _bytes(self, ids: list[int]) -> bytes:
@@ -185,22 +230,43 @@ class WordEncoder:
         found = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [self._bytes(e.ids) for e in found]
 
+    def fresh(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of each chunk.  Words of letters alone go as joined strings, since each is one run that ends in one ending token."""
+        if not self.words_apart:
+            return self._library(chunks)
+        texts = [c.decode() for c in chunks]
+        plain = [i for i, t in enumerate(texts) if t.isalpha() and (t.isascii() or max(t) < "\u0100")]
+        out: list[bytes] = [b""] * len(chunks)
+        groups = [plain[k : k + JOINED_WORDS] for k in range(0, len(plain), JOINED_WORDS)]
+        others = sorted(set(range(len(chunks))) - set(plain))
+        found = self.library.encode_batch_fast([" ".join([texts[i] for i in g]) for g in groups] + [texts[i] for i in others], add_special_tokens=False)
+        for g, e in zip(groups, found):
+            ids = np.array(e.ids, np.int64)
+            ends = np.flatnonzero(self.ending_token[ids]) + 1
+            if len(ends) != len(g):
+                raise ValueError("a word of letters is more than one run")
+            raw, lo = ids.astype(f"<u{self.id_bytes}").tobytes(), 0
+            for i, hi in zip(g, (ends * self.id_bytes).tolist()):
+                out[i] = raw[lo:hi]
+                lo = hi
+        for i, e in zip(others, found[len(groups) :]):
+            out[i] = self._bytes(e.ids)
+        return out
+
     def __call__(self, raw: bytes) -> bytes:
-        low = raw.lower()
-        if not self.words_apart or any(s.lower() in low for s in self.special):
-            return self._library([raw])[0] + self.end
-        if b"\xcc" not in raw and b"\xcd" not in raw:
-            raw = low
-        words = self.ending.sub(rb"\1 \2", raw).split()
-        parts = self.known.all(words)
-        if None in parts:
-            new = list({w for w, p in zip(words, parts) if p is None})
-            fresh = dict(zip(new, self._library(new)))
-            parts = [fresh[w] if p is None else p for w, p in zip(words, parts)]
-            for w, p in fresh.items():
-                if len(w) <= LONGEST_CACHED:
-                    self.known.put(w, p)
-        return b"".join(parts) + self.end
+        return self.fresh([raw])[0] + self.end
+
+    def texts(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a slice (each with the end id) and where each text's begin (and the end)."""
+        if not self.words_apart:
+            d = C.distinct(data, at, C.NOWHERE)
+        else:
+            low = T.LOWER[data]
+            raw = low.tobytes()
+            if b"\xcc" not in raw and b"\xcd" not in raw and not any(s.lower() in raw for s in self.special):
+                data = low
+            d = C.distinct(data, at, whole=self.special, marks=True, apart=True)
+        return C.ids_of_texts(self.known, self.fresh, d, self.end_id, np.dtype(f"<u{self.id_bytes}"))
 
 
 _BLOCKS = "part int, block int, n_docs int, n_tokens long, payload binary"
@@ -212,23 +278,34 @@ def _encoder(path: str, end_id: int | None, words_apart: bool) -> WordEncoder:
     return WordEncoder(path, end_id, words_apart)
 
 
-def _pack(path: str, end_id: int | None, words_apart: bool, block_tokens: int):
+def _encode(path: str, end_id: int | None, words_apart: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, row = _encoder(path, end_id, words_apart), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for lo, hi, data, at in C.text_slices(batch.column(1)):
+                ids, begins = encoder.texts(data, at)
+                cols = [batch.column(0).slice(lo, hi - lo), pa.array(np.arange(row, row + hi - lo)), C.binary_rows(ids, begins)]
+                row += hi - lo
+                yield pa.record_batch(cols, ["doc_id", "row", "ids"])
+
+    return run
+
+
+def _pack(id_bytes: int, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path, end_id, words_apart)
         part, block = TaskContext.get().partitionId(), 0
         docs, lengths, parts, size = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            payload = write_block(docs, lengths, b"".join(parts), encode.id_bytes)
+            payload = write_block(docs, lengths, b"".join(parts), id_bytes)
             cols = [[part], [block], [len(docs)], [size], [payload]]
             types = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
             return pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], ["part", "block", "n_docs", "n_tokens", "payload"])
 
         for batch in batches:
-            texts = batch.column(1)
-            for i, doc in enumerate(batch.column(0).to_pylist()):
-                ids = encode((texts[i].as_py() or "").encode())
-                n = len(ids) // encode.id_bytes
+            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = ids.as_py()
+                n = len(ids) // id_bytes
                 # A block holds doc_ids whose distance fits; a document is never split.
                 if docs and (size + n > block_tokens or docs[-1] is None and doc is not None):
                     yield flush()
@@ -252,8 +329,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     ``words_apart`` says that it drops white space and never joins across it.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(_pack(tokenizer, end_id, words_apart, block_tokens), _BLOCKS).write.option("compression", "zstd").parquet(path)
+    encoded = rows.mapInArrow(_encode(tokenizer, end_id, words_apart), "doc_id long, row long, ids binary")
+    scratch = Scratch(docs.sparkSession)
+    # Written, so that the ranges are drawn and the rows moved without encoding again; row keeps a repeated doc_id apart.
+    encoded = scratch.keep(encoded, "encoded").withColumn("h", F.xxhash64("ids"))
+    order = ["doc_id", "h", "row"]
+    ordered = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    id_bytes = WordEncoder(tokenizer, end_id, words_apart).id_bytes
+    ordered.mapInArrow(_pack(id_bytes, block_tokens), _BLOCKS).write.option("compression", "zstd").parquet(path)
+    scratch.drop("encoded")
 
 
 _READ = "part int, block int, doc_id long, local long, n_tokens long, ids_crc32 long"
@@ -263,25 +347,22 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             b = Block(batch.column(2)[i].as_buffer())
-            starts = b.starts.values()
-            wide = b.tokens.astype("<u4")
-            crc = [zlib.crc32(wide[s:e]) for s, e in zip(starts[:-1], starts[1:])]
-            n = b.n_docs
-            yield pa.record_batch(
-                [pa.array([batch.column(0)[i].as_py()] * n, pa.int32()), pa.array([batch.column(1)[i].as_py()] * n, pa.int32()),
-                 pa.array(b.doc_ids(), pa.int64()), pa.array(starts[:-1]), pa.array(np.diff(starts)), pa.array(crc, pa.int64())],
-                ["part", "block", "doc_id", "local", "n_tokens", "ids_crc32"],
-            )
+            part, block = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            for doc_ids, starts in b.documents():
+                wide, base, n = b.tokens[starts[0] : starts[-1]].astype("<u4"), int(starts[0]), len(doc_ids)
+                crc = [zlib.crc32(wide[s:e]) for s, e in zip((starts[:-1] - base).tolist(), (starts[1:] - base).tolist())]
+                cols = [pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, block, np.int32)), doc_ids, pa.array(starts[:-1]), pa.array(np.diff(starts)), pa.array(crc, pa.int64())]
+                yield pa.record_batch(cols, ["part", "block", "doc_id", "local", "n_tokens", "ids_crc32"])
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for raw in batch.column(0):
             b = Block(raw.as_buffer())
-            ids, step = b.doc_ids(), 1024
-            for lo in range(0, b.n_docs, step):
-                own = range(lo, min(lo + step, b.n_docs))
-                yield pa.record_batch([pa.array([ids[i] for i in own], pa.int64()), pa.array([b.ids(i).astype(np.int32) for i in own], pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for doc_ids, starts in b.documents():
+                ids = pa.array(b.tokens[starts[0] : starts[-1]].astype(np.int32))
+                lists = pa.ListArray.from_arrays(pa.array((starts - starts[0]).astype(np.int32)), ids)
+                yield pa.record_batch([doc_ids, lists], ["doc_id", "ids"])
 
 
 def read_ids(spark, path: str) -> DataFrame:
