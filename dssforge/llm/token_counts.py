@@ -2,16 +2,19 @@
 
 For a byte-level BPE each prefix of a piece has one last token: the longest
 vocabulary entry that ends there and may follow the last token of what stands
-before it (two tokens may stand side by side when merging their joined string
-gives just these two).  So one pass gives the token count of *every* prefix.
+before it.  An automaton over the vocabulary names the entries that end at a byte,
+longest first.  Two tokens may stand side by side when no merge joins the end of the
+first to the beginning of the second while both are still being built, which the
+merge table tells.  So one pass gives the token count of *every* prefix.
 Pieces follow each other independently, hence a text's counts are its pieces'
 counts added up.  They are kept as one signed byte per byte of text: the change
 of the count from one prefix to the next (its running sum at byte i is the
 exact number of tokens of the first i bytes).  Truncation and budget questions
 are then answered by a running sum, with no further encoding.
 
-Words recur, so a task keeps the changes of words seen (``CACHED``), and a
-text's table is those byte strings joined.
+Texts are cut into chunks at white space (``chunks``); each distinct chunk of a
+slice is looked up once, a task keeps the changes of recent ones, and a text's
+table is those byte strings joined.
 
 Defined results: null or empty text has 0 bytes and 0 tokens; every input row
 gets one row.
@@ -19,6 +22,7 @@ gets one row.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,89 +32,136 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dssforge.llm import bytetext as B
+from dssforge.llm import chunks as C
 from dssforge.llm.memo import Memo
 
 TOKENIZER, LIMIT = "byte_bpe_50k.json", 512
-#: Words and token pairs that a task keeps in each of two generations, and the longest of these words.
-CACHED, CACHED_PAIRS, LONGEST_CACHED = 400_000, 400_000, 64
+#: Chunks and token pairs that a task keeps in each of two generations.
+CACHED, CACHED_PAIRS = 300_000, 400_000
 
 # White space as the tokenizer's own pattern has it.
 _WS = "\t-\r \x85\xa0  -     　"
 #: A word with the blank before it; a run of white space but for its last character, if a word follows; white space.
 _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
-_RUN = re.compile(f"[{_WS}]{{2,}}(?=[^{_WS}])")
+_RUN = re.compile(f"(?<![{_WS}])[{_WS}]{{2,}}+(?=[^{_WS}])")
 #: Pieces whose first two characters are two pieces when they stand alone.
 _SPLIT_CONTRACTIONS = {"'re", "'ve", "'ll"}
+#: The first letter that is not looked at without the tokenizer's own pattern.
+_BEYOND = "\u0250"
+
+
+class Merges:
+    """Which tokens may stand side by side, from the merge table of a byte-level BPE."""
+
+    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]]):
+        self.joins: dict[int, dict[int, int]] = {}
+        self.parts: dict[int, tuple[int, int, int]] = {}
+        for rank, (x, y) in enumerate(merges):
+            left, right = vocabulary[x], vocabulary[y]
+            self.joins.setdefault(left, {})[right] = rank
+            self.parts.setdefault(vocabulary[x + y], (left, right, rank))
+        self.edges: tuple[dict, dict] = ({}, {})
+
+    def edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """Tokens at one side of a token while it is built, each with the rank of the merge that takes it up, the whole first."""
+        found = self.edges[side].get(token)
+        if found is None:
+            found, now, taken = [], token, 1 << 60
+            while True:
+                found.append((now, taken))
+                if now not in self.parts:
+                    break
+                taken, now = self.parts[now][2], self.parts[now][side]
+            self.edges[side][token] = found
+        return found
+
+    def apart(self, first: int, second: int) -> bool:
+        """Whether merging the joined bytes leaves these two tokens.
+
+        A merge crosses the border when its left token is still there (its rank is below that of the merge
+        which takes the left token up) and its right token too (the same rank is enough: of equal merges the
+        leftmost goes first, and that is the crossing one).
+        """
+        starts = self.edge(second, 0)
+        for x, x_taken in self.edge(first, 1):
+            joins = self.joins.get(x)
+            if joins:
+                for y, y_taken in starts:
+                    rank = joins.get(y)
+                    if rank is not None and rank < x_taken and rank <= y_taken:
+                        return False
+        return True
 
 
 class PrefixCounts:
     """Count changes for whole texts with one byte-level BPE tokenizer of the two-step kind (pattern, then merges)."""
 
     def __init__(self, path: str):
+        C.quiet_library()
+        import ahocorasick
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
         self.pieces_of, self.merge = library.pre_tokenizer.pre_tokenize_str, library.model.tokenize
         added = library.get_added_tokens_decoder()
-        self.special = re.compile("|".join(re.escape(t.content) for t in added.values()) or r"(?!)")
+        self.specials = [t.content.encode() for t in added.values() if t.content]
+        self.special = re.compile("|".join(re.escape(t.content) for t in added.values() if t.content) or r"(?!)")
         vocabulary = library.get_vocab(with_added_tokens=False)
-        self.tokens = set(vocabulary)
-        self.longest = max(map(len, self.tokens))
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in json.loads(library.to_str())["model"]["merges"]]
+        self.merges = Merges(vocabulary, merges)
+        self.automaton = ahocorasick.Automaton()
+        letters = C.byte_of_letter()
+        for token, i in vocabulary.items():
+            # A token that its own merges do not give stands nowhere.
+            if all(c in letters for c in token) and len(self.merge(token)) == 1:
+                self.automaton.add_word(token, (i, len(token)))
+        self.automaton.make_automaton()
+        self.letter = {b: c for c, b in letters.items()}
         self.pairs, self.known = Memo(CACHED_PAIRS), Memo(CACHED)
 
-    def _stands(self, *tokens: str) -> bool:
-        """Whether merging the joined string gives exactly these tokens."""
-        found = self.pairs.new.get(tokens)
+    def _apart(self, first: int, second: int) -> bool:
+        key = first << 32 | second
+        found = self.pairs.new.get(key)
         if found is None:
-            found = self.pairs.old.get(tokens)
+            found = self.pairs.old.get(key)
             if found is None:
-                merged = self.merge("".join(tokens))
-                found = len(merged) == len(tokens) and merged[0].value == tokens[0]
-            self.pairs.put(tokens, found)
+                found = self.merges.apart(first, second)
+            self.pairs.put(key, found)
         return found
 
     def piece(self, piece: str) -> list[int]:
         """Token count of each nonempty prefix of a piece (one character per byte)."""
-        n, counts, last, tokens, stands = len(piece), [0], [""], self.tokens, self._stands
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = piece[start:end]
-                if token in tokens and (stands(last[start], token) if start else stands(token)):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
-            else:
-                raise ValueError(f"no token ends at byte {end} of a piece")
+        n, apart = len(piece), self._apart
+        counts, last = [0] * (n + 1), [0] * (n + 1)
+        for end, (token, length) in self.automaton.iter(piece):
+            end += 1
+            if not counts[end]:
+                start = end - length
+                if not start or apart(last[start], token):
+                    counts[end] = counts[start] + 1
+                    last[end] = token
         if piece in _SPLIT_CONTRACTIONS:
             counts[2] = 2
         return counts[1:]
 
+    def _pieces(self, chunk: str) -> list[str]:
+        body = chunk[1:] if chunk[:1] == " " else chunk
+        if body.isalpha() and max(body) < _BEYOND:  # a word of letters is one piece
+            return [chunk.encode().decode("latin-1").translate(self.letter)]
+        return [piece for piece, _ in self.pieces_of(chunk)]
+
     def _word(self, chunk: str) -> bytes:
         changes: list[int] = []
-        for piece, _ in self.pieces_of(chunk):
+        for piece in self._pieces(chunk):
             before = 0
             for count in self.piece(piece):
-                changes.append(count - before)
+                changes.append(count - before & 0xFF)
                 before = count
-        return np.array(changes, np.int8).tobytes()
+        return bytes(changes)
 
     def _plain(self, text: str) -> bytes:
         """Changes of a text without special tokens."""
-        chunks = _CHUNK.findall(text)
-        parts = self.known.all(chunks)
-        if None in parts:
-            fresh: dict[str, bytes] = {}
-            for i, part in enumerate(parts):
-                if part is None:
-                    chunk = chunks[i]
-                    if chunk not in fresh:
-                        fresh[chunk] = self._word(chunk)
-                    parts[i] = fresh[chunk]
-            for chunk, part in fresh.items():
-                if len(chunk) <= LONGEST_CACHED:
-                    self.known.put(chunk, part)
-        joined = b"".join(parts)
+        joined = b"".join([self._word(chunk) for chunk in _CHUNK.findall(text)])
         return self._runs(text, joined) if _RUN.search(text) else joined
 
     def _runs(self, text: str, joined: bytes) -> bytes:
@@ -170,20 +221,24 @@ def _count(path: str, budget: int, keep_changes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(path)
         for batch in batches:
-            for lo, hi, _, _ in B.slices(batch.column(1)):
-                n_bytes, n_tokens, fits, kept = [], [], [], []
-                for text in batch.column(1).slice(lo, hi - lo).to_pylist():
-                    text = text or ""
-                    changes, raw = count(text), text.encode()
-                    total = int(np.frombuffer(changes, np.int8).sum(dtype=np.int64))
-                    n_bytes.append(len(raw))
-                    n_tokens.append(total)
-                    fits.append(len(raw) if total <= budget else longest_within(changes, raw, budget))
-                    if keep_changes:
-                        kept.append(changes)
-                cols = [batch.column(0).slice(lo, hi - lo), *(pa.array(x, pa.int64()) for x in (n_bytes, n_tokens, fits))]
+            for lo, hi, data, at in C.text_slices(batch.column(1)):
+                d = C.distinct(data, at, whole=count.specials, marks=True)
+                parts = C.remembered(count.known, d.values, lambda new: [count(c.decode()) for c in new])
+                sums = np.add.reduceat(np.frombuffer(b"".join(parts) or b"\0", np.int8), np.cumsum([0, *map(len, parts[:-1])]), dtype=np.int64) if parts else np.zeros(0, np.int64)
+                total = np.concatenate([[0], np.cumsum(sums[d.index])])
+                n_tokens, fits = total[d.first[1:]] - total[d.first[:-1]], np.diff(at)
+                for i in np.flatnonzero(n_tokens > budget).tolist():
+                    # The last chunk that begins within the budget: its beginning fits, and perhaps some of it.
+                    first, stop = d.first[i], d.first[i + 1]
+                    k = first + int(np.searchsorted(total[first:stop] - total[first], budget, side="right")) - 1
+                    begin, part = int(d.offsets[k]), parts[d.index[k]]
+                    left = budget - int(total[k] - total[first])
+                    fits[i] = begin - at[i] + longest_within(part, data[begin : begin + len(part)].tobytes(), left)
+                cols = [batch.column(0).slice(lo, hi - lo), *(pa.array(x, pa.int64()) for x in (np.diff(at), n_tokens, fits))]
                 names = ["doc_id", "n_bytes", "n_tokens", "fits_bytes"]
                 if keep_changes:
+                    where = d.index.tolist()
+                    kept = [b"".join([parts[x] for x in where[a:b]]) for a, b in zip(d.first[:-1], d.first[1:])]
                     cols, names = [*cols, pa.array(kept, pa.binary())], [*names, "changes"]
                 yield pa.record_batch(cols, names)
 

@@ -1,13 +1,15 @@
 """Token blocks, prefix counts: round trips and the tokenizers library itself."""
 
 import random
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from dssforge.llm import token_counts, token_store
+from dssforge.llm import chunks, token_counts, token_store
 from dssforge.llm.store import Scratch
 from dssforge.llm.token_store import Block, EliasFano, WordEncoder, ef_encode, tokenizer_path, write_block
 
@@ -55,7 +57,47 @@ def test_memo_keeps_recent_keys(monkeypatch):
     monkeypatch.setattr(token_store, "CACHED_WORDS", 3)
     encode = WordEncoder(tokenizer_path(), 1)
     text = " ".join(f"w{i % 7}" for i in range(40))
-    assert encode(text.encode()) == encode(text.encode()) and len(encode.known.new) + len(encode.known.old) <= 6
+    assert encode(text.encode()) == encode(text.encode())
+    for lo in range(0, 60, 2):
+        chunks.remembered(encode.known, [f"w{lo}".encode(), f"w{lo + 1}".encode()], encode.fresh)
+        assert len(encode.known.new) + len(encode.known.old) <= 2 * 3 + 2 * 2
+
+
+def test_slices_encode_as_whole_texts():
+    encode, whole = WordEncoder(tokenizer_path(), 1), WordEncoder(tokenizer_path(), 1, words_apart=False)
+    rng = random.Random(8)
+    bits = ["Aé", "́", "H", ".", ",", " ", "the", " Word", "İ", "'s", "3", "\n", "ß", "<|endoftext|>", " <|EndOfText|>x", "ª", "²", "ﬁ", "ǆ", "…", "\xa0"]
+    texts = TEXTS + [None] + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    want = [e.ids + [1] for e in encode.library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for e in (encode, whole):
+        for size in (1 << 20, 300):
+            got = []
+            for _, _, data, at in chunks.text_slices(pa.array(texts), size):
+                ids, begins = e.texts(data, at)
+                got += [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])]
+            assert got == want
+
+
+def test_runs_read_in_fixed_memory():
+    rng = np.random.default_rng(5)
+    for n, top in [(0, 1), (1, 9), (1000, 3), (5000, 10**9), (777, 2**40)]:
+        values = np.sort(rng.integers(0, top, n))
+        read = EliasFano(memoryview(ef_encode(values)))
+        for rows in (1, 7, 64, 4096):
+            runs = list(read.runs(rows))
+            assert all(len(r) <= rows for r in runs) and [int(x) for r in runs for x in r] == values.tolist()
+
+
+def test_documents_of_a_block_in_steps():
+    lengths = [3, 0, 5, 1, 2, 4]
+    raw = write_block([None, None, None, 4, 4, 9], lengths, np.arange(15, dtype="<u2").tobytes(), 2)
+    for rows in (1, 2, 4, 100):
+        docs, bounds = [], []
+        for names, starts in Block(raw).documents(rows):
+            docs += names.to_pylist()
+            bounds += list(zip(starts[:-1].tolist(), starts[1:].tolist()))
+        ends = np.cumsum(lengths).tolist()
+        assert docs == [None, None, None, 4, 4, 9] and bounds == list(zip([0, *ends], ends))
 
 
 def stored(spark, docs, **options):
@@ -117,3 +159,28 @@ def test_counts_of_odd_rows(spark):
     want = [(r.doc_id, len((r.text or "").encode()), len(library.encode(r.text or "").ids)) for r in docs.collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert token_counts.count_tokens(no_docs(spark), path).collect() == []
+
+
+def test_slices_count_as_whole_texts():
+    path = tokenizer_path(token_counts.TOKENIZER)
+    library = Tokenizer.from_file(path)
+    rng = random.Random(11)
+    bits = ["a", "th", "the", " ", "  ", "\n", "'", "'re", "re", " the", "é", "É.", "中文", "!", "\x85", "\u3000", "\x1c", "<|endoftext|>", "9", "…", "\t", "don't", "x,y", "\xa0", "aaaa", "----"]
+    texts = [None, ""] + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 30))) for _ in range(2500)]
+    want = [len(e.ids) for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for budget in (3, 9):
+        batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+        got = pa.Table.from_batches(token_counts._count(path, budget, True)(iter([batch]))).to_pylist()
+        assert [r["n_tokens"] for r in got] == want
+        for r, t in zip(got[:600], texts):
+            raw = (t or "").encode()
+            assert len(r["changes"]) == len(raw) == r["n_bytes"] and r["fits_bytes"] == token_counts.longest_within(r["changes"], raw, budget)
+
+
+def test_long_runs_are_quick():
+    count = token_counts.PrefixCounts(tokenizer_path(token_counts.TOKENIZER))
+    library = Tokenizer.from_file(tokenizer_path(token_counts.TOKENIZER))
+    for text in (" " * 10**6, "a" * 10**6, "word " * 200_000, "\n" * 10**6 + "x"):
+        begun = time.process_time()
+        total = int(token_counts.prefix_counts(count(text))[-1])
+        assert time.process_time() - begun < 10 and total == len(library.encode(text, add_special_tokens=False).ids)
