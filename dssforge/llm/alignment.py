@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,8 @@ from dssforge.llm.memo import Memo
 from dssforge.llm.store import Scratch, small
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Distinct chunks whose groups a task keeps in each of two generations.
-CACHED = 150_000
+#: Distinct chunks whose groups a task keeps in each of two generations, and bytes of text that are aligned together.
+CACHED, SLICE = 150_000, 1 << 21
 #: Ids of B are below 2 ** B_BITS, ids of A below 2 ** (31 - B_BITS).
 B_BITS = 15
 _BLANK = T.byte_class([0x20])
@@ -103,6 +104,28 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return closed_a, closed_a + np.repeat(np.array(shifts, np.int64), lengths)
 
 
+def _table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens' bytes in one array, with each token's start and length."""
+    lengths = np.array([len(t) for t in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
+def _same_bytes(table: tuple, ids: np.ndarray, n: np.ndarray, want: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each chunk (``n`` of the ids, bytes of ``want`` up to ``ends``) whether its ids' bytes are its own."""
+    flat, starts, lengths = table
+    size = lengths[ids]
+    after = np.cumsum(size)
+    got_ends = np.concatenate([[0], after])[np.cumsum(n)]
+    begins = np.concatenate([[0], ends[:-1]])
+    same = np.diff(got_ends, prepend=0) == ends - begins
+    if not same.all():  # a chunk of another length shifts those behind it, so each is looked at alone
+        whole, got = want.tobytes(), flat[np.repeat(starts[ids] - (after - size), size) + np.arange(int(size.sum()))].tobytes()
+        got_begins = np.concatenate([[0], got_ends[:-1]])
+        return np.array([whole[a:b] == got[c:d] for a, b, c, d in zip(begins, ends, got_begins, got_ends)])
+    got = flat[np.repeat(starts[ids] - (after - size), size) + np.arange(int(size.sum()))]
+    return np.logical_and.reduceat(got == want, begins)
+
+
 class Aligner:
     """Groups of chunks; a chunk begins with a blank."""
 
@@ -118,7 +141,9 @@ class Aligner:
         if any(mark in p.lstrip(mark) for p in pieces):
             raise ValueError("pieces join across blanks")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(mark, " ").encode() for i, p in enumerate(pieces)]
+        self.a_table, self.b_table = _table(self.a.token_bytes), _table(self.b_bytes)
         self.b_lengths = np.array([len(p) for p in self.b_bytes], np.int64)
+        self.names_a, self.names_b = ([str(i) for i in range(len(t))] for t in (self.a.token_bytes, self.b_bytes))
         self.known = Memo(CACHED)
 
     def _b_ids(self, chunks: list[bytes]) -> list[list[int]]:
@@ -129,25 +154,34 @@ class Aligner:
 
     def fresh(self, chunks: list[bytes]) -> list[tuple[bytes, bytes, int, int] | None]:
         """(groups as text, links as 32-bit numbers, A tokens, B tokens) of each chunk, None where a tokenizer changes its bytes."""
-        raw_a, ids_b = [np.frombuffer(x, np.uint16) for x in self.a.fresh(chunks)], self._b_ids(chunks)
-        bytes_a, bytes_b = self.a.token_bytes, self.b_bytes
-        good = [i for i, c in enumerate(chunks) if b"".join([bytes_b[t] for t in ids_b[i]]) == c and b"".join([bytes_a[t] for t in raw_a[i].tolist()]) == c]
+        raw_a = self.a.fresh(chunks)
+        flat_a, ends_a = C.gather(raw_a, np.arange(len(chunks)), np.uint16)
+        flat_a, ids_b = flat_a.astype(np.int64), self._b_ids(chunks)
+        n_b = np.fromiter(map(len, ids_b), np.int64, len(chunks))
+        flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64, int(n_b.sum()))
+        n_a, ends = np.diff(ends_a), np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        want = np.frombuffer(b"".join(chunks), np.uint8)
+        good = _same_bytes(self.a_table, flat_a, n_a, want, ends) & _same_bytes(self.b_table, flat_b, n_b, want, ends)
         out: list[tuple | None] = [None] * len(chunks)
-        if not good:
+        if not good.any():
             return out
-        flat_a = np.concatenate([raw_a[i] for i in good]).astype(np.int64)
-        flat_b = np.concatenate([np.array(ids_b[i], np.int64) for i in good])
+        flat_a, flat_b = flat_a[np.repeat(good, n_a)], flat_b[np.repeat(good, n_b)]
         closed_a, closed_b = align(np.cumsum(self.a.lengths[flat_a]), np.cumsum(self.b_lengths[flat_b]))
-        links = (flat_a[closed_a - 1] << B_BITS | flat_b[closed_b - 1]).astype(np.int32)
+        links = (flat_a[closed_a - 1] << B_BITS | flat_b[closed_b - 1]).astype(np.int32).tobytes()
         # A chunk's groups are those up to its last token.
-        stops_a = np.cumsum([len(raw_a[i]) for i in good])
-        stops = np.searchsorted(closed_a, stops_a) + 1
-        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        ca, cb = [0, *closed_a.tolist()], [0, *closed_b.tolist()]
-        groups = [f"{','.join(text_a[p:q])}|{','.join(text_b[r:s])}" for p, q, r, s in zip(ca, ca[1:], cb, cb[1:])]
+        stops = np.searchsorted(closed_a, np.cumsum(n_a[good])) + 1
+        names_a, names_b = self.names_a, self.names_b
+        a, b = flat_a.tolist(), flat_b.tolist()
+        groups, p, r = [], 0, 0
+        for q, s in zip(closed_a.tolist(), closed_b.tolist()):
+            if q - p == 1 and s - r == 1:
+                groups.append(f"{names_a[a[p]]}|{names_b[b[r]]}")
+            else:
+                groups.append(f"{','.join([names_a[t] for t in a[p:q]])}|{','.join([names_b[t] for t in b[r:s]])}")
+            p, r = q, s
         lo = 0
-        for i, hi in zip(good, stops.tolist()):
-            out[i] = (";".join(groups[lo:hi]).encode(), links[lo:hi].tobytes(), len(raw_a[i]), len(ids_b[i]))
+        for i, hi, x, y in zip(np.flatnonzero(good).tolist(), stops.tolist(), n_a[good].tolist(), n_b[good].tolist()):
+            out[i] = (";".join(groups[lo:hi]).encode(), links[4 * lo : 4 * hi], x, y)
             lo = hi
         return out
 
@@ -187,7 +221,7 @@ def _aligned(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, row = _aligner(path_a, path_b), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for lo, hi, data, at in C.text_slices(batch.column(1)):
+            for lo, hi, data, at in C.text_slices(batch.column(1), SLICE):
                 n_a, n_b, digests, links, begins = aligner.texts(data, at)
                 rows = pa.array(np.arange(row, row + hi - lo))
                 row += hi - lo
