@@ -24,6 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     set_by = spark.conf.get("spark.checkpoint.dir", None)
     if set_by:
         return set_by.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="dssforge-llm-")
