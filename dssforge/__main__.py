@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
     created = SparkSession.getActiveSession() is None
     spark = get_spark(a.master)
-    queries = registered_queries()
+    queries = registered_queries(a.complete)
     keys = a.keys or [k for k in queries if re.match(r"q\d\d_", k)]
     params = read_params(a.params) if a.params else {}
     cat = Catalog(spark, a.data_dir, complete=a.complete)
@@ -47,7 +47,9 @@ def main(argv: list[str] | None = None) -> int:
             df = queries[key](spark, a.data_dir)
         print(f"== {key}")
         if a.out:
-            df.write.mode("errorifexists").parquet(f"{a.out.rstrip('/')}/{key}")
+            out = f"{a.out.rstrip('/')}/{key}"
+            df.write.mode("errorifexists").parquet(out)
+            df = spark.read.schema(df.schema).parquet(out)
         df.show(a.rows, truncate=False)
         print(f"-- {time.perf_counter() - t0:.2f}s")
     if created:

@@ -5,7 +5,8 @@
 * hash co-location by key (bucketing) so that joins on the key read
   matching buckets without a shuffle;
 * sort order inside files so Parquet row-group min/max statistics skip
-  data for range predicates;
+  data for range predicates, along one column or a space-filling order of
+  several, and a proof that a stored table is sorted;
 * zstd compression, statistics for the cost-based optimizer, compaction,
   schema re-creation.
 
@@ -17,7 +18,9 @@ task per bucket, and ``maxRecordsPerFile`` bounds file size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dssforge.sources.sizing import written_parts
@@ -109,12 +112,111 @@ def compute_stats(spark: SparkSession, table: str) -> None:
 def table_stats(spark: SparkSession, table: str, column: str) -> dict:
     """Row count of a table and min / max / null count of one column, from the catalog.
 
-    Reads catalog metadata only (a handful of rows), not the table.
+    Reads catalog metadata only, not the table; bounds are whole numbers of the
+    column's type, None for a column without values.
+    """
+    described = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    info = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table} {column}").collect()}
+
+    def number(name: str) -> int | None:
+        return None if info.get(name) in (None, "NULL") else int(info[name])
+
+    return {"rows": described["statistics"]["num_rows"], "min": number("min"), "max": number("max"), "num_nulls": number("num_nulls")}
+
+
+def _as_number(df: DataFrame, col: str) -> F.Column:
+    """A column's values as numbers in the same order: texts by their first six bytes."""
+    kind = df.schema[col].dataType.simpleString()
+    if kind == "string":
+        first = F.rpad(F.hex(F.substring(F.encode(c(col), "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(first, 16, 10).cast("double")
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_date(c(col).cast("date")).cast("double")
+    return c(col).cast("double")
+
+
+def _rank(value: F.Column, cuts: list[float]) -> F.Column:
+    """How many of the ascending cuts are at most the value, by halving."""
+    if not cuts:
+        return F.lit(0)
+    mid = len(cuts) // 2
+    return F.when(value >= cuts[mid], _rank(value, cuts[mid + 1:]) + mid + 1).otherwise(_rank(value, cuts[:mid]))
+
+
+def interleaved(df: DataFrame, cols: list[str], bits: int = 6) -> F.Column:
+    """A space-filling order over several columns: their ranks' bits in turn, the highest first.
+
+    A rank is the column's place among 2 ** ``bits`` - 1 quantiles, which one aggregation
+    over the table finds for all columns (mergeable sketches of fixed size). Skewed columns
+    have fewer distinct quantiles, so they take fewer bits. NULL ranks as 0.
+    """
+    if bits * len(cols) > 62:
+        raise ValueError("bits of all columns must fit a long")
+    parts = 1 << bits
+    marks = F.array(*[F.lit(k / parts) for k in range(1, parts)])
+    found = df.agg(*[F.percentile_approx(_as_number(df, x), marks, 10_000).alias(f"q{i}") for i, x in enumerate(cols)]).first()
+    ranks = []
+    for i, x in enumerate(cols):
+        cuts = sorted(set(found[f"q{i}"] or []))
+        rank = F.coalesce(_rank(_as_number(df, x), cuts), F.lit(0))
+        ranks.append((rank, len(cuts).bit_length()))
+    out = F.lit(0).cast("bigint")
+    for level in range(bits):
+        for rank, width in ranks:
+            if level < width:
+                one = F.shiftright(rank, width - 1 - level).bitwiseAND(F.lit(1)).cast("bigint")
+                out = F.shiftleft(out, 1).bitwiseOR(one)
+    return out
+
+
+def write_interleaved(df: DataFrame, path: str, cols: list[str], bits: int = 6, files: int | None = None,
+                      spread_cols: list[str] | None = None, compression: str = "zstd", mode: str = "errorifexists") -> None:
+    """Write rows along a space-filling order of several columns, so min/max statistics of each of them skip files.
+
+    Rows are range-partitioned by the order (then ``spread_cols``, so that many equal rows spread over
+    files): every file covers a small box in all the columns instead of a thin slice of one.
+    """
+    keys = ["_order", *(spread_cols or [])]
+    ranged = df.withColumn("_order", interleaved(df, cols, bits))
+    ranged = ranged.repartitionByRange(files, *keys) if files else ranged.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).drop("_order").write.mode(mode).option("compression", compression).parquet(path)
+
+
+def files_read(spark: SparkSession, path: str, predicate: F.Column) -> DataFrame:
+    """(files, files_hit): files of a stored table, and those whose rows meet a predicate."""
+    table = spark.read.parquet(path).select(c("_metadata.file_path").alias("file"), predicate.alias("hit"))
+    per_file = table.groupBy("file").agg(F.max(F.coalesce(c("hit"), F.lit(False))).alias("hit"))
+    return per_file.agg(F.count(F.lit(1)).alias("files"), F.count_if("hit").alias("files_hit"))
+
+
+#: Rows of a file that are compared in one group when its order is proved.
+PROOF_ROWS = 1 << 16
+
+
+def order_proof(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(files, rows, unsorted_rows, overlapping_files, first_key, last_key) of a stored table.
+
+    Whether it is sorted by ``key`` as a whole: inside files by row position, and across files, where those in
+    the order of their first key may share no more than an end. Rows meet their neighbour inside blocks of
+    ``PROOF_ROWS`` positions of a file; a block then gives one row (first and last key), and a file one row
+    after that, so no task holds a file. NULL keys sort first, as Spark writes them.
     """
-    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    rows = int(info["Statistics"].split(",")[1].strip().split()[0])
-    col = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table} {column}").collect()}
-    return {"rows": rows, "min": int(col["min"]), "max": int(col["max"]), "num_nulls": int(col["num_nulls"])}
+    order = F.struct(c("key").isNotNull().alias("known"), c("key"))
+    rows = spark.read.parquet(path).select(c("_metadata.file_path").alias("file"), c("_metadata.row_index").alias("at"), c(key).alias("key"))
+    rows = rows.select("file", "at", F.floor(c("at") / PROOF_ROWS).alias("block"), order.alias("k"))
+    inside = Window.partitionBy("file", "block").orderBy("at")
+    marked = rows.withColumn("wrong", F.coalesce(c("k") < F.lag("k").over(inside), F.lit(False)).cast("int"))
+    blocks = marked.groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("wrong").alias("wrong"), F.min_by("k", "at").alias("first"), F.max_by("k", "at").alias("last"),
+        F.min("k").alias("least"), F.max("k").alias("most"))
+    along = Window.partitionBy("file").orderBy("block")
+    blocks = blocks.withColumn("wrong", c("wrong") + F.coalesce(c("first") < F.lag("last").over(along), F.lit(False)).cast("int"))
+    files = blocks.groupBy("file").agg(F.sum("rows").alias("rows"), F.sum("wrong").alias("wrong"), F.min("least").alias("least"), F.max("most").alias("most"))
+    across = Window.orderBy("least", "most")  # one row per file
+    files = files.withColumn("overlap", F.coalesce(c("least") < F.max("most").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)))
+    return files.agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("wrong"), F.lit(0)).alias("unsorted_rows"),
+        F.count_if("overlap").alias("overlapping_files"), F.min("least")["key"].alias("first_key"), F.max("most")["key"].alias("last_key"))
 
 
 def compact(spark: SparkSession, src: str, dst: str, files: int | None = None) -> None:

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.functions.exprs import date
+from dssforge.operators.key_sets import overlaps
+from dssforge.operators.layout import write_year_partitioned, year_partition
 from dssforge.session import scratch_path
 from dssforge.sources.delimited import load_delete_keys, load_delimited, to_file_shape, write_delimited
 from dssforge.sources.tables import Catalog
@@ -79,6 +81,37 @@ def write_state(df: DataFrame, name: str, path: str | None = None) -> str:
     return out
 
 
+def refresh_partitions(state: str, schema, part_col: str, key: str, delete_keys: DataFrame, inserts: DataFrame) -> list[str]:
+    """Apply a refresh set to a table stored in ``part_col`` folders; returns the partitions rewritten.
+
+    Delete keys are mapped to the partitions that hold them by a join over the key and partition columns
+    alone; those partitions and the ones that get rows are built anew in the shared folder, and
+    replace the old ones by a dynamic partition overwrite; one left without rows is removed. All other
+    partitions keep their files. ``inserts`` has the table's columns, ``part_col`` (a string) too.
+    Applying a set once more changes nothing: rows of inserted keys are replaced.
+    """
+    spark = inserts.sparkSession
+    table = spark.read.schema(schema).parquet(state)
+    keys = delete_keys.select(c(delete_keys.columns[0]).alias("_k")).dropna()
+    gone = keys.unionByName(inserts.select(c(key).alias("_k")).dropna()).distinct()
+    hit = table.select(key, part_col).join(gone, c(key) == c("_k"), "left_semi").select(part_col)
+    # One value per folder, so this list is as long as the table has partitions at most.
+    touched = sorted(r[0] for r in hit.unionByName(inserts.select(part_col)).distinct().collect())
+    staged = scratch_path(spark, "staged-partitions")
+    fresh = table.where(c(part_col).isin(touched)).join(gone, c(key) == c("_k"), "left_anti").unionByName(inserts)
+    fresh.repartition(part_col, F.pmod(F.xxhash64(key), F.lit(SPREAD))).write.partitionBy(part_col).parquet(staged)
+    new = spark.read.schema(schema).parquet(staged)
+    left = {r[0] for r in new.select(part_col).distinct().collect()}
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(state)
+    for value in set(touched) - left:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/{part_col}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return touched
+
+
+#: Tasks that write one rewritten partition, at most.
+SPREAD = 64
+
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
               "o_shippriority", "o_comment"]
 LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -135,6 +168,39 @@ def _applied(cat: Catalog, table: str) -> DataFrame:
     return as_result(left.unionByName(new.select(*cols)), cols)
 
 
+def _partitioned(cat: Catalog, table: str) -> DataFrame:
+    """State of one table, stored in yearly folders, after both update files are applied to the folders they touch."""
+    s = refresh_sets(cat)
+    base, cols, key, day = ((s.base_orders, ORDER_COLS, "o_orderkey", "o_orderdate") if table == "orders"
+                            else (s.base_lines, LINE_COLS, "l_orderkey", "l_shipdate"))
+    files = write_update_files(cat, s, (table, "delete"))
+    state = scratch_path(cat.spark, f"{table}-by-year")
+    base = base.select(*cols)
+    write_year_partitioned(base, day, state, spread_cols=[key])
+    new = load_delimited(cat.spark, f"{files[table]}/part-*", table).select(*[c(x).cast(base.schema[x].dataType) for x in cols])
+    schema = base.withColumn("year", F.lit("")).schema
+    refresh_partitions(state, schema, "year", key, load_delete_keys(cat.spark, f"{files['delete']}/part-*"),
+                       new.withColumn("year", year_partition(day)))
+    return as_result(cat.spark.read.schema(schema).parquet(state), cols)
+
+
+def refresh_partitioned_query(cat: Catalog) -> DataFrame:
+    """Orders in yearly folders after the update files; only the folders they touch are rewritten."""
+    return _partitioned(cat, "orders")
+
+
+def refresh_partitioned_lines_query(cat: Catalog) -> DataFrame:
+    """lineitem in yearly folders after the update files; only the folders they touch are rewritten."""
+    return _partitioned(cat, "lineitem")
+
+
+def refresh_key_sets_query(cat: Catalog) -> DataFrame:
+    """Sizes and overlaps of the base, insert and delete key sets, counted on bitmaps."""
+    s = refresh_sets(cat)
+    return overlaps({"base": s.base_orders.select("o_orderkey"), "insert": s.insert_orders.select("o_orderkey"),
+                     "delete": s.delete_keys})
+
+
 def refresh_insert_query(cat: Catalog) -> DataFrame:
     """Orders state after the insert files."""
     return _inserted(cat, "orders")

@@ -18,6 +18,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dssforge.operators.windows import distributed_rank
 from dssforge.sources.tables import Catalog, union_all
 
 c = F.col
@@ -75,12 +76,24 @@ def bridge_suppliers(cat: Catalog) -> DataFrame:
 
 
 def rule_supplier_bridge(cat: Catalog) -> DataFrame:
-    """partsupp pairs that are bridge pairs of their part."""
-    ps = cat.partsupp.select("ps_partkey", "ps_suppkey")
-    bridge = bridge_suppliers(cat).distinct()
-    marked = ps.join(bridge.withColumn("is_bridge", F.lit(True)),
-                     (c("ps_partkey") == c("b_partkey")) & (c("ps_suppkey") == c("b_suppkey")), "left")
-    return _counts("supplier_bridge", marked, c("is_bridge").isNotNull())
+    """partsupp pairs that are bridge pairs of their part, and bridge pairs that partsupp holds.
+
+    One full outer meeting of the two pair sets: pairs of either side are counted per key (partial
+    aggregation), so a gap on each side shows.
+    """
+    def side(df, stored):
+        part, supp = df.columns
+        return df.select(c(part).alias("part"), c(supp).alias("supp"), F.lit(stored).alias("stored"), F.lit(1 - stored).alias("built"))
+
+    stored = side(cat.partsupp.select("ps_partkey", "ps_suppkey"), 1)
+    built = side(bridge_suppliers(cat).distinct(), 0)
+    pairs = stored.unionByName(built).groupBy("part", "supp").agg(F.sum("stored").alias("stored"), F.max("built").alias("built"))
+    counts = pairs.agg(
+        F.coalesce(F.sum("stored"), F.lit(0)).alias("n_stored"), F.coalesce(F.sum(F.when(c("built") == 1, c("stored")).otherwise(0)), F.lit(0)).alias("stored_ok"),
+        F.coalesce(F.sum("built"), F.lit(0)).alias("n_built"), F.count_if((c("built") == 1) & (c("stored") > 0)).alias("built_ok"))
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), c(n).cast("bigint").alias("checked"), c(ok).cast("bigint").alias("agree"), (c(n) - c(ok)).cast("bigint").alias("disagree"))
+        for rule, n, ok in (("supplier_bridge", "n_stored", "stored_ok"), ("supplier_bridge_complete", "n_built", "built_ok"))])))
 
 
 def rule_extended_price(cat: Catalog) -> DataFrame:
@@ -146,6 +159,44 @@ def rule_sparse_order_key(cat: Catalog, seq: int = 0) -> DataFrame:
                    F.shiftright(key, SPARSE_KEEP).bitwiseAND(F.lit(mask)) == seq)
 
 
+def dense_index(key: Column) -> Column:
+    """The running number that a sparse key was made from (its sequence bits taken out)."""
+    high = F.shiftleft(F.shiftright(key, SPARSE_KEEP + SPARSE_BITS), SPARSE_KEEP)
+    return high + key.bitwiseAND(F.lit((1 << SPARSE_KEEP) - 1))
+
+
+def islands(df: DataFrame, group: str, index: str) -> DataFrame:
+    """(group, kind, first_index, last_index, n_rows): runs of a group's index values.
+
+    ``present`` runs have every index from first to last, ``missing`` runs are the gaps between
+    them, ``doubled`` runs have indexes that occur more than once. An index less its running number among the
+    group's distinct ones is constant on a run; the running number is taken over range partitions with
+    offsets (``distributed_rank``), so no task holds a group.
+    """
+    values = df.where(c(index).isNotNull()).groupBy(group, index).agg(F.count(F.lit(1)).alias("n"))
+
+    def runs(rows: DataFrame, kind: str) -> DataFrame:
+        numbered = distributed_rank(rows, [group], [index], "_number", "rank")
+        per = numbered.groupBy(group, (c(index) - c("_number")).alias("run"))
+        return per.agg(F.min(index).alias("first_index"), F.max(index).alias("last_index"), F.sum("n").alias("n_rows")).select(
+            group, F.lit(kind).alias("kind"), "first_index", "last_index", "n_rows")
+
+    present, doubled = runs(values, "present"), runs(values.where("n > 1"), "doubled")
+    # Runs are numbered the same way; a gap lies between a run and the next.
+    ordered = distributed_rank(present, [group], ["first_index"], "_run", "rank")
+    following = ordered.select(c(group).alias("_g"), (c("_run") - 1).alias("_before"), c("first_index").alias("_next"))
+    gaps = ordered.join(following, c(group).eqNullSafe(c("_g")) & (c("_run") == c("_before")))
+    gaps = gaps.select(group, F.lit("missing").alias("kind"), (c("last_index") + 1).alias("first_index"), (c("_next") - 1).alias("last_index"), F.lit(0).cast("bigint").alias("n_rows"))
+    return union_all([present, gaps, doubled])
+
+
+def order_key_islands(cat: Catalog) -> DataFrame:
+    """Runs, gaps and doubled indexes of the order keys' dense numbers, for each value of their sequence bits."""
+    key = c("o_orderkey")
+    seq = F.shiftright(key, SPARSE_KEEP).bitwiseAND(F.lit((1 << SPARSE_BITS) - 1)).cast("bigint")
+    return islands(cat.orders.select(seq.alias("seq"), dense_index(key).alias("dense_index")), "seq", "dense_index")
+
+
 def rule_phone_country(cat: Catalog) -> DataFrame:
     """The first two phone digits are 10 + nation key (customers, then suppliers)."""
     def check(df, rule, phone, nation):

@@ -14,10 +14,10 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dssforge.operators import layout
+from dssforge.operators import layout, partition_stats
 from dssforge.operators.checks import PRIMARY_KEYS
 from dssforge.operators.compare import result_diff
-from dssforge.operators.refresh import LINE_COLS, ORDER_COLS, as_result, refresh_sets
+from dssforge.operators.refresh import LINE_COLS, ORDER_COLS, RefreshSets, as_result, refresh_sets
 from dssforge.operators.reports import (
     report_analyze,
     report_gen_data,
@@ -25,14 +25,15 @@ from dssforge.operators.reports import (
     report_queries,
     report_sessions,
 )
-from dssforge.plans.queries import q01, q05, q10, q18
+from dssforge.plans.explain import plan_statistics
+from dssforge.plans.queries import q01, q05, q09, q10, q18
 from dssforge.session import scratch_path
 from dssforge.sources.delimited import load_delimited, to_file_shape, write_delimited
 from dssforge.sources.runlog import events_runlog, parse_runlog, read_runlog, runlog_lines
-from dssforge.sources.load import load_tables, store_bucketed
+from dssforge.sources.load import load_counted, load_tables, store_bucketed
 from dssforge.sources.sizing import written_parts
 from dssforge.sources.tables import TABLE_NAMES, Catalog, union_all
-from dssforge.streaming.refresh_stream import append_stream, read_target
+from dssforge.streaming.refresh_stream import read_state, segment_stream
 
 c = F.col
 
@@ -124,14 +125,12 @@ def _buckets(cat: Catalog) -> int:
 
 
 def layout_hash_q(cat: Catalog, buckets: int | None = None) -> DataFrame:
-    """orders and lineitem bucketed by order key; their join reads matching buckets."""
+    """orders and lineitem, whole rows, bucketed by order key; their join reads matching buckets."""
     buckets = buckets or _buckets(cat)
     tag = uuid.uuid4().hex[:12]
     o_name, l_name = f"orders_b_{tag}", f"lineitem_b_{tag}"
-    layout.write_bucketed(cat.orders.select("o_orderkey", "o_orderpriority"), o_name,
-                          scratch_path(cat.spark, o_name), "o_orderkey", buckets)
-    layout.write_bucketed(cat.lineitem.select("l_orderkey", "l_quantity"), l_name,
-                          scratch_path(cat.spark, l_name), "l_orderkey", buckets)
+    layout.write_bucketed(cat.orders, o_name, scratch_path(cat.spark, o_name), "o_orderkey", buckets)
+    layout.write_bucketed(cat.lineitem, l_name, scratch_path(cat.spark, l_name), "l_orderkey", buckets)
     o, li = cat.spark.table(o_name), cat.spark.table(l_name)
     return (li.join(o, c("l_orderkey") == c("o_orderkey"))
             .groupBy("o_orderpriority")
@@ -158,6 +157,68 @@ def layout_minmax_q(cat: Catalog, lo: str = "1997-03-01", hi: str = "1997-04-01"
                      LINE_COLS)
 
 
+#: Columns that the space-filling layout keeps together.
+SKIP_COLS = ["l_quantity", "l_returnflag", "l_linestatus", "l_shipdate", "l_receiptdate", "l_shipinstruct", "l_shipmode"]
+
+
+def layout_interleaved_q(cat: Catalog, quantity: int = 10, ship: str = "1996-01-01", receipt: str = "1996-03-01", mode: str = "RAIL") -> DataFrame:
+    """lineitem along a space-filling order of seven columns; a predicate on four of them."""
+    path = scratch_path(cat.spark, "lineitem-interleaved")
+    layout.write_interleaved(cat.lineitem, path, SKIP_COLS, spread_cols=["l_orderkey", "l_linenumber"])
+    df = cat.spark.read.parquet(path)
+    return as_result(df.filter((c("l_quantity") <= quantity) & (c("l_shipdate") >= F.lit(ship).cast("date"))
+                               & (c("l_receiptdate") < F.lit(receipt).cast("date")) & (c("l_shipmode") != mode)), LINE_COLS)
+
+
+def layout_sorted_q(cat: Catalog) -> DataFrame:
+    """Proof that lineitem, stored sorted by ship date, is sorted inside and across its files."""
+    path = scratch_path(cat.spark, "lineitem-proved")
+    layout.write_sorted(cat.lineitem, path, ["l_shipdate"], spread_cols=["l_orderkey", "l_linenumber"])
+    return layout.order_proof(cat.spark, path, "l_shipdate").select("rows", "unsorted_rows", "overlapping_files", "first_key", "last_key")
+
+
+def load_counts_by_file_q(cat: Catalog) -> DataFrame:
+    """orders and lineitem written as table files, a folder a year, and loaded: rows inserted from each folder's files."""
+    src, dst = scratch_path(cat.spark, "tbl-years"), scratch_path(cat.spark, "loaded-years")
+    for table, day in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
+        df = cat.table(table)
+        for year in [*map(str, range(layout.FIRST_YEAR, layout.LAST_YEAR + 1)), layout.OTHERS]:
+            write_delimited(to_file_shape(df.where(layout.year_partition(day) == year), table), f"{src}/{table}.tbl.{year}")
+    counted = load_counted(cat.spark, src, dst, ["orders", "lineitem"])
+    year = F.regexp_extract("source_file", r"\.tbl\.([^/]+)/", 1).alias("year")
+    return counted.groupBy("table_name", year).agg(F.sum("tuples").alias("tuples"))
+
+
+def plan_statistics_q(cat: Catalog) -> DataFrame:
+    """Rows that q09 and q18 read of each table, joined and returned, from the metrics of their finished plans."""
+    out = []
+    for name, df in (("q09", q09(cat)), ("q18", q18(cat))):
+        st = plan_statistics(df).withColumn("query", F.lit(name))
+        scans = st.where(c("relation").isNotNull()).groupBy("query", c("relation").alias("part")).agg(F.max("rows_out").alias("rows_out"))
+        joins = st.where(c("operator").contains("Join")).groupBy("query", F.lit("last join").alias("part")).agg(F.min_by("rows_out", "node").alias("rows_out"))
+        out += [scans, joins]
+    return union_all(out)
+
+
+#: Cell widths of the columns whose statistics are kept by partition.
+STAT_WIDTHS = {"l_quantity": 1.0, "l_extendedprice": 1000.0, "l_shipdate": 1.0}
+
+
+def stats_by_partition_q(cat: Catalog, late: str = "1998-01-01") -> DataFrame:
+    """Statistics of yearly partitions; after later lines arrive only their partitions are analysed, then all are merged."""
+    state, stats = scratch_path(cat.spark, "lineitem-analyzed"), scratch_path(cat.spark, "lineitem-stats")
+    year, old = layout.year_partition("l_shipdate"), c("l_shipdate") < F.lit(late).cast("date")
+    schema = cat.lineitem.withColumn("year", year).schema
+    layout.write_year_partitioned(cat.lineitem.where(old), "l_shipdate", state, spread_cols=["l_orderkey"])
+    partition_stats.analyze(cat.spark.read.schema(schema).parquet(state), "year", STAT_WIDTHS, stats)
+    new = cat.lineitem.where(~old | c("l_shipdate").isNull())
+    fresh = [r[0] for r in new.select(year.alias("year")).distinct().collect()]  # at most one per yearly partition
+    layout.write_year_partitioned(new, "l_shipdate", state, spread_cols=["l_orderkey"], mode="append")
+    partition_stats.analyze(cat.spark.read.schema(schema).parquet(state), "year", STAT_WIDTHS, stats, fresh)
+    found = partition_stats.merged(partition_stats.read(cat.spark, stats), STAT_WIDTHS)
+    return found.select("column_name", "row_count", "null_count", "min_value", "max_value", *[F.get("bounds", F.lit(i)).alias(f"bound_{i + 1}") for i in range(3)])
+
+
 def compact_q(cat: Catalog) -> DataFrame:
     """orders written in many files, then compacted into files of the target size."""
     src, dst = scratch_path(cat.spark, "orders-many"), scratch_path(cat.spark, "orders-compact")
@@ -181,15 +242,16 @@ def layout_compress_q(cat: Catalog, codec: str = "zstd", level: int = 9) -> Data
 
 
 def recreate_schema_q(cat: Catalog) -> DataFrame:
-    """A schema that holds a table is dropped with it, created again and filled with region."""
+    """A schema that holds lineitem and orders is dropped with them, created again and filled with orders."""
     db = f"dss_{uuid.uuid4().hex[:12]}"
     layout.recreate_schema(cat.spark, db, scratch_path(cat.spark, db))
-    cat.nation.write.format("parquet").saveAsTable(f"{db}.nation")
+    for table in ("lineitem", "orders"):
+        cat.table(table).write.format("parquet").saveAsTable(f"{db}.{table}")
     layout.recreate_schema(cat.spark, db, scratch_path(cat.spark, db))
-    if cat.spark.catalog.tableExists(f"{db}.nation"):
+    if cat.spark.catalog.listTables(db):
         raise RuntimeError("the schema kept a table")
-    cat.region.select("r_regionkey", "r_name").write.format("parquet").saveAsTable(f"{db}.region")
-    return cat.spark.table(f"{db}.region")
+    cat.orders.write.format("parquet").saveAsTable(f"{db}.orders")
+    return as_result(cat.spark.table(f"{db}.orders"), ORDER_COLS)
 
 
 def stats_q(cat: Catalog) -> DataFrame:
@@ -210,26 +272,34 @@ def stats_q(cat: Catalog) -> DataFrame:
 
 
 # -- refresh stream --------------------------------------------------------
-def _streamed(cat: Catalog, name: str, base: DataFrame, arriving: DataFrame, files_per_batch: int) -> DataFrame:
-    landing, target = scratch_path(cat.spark, f"landing-{name}"), scratch_path(cat.spark, f"{name}-state")
-    base.write.parquet(f"{target}/batch_id=base")
-    arriving.write.parquet(landing)
-    q = append_stream(cat.spark, landing, base.schema, target, scratch_path(cat.spark, f"ckpt-{name}"),
-                      files_per_batch=files_per_batch)
-    q.awaitTermination()
-    return read_target(cat.spark, target, base.schema)
+def land_segments(cat: Catalog, s: RefreshSets, table: str, landing: str, segment: int, segments: int) -> None:
+    """Write one of ``segments`` shares of refresh set 1 of a table: a segment of rows and one of delete keys."""
+    rows, key = (s.insert_orders, "o_orderkey") if table == "orders" else (s.insert_lines, "l_orderkey")
+    mine = F.pmod(F.xxhash64(key), F.lit(segments)) == segment
+    write_delimited(to_file_shape(rows.where(mine), table), f"{landing}/{table}.tbl.u1.{segment + 1}")
+    mine = F.pmod(F.xxhash64("o_orderkey", F.lit(1)), F.lit(segments)) == segment
+    write_delimited(s.delete_keys.where(mine), f"{landing}/delete.u1.{segment + 1}")
 
 
-def refresh_stream_q(cat: Catalog, files_per_batch: int = 1000) -> DataFrame:
-    """Insert set arriving as files, appended to the base orders by a stream."""
+def _streamed(cat: Catalog, table: str, files_per_batch: int) -> DataFrame:
+    """A table after a refresh set came as segments, in two runs of the stream over one checkpoint."""
     s = refresh_sets(cat)
-    return as_result(_streamed(cat, "orders", s.base_orders, s.insert_orders, files_per_batch), ORDER_COLS)
+    base, cols, key = (s.base_orders, ORDER_COLS, "o_orderkey") if table == "orders" else (s.base_lines, LINE_COLS, "l_orderkey")
+    landing, state, ckpt = (scratch_path(cat.spark, f"{kind}-{table}") for kind in ("landing", "state", "ckpt"))
+    for segment in range(2):
+        land_segments(cat, s, table, landing, segment, 2)
+        segment_stream(cat.spark, table, key, landing, state, ckpt, files_per_batch).awaitTermination()
+    return as_result(read_state(cat.spark, to_file_shape(base, table), key, state), cols)
+
+
+def refresh_stream_q(cat: Catalog, files_per_batch: int = 1000) -> DataFrame:
+    """Insert and delete segments of a refresh set arriving as files, applied to the base orders by a stream."""
+    return _streamed(cat, "orders", files_per_batch)
 
 
 def refresh_stream_lines_q(cat: Catalog, files_per_batch: int = 1000) -> DataFrame:
-    """Lines of the insert set arriving as files, appended to the base lines by a stream."""
-    s = refresh_sets(cat)
-    return as_result(_streamed(cat, "lineitem", s.base_lines, s.insert_lines, files_per_batch), LINE_COLS)
+    """The same for lineitem: its insert segments and the delete keys of their orders."""
+    return _streamed(cat, "lineitem", files_per_batch)
 
 
 # -- run logs and reports --------------------------------------------------

@@ -140,14 +140,15 @@ GROUP BY 1 ORDER BY revenue DESC""",
 
     "q06_forecast_revenue": """
 SELECT CAST(SUM(l_extendedprice * l_discount) AS DOUBLE) AS revenue FROM sale
-WHERE shipped = 1996 AND abs(l_discount - 0.06) <= 0.01 AND l_quantity < 24""",
+WHERE shipped = 1996 AND l_discount BETWEEN 0.05 AND 0.07 AND l_quantity < 24""",
 
     "q07_volume_shipping": """
 SELECT v.vendor_nation AS supp_nation, b.buyer_nation AS cust_nation, s.shipped AS l_year, CAST(SUM(s.earned) AS DOUBLE) AS revenue
 FROM sale s JOIN vendor v ON v.s_suppkey = s.l_suppkey
 JOIN orders o ON o.o_orderkey = s.l_orderkey JOIN buyer b ON b.c_custkey = o.o_custkey
 WHERE s.shipped IN (1995, 1996)
-  AND v.vendor_nation || '>' || b.buyer_nation IN ('NATION_3>NATION_7', 'NATION_7>NATION_3')
+  AND ((v.vendor_nation = 'NATION_3' AND b.buyer_nation = 'NATION_7')
+    OR (v.vendor_nation = 'NATION_7' AND b.buyer_nation = 'NATION_3'))
 GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""",
 
     "q08_market_share": """

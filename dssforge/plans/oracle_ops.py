@@ -107,13 +107,15 @@ RULE_SQL = {
         "retail_price", "part",
         "CAST(p_retailprice * 100 AS BIGINT) = 90000 + (p_partkey // 10) % 20001 + (p_partkey % 1000) * 100"),
     "rule_supplier_bridge": """
-SELECT 'supplier_bridge' AS rule, COUNT(*) AS checked, COUNT(b.b_partkey) AS agree,
-       COUNT(*) - COUNT(b.b_partkey) AS disagree
-FROM partsupp LEFT JOIN (
+WITH built AS (
   SELECT DISTINCT p_partkey AS b_partkey,
          (p_partkey + t.i * (s.n // 4 + (p_partkey - 1) // s.n)) % s.n + 1 AS b_suppkey
-  FROM part, (SELECT COUNT(*) AS n FROM supplier) s, range(0, 4) t(i)) b
-ON ps_partkey = b.b_partkey AND ps_suppkey = b.b_suppkey""",
+  FROM part, (SELECT COUNT(*) AS n FROM supplier) s, range(0, 4) t(i))
+SELECT 'supplier_bridge' AS rule, COUNT(*) AS checked, COUNT(b_partkey) AS agree, COUNT(*) - COUNT(b_partkey) AS disagree
+FROM partsupp LEFT JOIN built ON ps_partkey = b_partkey AND ps_suppkey = b_suppkey
+UNION ALL
+SELECT 'supplier_bridge_complete', COUNT(*), COUNT(k), COUNT(*) - COUNT(k)
+FROM built LEFT JOIN (SELECT DISTINCT ps_partkey AS k, ps_suppkey AS s FROM partsupp) p ON b_partkey = k AND b_suppkey = s""",
     "rule_extended_price": _counts(
         "extended_price", "lineitem LEFT JOIN part ON l_partkey = p_partkey",
         "l_extendedprice = p_retailprice * l_quantity"),
@@ -235,6 +237,20 @@ def _orders_minus_deleted(extra: str = "") -> str:
   SELECT 1 FROM orders d WHERE d.o_orderdate < DATE '1996-01-01' AND d.o_orderkey = o.o_orderkey)"""
 
 
+def _stats_sql() -> str:
+    """Statistics of three lineitem columns as one scan gives them; a bound is the cell in which a quarter is reached."""
+    columns = [("l_quantity", "CAST(l_quantity AS DOUBLE)", 1), ("l_extendedprice", "CAST(l_extendedprice AS DOUBLE)", 1000),
+               ("l_shipdate", "CAST(l_shipdate - DATE '1970-01-01' AS DOUBLE)", 1)]
+    parts = []
+    for name, value, width in columns:
+        cells = f"""(SELECT cell, SUM(n) OVER (ORDER BY cell) AS upto, SUM(n) OVER () AS total
+   FROM (SELECT floor({value} / {width}) AS cell, COUNT(*) AS n FROM lineitem WHERE {value} IS NOT NULL GROUP BY 1) g)"""
+        bounds = ", ".join(f"(SELECT MIN(cell) * {width} FROM {cells} r WHERE upto * 4 >= total * {k}) AS bound_{k}" for k in (1, 2, 3))
+        parts.append(f"""SELECT '{name}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT(v) AS null_count,
+  MIN(v) AS min_value, MAX(v) AS max_value, {bounds} FROM (SELECT {value} AS v FROM lineitem) x""")
+    return "\nUNION ALL\n".join(parts)
+
+
 IO_SQL = {
     "load_counts": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS tuples FROM {t}"
@@ -264,11 +280,44 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority"""
         for t, k in PRIMARY_KEYS.items()),
     "layout_random": ORDERS_RESULT,
     "layout_compress": ORDERS_RESULT,
-    "recreate_schema": "SELECT r_regionkey, r_name FROM region",
+    "recreate_schema": ORDERS_RESULT,
+    "layout_interleaved": f"""{LINES_RESULT} WHERE l_quantity <= 10 AND l_shipdate >= DATE '1996-01-01'
+  AND l_receiptdate < DATE '1996-03-01' AND l_shipmode <> 'RAIL'""",
+    "layout_sorted": """SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS unsorted_rows, CAST(0 AS BIGINT) AS overlapping_files,
+  MIN(l_shipdate) AS first_key, MAX(l_shipdate) AS last_key FROM lineitem""",
+    "load_counts_by_file": "\nUNION ALL\n".join(
+        f"""SELECT '{t}' AS table_name, CASE WHEN year({d}) BETWEEN 1992 AND 1998 THEN CAST(year({d}) AS VARCHAR) ELSE 'others' END AS year,
+  COUNT(*) AS tuples FROM {t} GROUP BY 1, 2""" for t, d in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))),
+    "plan_statistics": f"""
+SELECT 'q09' AS query, t AS part, n AS rows_out FROM (
+  SELECT 'lineitem' AS t, COUNT(*) AS n FROM lineitem UNION ALL SELECT 'orders', COUNT(*) FROM orders
+  UNION ALL SELECT 'part', COUNT(*) FROM part UNION ALL SELECT 'partsupp', COUNT(*) FROM partsupp
+  UNION ALL SELECT 'supplier', COUNT(*) FROM supplier UNION ALL SELECT 'nation', COUNT(*) FROM nation) x
+UNION ALL
+SELECT 'q09', 'last join', COUNT(*) FROM lineitem JOIN part ON p_partkey = l_partkey AND contains(p_name, 'blue')
+  JOIN partsupp ON ps_partkey = l_partkey AND ps_suppkey = l_suppkey
+  JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
+UNION ALL
+SELECT 'q18', t, n FROM (
+  SELECT 'lineitem' AS t, COUNT(*) AS n FROM lineitem UNION ALL SELECT 'orders', COUNT(*) FROM orders
+  UNION ALL SELECT 'customer', COUNT(*) FROM customer) x
+UNION ALL
+SELECT 'q18', 'last join', COUNT(*) FROM orders JOIN customer ON c_custkey = o_custkey
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING SUM(l_quantity) > 250)""",
+    "stats_by_partition": _stats_sql(),
+    "order_key_islands": """
+WITH keys AS (SELECT CAST((o_orderkey >> 3) & 3 AS BIGINT) AS seq, ((o_orderkey >> 5) << 3) + (o_orderkey & 7) AS i FROM orders),
+counted AS (SELECT seq, i, COUNT(*) AS n FROM keys GROUP BY seq, i),
+present AS (SELECT seq, MIN(i) AS first_index, MAX(i) AS last_index, SUM(n) AS n_rows
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY seq ORDER BY i) AS run FROM counted) x GROUP BY seq, run),
+doubled AS (SELECT seq, MIN(i) AS first_index, MAX(i) AS last_index, SUM(n) AS n_rows
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY seq ORDER BY i) AS run FROM counted WHERE n > 1) x GROUP BY seq, run)
+SELECT seq, 'present' AS kind, CAST(first_index AS BIGINT) AS first_index, CAST(last_index AS BIGINT) AS last_index, CAST(n_rows AS BIGINT) AS n_rows FROM present
+UNION ALL SELECT seq, 'doubled', CAST(first_index AS BIGINT), CAST(last_index AS BIGINT), CAST(n_rows AS BIGINT) FROM doubled
+UNION ALL SELECT seq, 'missing', CAST(last_index + 1 AS BIGINT), CAST(following - 1 AS BIGINT), CAST(0 AS BIGINT)
+FROM (SELECT *, lead(first_index) OVER (PARTITION BY seq ORDER BY first_index) AS following FROM present) x WHERE following IS NOT NULL""",
     "refresh_insert": ORDERS_RESULT,
-    "refresh_stream": ORDERS_RESULT,
     "refresh_insert_lines": LINES_RESULT,
-    "refresh_stream_lines": LINES_RESULT,
     "refresh_delete_orders": _orders_minus_deleted(),
     "refresh_apply_lines": f"""{LINES_RESULT} l WHERE NOT EXISTS (
   SELECT 1 FROM orders d WHERE d.o_orderdate < DATE '1996-01-01' AND d.o_orderkey = l.l_orderkey)""",
@@ -276,12 +325,25 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority"""
   SELECT 1 FROM orders d WHERE d.o_orderdate < DATE '1996-01-01' AND d.o_orderkey = l.l_orderkey)""",
     "refresh_apply": _orders_minus_deleted("(NOT (o_orderdate >= DATE '1999-01-01') OR o_orderdate IS NULL) AND ")
     + f"\nUNION ALL\n{ORDERS_RESULT} WHERE o_orderdate >= DATE '1999-01-01'",
+    "refresh_key_sets": """
+WITH sets AS (
+  SELECT 1 AS no, 'base' AS name, o_orderkey AS k FROM orders WHERE NOT (o_orderdate >= DATE '1999-01-01') OR o_orderdate IS NULL
+  UNION ALL SELECT 2, 'insert', o_orderkey FROM orders WHERE o_orderdate >= DATE '1999-01-01'
+  UNION ALL SELECT 3, 'delete', o_orderkey FROM orders WHERE o_orderdate < DATE '1996-01-01'),
+names(no, name) AS (VALUES (1, 'base'), (2, 'insert'), (3, 'delete')),
+common AS (SELECT a.no AS x, b.no AS y, COUNT(DISTINCT a.k) AS n FROM sets a JOIN sets b ON a.k = b.k AND a.no <= b.no GROUP BY 1, 2)
+SELECT l.name AS left_set, r.name AS right_set, COALESCE(n, 0) AS common_keys
+FROM names l JOIN names r ON l.no <= r.no LEFT JOIN common ON x = l.no AND y = r.no""",
     "w_row_number": """SELECT c_custkey, c_name, c_nationkey,
   CAST(row_number() OVER (ORDER BY c_name, c_custkey, c_nationkey) AS BIGINT) AS row_number FROM customer""",
     "w_rank": """SELECT s_suppkey, s_name, s_nationkey,
   CAST(rank() OVER (PARTITION BY s_nationkey ORDER BY s_name) AS BIGINT) AS name_rank FROM supplier""",
 }
 
+# Other ways to the same state.
+IO_SQL.update({"refresh_stream": IO_SQL["refresh_apply"], "refresh_stream_lines": IO_SQL["refresh_apply_lines"],
+               "refresh_partitioned": IO_SQL["refresh_apply"], "refresh_partitioned_lines": IO_SQL["refresh_apply_lines"]})
+
 
 def operator_oracles() -> dict[str, str]:
     out = {

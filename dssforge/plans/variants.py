@@ -34,7 +34,7 @@ Q12A = """
 WITH late AS (
   SELECT l_orderkey, l_shipmode FROM {lineitem}
   WHERE l_shipmode IN (:mode1, :mode2) AND l_receiptdate >= :day AND l_receiptdate < :day + INTERVAL '1' YEAR
-    AND l_receiptdate > l_commitdate AND l_commitdate > l_shipdate),
+    AND l_commitdate < l_receiptdate AND l_shipdate < l_commitdate),
 rated AS (
   SELECT late.l_shipmode, decode(o.o_orderpriority, '1-URGENT', 1, '2-HIGH', 1, 0) AS high
   FROM late JOIN {orders} o ON o.o_orderkey = late.l_orderkey)
@@ -43,7 +43,7 @@ FROM rated GROUP BY l_shipmode ORDER BY l_shipmode"""
 
 Q13A_VIEW = """
 SELECT c.c_custkey AS custkey, COUNT(o.o_orderkey) AS ordercount
-FROM {customer} c LEFT JOIN {orders} o ON o.o_custkey = c.c_custkey AND NOT (o.o_comment LIKE :pattern)
+FROM {customer} c LEFT JOIN {orders} o ON o.o_custkey = c.c_custkey AND o.o_comment NOT LIKE :pattern
 GROUP BY c.c_custkey"""
 
 Q13A = """
@@ -51,7 +51,7 @@ SELECT v.ordercount, COUNT(*) AS custdist FROM {view} v GROUP BY v.ordercount OR
 
 Q14A = """
 WITH month_sales AS (
-  SELECT decode(left(p.p_type, 5), 'PROMO', 1, 0) AS promoted, li.l_extendedprice * (1 - li.l_discount) AS earned
+  SELECT decode(substring(p.p_type FROM 1 FOR 5), 'PROMO', 1, 0) AS promoted, li.l_extendedprice * (1 - li.l_discount) AS earned
   FROM {lineitem} li JOIN {part} p ON p.p_partkey = li.l_partkey
   WHERE li.l_shipdate >= :day AND li.l_shipdate < :day + INTERVAL '1' MONTH)
 SELECT 100.0 * CAST(SUM(decode(promoted, 1, earned, 0)) AS DOUBLE) / CAST(SUM(earned) AS DOUBLE) AS promo_revenue
@@ -65,7 +65,7 @@ GROUP BY li.l_suppkey"""
 Q15_BODY = """
 SELECT s.s_suppkey, s.s_name, s.s_address, s.s_phone, CAST(v.total_revenue AS DOUBLE) AS total_revenue
 FROM {view} v JOIN {supplier} s ON s.s_suppkey = v.supplier_no
-WHERE v.total_revenue >= (SELECT MAX(total_revenue) FROM {view})
+WHERE v.total_revenue = (SELECT MAX(total_revenue) FROM {view})
 ORDER BY s.s_suppkey"""
 
 Q15A = """
@@ -74,7 +74,7 @@ WITH earnings (supplier_no, total) AS (
   WHERE li.l_shipdate >= :day AND li.l_shipdate < :day + INTERVAL '3' MONTH GROUP BY li.l_suppkey)
 SELECT s.s_suppkey, s.s_name, s.s_address, s.s_phone, CAST(e.total AS DOUBLE) AS total_revenue
 FROM earnings e JOIN {supplier} s ON s.s_suppkey = e.supplier_no
-WHERE e.total >= (SELECT MAX(total) FROM earnings)
+WHERE e.total = (SELECT MAX(total) FROM earnings)
 ORDER BY s.s_suppkey"""
 
 

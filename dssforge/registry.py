@@ -29,6 +29,7 @@ OPERATORS = {
     "rule_line_flags": rules.rule_line_flags,
     "rule_customer_gap": rules.rule_customer_gap,
     "rule_sparse_order_key": rules.rule_sparse_order_key,
+    "order_key_islands": rules.order_key_islands,
     "rule_phone_country": rules.rule_phone_country,
     "rule_supplier_flag": rules.rule_supplier_flag,
     "nation_region_map": rules.nation_region_map,
@@ -40,6 +41,9 @@ OPERATORS = {
     "refresh_delete_orders": refresh.refresh_delete_orders_query,
     "refresh_apply": refresh.refresh_apply_query,
     "refresh_apply_lines": refresh.refresh_apply_lines_query,
+    "refresh_partitioned": refresh.refresh_partitioned_query,
+    "refresh_partitioned_lines": refresh.refresh_partitioned_lines_query,
+    "refresh_key_sets": refresh.refresh_key_sets_query,
     "refresh_stream": io.refresh_stream_q,
     "refresh_stream_lines": io.refresh_stream_lines_q,
     # 2D sources and sinks
@@ -47,6 +51,7 @@ OPERATORS = {
     "load_csv_nodummy": io.load_csv_nodummy_q,
     "load_copy": io.load_copy_q,
     "load_counts": load_counts,
+    "load_counts_by_file": io.load_counts_by_file_q,
     "load_tables": io.load_tables_q,
     "write_delimited": io.write_delimited_q,
     "write_table": io.write_table_q,
@@ -56,11 +61,14 @@ OPERATORS = {
     "layout_hash": io.layout_hash_q,
     "layout_bucketed": io.layout_bucketed_q,
     "layout_minmax": io.layout_minmax_q,
+    "layout_interleaved": io.layout_interleaved_q,
+    "layout_sorted": io.layout_sorted_q,
     "layout_random": io.layout_random_q,
     "layout_compress": io.layout_compress_q,
     "recreate_schema": io.recreate_schema_q,
     "compact": io.compact_q,
     "stats": io.stats_q,
+    "stats_by_partition": io.stats_by_partition_q,
     # 2I run-log reports
     "runlog_load": io.runlog_load_q,
     "report_queries": io.report_queries_q,
@@ -73,22 +81,22 @@ OPERATORS = {
     # 2C windows
     "w_row_number": windows.w_row_number,
     "w_rank": windows.w_rank,
+    # 2C plans with run statistics
+    "plan_statistics": io.plan_statistics_q,
 }
 
 
-def _on_catalog(fn) -> Callable[[SparkSession, str], DataFrame]:
+def _on_catalog(fn, complete: bool) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Catalog(spark, sf_dir, complete=True))
+        return fn(Catalog(spark, sf_dir, complete=complete))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
 
 
-def registered_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = {k: _on_catalog(f) for k, f in QUERIES.items()}
-    out.update({k: _on_catalog(f) for k, f in VARIANTS.items()})
-    out.update({k: _on_catalog(f) for k, f in OPERATORS.items()})
-    return out
+def registered_queries(complete: bool = True) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every key; ``complete`` derives the columns and the partsupp table that a data set lacks (see ``Catalog``)."""
+    return {k: _on_catalog(f, complete) for group in (QUERIES, VARIANTS, OPERATORS) for k, f in group.items()}
 
 
 def oracle_statements() -> dict[str, str]:

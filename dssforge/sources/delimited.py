@@ -90,13 +90,22 @@ def load_delimited(spark: SparkSession, path: str, table: str | None = None, sch
     ``dummy=True`` expects the trailing separator of the benchmark's files;
     ``dummy=False`` reads files without it.
     """
-    fields = schema_fields(schema or TBL_SCHEMAS[table])
+    return parse_lines(spark.read.text(path), schema or TBL_SCHEMAS[table], dummy)
+
+
+def parse_lines(lines: DataFrame, schema: str, dummy: bool = True) -> DataFrame:
+    """Typed columns of ``schema`` in place of the text column ``value``; other columns stay, before them.
+
+    Works on a stream of lines as on a table of them.
+    """
+    fields = schema_fields(schema)
+    others = [x for x in lines.columns if x != "value"]
     end = "" if dummy else "|"
     found = F.regexp_extract_all(F.concat(F.col("value"), F.lit(end)), F.lit(_FIELD), 1)
     whole = F.regexp_like(F.concat(F.col("value"), F.lit(end)), F.lit(f"(?s)^(?:{_FIELD})*+$"))
     wrong = F.raise_error(F.concat(F.lit(f"not {len(fields)} fields: "), F.col("value"))).cast("array<string>")
-    cut = spark.read.text(path).select(F.when(whole & (F.size(found) == len(fields)), found).otherwise(wrong).alias("f"))
-    return cut.select(*[_parse(F.get("f", F.lit(i)), name, kind) for i, (name, kind) in enumerate(fields)])
+    cut = lines.select(*others, F.when(whole & (F.size(found) == len(fields)), found).otherwise(wrong).alias("f"))
+    return cut.select(*others, *[_parse(F.get("f", F.lit(i)), name, kind) for i, (name, kind) in enumerate(fields)])
 
 
 def load_delete_keys(spark: SparkSession, path: str, dummy: bool = True) -> DataFrame:

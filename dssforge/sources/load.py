@@ -10,12 +10,13 @@ groups. The result is the loader's row-count report.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dssforge.operators.layout import write_sorted
-from dssforge.sources.delimited import load_delimited
-from dssforge.sources.tables import TABLE_NAMES, union_all
+from dssforge.session import scratch_path
+from dssforge.sources.delimited import TBL_SCHEMAS, parse_lines
+from dssforge.sources.tables import TABLE_NAMES
 
 # Date column each fact table is clustered by, then its key (to split large days).
 SORT_KEYS = {"lineitem": (["l_shipdate"], ["l_orderkey", "l_linenumber"]),
@@ -26,22 +27,52 @@ def load_tables(spark: SparkSession, src: str, dst: str, tables: list[str] | Non
                 pattern: str = "{table}.tbl*", dummy: bool = True, compression: str = "snappy",
                 compression_options: dict | None = None) -> DataFrame:
     """Load table files into ``dst``; returns (table_name, tuples) per loaded table."""
-    counts = []
+    counted = load_counted(spark, src, dst, tables, pattern, dummy, compression, compression_options)
+    return counted.groupBy("table_name").agg(F.sum("tuples").alias("tuples"))
+
+
+#: Source files whose rows are told apart by the sketch on the write, which is exact while it holds all of them.
+OBSERVED_FILES, SKETCH_ITEMS = 9_000, 1 << 17
+
+
+def load_counted(spark: SparkSession, src: str, dst: str, tables: list[str] | None = None,
+                 pattern: str = "{table}.tbl*", dummy: bool = True, compression: str = "snappy",
+                 compression_options: dict | None = None) -> DataFrame:
+    """Load table files into ``dst``; returns (table_name, source_file, tuples), the rows inserted from each file
+    (its folder and name).
+
+    The counts are observed on the write itself (a count, and a frequent-items sketch over the file
+    names, which keeps every name while they are at most ``OBSERVED_FILES``), so what was loaded is
+    not read again. A file without rows has no line of its own; a table without rows has one, with 0. A
+    table of more files has one line for all of them.
+    """
+    found = []
     for table in tables or TABLE_NAMES:
-        df = load_delimited(spark, f"{src.rstrip('/')}/{pattern.format(table=table)}", table, dummy=dummy)
+        path = f"{src.rstrip('/')}/{pattern.format(table=table)}"
+        lines = spark.read.text(path)
+        few_files = len(lines.inputFiles()) <= OBSERVED_FILES
+        seen = Observation()
+        names = F.call_function("approx_top_k", F.col("source_file"), F.lit(OBSERVED_FILES), F.lit(SKETCH_ITEMS)) if few_files else F.lit(None)
+        told = lines.select("value", F.regexp_extract("_metadata.file_path", r"[^/]+/[^/]+$", 0).alias("source_file"))
+        df = parse_lines(told, TBL_SCHEMAS[table], dummy).observe(seen, F.count(F.lit(1)).alias("rows"), names.alias("per_file")).drop("source_file")
         out = f"{dst.rstrip('/')}/{table}.parquet"
         if table in SORT_KEYS:
             dates, spread = SORT_KEYS[table]
-            write_sorted(df, out, dates, compression=compression, spread_cols=spread,
-                         options=compression_options)
+            # Parsed rows are written once before they are ranged: drawing the ranges would run the observed read twice.
+            staged = scratch_path(spark, f"parsed-{table}")
+            df.write.parquet(staged)
+            write_sorted(spark.read.schema(df.schema).parquet(staged), out, dates, compression=compression, spread_cols=spread, options=compression_options)
         else:
             w = df.write.mode("errorifexists").option("compression", compression)
             for k, v in (compression_options or {}).items():
                 w = w.option(k, v)
             w.parquet(out)
-        counts.append(spark.read.parquet(out).agg(F.count(F.lit(1)).alias("tuples"))
-                      .select(F.lit(table).alias("table_name"), "tuples"))
-    return union_all(counts)
+        rows, per_file = seen.get["rows"], seen.get["per_file"]
+        files = [(table, r["item"], r["count"]) for r in per_file or []]
+        if sum(n for _, _, n in files) != rows:
+            files = [(table, None, rows)]
+        found += files or [(table, None, rows)]
+    return spark.createDataFrame(found, "table_name string, source_file string, tuples bigint")
 
 
 def store_bucketed(cat, database: str, location: str, buckets: int):

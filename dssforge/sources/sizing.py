@@ -36,3 +36,22 @@ def written_parts(spark: SparkSession, path: str, target: int = TARGET_BYTES) ->
     return parts_for(stored_bytes(spark, path), target)
 
 
+#: Bytes of a stored row, about, bits of a runtime filter for each of its items, and the most bits of one filter.
+ROW_BYTES, BITS_PER_ITEM, MOST_FILTER_BITS = 64, 8, 1 << 30
+
+
+def size_runtime_filters(spark: SparkSession, *paths: str) -> int:
+    """Let runtime filters be made from sides as large as the tables at ``paths``; returns the items one is made for.
+
+    Spark builds a Bloom filter of a join's smaller side only while that side is under a fixed
+    10 MB, so at scale the filters in front of lineitem's shuffles vanish. The threshold and the
+    filter's size follow the bytes here, up to ``MOST_FILTER_BITS`` (128 MB); a filter of more items than
+    that holds is less selective, never wrong.
+    """
+    size = stored_bytes(spark, *paths)
+    items = max(1_000_000, min(size // ROW_BYTES, MOST_FILTER_BITS // BITS_PER_ITEM))
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    for name, value in (("creationSideThreshold", max(10 << 20, size)), ("expectedNumItems", items), ("maxNumItems", items),
+                        ("numBits", items * BITS_PER_ITEM), ("maxNumBits", max(67_108_864, items * BITS_PER_ITEM))):
+        spark.conf.set(f"{prefix}.{name}", str(value))
+    return items

@@ -19,6 +19,8 @@ Otherwise nothing is made up.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,16 +96,29 @@ def _completions() -> dict[str, dict[str, object]]:
     }
 
 
-# Typed tables per (session, path): reading a Parquet footer and analysing the
-# completion/cast projection costs driver round trips, so each table is
-# planned once per session. Call ``clear_table_cache`` after rewriting a path.
-_TABLE_CACHE: dict[tuple, DataFrame] = {}
+# Typed tables per (application, path): reading a Parquet footer and analysing the
+# completion/cast projection costs driver round trips, so a table is planned once for
+# each state of its files. The state is their listing (names, sizes, times), so a
+# replaced table is planned, and what is derived from it derived, anew.
+_TABLE_CACHE: dict[tuple, tuple[str, DataFrame]] = {}
 
 
 def clear_table_cache() -> None:
     _TABLE_CACHE.clear()
 
 
+def file_listing(spark: SparkSession, path: str) -> str | None:
+    """Digest of the files of a folder (and of its partition folders); None where nothing is there."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    found = [fs.listStatus(root), fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "*/*"))]
+    text = "".join(jvm.org.apache.commons.lang3.ArrayUtils.toString(x) for x in found if x is not None)
+    return hashlib.md5(re.sub(r"access_time=\d+", "", text).encode()).hexdigest()
+
+
 class Catalog:
     """Lazily loaded, typed and completed benchmark tables of one folder."""
 
@@ -120,6 +135,7 @@ class Catalog:
         self.sf_dir = sf_dir.rstrip("/")
         self.tables = dict(tables or {})
         self._cache: dict[str, DataFrame] = {}
+        self._listing: dict[str, str | None] = {}
         self._bounded: dict[str, bool] = {}
 
     # -- raw access -------------------------------------------------------
@@ -128,17 +144,11 @@ class Catalog:
             return f"table:{self.tables[name]}"
         return f"{self.sf_dir}/{name}.parquet"
 
-    def _exists(self, name: str) -> bool:
-        from pyspark.errors import AnalysisException
-        if name in self.tables:
-            return True
-        try:
-            self.spark.read.parquet(self.path(name))
-            return True
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":  # anything else is a damaged table
-                return False
-            raise
+    def listing(self, name: str) -> str | None:
+        """State of a table's files, looked up once per catalog."""
+        if name not in self._listing:
+            self._listing[name] = file_listing(self.spark, self.path(name))
+        return self._listing[name]
 
     def raw(self, name: str) -> DataFrame:
         if name in self.tables:
@@ -148,16 +158,25 @@ class Catalog:
     # -- typed tables -----------------------------------------------------
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            key = (self.spark.sparkContext.applicationId, self.complete, self.path(name))
-            if key not in _TABLE_CACHE:
-                if name == "partsupp" and self.complete and not self._exists("partsupp"):
-                    df = self._materialized("partsupp", self._derive_partsupp)
-                else:
-                    df = self._complete(name, self.raw(name)) if self.complete else self.raw(name)
-                _TABLE_CACHE[key] = self._typed(name, df)
-            self._cache[name] = _TABLE_CACHE[key]
+            self._cache[name] = self._planned(name)
         return self._cache[name]
 
+    def _planned(self, name: str) -> DataFrame:
+        if name in self.tables:
+            return self._typed(name, self._complete(name, self.raw(name)) if self.complete else self.raw(name))
+        derived = name == "partsupp" and self.complete and self.listing("partsupp") is None
+        if derived and "lineitem" in self.tables:
+            return self._typed(name, self._materialized("partsupp", self._derive_partsupp))
+        state = f"from {self.listing('lineitem')}" if derived else str(self.listing(name))
+        key = (self.spark.sparkContext.applicationId, self.complete, self.path(name))
+        if _TABLE_CACHE.get(key, ("",))[0] != state:
+            if derived:
+                df = self._materialized("partsupp", self._derive_partsupp)
+            else:
+                df = self._complete(name, self.raw(name)) if self.complete else self.raw(name)
+            _TABLE_CACHE[key] = state, self._typed(name, df)
+        return _TABLE_CACHE[key][1]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
             return self.table(name)
