@@ -9,9 +9,8 @@ kept when a hash of its doc_id, read as a number in [0, 1), lies below it.
 The fit is bounded: no cell's weight counts for more than its tokens can give,
 and what a full cell cannot take goes to the others of its margins.  A value
 whose target is more than all its tokens is kept whole, and the rest of its margin is
-shared out in proportion to the other targets, so ``fraction`` holds.
-``op5_mix_sources`` alone is defined (``ORACLE``) with the unbounded fit, whose
-probabilities are cut at 1: ``bounded=False``.
+shared out in proportion to the other targets, so ``fraction`` holds (without the
+bound, ``bounded=False``, probabilities are cut at 1 and the excess is lost).
 
 Only DataFrame functions are used.  Documents are read once into cell sums
 (partial aggregation; a hot source is one row per task) and once to be sampled;
@@ -157,24 +156,28 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, fraction: float = FRA
     """``docs`` with mix_tokens, mix_topic, mix_p and mix_kept appended; such columns are replaced."""
     scratch = Scratch(docs.sparkSession)
     docs = docs.drop("mix_tokens", "mix_topic", "mix_p", "mix_kept")
-    told = docs.withColumn("mix_tokens", tokens(F.col("text")))
-    kind = F.coalesce(F.col(topic_column).cast("string"), F.lit("")) if topic_column else topic(F.coalesce("text", F.lit("")), F.col("mix_tokens"))
-    told = told.withColumn("mix_topic", kind)
-    keyed = told.select(F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"))
+    # Columns go by their place meanwhile, so that any names of theirs are kept apart from those made here.
+    names, at = docs.columns, {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    told = docs.toDF(*at.values())
+    words, said = F.col(at["text"]).cast("string"), F.coalesce(F.col(at["text"]).cast("string"), F.lit(""))
+    told = told.withColumn("mix_tokens", tokens(words))
+    kind = F.coalesce(F.col(at[topic_column]).cast("string"), F.lit("")) if topic_column else topic(said, F.col("mix_tokens"))
+    told = told.withColumns({"mix_topic": kind, "mix_source": F.coalesce(F.col(at["source"]).cast("string"), F.lit("")), "mix_lang": F.coalesce(F.col(at["lang"]).cast("string"), F.lit(""))})
+    keyed = told.select(F.col("mix_source").alias("source"), F.col("mix_lang").alias("lang"), F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"))
     cells = scratch.keep(cells_of(keyed), "cells")
     targets = scratch.keep(tempered_targets(cells, temper), "targets") if targets is None else targets
     raked = rake(cells, attainable(cells, targets, scratch, fraction), scratch, rounds, fraction) if bounded else rake(cells, targets, scratch, rounds)
-    p = probabilities(raked, fraction)
-    p = scratch.keep(p.toDF("p_source", "p_lang", "p_topic", "mix_p"), "p")
-    same = (F.coalesce("source", F.lit("")) == F.col("p_source")) & (F.coalesce("lang", F.lit("")) == F.col("p_lang")) & (F.col("mix_topic") == F.col("p_topic"))
+    p = scratch.keep(probabilities(raked, fraction).toDF("p_source", "p_lang", "p_topic", "mix_p"), "p")
+    same = (F.col("mix_source") == F.col("p_source")) & (F.col("mix_lang") == F.col("p_lang")) & (F.col("mix_topic") == F.col("p_topic"))
     out = told.join(small(p, 200_000), same, "left").withColumn("mix_p", F.coalesce("mix_p", F.lit(1.0)))
-    return out.select(*docs.columns, "mix_tokens", "mix_topic", "mix_p", (uniform(F.col("doc_id")) < F.col("mix_p")).alias("mix_kept"))
+    kept = uniform(F.col(at["doc_id"])) < F.col("mix_p")
+    return out.select(*at.values(), "mix_tokens", "mix_topic", "mix_p", kept.alias("mix_kept")).toDF(*names, "mix_tokens", "mix_topic", "mix_p", "mix_kept")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """``op5_mix_sources``: cell, probability and decision for every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    return mix(docs, bounded=False).select(
+    return mix(docs).select(
         "doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"),
         F.round("mix_p", 6).alias("p"), F.col("mix_kept").alias("kept"))
 
@@ -184,8 +187,13 @@ def _oracle() -> str:
     for k in range(ROUNDS * len(MARGINS)):
         m = MARGINS[k % len(MARGINS)]
         steps.append(f"""r{k + 1} AS MATERIALIZED (
-  SELECT r.source, r.lang, r.topic, r.n, r.w * coalesce(t.share, 0) / sum(r.w) OVER (PARTITION BY r.{m}) AS w
-  FROM r{k} r LEFT JOIN targets t ON t.margin = '{m}' AND t.value = r.{m})""")
+  SELECT source, lang, topic, n, most, CASE
+      WHEN goal > total THEN CASE WHEN free > 0 THEN w * (goal - held) / free ELSE w END
+      WHEN total > 0 THEN w * goal / total ELSE 0 END AS w
+  FROM (SELECT r.*, coalesce(t.share, 0) AS goal, sum(least(w, most)) OVER v AS total,
+               sum(CASE WHEN w >= most THEN most ELSE 0 END) OVER v AS held, sum(CASE WHEN w >= most THEN 0 ELSE w END) OVER v AS free
+        FROM r{k} r LEFT JOIN attained t ON t.margin = '{m}' AND t.value = r.{m} WINDOW v AS (PARTITION BY r.{m})) x)""")
+    most = " UNION ALL ".join(f"SELECT '{m}' AS margin, {m} AS value, sum(n) / (any_value(all_n) * {FRACTION}) AS most FROM cells, whole GROUP BY {m} HAVING sum(n) > 0" for m in MARGINS)
     shares = " UNION ALL ".join(f"SELECT '{m}' AS margin, {m} AS value, pow(sum(n), {TEMPER}) AS w FROM cells GROUP BY {m} HAVING sum(n) > 0" for m in MARGINS)
     return rf"""
 WITH told AS (
@@ -200,10 +208,18 @@ WITH told AS (
   FROM told
 ), cells AS MATERIALIZED (SELECT s AS source, l AS lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS n FROM doc GROUP BY ALL
 ), shares AS ({shares}
+), whole AS (SELECT coalesce(nullif(sum(n), 0), 1.0) AS all_n FROM cells
 ), targets AS MATERIALIZED (SELECT margin, value, w / sum(w) OVER (PARTITION BY margin) AS share FROM shares
-), r0 AS MATERIALIZED (SELECT source, lang, topic, n, n / sum(n) OVER () AS w FROM cells WHERE n > 0
+), goals AS MATERIALIZED (SELECT margin, value, share, most FROM targets JOIN ({most}) USING (margin, value) WHERE share > 0
+), reach AS (SELECT least(1.0, min(total)) AS reach FROM (SELECT sum(most) AS total FROM goals GROUP BY margin)
+), filled AS (
+  SELECT *, coalesce(sum(most) OVER (PARTITION BY margin ORDER BY most / share, value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+         sum(share) OVER (PARTITION BY margin ORDER BY most / share, value ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM goals
+), scales AS (SELECT margin, max((reach - held) / open) AS scale FROM filled, reach WHERE (reach - held) / open <= most / share GROUP BY margin
+), attained AS MATERIALIZED (SELECT margin, value, least(most, share * coalesce(scale, 'infinity')) AS share FROM goals LEFT JOIN scales USING (margin)
+), r0 AS MATERIALIZED (SELECT source, lang, topic, n, n / sum(n) OVER () AS w, n / (all_n * {FRACTION}) AS most FROM cells, whole WHERE n > 0
 ), {", ".join(steps)}
-, p AS (SELECT source, lang, topic, least(1.0, w / n * sum(n) OVER () * {FRACTION}) AS p FROM r{ROUNDS * len(MARGINS)})
+, p AS (SELECT source, lang, topic, least(1.0, least(w, most) / n * sum(n) OVER () * {FRACTION}) AS p FROM r{ROUNDS * len(MARGINS)})
 SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, round(coalesce(p.p, 1.0), 6) AS p,
        CAST(('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT) / 4503599627370496.0 < coalesce(p.p, 1.0) AS kept
 FROM doc d LEFT JOIN p ON d.s = p.source AND d.l = p.lang AND d.topic = p.topic
