@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
-from dssforge.llm.store import Scratch
+from dssforge.llm.store import Scratch, mapped, quoted
 
 WINDOW = 10
 MAX_WINDOWS = 200_000
@@ -192,10 +192,6 @@ _TOLD = "n_words long, candidates array<struct<words:binary,first:long,size:long
 _TOLD_ARROW = pa.schema([("n_words", pa.int64()), ("candidates", pa.list_(pa.struct([("words", pa.binary()), *((k, pa.int64()) for k in ("first", "size", "start", "end"))])))])
 
 
-def _columns(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-
-
 def hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, text: str = "text", max_windows: int | None = None) -> DataFrame:
     """``docs`` with n_words, n_hit, item_ids and spans (byte offsets of hit ranges) appended, for a benchmark of any size.
 
@@ -229,7 +225,7 @@ def _by_broadcast(docs: DataFrame, rows: list, text: str) -> DataFrame:
     look = _Filter(sorted({r["size"] for r in rows}), _bitmap(np.array([r["hash"] for r in rows], dtype=np.int64), FILTER_BITS), keys)
     shared = docs.sparkSession.sparkContext.broadcast(look)
     docs = docs.drop(*_FOUND_ARROW.names)
-    return docs.mapInArrow(_scan_exact(shared, docs.columns.index(text), _FOUND_ARROW), f"{_columns(docs)}, {_FOUND}")
+    return mapped(docs, _scan_exact(shared, docs.columns.index(text), _FOUND_ARROW), _FOUND)
 
 
 def _by_join(docs: DataFrame, windows: DataFrame, count: int, text: str) -> DataFrame:
@@ -251,7 +247,7 @@ def _by_join(docs: DataFrame, windows: DataFrame, count: int, text: str) -> Data
 
     docs = docs.drop(*_FOUND_ARROW.names)
     names = docs.columns
-    told = docs.mapInArrow(_scan_candidates(shared, names.index(text), _TOLD_ARROW), f"{_columns(docs)}, {_TOLD}")
+    told = mapped(docs, _scan_candidates(shared, names.index(text), _TOLD_ARROW), _TOLD)
     told = told.toDF(*(f"d{k}" for k in range(len(names))), *_TOLD_ARROW.names).withColumn("row", F.monotonically_increasing_id())
     told = Scratch(docs.sparkSession).keep(told, "told")
     owners = windows.groupBy("words").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
@@ -294,9 +290,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         raise ValueError(remove)
     found = hits(docs, benchmark, n, text, max_windows)
     if remove == "documents":
-        return found.where("n_hit = 0").select(*docs.columns)
-    schema = found.schema
-    return found.mapInArrow(_cut(found.columns.index(text), found.columns.index("spans")), schema).select(*docs.columns)
+        return found.where("n_hit = 0").select(*map(quoted, docs.columns))
+    return mapped(found, _cut(found.columns.index(text), found.columns.index("spans")), "").select(*map(quoted, docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ tree over its bins (two cuts) is fitted to the current gradient and added, at a
 small rate, to its table.  Then the pairs whose best quadrant cut still gains most
 are boosted the same way.  Scoring is bin lookup and addition on whole columns.
 
-Fitting uses a bounded sample (``training.SAMPLE_PER_CLASS`` documents per class, of
-at most ``training.SAMPLE_TEXT_BYTES`` bytes); scoring reads whole texts.
+Fitting uses a bounded sample (``training.SAMPLE_PER_CLASS`` documents per class, whole texts,
+whose figures are computed in Spark); scoring reads whole texts.
 
 Defined results: null, empty or blank text has zeros for figures and is scored
 like any other; each row is scored on its own; with labels of one class only,
@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
+from dssforge.llm.store import Scratch, mapped
 from dssforge.llm.training import held_out, labelled_sample, sigmoid
 
 PARTS, HELD_OUT_PART, THRESHOLD = 4, 2, 0.7
@@ -208,11 +209,21 @@ def fit(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> Model:
     return model
 
 
+def _sample_figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, hi, data, at in B.slices(batch.column(1)):
+            x = figures(data, at)
+            yield pa.record_batch([batch.column(0).slice(lo, hi - lo), *(pa.array(c) for c in x.T)], ["y", *FEATURES])
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled rows that are not held out."""
-    texts, y, weights = labelled_sample(docs, labels, "quality", PARTS, HELD_OUT_PART)
-    rows = [figures(data, at) for _, _, data, at in B.slices(pa.array(texts, pa.large_string()))]
-    return fit(np.concatenate(rows) if rows else np.zeros((0, len(FEATURES))), y, weights)
+    sample = labelled_sample(docs, labels, "quality", PARTS, HELD_OUT_PART, Scratch(docs.sparkSession))
+    if not 0 < sample.share < 1:
+        return Model(40.0 if sample.share == 1 else -40.0)
+    rows = sample.rows.mapInArrow(_sample_figures, "y int, " + ", ".join(f"{name} double" for name in FEATURES)).toPandas()
+    y = rows["y"].to_numpy(np.float64)
+    return fit(rows[list(FEATURES)].to_numpy(), y, np.where(y > 0, sample.weights[1], sample.weights[0]))
 
 
 def _score(shared, text_at: int):
@@ -230,8 +241,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with quality_score (0 to 1) appended; such a column is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("quality_score")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", quality_score double"
-    return docs.mapInArrow(_score(shared, docs.columns.index(text)), schema)
+    return mapped(docs, _score(shared, docs.columns.index(text)), "quality_score double")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

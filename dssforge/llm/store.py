@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL: dict[str, str] = {}
 
@@ -72,3 +74,15 @@ def few(df: DataFrame, rows: int) -> DataFrame:
 def fewer_tasks(df: DataFrame, rows: int) -> DataFrame:
     """``df`` in as few tasks as a counted bound of its rows asks for, where that is few."""
     return df.coalesce(rows // ROWS_PER_TASK + 1) if rows <= BROADCAST_IDS else df
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def mapped(df: DataFrame, task: Callable, extra: str) -> DataFrame:
+    """``df`` through Arrow tasks that append the columns ``extra`` (a schema); columns of any name stay as they are."""
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    more = T._parse_datatype_string(extra).fields if extra else []
+    return plain.mapInArrow(task, T.StructType([*plain.schema.fields, *more])).toDF(*df.columns, *(f.name for f in more))

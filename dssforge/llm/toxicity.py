@@ -16,9 +16,10 @@ the offending spans (``SPAN_AT``), and a document's score is a logistic
 function of its expected number of toxic words, the highest marginal (as
 log-odds) and the share of toxic words.
 
-Fitting uses a bounded sample (``training.SAMPLE_PER_CLASS`` documents per class, of
-at most ``training.SAMPLE_TEXT_BYTES`` bytes, ``MAX_TOKENS`` words).  Scoring reads
-whole texts.
+Fitting uses a bounded sample (``training.SAMPLE_PER_CLASS`` documents per class, whole
+texts).  Lines are hashed, made distinct and tested in Spark; the driver gets the feature
+hashes of at most ``MAX_TOKENS`` words, those of lines with marked words first, and three figures
+per sampled document.  Scoring reads whole texts.
 
 Defined results: null, empty or wordless text has no spans and the score of a
 text without toxic words; each row is scored on its own; with labels of one
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
-from dssforge.llm.training import labelled_sample, logistic, sigmoid
+from dssforge.llm.store import Scratch, mapped, small
+from dssforge.llm.training import Sample, labelled_sample, logistic, sigmoid
 
 PARTS, HELD_OUT_PART, THRESHOLD = 3, 1, 0.7
 SPAN_AT = 0.5
 TABLE = 1 << 18
-MAX_TOKENS, LONGEST_CHAIN = 300_000, 256
+MAX_TOKENS, LONGEST_CHAIN = 400_000, 256
 _PREFIXES, _SUFFIX = (3, 4, 5, 6, 8), 3
 
 
@@ -135,104 +138,154 @@ def document_figures(p: np.ndarray, text: np.ndarray) -> np.ndarray:
     return np.column_stack([np.log1p(expected), np.log(top / (1 - top)), np.sqrt(expected / np.maximum(n, 1))])
 
 
-def distinct_lines(c: Chains, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First copy of each distinct line (index of the line), and whether all its copies are in texts marked toxic."""
+def line_names(c: Chains) -> np.ndarray:
+    """A 64-bit name of each line's words."""
     seat = np.arange(len(c.starts)) - np.repeat(c.chain[:-1], np.diff(c.chain))
-    names = np.add.reduceat(B.mix(c.features[:, 0] + B.mix(seat.astype(np.uint64))), c.chain[:-1])
-    _, first, group = np.unique(names, return_index=True, return_inverse=True)
-    clean = np.bincount(group, weights=1 - np.repeat(y, np.diff(c.text))[c.chain[:-1]], minlength=len(first))
-    return first, clean == 0
-
-
-def suspects(c: Chains, lines: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Words with a feature that marks toxic lines, by a likelihood-ratio test over the distinct lines (see the module)."""
-    lengths = np.diff(c.chain)[lines]
-    words = np.concatenate([np.arange(c.chain[i], c.chain[i + 1]) for i in lines])
-    owner = np.repeat(np.arange(len(lines)), lengths)
-    found = np.zeros(len(c.starts), dtype=bool)
-    share_of = toxic.astype(np.float64)
-    n_toxic, n = share_of.sum(), len(lines)
-    base = n_toxic / n
-    if not 0 < base < 1:
-        return found
-    for k in range(c.features.shape[1] - 1):  # endings are too common to mark a word by themselves
-        names, name = np.unique(c.features[words, k], return_inverse=True)
-        pairs = np.unique(name.astype(np.int64) * n + owner)
-        of, line = pairs // n, pairs % n
-        bad = np.bincount(of, weights=share_of[line], minlength=len(names))
-        df = np.bincount(of, minlength=len(names))
-        share = bad / df
-        with np.errstate(divide="ignore", invalid="ignore"):
-            g = 2 * (np.where(bad > 0, bad * np.log(share / base), 0) + np.where(df > bad, (df - bad) * np.log((1 - share) / (1 - base)), 0))
-        odds = (bad + 0.5) / (n_toxic + 1) / ((df - bad + 0.5) / (n - n_toxic + 1))
-        strong = (g > 2 * np.log(len(names) + 1) + 2) & (odds > 4)
-        found[words] |= strong[name]
-    return found
-
-
-def fit(texts: list[str], y: np.ndarray, weights: np.ndarray, steps: int = 60) -> Model:
-    """Fit the field to token labels, then the document score to ``y``."""
-    empty = Model(np.zeros(TABLE), np.zeros((2, 2)), 0.0, -10.0, np.zeros(4))
-    share = float(np.average(y, weights=weights)) if len(y) else 0.0
-    if not 0 < share < 1:
-        empty.document[-1] = 40.0 if share == 1 else -40.0
-        return empty
-    column = pa.array(texts, pa.large_string())
-    (_, _, data, at), = B.slices(column, 1 << 62)
-    c = chains(data, at)
-    if not len(c.starts):
-        empty.document = logistic(np.zeros((len(y), 3)), y, weights)
-        return empty
-    lines, toxic = distinct_lines(c, y)
-    suspect = suspects(c, lines, toxic)
-    tags = suspect & (np.repeat(y, np.diff(c.text)) > 0)
-    lengths = np.diff(c.chain)
-    marked = np.add.reduceat(suspect.astype(np.int64), c.chain[:-1])[lines] > 0
-    # Distinct lines with such words first, toxic or clean, then others in the order of a hash of their first word.
-    order = lines[np.lexsort((B.mix(c.features[c.chain[lines], 0] + lines.astype(np.uint64)), ~marked))]
-    order = order[np.cumsum(lengths[order]) <= MAX_TOKENS]
-    picked = np.concatenate([np.arange(c.chain[i], c.chain[i + 1]) for i in order]) if len(order) else np.zeros(0, int)
-    cut = np.concatenate([[0], np.cumsum(np.concatenate([_pieces(lengths[i]) for i in order]))]) if len(order) else np.zeros(1, int)
-    seat = (c.features[picked] & np.uint64(TABLE - 1)).astype(np.int64)
-    target = tags[picked].astype(np.float64)
-    model = _fit_field(seat, target, np.repeat(weights, np.diff(c.text))[picked], cut, empty, steps)
-    figures = document_figures(model.marginals(c), c.text)
-    model.document = logistic(figures, y, weights)
+    return np.add.reduceat(B.mix(c.features[:, 0] + B.mix(seat.astype(np.uint64))), c.chain[:-1]) if len(c.starts) else np.zeros(0, np.uint64)
+
+
+def constant(share: float) -> Model:
+    """The model of labels of one class only."""
+    return Model(np.zeros(TABLE), np.zeros((2, 2)), 0.0, -10.0, np.array([0.0, 0.0, 0.0, 40.0 if share == 1 else -40.0]))
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(name, y, n, features) of every line of rows (y, text); a word has a 64-bit hash for each kind of feature."""
+    for batch in batches:
+        for lo, hi, data, at in B.slices(batch.column(1)):
+            c = chains(data, at)
+            text = np.searchsorted(c.text, c.chain[:-1], side="right") - 1
+            y, width = batch.column(0).slice(lo, hi - lo), c.features.shape[1] * 8
+            raw = pa.py_buffer(np.ascontiguousarray(c.features))
+            kept = pa.Array.from_buffers(pa.large_binary(), len(text), [None, pa.py_buffer((c.chain * width).astype(np.int64)), raw])
+            cols = [pa.array(B.signed(line_names(c))), y.take(pa.array(text)), pa.array(np.diff(c.chain).astype(np.int32)), kept]
+            yield pa.record_batch(cols, ["name", "y", "n", "features"])
+
+
+def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(name, y, kind, feature) of rows (name, y, features): each feature of a line once; endings are too common to mark a word."""
+    for batch in batches:
+        names, ys = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+        for i, raw in enumerate(batch.column(2)):
+            table = np.frombuffer(raw.as_buffer(), np.uint64).reshape(-1, len(_PREFIXES) + 2)
+            for k in range(table.shape[1] - 1):
+                found = B.signed(np.unique(table[:, k]))
+                cols = [pa.array(np.full(len(found), names[i])), pa.array(np.full(len(found), ys[i], np.int32)), pa.array(np.full(len(found), k, np.int32)), pa.array(found)]
+                yield pa.record_batch(cols, ["name", "y", "kind", "feature"])
+
+
+def _strong(features: DataFrame, lines: int, toxic: int, scratch: Scratch) -> DataFrame:
+    """(kind, feature) of features that mark toxic lines, by a likelihood-ratio test over the distinct lines (see the module)."""
+    seen = scratch.keep(features.groupBy("kind", "feature").agg(F.count("*").alias("df"), F.sum("y").alias("bad")), "seen")
+    names = {r["kind"]: r["count"] for r in seen.groupBy("kind").count().collect()}  # one row per kind of feature
+    base, bad, df = toxic / lines, F.col("bad"), F.col("df")
+
+    def part(count, share, of: float):
+        return F.when(count > 0, count * F.log(share / of)).otherwise(0.0)
+
+    g = 2 * (part(bad, bad / df, base) + part(df - bad, (df - bad) / df, 1 - base))
+    odds = (bad + 0.5) / (toxic + 1) / ((df - bad + 0.5) / (lines - toxic + 1))
+    enough = reduce(lambda out, k: out.when(F.col("kind") == k, F.lit(2 * float(np.log(names[k] + 1)) + 2)), names, F.when(F.lit(False), F.lit(0.0)))
+    return scratch.keep(seen.where((g > enough) & (odds > 4)).select("kind", "feature"), "strong")
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from the labelled rows that are not held out."""
+    scratch = Scratch(docs.sparkSession)
+    sample = labelled_sample(docs, labels, "toxic", PARTS, HELD_OUT_PART, scratch)
+    if not 0 < sample.share < 1:
+        return constant(sample.share)
+    return fit(sample, scratch)
+
+
+def fit(sample: Sample, scratch: Scratch, steps: int = 60) -> Model:
+    """Fit the field to token labels, then the document score to the documents' labels."""
+    spark = scratch.spark
+    lines = sample.rows.mapInArrow(_lines, "name long, y int, n int, features binary")
+    # Copies of a line count once, as a toxic line only where all of them are in toxic documents.
+    lines = scratch.keep(lines.groupBy("name").agg(F.min("y").alias("y"), F.min("n").alias("n"), F.min("features").alias("features")), "lines")
+    size = lines.agg(F.count("*").alias("lines"), F.coalesce(F.sum("y"), F.lit(0)).alias("toxic")).first()
+    model = Model(np.zeros(TABLE), np.zeros((2, 2)), 0.0, -10.0, np.zeros(4))
+    if 0 < size["toxic"] < size["lines"]:
+        features = scratch.keep(lines.select("name", "y", "features").mapInArrow(_kinds, "name long, y int, kind int, feature long"), "features")
+        strong = small(_strong(features, size["lines"], size["toxic"], scratch))
+        marked = features.join(strong, ["kind", "feature"], "left_semi").select("name").distinct().withColumn("marked", F.lit(1))
+        # Lines with such words first, toxic or clean, then others in the order of a hash.
+        told = lines.select("name", "n", "y").join(marked, "name", "left").orderBy(F.coalesce("marked", F.lit(0)).desc(), F.xxhash64("name"), "name").limit(MAX_TOKENS)
+        told = told.select("name", "n").toPandas()
+        picked = told["name"][told["n"].cumsum() <= MAX_TOKENS]
+        picks = F.broadcast(spark.createDataFrame(picked.to_frame("pick"), "pick long"))
+        rows = lines.join(picks, F.col("name") == F.col("pick"), "left_semi").orderBy("name").select("y", "features").toArrow()
+        marks = features.join(strong, ["kind", "feature"], "left_semi").join(picks, F.col("name") == F.col("pick"), "left_semi")
+        marks = marks.select("kind", "feature").distinct().toPandas()  # features of the picked words at most
+        kinds = len(_PREFIXES) + 2
+        table = [np.frombuffer(raw.as_buffer(), np.uint64).reshape(-1, kinds) for chunk in rows["features"].chunks for raw in chunk]
+        n = np.array([len(t) for t in table])
+        table = np.concatenate(table) if len(table) else np.zeros((0, kinds), np.uint64)
+        toxic = np.repeat(np.array(rows["y"].to_pylist(), np.int64), n) if len(n) else np.zeros(0, np.int64)
+        suspect = np.zeros(len(table), dtype=bool)
+        for k in range(kinds - 1):
+            suspect |= np.isin(B.signed(np.ascontiguousarray(table[:, k])), marks["feature"][marks["kind"] == k].to_numpy())
+        cut = np.concatenate([[0], np.cumsum(np.concatenate([_pieces(x) for x in n]))]) if len(n) else np.zeros(1, int)
+        seat = (table & np.uint64(TABLE - 1)).astype(np.int32)
+        weight = np.where(toxic > 0, sample.weights[1], sample.weights[0])
+        model = _fit_field(seat, (suspect & (toxic > 0)).astype(np.float64), weight, cut, model, steps)
+    figures = sample.rows.mapInArrow(_document_figures(model), "y int, f0 double, f1 double, f2 double").toPandas()
+    y = figures["y"].to_numpy(np.float64)
+    model.document = logistic(figures[["f0", "f1", "f2"]].to_numpy(), y, np.where(y > 0, sample.weights[1], sample.weights[0]))
     return model
 
 
+def _document_figures(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, at in B.slices(batch.column(1)):
+                c = chains(data, at)
+                found = document_figures(model.marginals(c), c.text)
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), *(pa.array(found[:, k]) for k in range(3))], ["y", "f0", "f1", "f2"])
+
+    return run
+
+
 def _pieces(n: int) -> np.ndarray:
     """Lengths of the chains that a training line of ``n`` words is cut into."""
     return np.diff(np.append(np.arange(0, n, LONGEST_CHAIN), n))
 
 
-def _fit_field(seat: np.ndarray, target: np.ndarray, weight: np.ndarray, chain: np.ndarray, model: Model, steps: int) -> Model:
-    """Maximum likelihood, words weighted as their texts, with a small ridge, by adaptive gradient steps."""
-    n, kinds = seat.shape
-    inner = np.ones(n, dtype=bool)
+def field_gradient(x: np.ndarray, seat: np.ndarray, target: np.ndarray, weight: np.ndarray, chain: np.ndarray, table: int = TABLE) -> np.ndarray:
+    """Gradient of the weighted negative log-likelihood of the tags by x: word weights, start, bias, transitions."""
+    inner = np.ones(len(seat), dtype=bool)
     inner[chain[:-1]] = False
     now = np.flatnonzero(inner)
-    y = target.astype(int)
+    y = target.astype(np.int8)
     seen = np.bincount(y[now - 1] * 2 + y[now], weights=weight[now], minlength=4)
-    # w, start, bias and transitions in one vector.
+    w, start, bias, t = x[:table], x[table], x[table + 1], x[table + 2 :].reshape(2, 2)
+    e = np.full(len(seat), bias)
+    for k in range(seat.shape[1]):
+        e += w[seat[:, k]]
+    a, b = messages(e, chain, t, start)
+    gradient = np.zeros_like(x)
+    gap = weight * (sigmoid(a + b) - target)
+    for k in range(seat.shape[1]):
+        gradient[:table] += np.bincount(seat[:, k], weights=gap, minlength=table)
+    gradient[table] = gap[chain[:-1]].sum()
+    gradient[table + 1] = gap.sum()
+    before, after = a[now - 1], e[now] + b[now]
+    joint = np.stack([t[0, 0] + 0 * before, t[0, 1] + after, t[1, 0] + before, t[1, 1] + before + after])
+    joint = np.exp(joint - joint.max(axis=0)) if len(now) else joint
+    gradient[table + 2 :] = (joint / joint.sum(axis=0)) @ weight[now] - seen
+    return gradient
+
+
+def _fit_field(seat: np.ndarray, target: np.ndarray, weight: np.ndarray, chain: np.ndarray, model: Model, steps: int) -> Model:
+    """Maximum likelihood, words weighted as their texts, with a small ridge, by adaptive gradient steps."""
+    # Word weights, start, bias and transitions in one vector; start and bias have no ridge.
     x, squares = np.zeros(TABLE + 6), np.full(TABLE + 6, 1e-8)
     x[TABLE + 1] = -3.0
+    ridge = np.full(TABLE + 6, 0.3)
+    ridge[TABLE : TABLE + 2] = 0.0
     for _ in range(steps):
-        w, start, bias, t = x[:TABLE], x[TABLE], x[TABLE + 1], x[TABLE + 2 :].reshape(2, 2)
-        e = w[seat].sum(axis=1) + bias
-        a, b = messages(e, chain, t, start)
-        p = sigmoid(a + b)
-        gradient = np.zeros_like(x)
-        gap = weight * (p - target)
-        for k in range(kinds):
-            gradient[:TABLE] += np.bincount(seat[:, k], weights=gap, minlength=TABLE)
-        gradient[TABLE] = gap[chain[:-1]].sum()
-        gradient[TABLE + 1] = gap.sum()
-        before, after = a[now - 1], e[now] + b[now]
-        joint = np.stack([t[0, 0] + 0 * before, t[0, 1] + after, t[1, 0] + before, t[1, 1] + before + after])
-        joint = np.exp(joint - joint.max(axis=0))
-        gradient[TABLE + 2 :] = (joint / joint.sum(axis=0)) @ weight[now] - seen
-        gradient += 0.3 * x * (np.arange(len(x)) < TABLE) + 0.3 * x * (np.arange(len(x)) >= TABLE + 2)
+        gradient = field_gradient(x, seat, target, weight, chain) + ridge * x
         squares += gradient * gradient
         x -= 0.5 * gradient / np.sqrt(squares)
     model.weights, model.start, model.bias, model.transitions = x[:TABLE].copy(), float(x[TABLE]), float(x[TABLE + 1]), x[TABLE + 2 :].reshape(2, 2).copy()
@@ -278,14 +331,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with toxicity (0 to 1) and toxic_spans (character offsets) appended; such columns are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("toxicity", "toxic_spans")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    schema += ", toxicity double, toxic_spans array<struct<start:long,end:long,probability:double>>"
-    return docs.mapInArrow(_score(shared, docs.columns.index(text)), schema)
-
-
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from the labelled rows that are not held out."""
-    return fit(*labelled_sample(docs, labels, "toxic", PARTS, HELD_OUT_PART))
+    return mapped(docs, _score(shared, docs.columns.index(text)), "toxicity double, toxic_spans array<struct<start:long,end:long,probability:double>>")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

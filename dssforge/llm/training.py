@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows per class that a classifier is fitted on, and the longest text among them in bytes.
-SAMPLE_PER_CLASS, SAMPLE_TEXT_BYTES = 1200, 1 << 15
+from dssforge.llm.store import Scratch
+
+#: Labelled documents per class that a classifier is fitted on; their texts are taken whole.
+SAMPLE_PER_CLASS = 2000
 
 
 def held_out(doc_id, parts: int, part: int):
@@ -15,26 +19,41 @@ def held_out(doc_id, parts: int, part: int):
     return F.crc32(doc_id.cast("string").cast("binary")) % parts == part
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int, per_class: int = SAMPLE_PER_CLASS) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Texts, labels and weights of at most ``per_class`` rows of each class, none of them held out.
+@dataclass
+class Sample:
+    """Written rows (y, text), and the weight of a row of each class (they restore the classes' shares, mean 1)."""
+
+    rows: DataFrame
+    weights: dict[int, float]
+    share: float  # of class 1 among all labelled rows; 0 without any
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int, scratch: Scratch, per_class: int = SAMPLE_PER_CLASS) -> Sample:
+    """At most ``per_class`` documents of each class, none of them held out.
 
-    Rows are taken in the order of a hash of their doc_id, so the sample does
-    not depend on the layout of the tables.  Weights restore the classes'
-    shares among all labelled rows.  Null labels and null texts take no part; a
-    doc_id labelled more than once counts with its largest label.
+    Documents are taken in the order of a hash of their doc_id, so the sample does
+    not depend on the layout of the tables.  Null labels and null texts take no part; a
+    doc_id labelled more than once counts with its largest label, one with several
+    texts with the least of them.  Texts stay in Spark; the driver sees at most ``4 * per_class`` ids.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), parts, part))
-    known = known.groupBy(F.col("doc_id").alias("id")).agg(F.max(label).alias("y"))
+    known = labels.select(F.col("doc_id").alias("id"), F.col(label).alias("y"))
+    known = known.where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id"), parts, part))
+    known = known.groupBy("id").agg(F.max("y").cast("int").alias("y"))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    order = F.xxhash64("id", F.lit(17))
     # Twice the rows, since a label may have no text here.
-    chosen = [known.where(F.col("y") == y).orderBy(F.xxhash64("id", F.lit(17)), "id").limit(2 * per_class) for y in (0, 1)]
-    ids = F.broadcast(chosen[0].unionByName(chosen[1]))
-    rows = docs.where(F.octet_length("text") <= SAMPLE_TEXT_BYTES).join(ids, F.col("doc_id") == F.col("id")).select("id", "y", F.xxhash64("id", F.lit(17)).alias("h"), "text")
-    parts_of = [rows.where(F.col("y") == y).orderBy("h", "id", "text").limit(per_class).toPandas() for y in (0, 1)]
-    texts = [t for p in parts_of for t in p["text"]]
-    y = np.concatenate([np.full(len(p), k, dtype=np.float64) for k, p in enumerate(parts_of)])
-    weights = np.concatenate([np.full(len(p), counts.get(k, 0) / max(len(p), 1)) for k, p in enumerate(parts_of)])
-    return texts, y, weights / max(weights.mean(), 1e-9) if len(weights) else weights
+    chosen = [known.where(F.col("y") == y).orderBy(order, "id").limit(2 * per_class) for y in (0, 1)]
+    texts = docs.select(F.col("doc_id").alias("of"), F.col("text").cast("string").alias("text")).where("text is not null")
+    met = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), F.col("of") == F.col("id"))
+    found = scratch.keep(met.groupBy("id", "y").agg(F.min("text").alias("text")), "labelled")
+    names = found.select("id", "y", order.alias("h")).toPandas().sort_values(["y", "h", "id"])
+    names = names.groupby("y").head(per_class)
+    sizes = names["y"].value_counts().to_dict()
+    picked = docs.sparkSession.createDataFrame([(x,) for x in names["id"].tolist()], f"pick {found.schema['id'].dataType.simpleString()}")
+    rows = found.join(F.broadcast(picked), F.col("id") == F.col("pick"), "left_semi").select("y", "text")
+    total = sum(counts.get(y, 0) for y in sizes)
+    weights = {int(y): counts[y] / n * (sum(sizes.values()) / total) for y, n in sizes.items()}
+    return Sample(scratch.keep(rows, "sample"), weights, counts.get(1, 0) / total if total and 1 in sizes else 0.0)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -1,7 +1,10 @@
 """The pipeline's stages, each against a plain version on its own input."""
 
+import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from dssforge.llm import mixing, toxicity
 from dssforge.llm.store import Scratch
@@ -54,3 +57,55 @@ def test_stages_take_odd_and_empty_tables(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = Scratch(spark).keep(stage(spark, docs, SF), "stage")
         docs.collect()
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["id", "y", "gone", "p_source", "mix_p", "n_hit", "toxicity", "kept", "a`b", "node", "hash"]
+    docs = odd_docs(spark).select("*", *(F.lit(i).alias(name) for i, name in enumerate(names)))
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = Scratch(spark).keep(stage(spark, docs, SF), "stage")
+        if name != "token_output":
+            assert docs.columns == columns and {r[-len(names):] for r in map(tuple, docs.collect())} <= {tuple(range(len(names)))}
+    assert docs.count() > 0
+
+
+def test_mixing_stage_meets_its_targets(spark):
+    """The stage's own input, raked and sampled once more in plain Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mixed = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    cells = {}
+    for r in mixed.values():
+        cells.setdefault((r.source or "", r.lang or "", r.mix_topic), []).append(r.mix_tokens)
+    n = {c: float(sum(t)) for c, t in cells.items() if sum(t)}
+    total = sum(n.values())
+    most = {c: x / (total * mixing.FRACTION) for c, x in n.items()}
+    goals = []
+    for m in range(3):
+        sums, full = {}, {}
+        for c, x in n.items():
+            sums[c[m]] = sums.get(c[m], 0.0) + x
+            full[c[m]] = full.get(c[m], 0.0) + most[c]
+        tempered = {v: x**mixing.TEMPER for v, x in sums.items()}
+        share = {v: x / sum(tempered.values()) for v, x in tempered.items()}
+        low, high = 0.0, 1e6
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(full[v], mid * s) for v, s in share.items()) < 1 else (low, mid)
+        goals.append({v: min(full[v], high * s) for v, s in share.items()})
+    w = {c: x / total for c, x in n.items()}
+    for step in range(3 * mixing.ROUNDS):
+        m, now = step % 3, dict(w)
+        for v, goal in goals[m].items():
+            own = [c for c in n if c[m] == v]
+            got = sum(min(w[c], most[c]) for c in own)
+            held, free = sum(most[c] for c in own if w[c] >= most[c]), sum(w[c] for c in own if w[c] < most[c])
+            for c in own:
+                now[c] = w[c] * ((goal - held) / free if free > 0 else 1.0) if goal > got else w[c] * goal / got
+        w = now
+    for r in mixed.values():
+        c = (r.source or "", r.lang or "", r.mix_topic)
+        want = min(1.0, min(w[c], most[c]) / n[c] * total * mixing.FRACTION) if c in n else 1.0
+        assert abs(r.mix_p - want) < 1e-6
+        drawn = int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:13], 16) / 2**52
+        assert r.mix_kept == (drawn < r.mix_p)
