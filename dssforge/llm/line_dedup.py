@@ -14,8 +14,13 @@ are verified by the banded bit-parallel recurrence: the 2 * edits + 1 diagonals
 a column are the bits of one long, and a column is advanced by a few logical
 operations and one addition.
 
+Before that, pairs are ruled out by their counts of ``COUNTED`` characters, two longs a line
+that shares a key: an edit changes two counts by one at most, so counts that differ by more than
+twice the edits cannot link. Such a pair is never made a row, not even in a bucket that
+many lines share which are no near copies of each other.
+
 Everything is DataFrame functions.  Line texts are not shuffled: rows carry 64-bit
-line hashes, and only candidate lines' texts are fetched, once each.  Buckets
+line hashes, and only texts of lines that share a key are fetched, once each.  Buckets
 are resolved without listing their pairs (``buckets.connect``); copies count as one
 line from the first aggregation on.
 
@@ -28,6 +33,8 @@ when equal.  Exact classes use 128 bits of hash, the edit join 64.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +42,33 @@ from dssforge.llm.buckets import connect, ends
 from dssforge.llm.store import Scratch, few, fewer_tasks, small
 
 EDITS, MIN_CHARS = 2, 30
+#: Share of all lines from which on a class is met by broadcast; at most 1 / HOT_SHARE classes are.
+HOT_SHARE = 1 / 10_000
+
+
+#: Characters that are counted, eight to a long (a count of more than 255 stands as 255).
+COUNTED = " etaonirshldcum."
+
+
+def histogram(line: Column) -> Column:
+    """Counts of the ``COUNTED`` characters of a line, as a struct of two longs."""
+    size = F.length(line)
+
+    def packed(characters: str) -> Column:
+        lanes = [F.shiftleft(F.least(size - F.length(F.replace(line, F.lit(x), F.lit(""))), F.lit(255)).cast("long"), 8 * i) for i, x in enumerate(characters)]
+        return reduce(lambda a, b: a.bitwiseOR(b), lanes)
+
+    return F.struct(packed(COUNTED[:8]).alias("lo"), packed(COUNTED[8:]).alias("hi"))
+
+
+def may_be_near(edits: int):
+    """Whether two histograms differ by no more than ``edits`` can change."""
+
+    def near(a: Column, b: Column) -> Column:
+        lanes = [F.abs(F.shiftrightunsigned(a[k], 8 * i).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b[k], 8 * i).bitwiseAND(F.lit(255))) for k in ("lo", "hi") for i in range(8)]
+        return reduce(lambda x, y: x + y, lanes) <= 2 * edits
+
+    return near
 
 
 def lines_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -153,15 +187,27 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CH
     shared = keyed.groupBy(F.col("key").alias("of")).agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least < most").select("of")
     shared = scratch.keep(shared, "shared")
     members = keyed.join(small(shared), F.col("key") == F.col("of"), "left_semi").groupBy("key", F.col("h").alias("id")).agg(F.max("anchor").alias("anchor"))
-    members = scratch.keep(members, "members")
-    names, n_nodes = connect(members, members.count(), _Links(scratch, long_lines.select("h", "line"), edits), scratch)
+    members = scratch.keep(members, "filed")
+    # Lines of shared keys are fetched once; every turn reads them from here.
+    ids = members.select(F.col("id").alias("of")).distinct()
+    met = long_lines.select("h", "line").join(small(scratch.keep(ids, "filed-ids")), F.col("h") == F.col("of"), "left_semi")
+    met = scratch.keep(met.groupBy("h").agg(F.first("line").alias("line")), "met")
+    met = scratch.keep(met.select("h", "line", histogram(F.col("line")).alias("mark")), "lines")
+    n_members = members.count()
+    members = scratch.keep(members.join(few(met.select("h", "mark"), n_members), F.col("id") == F.col("h")).drop("h"), "members")
+    names, n_nodes = connect(members, n_members, _Links(scratch, met.select("h", "line"), edits), scratch, near=may_be_near(edits))
 
     # Places: one row per line, then the first place of each exact line and of each class.
     places = scratch.keep(hashed.select("doc_id", "line_no", "h", F.xxhash64(F.lit(1), "line").alias("g")), "places")
     named = places.join(few(names, n_nodes), F.col("h") == F.col("node"), "left")
     named = named.select("doc_id", "line_no", F.coalesce("component", "h").alias("c"), F.when(F.col("component").isNull(), F.col("g")).otherwise(F.lit(0)).alias("g"))
-    first = named.groupBy(F.col("c").alias("fc"), F.col("g").alias("fg")).agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    out = named.join(first, (F.col("c") == F.col("fc")) & (F.col("g") == F.col("fg")))
+    named = scratch.keep(named, "named")
+    first = named.groupBy(F.col("c").alias("fc"), F.col("g").alias("fg")).agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("size"))
+    first, total = scratch.keep(first, "first"), named.count()
+    # Classes of many lines are few, so they meet their lines without a shuffle; no other class holds a task.
+    of_class = (F.col("c") == F.col("fc")) & (F.col("g") == F.col("fg"))
+    hot, cold = (first.where(F.col("size") > total * HOT_SHARE), first.where(F.col("size") <= total * HOT_SHARE))
+    out = named.join(F.broadcast(hot), of_class).unionByName(named.join(F.broadcast(hot), of_class, "left_anti").join(cold, of_class))
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
     return out.select("doc_id", "line_no", F.col("first.doc_id").alias("class_doc_id"), F.col("first.line_no").alias("class_line_no"), kept.alias("kept"))
 

@@ -2,7 +2,11 @@
 
 import random
 
-from dssforge.llm.line_dedup import duplicate_lines, within_edits
+from pyspark.sql import functions as F
+
+from dssforge.llm.line_dedup import duplicate_lines, histogram, may_be_near, within_edits
+
+from dssforge.llm.store import Scratch
 
 from .helpers import no_docs, odd_docs
 
@@ -94,3 +98,36 @@ def test_odd_rows(spark):
     assert duplicate_lines(no_docs(spark)).collect() == []
     clash = spark.createDataFrame([(1, "x\n\nx\ny", 7, 8)], "doc_id long, text string, h long, key long")
     assert [(r.line_no, r.class_line_no, r.kept) for r in duplicate_lines(clash).orderBy("line_no").collect()] == [(0, 0, True), (2, 0, False), (3, 3, True)]
+
+
+def test_histograms_never_rule_out_a_near_pair(spark):
+    rng = random.Random(12)
+    pairs = [(a, edited(rng, a, k), k) for k in (0, 1, 2) for a in some_lines(20 + k, 120, (0,))] + [("e" * 300, "e" * 302, 2)]
+    scratch = Scratch(spark)
+    df = scratch.keep(spark.createDataFrame(pairs, "a string, b string, k int").select(histogram(F.col("a")).alias("x"), histogram(F.col("b")).alias("y")), "near")
+    assert df.where(~may_be_near(2)(F.col("x"), F.col("y"))).isEmpty()
+    far = spark.createDataFrame([("the same words here", "the same mountain here")], "a string, b string")
+    far = scratch.keep(far.select(histogram(F.col("a")).alias("x"), histogram(F.col("b")).alias("y")), "far")
+    assert far.where(may_be_near(2)(F.col("x"), F.col("y"))).isEmpty()
+
+
+def test_lines_of_one_segment_make_no_pairs(spark, monkeypatch):
+    """Lines that share a long beginning and are no near copies: their pairs are ruled out where they meet."""
+    from dssforge.llm import line_dedup
+    rng = random.Random(14)
+    lines = ["one beginning that all of these many lines share, then " + "".join(rng.choice("abcdefghiklmnoprstu ") for _ in range(24)) for _ in range(190)]
+    listed = []
+    plain = line_dedup._Links.__call__
+    monkeypatch.setattr(line_dedup._Links, "__call__", lambda self, pairs, rows: (listed.append(rows), plain(self, pairs, rows))[1])
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
+    got = [r.class_doc_id for r in duplicate_lines(docs).orderBy("doc_id").collect()]
+    assert got == expected_classes(lines) and sum(listed) < len(lines) * (len(lines) - 1) / 20
+
+
+def test_classes_of_many_lines(spark, monkeypatch):
+    from dssforge.llm import line_dedup
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", 0.05)
+    lines = some_lines(9, 80) + ["short"] * 30 + ["another short"]
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
+    got = [r.class_doc_id for r in duplicate_lines(docs).orderBy("doc_id").collect()]
+    assert got == expected_classes(lines)
