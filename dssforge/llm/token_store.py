@@ -48,8 +48,8 @@ from dssforge.llm.store import Scratch
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 BLOCK_TOKENS = 1 << 20
 SAMPLE = 64
-#: Words whose ids a task keeps in each of two generations.
-CACHED_WORDS = 300_000
+#: Words whose ids a task keeps in each of two generations, and bytes of text that are encoded together.
+CACHED_WORDS, SLICE = 200_000, 1 << 21
 #: Documents that are read at once, and words that go to the library as one string.
 READ_ROWS, JOINED_WORDS = 4096, 2000
 
@@ -282,7 +282,7 @@ def _encode(path: str, end_id: int | None, words_apart: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, row = _encoder(path, end_id, words_apart), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for lo, hi, data, at in C.text_slices(batch.column(1)):
+            for lo, hi, data, at in C.text_slices(batch.column(1), SLICE):
                 ids, begins = encoder.texts(data, at)
                 cols = [batch.column(0).slice(lo, hi - lo), pa.array(np.arange(row, row + hi - lo)), C.binary_rows(ids, begins)]
                 row += hi - lo

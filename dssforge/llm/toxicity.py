@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
-from dssforge.llm.store import Scratch, mapped, small
+from dssforge.llm.store import Scratch, mapped
 from dssforge.llm.training import Sample, labelled_sample, logistic, sigmoid
 
 PARTS, HELD_OUT_PART, THRESHOLD = 3, 1, 0.7
@@ -162,31 +162,60 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch(cols, ["name", "y", "n", "features"])
 
 
-def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(name, y, kind, feature) of rows (name, y, features): each feature of a line once; endings are too common to mark a word."""
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, feature, df, bad) of the distinct lines of a batch (y, features): in how many a feature is, and in how many toxic ones.
+
+    A feature counts once a line; endings are too common to mark a word.
+    """
     for batch in batches:
-        names, ys = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-        for i, raw in enumerate(batch.column(2)):
-            table = np.frombuffer(raw.as_buffer(), np.uint64).reshape(-1, len(_PREFIXES) + 2)
-            for k in range(table.shape[1] - 1):
-                found = B.signed(np.unique(table[:, k]))
-                cols = [pa.array(np.full(len(found), names[i])), pa.array(np.full(len(found), ys[i], np.int32)), pa.array(np.full(len(found), k, np.int32)), pa.array(found)]
-                yield pa.record_batch(cols, ["name", "y", "kind", "feature"])
-
-
-def _strong(features: DataFrame, lines: int, toxic: int, scratch: Scratch) -> DataFrame:
-    """(kind, feature) of features that mark toxic lines, by a likelihood-ratio test over the distinct lines (see the module)."""
-    seen = scratch.keep(features.groupBy("kind", "feature").agg(F.count("*").alias("df"), F.sum("y").alias("bad")), "seen")
+        ys, tables = batch.column(0).to_numpy(zero_copy_only=False), [_table_of(raw) for raw in batch.column(1)]
+        for k in range(len(_PREFIXES) + 1):
+            found = [np.unique(t[:, k]) for t in tables]
+            sizes = [len(f) for f in found]
+            names, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_inverse=True)
+            bad = np.bincount(at, weights=np.repeat(ys, sizes), minlength=len(names)).astype(np.int64)
+            df = np.bincount(at, minlength=len(names)).astype(np.int64)
+            yield pa.record_batch([pa.array(np.full(len(names), k, np.int32)), pa.array(B.signed(names)), pa.array(df), pa.array(bad)], ["kind", "feature", "df", "bad"])
+
+
+def _table_of(raw) -> np.ndarray:
+    """Features of a line's words, words x kinds."""
+    return np.frombuffer(raw.as_buffer(), np.uint64).reshape(-1, len(_PREFIXES) + 2)
+
+
+def strong_features(lines: DataFrame, size: int, toxic: int, scratch: Scratch) -> DataFrame:
+    """(kind, feature) of features that mark toxic lines, by a likelihood-ratio test over the ``size`` distinct lines (see the module)."""
+    counts = lines.select("y", "features").mapInArrow(_counts, "kind int, feature long, df long, bad long")
+    seen = scratch.keep(counts.groupBy("kind", "feature").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad")), "seen")
     names = {r["kind"]: r["count"] for r in seen.groupBy("kind").count().collect()}  # one row per kind of feature
-    base, bad, df = toxic / lines, F.col("bad"), F.col("df")
+    base, bad, df = toxic / size, F.col("bad"), F.col("df")
 
     def part(count, share, of: float):
         return F.when(count > 0, count * F.log(share / of)).otherwise(0.0)
 
     g = 2 * (part(bad, bad / df, base) + part(df - bad, (df - bad) / df, 1 - base))
-    odds = (bad + 0.5) / (toxic + 1) / ((df - bad + 0.5) / (lines - toxic + 1))
+    odds = (bad + 0.5) / (toxic + 1) / ((df - bad + 0.5) / (size - toxic + 1))
     enough = reduce(lambda out, k: out.when(F.col("kind") == k, F.lit(2 * float(np.log(names[k] + 1)) + 2)), names, F.when(F.lit(False), F.lit(0.0)))
-    return scratch.keep(seen.where((g > enough) & (odds > 4)).select("kind", "feature"), "strong")
+    return seen.where((g > enough) & (odds > 4)).select("kind", "feature")
+
+
+def _marked(strong: list[np.ndarray]):
+    """Tasks that add to rows (name, y, n, features) which words have a strong feature (a byte each), and whether any has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = []
+            for raw in batch.column(3):
+                table = B.signed(np.ascontiguousarray(_table_of(raw)))
+                found = np.zeros(len(table), dtype=bool)
+                for k, names in enumerate(strong):
+                    if len(names):
+                        at = np.minimum(np.searchsorted(names, table[:, k]), len(names) - 1)
+                        found |= names[at] == table[:, k]
+                marks.append(found.astype(np.uint8).tobytes())
+            yield pa.record_batch([*batch.columns, pa.array(marks, pa.binary()), pa.array([b"\1" in m for m in marks])], [*batch.schema.names, "marks", "marked"])
+
+    return run
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
@@ -207,25 +236,21 @@ def fit(sample: Sample, scratch: Scratch, steps: int = 60) -> Model:
     size = lines.agg(F.count("*").alias("lines"), F.coalesce(F.sum("y"), F.lit(0)).alias("toxic")).first()
     model = Model(np.zeros(TABLE), np.zeros((2, 2)), 0.0, -10.0, np.zeros(4))
     if 0 < size["toxic"] < size["lines"]:
-        features = scratch.keep(lines.select("name", "y", "features").mapInArrow(_kinds, "name long, y int, kind int, feature long"), "features")
-        strong = small(_strong(features, size["lines"], size["toxic"], scratch))
-        marked = features.join(strong, ["kind", "feature"], "left_semi").select("name").distinct().withColumn("marked", F.lit(1))
+        # The features that mark toxic lines: a small part of those of the sampled documents.
+        names = strong_features(lines, size["lines"], size["toxic"], scratch).toPandas()
+        strong = [np.sort(names["feature"][names["kind"] == k].to_numpy(np.int64)) for k in range(len(_PREFIXES) + 1)]
+        told = scratch.keep(lines.mapInArrow(_marked(strong), "name long, y int, n int, features binary, marks binary, marked boolean"), "marked")
         # Lines with such words first, toxic or clean, then others in the order of a hash.
-        told = lines.select("name", "n", "y").join(marked, "name", "left").orderBy(F.coalesce("marked", F.lit(0)).desc(), F.xxhash64("name"), "name").limit(MAX_TOKENS)
-        told = told.select("name", "n").toPandas()
-        picked = told["name"][told["n"].cumsum() <= MAX_TOKENS]
+        order = told.select("name", "n", "marked").orderBy(F.col("marked").desc(), F.xxhash64("name"), "name").limit(MAX_TOKENS).select("name", "n").toPandas()
+        picked = order["name"][order["n"].cumsum() <= MAX_TOKENS]
         picks = F.broadcast(spark.createDataFrame(picked.to_frame("pick"), "pick long"))
-        rows = lines.join(picks, F.col("name") == F.col("pick"), "left_semi").orderBy("name").select("y", "features").toArrow()
-        marks = features.join(strong, ["kind", "feature"], "left_semi").join(picks, F.col("name") == F.col("pick"), "left_semi")
-        marks = marks.select("kind", "feature").distinct().toPandas()  # features of the picked words at most
+        rows = told.join(picks, F.col("name") == F.col("pick"), "left_semi").orderBy("name").select("y", "features", "marks").toArrow()
         kinds = len(_PREFIXES) + 2
-        table = [np.frombuffer(raw.as_buffer(), np.uint64).reshape(-1, kinds) for chunk in rows["features"].chunks for raw in chunk]
-        n = np.array([len(t) for t in table])
+        table = [_table_of(raw) for chunk in rows["features"].chunks for raw in chunk]
+        n = np.array([len(t) for t in table], np.int64)
         table = np.concatenate(table) if len(table) else np.zeros((0, kinds), np.uint64)
         toxic = np.repeat(np.array(rows["y"].to_pylist(), np.int64), n) if len(n) else np.zeros(0, np.int64)
-        suspect = np.zeros(len(table), dtype=bool)
-        for k in range(kinds - 1):
-            suspect |= np.isin(B.signed(np.ascontiguousarray(table[:, k])), marks["feature"][marks["kind"] == k].to_numpy())
+        suspect = np.frombuffer(b"".join(rows["marks"].to_pylist()), np.uint8) > 0
         cut = np.concatenate([[0], np.cumsum(np.concatenate([_pieces(x) for x in n]))]) if len(n) else np.zeros(1, int)
         seat = (table & np.uint64(TABLE - 1)).astype(np.int32)
         weight = np.where(toxic > 0, sample.weights[1], sample.weights[0])

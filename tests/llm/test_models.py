@@ -116,8 +116,7 @@ def test_marked_features_equal_a_plain_count(spark):
         rows.append((int(toxic or rng.random() < 0.02), " ".join(picked)))
     scratch = Scratch(spark)
     lines = scratch.keep(spark.createDataFrame(rows, "y int, text string").mapInArrow(toxicity._lines, "name long, y int, n int, features binary"), "lines")
-    features = scratch.keep(lines.select("name", "y", "features").mapInArrow(toxicity._kinds, "name long, y int, kind int, feature long"), "features")
-    strong = {(r.kind, r.feature) for r in toxicity._strong(features, 300, sum(y for y, _ in rows), scratch).collect()}
+    strong = {(r.kind, r.feature) for r in toxicity.strong_features(lines, 300, sum(y for y, _ in rows), scratch).collect()}
     (_, _, data, at), = B.slices(pa.array([f"{w}" for w in words]))
     names = B.signed(toxicity.chains(data, at).features[:, 0].copy()).tolist()
     n, bad_lines = len(rows), sum(y for y, _ in rows)
