@@ -91,6 +91,12 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return B.signed(keys)
 
 
+def digest(shingles: np.ndarray) -> list[int]:
+    """128 bits that stand for a set, as two longs."""
+    sums = np.add.reduce(B.mix(shingles)), np.add.reduce(B.mix(shingles * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)))
+    return [int(B.signed(x.reshape(1))[0]) for x in sums]
+
+
 _SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>"
 
 
@@ -102,9 +108,8 @@ def _sign(width: int):
                 rows = []
                 for s in sets:
                     if len(s):
-                        digest = [int(B.signed(x.reshape(1))[0]) for x in (np.add.reduce(B.mix(s)), np.add.reduce(B.mix(s * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))))]
                         samples = signature(s)
-                        rows.append((len(s), *digest, band_keys(samples), odd_sketch(samples)))
+                        rows.append((len(s), *digest(s), band_keys(samples), odd_sketch(samples)))
                     else:
                         rows.append((0, 0, 0, None, None))
                 cols = list(zip(*rows))
@@ -129,15 +134,17 @@ def may_link(a, b, percent: int):
     return estimate(a, b) >= percent / 100 - MARGIN
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar."""
+    if not len(x) or not len(y) or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def _confirm(width: int, percent: int):
     """Tasks that keep the pairs with similar full sets (of any texts, where a doc_id has several)."""
 
-    def linked(x: np.ndarray, y: np.ndarray) -> bool:
-        if not len(x) or not len(y) or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-            return False
-        shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-        return 100 * shared >= percent * (len(x) + len(y) - shared)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = []
@@ -147,7 +154,7 @@ def _confirm(width: int, percent: int):
                     sets += shingle_sets(data, at, width)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in lists.to_pylist()])])
                 sides.append([sets[a:b] for a, b in zip(ends[:-1], ends[1:])])
-            similar = [any(linked(x, y) for x in xs for y in ys) for xs, ys in zip(*sides)]
+            similar = [any(linked(x, y, percent) for x in xs for y in ys) for xs, ys in zip(*sides)]
             yield batch.filter(pa.array(similar, pa.bool_())).select([0, 1])
 
     return run
@@ -185,9 +192,10 @@ class _Links:
     def in_families(self, outside: DataFrame, inside: DataFrame) -> DataFrame:
         """The links between ``outside`` and ``inside`` (family, id) of the same family, written.
 
-        Both sides of a family are cut into blocks of bounded size, and each
-        pair of blocks is compared in one task on the full sets; only links
-        become rows.
+        The texts of the families are made shingle sets once.  Both sides of a
+        family are cut into blocks of bounded size, and a task compares the
+        members of two blocks that share a band: odd sketches rule out, sets
+        confirm, and only links become rows.
         """
         sizes = inside.groupBy("family").agg(F.count("*").alias("m")).join(
             outside.groupBy(F.col("family").alias("f")).agg(F.count("*").alias("o")), F.col("family") == F.col("f"))
@@ -196,54 +204,66 @@ class _Links:
         n_families, n_inside = sizes.count(), inside.count()
         ids = fewer_tasks(inside.select("id").distinct(), n_inside)
         texts = self.docs.where("text is not null").join(few(ids, n_inside), F.col("doc_id") == F.col("id"), "left_semi")
-        texts = self.scratch.keep(texts.distinct(), "family-texts")
+        sets = texts.distinct().mapInArrow(_sets(self.width), "of long, s1 long, s2 long, shingles array<long>")
+        known = self.nodes.select("doc_id", "d1", "d2", "bands", "sketch")
+        sets = sets.join(known, (F.col("of") == F.col("doc_id")) & (F.col("s1") == F.col("d1")) & (F.col("s2") == F.col("d2")))
+        sets = self.scratch.keep(sets.select("of", "bands", "sketch", "shingles"), "family-sets")
 
         def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
-            """Rows with their block and text, once for each block of the other side."""
+            """Rows with their block and sets, once for each block of the other side."""
             placed = rows.join(few(sizes, n_families), F.col("family") == F.col("f"))
             placed = placed.withColumn(f"{own}_block", F.pmod(F.xxhash64("id"), F.col(own)))
             placed = placed.withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
-            own_texts = texts.select(F.col("doc_id").alias("of"), F.col("text").alias("said"))  # columns of its own for each side
-            placed = placed.join(own_texts, F.col("id") == F.col("of"))
-            return placed.select("family", "o_block", "m_block", F.col("id").alias("id"), F.col("said").alias("text"))
+            own_sets = sets.select(*(F.col(c).alias(f"own_{c}") for c in sets.columns))  # columns of its own for each side
+            placed = placed.join(own_sets, F.col("id") == F.col("own_of"))
+            return placed.select("family", "o_block", "m_block", F.col("id").alias("id"), *(F.col(f"own_{c}").alias(c) for c in ("bands", "sketch", "shingles")))
 
         keys = ["family", "o_block", "m_block"]
         found = dealt(outside, "o", "m").groupBy(*keys).cogroup(dealt(inside, "m", "o").groupBy(*keys)).applyInArrow(
-            _compare(self.width, self.percent), "a long, b long")
+            _compare(self.percent), "a long, b long")
         return self.scratch.keep(found, "family-links")
 
 
-def _compare(width: int, percent: int):
-    """Tasks that list the links between two blocks of (.., id, text), through an index of the first block's shingles."""
+def _sets(width: int):
+    """Tasks that turn (id, text) into (id, digest, shingles), texts without words left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, at in B.slices(batch.column(1)):
+                sets = shingle_sets(data, at, width)
+                rows = [(i, *digest(s), B.signed(s)) for i, s in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), sets) if len(s)]
+                cols = list(zip(*rows)) or [()] * 4
+                yield pa.record_batch([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.list_(pa.int64()))], ["of", "s1", "s2", "shingles"])
+
+    return run
+
+
+def _compare(percent: int):
+    """Tasks that list the links between two blocks of (.., id, bands, sketch, shingles) among members that share a band."""
+
+    def matrix(column: pa.ChunkedArray) -> np.ndarray:
+        return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).view(np.uint64).reshape(len(column), -1)
 
-    def sets_of(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
-        found: list[np.ndarray] = []
-        for chunk in table["text"].chunks:
-            for _, _, data, at in B.slices(chunk):
-                found += shingle_sets(data, at, width)
-        return table["id"].to_numpy(), found
+    def members(table: pa.Table):
+        sets: list[np.ndarray] = []
+        for c in table["shingles"].chunks:
+            if len(c):
+                sets += np.split(c.flatten().to_numpy().view(np.uint64), np.cumsum(c.value_lengths().to_numpy())[:-1])
+        return table["id"].to_numpy(), matrix(table["bands"]), matrix(table["sketch"]), sets
 
     def run(outside: pa.Table, inside: pa.Table) -> pa.Table:
-        pairs: list[tuple[int, int]] = []
+        pairs: set[tuple[int, int]] = set()
         if outside.num_rows and inside.num_rows:
-            ids, sets = sets_of(outside)
-            sizes = np.array([len(s) for s in sets])
-            flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-            order = np.argsort(flat, kind="stable")
-            names, begin = np.unique(flat[order], return_index=True)
-            begin, owner = np.append(begin, len(flat)), owner[order]
-            for id_, s in zip(*sets_of(inside)):
-                if not len(s) or not len(names):
-                    continue
-                at = np.minimum(np.searchsorted(names, s), len(names) - 1)
-                at = at[names[at] == s]
-                runs = begin[at + 1] - begin[at]
-                hit = np.repeat(begin[at] - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
-                shared = np.bincount(owner[hit], minlength=len(sets))
-                for k in np.flatnonzero((100 * shared >= percent * (sizes + len(s) - shared)) & (shared > 0) & (ids != id_)):
-                    pairs.append((max(int(ids[k]), int(id_)), min(int(ids[k]), int(id_))))
-        pairs = sorted(set(pairs))
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+            ids, bands, sketches, sets = members(outside)
+            for id_, own_bands, sketch, s in zip(*members(inside)):
+                met = np.flatnonzero((bands == own_bands).any(axis=1) & (ids != id_))
+                differing = np.bitwise_count(sketches[met] ^ sketch).sum(axis=1, dtype=np.int64)
+                about = 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(np.maximum(1 - 2 * differing / SKETCH_BITS, 1e-9))
+                for k in met[about >= percent / 100 - MARGIN]:
+                    if linked(sets[k], s, percent):
+                        pairs.add((max(int(ids[k]), int(id_)), min(int(ids[k]), int(id_))))
+        a, b = zip(*sorted(pairs)) if pairs else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
@@ -264,7 +284,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     owned = signed.select("doc_id", "n_shingles", *(F.when(F.col("n_shingles") > 0, F.col(d)).alias(d) for d in ("d1", "d2")))
     owned = scratch.keep(owned.join(first, ["d1", "d2"], "left").select("doc_id", "n_shingles", "node"), "owned")
     nodes = has.join(first.withColumnRenamed("node", "doc_id"), ["d1", "d2", "doc_id"], "left_semi")
-    nodes = scratch.keep(nodes.select("doc_id", "bands", "sketch"), "nodes")
+    nodes = scratch.keep(nodes.select("doc_id", "d1", "d2", "bands", "sketch").dropDuplicates(["doc_id", "d1", "d2"]), "nodes")
     # Rows that repeat a doc_id with other texts are one document: its nodes are linked.
     versions = owned.where("doc_id is not null").groupBy("doc_id").agg(F.collect_set("node").alias("n")).where("size(n) > 1")
     edges = scratch.keep(versions.select(F.explode("n").alias("a"), F.array_min("n").alias("b")).where("a <> b"), "edges")

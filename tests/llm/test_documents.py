@@ -67,6 +67,28 @@ def test_one_large_group_keeps_every_link(spark, monkeypatch, turns, share):
     assert got == groups(docs)
 
 
+def test_last_turn_in_small_blocks_with_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(buckets, "ANCHOR_TURNS", 0)
+    monkeypatch.setattr(minhash, "OUTSIDE_BLOCK", 4)
+    monkeypatch.setattr(minhash, "INSIDE_BLOCK", 6)
+    rng = random.Random(17)
+    base = [f"w{rng.randrange(3000)}" for _ in range(120)]
+    docs = [(i, " ".join(f"w{rng.randrange(3000)}" if rng.random() < rng.choice((0.02, 0.05, 0.08)) else w for w in base)) for i in range(60)]
+    docs += [(5, docs[5][1]), (5, docs[40][1]), (12, "some words that no other document has at all"), (70, None), (None, docs[3][1])]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got.pop(None) is None
+    texts = [(d, t) for d, t in docs if d is not None]
+    classes = groups([(n, t) for n, (_, t) in enumerate(texts)])  # of texts; a doc_id joins the classes of all its texts
+    own = {d: d for d, _ in texts}
+    for _ in own:
+        least = {}
+        for n, (d, _) in enumerate(texts):
+            least[classes[n]] = min(least.get(classes[n], d), own[d])
+        for n, (d, _) in enumerate(texts):
+            own[d] = min(own[d], least[classes[n]])
+    assert got == own
+
+
 def test_sketches_estimate_the_similarity(spark):
     import numpy as np
     rng = np.random.default_rng(5)
