@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +44,33 @@ def test_search_equals_brute_force(spark, monkeypatch, blocks):
     assert searched(spark, rows) == brute_top(rows, lambda i: i % 5 == 0, 3)
 
 
+def test_search_across_blocks_with_ragged_vectors_ties_and_hot_copies(spark, monkeypatch):
+    """Blocks bounded by components, a vector that a third of the rows share, empty blocks, batches that cut a block."""
+    monkeypatch.setattr(topk, "CELLS", 240)
+    monkeypatch.setattr(topk, "QUERIES", 11)
+    rng = random.Random(12)
+    hot = [rng.uniform(-1, 1) for _ in range(24)]
+    rows = [(i, hot if i % 3 == 0 else [rng.uniform(-1, 1) for _ in range(rng.choice([24, 24, 24, 3, 0]))]) for i in range(160)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+        assert searched(spark, rows, 4) == brute_top(rows, lambda i: i % 5 == 0, 4)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_a_floor_and_the_bounds_drop_only_what_cannot_be_among_the_best():
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-1024, 1024, (500, 40)).astype(float)
+    query, ids = rng.integers(-1024, 1024, 40).astype(float), np.arange(500)
+    block, scores = topk.Vertical(vectors), vectors @ query
+    order = np.lexsort((ids, -scores))
+    for floor, kept in ((-np.inf, 10), (scores[order[4]], 5), (scores[order[0]] + 1, 0)):
+        at, score = topk.best(query, -1, block, ids, ids, 10, floor)
+        assert at.tolist() == order[:kept].tolist() and score.tolist() == scores[order[:kept]].tolist()
+
+
 def test_search_of_wide_values_and_few_rows(spark):
     rows = [(0, [3e4, -2e6]), (1, [1e6, 1e6]), (2, [-5e5, 7.0])]
     assert searched(spark, rows) == brute_top(rows, lambda i: i % 5 == 0, 3)
