@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
 from dssforge.llm.buckets import connect, ends
-from dssforge.llm.store import Scratch, few, fewer_tasks, small
+from dssforge.llm.store import Scratch, few, fewer_tasks, small, tidy
 
 WIDTH, PERCENT = 2, 80
 #: MinHash samples: all of them go into the sketch, the first ``BANDED`` into bands of ``ROWS``.
@@ -184,7 +184,7 @@ class _Links:
         near = both.where(may_link(F.col("a_side")[0], F.col("b_side")[0], self.percent)).select("a", "b")
         near = self.scratch.keep(fewer_tasks(near, rows), f"near-{self.rounds}")
         texts = _paired(near, near.count(), self.docs, "text")
-        links = texts.select("a", "b", "a_side", "b_side").mapInArrow(_confirm(self.width, self.percent), "a long, b long")
+        links = texts.select("a", "b", "a_side", "b_side").mapInArrow(tidy(_confirm(self.width, self.percent)), "a long, b long")
         links = self.scratch.keep(links, f"links-{self.rounds}")
         self.scratch.drop(f"near-{self.rounds}")
         return links
@@ -204,7 +204,7 @@ class _Links:
         n_families, n_inside = sizes.count(), inside.count()
         ids = fewer_tasks(inside.select("id").distinct(), n_inside)
         texts = self.docs.where("text is not null").join(few(ids, n_inside), F.col("doc_id") == F.col("id"), "left_semi")
-        sets = texts.distinct().mapInArrow(_sets(self.width), "of long, s1 long, s2 long, shingles array<long>")
+        sets = texts.distinct().mapInArrow(tidy(_sets(self.width)), "of long, s1 long, s2 long, shingles array<long>")
         known = self.nodes.select("doc_id", "d1", "d2", "bands", "sketch")
         sets = sets.join(known, (F.col("of") == F.col("doc_id")) & (F.col("s1") == F.col("d1")) & (F.col("s2") == F.col("d2")))
         sets = self.scratch.keep(sets.select("of", "bands", "sketch", "shingles"), "family-sets")
@@ -276,7 +276,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     """
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    signed = scratch.keep(docs.mapInArrow(_sign(width), _SIGNED), "signed")
+    signed = scratch.keep(docs.mapInArrow(tidy(_sign(width)), _SIGNED), "signed")
     has = signed.where("n_shingles > 0 and doc_id is not null")
 
     # One node for each distinct set, named by its smallest doc_id.

@@ -7,10 +7,12 @@ local session, tests) a temporary folder stands in for it.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,8 +83,21 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def tidy(task: Callable) -> Callable:
+    """``task`` over Arrow batches, whose worker then gives unused memory back: it stays for the stages to come."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other C libraries have none
+        if trim:
+            trim(0)
+
+    return run
+
+
 def mapped(df: DataFrame, task: Callable, extra: str) -> DataFrame:
     """``df`` through Arrow tasks that append the columns ``extra`` (a schema); columns of any name stay as they are."""
     plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
     more = T._parse_datatype_string(extra).fields if extra else []
-    return plain.mapInArrow(task, T.StructType([*plain.schema.fields, *more])).toDF(*df.columns, *(f.name for f in more))
+    return plain.mapInArrow(tidy(task), T.StructType([*plain.schema.fields, *more])).toDF(*df.columns, *(f.name for f in more))

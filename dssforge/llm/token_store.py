@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from dssforge.llm import bytetext as T
 from dssforge.llm import chunks as C
 from dssforge.llm.memo import Memo
-from dssforge.llm.store import Scratch
+from dssforge.llm.store import Scratch, tidy
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 BLOCK_TOKENS = 1 << 20
@@ -329,14 +329,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     ``words_apart`` says that it drops white space and never joins across it.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    encoded = rows.mapInArrow(_encode(tokenizer, end_id, words_apart), "doc_id long, row long, ids binary")
+    encoded = rows.mapInArrow(tidy(_encode(tokenizer, end_id, words_apart)), "doc_id long, row long, ids binary")
     scratch = Scratch(docs.sparkSession)
     # Written, so that the ranges are drawn and the rows moved without encoding again; row keeps a repeated doc_id apart.
     encoded = scratch.keep(encoded, "encoded").withColumn("h", F.xxhash64("ids"))
     order = ["doc_id", "h", "row"]
     ordered = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
     id_bytes = WordEncoder(tokenizer, end_id, words_apart).id_bytes
-    ordered.mapInArrow(_pack(id_bytes, block_tokens), _BLOCKS).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(tidy(_pack(id_bytes, block_tokens)), _BLOCKS).write.option("compression", "zstd").parquet(path)
     scratch.drop("encoded")
 
 
@@ -382,7 +382,7 @@ def read_index(spark, path: str) -> DataFrame:
     inside = Window.partitionBy("part").orderBy("block")
     offsets = blocks.select("part", "block", (F.sum("n_tokens").over(inside) - F.col("n_tokens")).alias("inside"))
     offsets = offsets.join(before, "part").select("part", "block", (F.col("before") + F.col("inside")).alias("offset"))
-    rows = blocks.select("part", "block", "payload").mapInArrow(_read, _READ)
+    rows = blocks.select("part", "block", "payload").mapInArrow(tidy(_read), _READ)
     return rows.join(offsets, ["part", "block"]).select("doc_id", (F.col("offset") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
 
 

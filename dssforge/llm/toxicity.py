@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.llm import bytetext as B
-from dssforge.llm.store import Scratch, mapped
+from dssforge.llm.store import Scratch, mapped, tidy
 from dssforge.llm.training import Sample, labelled_sample, logistic, sigmoid
 
 PARTS, HELD_OUT_PART, THRESHOLD = 3, 1, 0.7
@@ -185,7 +185,7 @@ def _table_of(raw) -> np.ndarray:
 
 def strong_features(lines: DataFrame, size: int, toxic: int, scratch: Scratch) -> DataFrame:
     """(kind, feature) of features that mark toxic lines, by a likelihood-ratio test over the ``size`` distinct lines (see the module)."""
-    counts = lines.select("y", "features").mapInArrow(_counts, "kind int, feature long, df long, bad long")
+    counts = lines.select("y", "features").mapInArrow(tidy(_counts), "kind int, feature long, df long, bad long")
     seen = scratch.keep(counts.groupBy("kind", "feature").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad")), "seen")
     names = {r["kind"]: r["count"] for r in seen.groupBy("kind").count().collect()}  # one row per kind of feature
     base, bad, df = toxic / size, F.col("bad"), F.col("df")
@@ -230,7 +230,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 def fit(sample: Sample, scratch: Scratch, steps: int = 60) -> Model:
     """Fit the field to token labels, then the document score to the documents' labels."""
     spark = scratch.spark
-    lines = sample.rows.mapInArrow(_lines, "name long, y int, n int, features binary")
+    lines = sample.rows.mapInArrow(tidy(_lines), "name long, y int, n int, features binary")
     # Copies of a line count once, as a toxic line only where all of them are in toxic documents.
     lines = scratch.keep(lines.groupBy("name").agg(F.min("y").alias("y"), F.min("n").alias("n"), F.min("features").alias("features")), "lines")
     size = lines.agg(F.count("*").alias("lines"), F.coalesce(F.sum("y"), F.lit(0)).alias("toxic")).first()
@@ -239,7 +239,7 @@ def fit(sample: Sample, scratch: Scratch, steps: int = 60) -> Model:
         # The features that mark toxic lines: a small part of those of the sampled documents.
         names = strong_features(lines, size["lines"], size["toxic"], scratch).toPandas()
         strong = [np.sort(names["feature"][names["kind"] == k].to_numpy(np.int64)) for k in range(len(_PREFIXES) + 1)]
-        told = scratch.keep(lines.mapInArrow(_marked(strong), "name long, y int, n int, features binary, marks binary, marked boolean"), "marked")
+        told = scratch.keep(lines.mapInArrow(tidy(_marked(strong)), "name long, y int, n int, features binary, marks binary, marked boolean"), "marked")
         # Lines with such words first, toxic or clean, then others in the order of a hash.
         order = told.select("name", "n", "marked").orderBy(F.col("marked").desc(), F.xxhash64("name"), "name").limit(MAX_TOKENS).select("name", "n").toPandas()
         picked = order["name"][order["n"].cumsum() <= MAX_TOKENS]
@@ -255,7 +255,7 @@ def fit(sample: Sample, scratch: Scratch, steps: int = 60) -> Model:
         seat = (table & np.uint64(TABLE - 1)).astype(np.int32)
         weight = np.where(toxic > 0, sample.weights[1], sample.weights[0])
         model = _fit_field(seat, (suspect & (toxic > 0)).astype(np.float64), weight, cut, model, steps)
-    figures = sample.rows.mapInArrow(_document_figures(model), "y int, f0 double, f1 double, f2 double").toPandas()
+    figures = sample.rows.mapInArrow(tidy(_document_figures(model)), "y int, f0 double, f1 double, f2 double").toPandas()
     y = figures["y"].to_numpy(np.float64)
     model.document = logistic(figures[["f0", "f1", "f2"]].to_numpy(), y, np.where(y > 0, sample.weights[1], sample.weights[0]))
     return model
