@@ -18,6 +18,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from dssforge.sources.tables import Catalog, union_all
 
@@ -68,19 +69,20 @@ def schema_fields(schema: str) -> list[tuple[str, str]]:
     return [tuple(part.split(None, 1)) for part in re.split(r",\s*(?![^()]*\))", schema)]
 
 
-def _parse(text: Column, name: str, kind: str) -> Column:
+def _unescaped(text: Column) -> Column:
+    """A field's characters without their backslashes."""
     plain = text
     for code, break_ in (("n", "\n"), ("r", "\r")):  # after an even number of backslashes
         plain = F.regexp_replace(plain, rf"(?<!\\)((?:\\\\)*)\\{code}", f"$1{break_}")
-    plain = F.regexp_replace(plain, r"\\([^\n\r])", "$1")
-    if name in CHAR_COLUMNS:
-        plain = F.rtrim(plain)
-    value = F.when(text != "", plain)
+    return F.regexp_replace(plain, r"\\([^\n\r])", "$1")
+
+
+def _parse(text: Column, name: str, kind: str) -> Column:
     if kind == "string":
-        return value.alias(name)
-    typed = value.try_cast(kind)
-    wrong = F.raise_error(F.concat(F.lit(f"no {kind} in field {name}: "), value)).cast(kind)
-    return F.when(value.isNotNull() & typed.isNull(), wrong).otherwise(typed).alias(name)
+        return F.when(text != "", F.rtrim(text) if name in CHAR_COLUMNS else text).alias(name)
+    plain = F.rtrim(text) if name in CHAR_COLUMNS else text
+    wrong = F.raise_error(F.concat(F.lit(f"no {kind} in field {name}: "), plain)).cast(kind)
+    return F.coalesce(plain.try_cast(kind), F.when(text != "", wrong)).alias(name)
 
 
 def load_delimited(spark: SparkSession, path: str, table: str | None = None, schema: str | None = None,
@@ -101,11 +103,18 @@ def parse_lines(lines: DataFrame, schema: str, dummy: bool = True) -> DataFrame:
     fields = schema_fields(schema)
     others = [x for x in lines.columns if x != "value"]
     end = "" if dummy else "|"
-    found = F.regexp_extract_all(F.concat(F.col("value"), F.lit(end)), F.lit(_FIELD), 1)
-    whole = F.regexp_like(F.concat(F.col("value"), F.lit(end)), F.lit(f"(?s)^(?:{_FIELD})*+$"))
+    line = F.concat(F.col("value"), F.lit(end)) if end else F.col("value")
+    # Few lines hold a backslash: the others are cut at every separator, the last of which ends the line.
+    cut = F.split(line, r"\|", -1)
+    found = F.regexp_extract_all(line, F.lit(_FIELD), 1)
+    whole = F.regexp_like(line, F.lit(f"(?s)^(?:{_FIELD})*+$"))
     wrong = F.raise_error(F.concat(F.lit(f"not {len(fields)} fields: "), F.col("value"))).cast("array<string>")
-    cut = lines.select(*others, F.when(whole & (F.size(found) == len(fields)), found).otherwise(wrong).alias("f"))
-    return cut.select(*others, *[_parse(F.get("f", F.lit(i)), name, kind) for i, (name, kind) in enumerate(fields)])
+    escaped = F.when(whole & (F.size(found) == len(fields)), F.transform(found, _unescaped)).otherwise(wrong)
+    plain = ~F.contains(F.col("value"), F.lit("\\"))
+    parts = lines.select(*others, "value", F.when(plain, cut).otherwise(escaped).alias("f"))
+    fits = ~plain | ((F.size("f") == len(fields) + 1) & (F.get("f", F.lit(len(fields))) == ""))
+    checked = parts.select(*others, F.when(fits, F.col("f")).otherwise(wrong).alias("f"))
+    return checked.select(*others, *[_parse(F.get("f", F.lit(i)), name, kind) for i, (name, kind) in enumerate(fields)])
 
 
 def load_delete_keys(spark: SparkSession, path: str, dummy: bool = True) -> DataFrame:
@@ -113,19 +122,31 @@ def load_delete_keys(spark: SparkSession, path: str, dummy: bool = True) -> Data
     return load_delimited(spark, path, schema=DELETE_SCHEMA, dummy=dummy)
 
 
-def _text(column: str) -> Column:
+#: Types whose text never holds a character to escape.
+_PLAIN = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
+
+
+def _text(column: str, kind: DataType) -> Column:
     """A value as escaped text; NULL is empty."""
-    escaped = F.regexp_replace(F.col(column).cast("string"), r"([\\|])", r"\\$1")
-    for code, break_ in (("n", "\n"), ("r", "\r")):
-        escaped = F.replace(escaped, F.lit(break_), F.lit(f"\\{code}"))
-    return F.coalesce(escaped, F.lit(""))
+    text = F.col(column).cast("string")
+    if not isinstance(kind, _PLAIN):
+        for mark, code in (("\\", "\\\\"), ("|", "\\|"), ("\n", "\\n"), ("\r", "\\r")):  # backslashes first
+            text = F.replace(text, F.lit(mark), F.lit(code))
+    return F.coalesce(text, F.lit(""))
 
 
 def write_delimited(df: DataFrame, path: str, trailing_separator: bool = True, mode: str = "errorifexists",
-                    compression: str | None = None) -> None:
-    """Write rows as ``|``-separated text in the table file format (NULL and the empty text are both empty)."""
-    line = F.concat_ws("|", *[_text(x) for x in df.columns])
-    w = df.select((F.concat(line, F.lit("|")) if trailing_separator else line).alias("value")).write.mode(mode)
+                    compression: str | None = None, folders: dict[str, Column] | None = None) -> None:
+    """Write rows as ``|``-separated text in the table file format (NULL and the empty text are both empty).
+
+    ``folders`` names values whose rows go to a folder of their own (``{path}/{name}={value}``), all in one pass.
+    """
+    line = F.concat_ws("|", *[_text(f.name, f.dataType) for f in df.schema])
+    line = F.concat(line, F.lit("|")) if trailing_separator else line
+    folders = folders or {}
+    w = df.select(line.alias("value"), *[x.alias(name) for name, x in folders.items()]).write.mode(mode)
+    if folders:
+        w = w.partitionBy(*folders)
     if compression:
         w = w.option("compression", compression)
     w.text(path)
