@@ -40,22 +40,27 @@ def year_partition(col: str) -> F.Column:
 
 def write_year_partitioned(df: DataFrame, date_col: str, path: str, part_col: str = "year",
                            spread_cols: list[str] | None = None, max_records: int = 5_000_000,
-                           compression: str = "snappy", mode: str = "errorifexists") -> None:
+                           compression: str = "snappy", mode: str = "errorifexists", parts: int | None = None) -> None:
     """Write into yearly folders (1992-1998 plus ``others``).
 
     Rows are range-partitioned by the date (then ``spread_cols``, so one very
     large day is still split over several tasks): each task holds a
     contiguous date range and writes to one or two folders, instead of every
     task writing a file into every year. Within a task rows are sorted by
-    date, so row-group min/max statistics are tight.
+    date, so row-group min/max statistics are tight. ``parts`` is the number of
+    ranges (by default the session's shuffle partitions).
     """
     keys = [date_col] + list(spread_cols or [])
-    out = df.repartitionByRange(*keys).withColumn(part_col, year_partition(date_col))
+    out = _ranged(df, parts, keys).withColumn(part_col, year_partition(date_col))
     out = out.sortWithinPartitions(part_col, *keys)
     (out.write.mode(mode).option("maxRecordsPerFile", max_records).option("compression", compression)
      .partitionBy(part_col).parquet(path))
 
 
+def _ranged(df: DataFrame, parts: int | None, keys: list[str]) -> DataFrame:
+    return df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
                    sort: bool = True, mode: str = "errorifexists") -> None:
     """Hash-distribute by ``key`` into ``buckets`` buckets (catalog table at ``path``).
@@ -73,16 +78,17 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
 
 def write_sorted(df: DataFrame, path: str, sort_cols: list[str], compression: str = "snappy",
                  spread_cols: list[str] | None = None, cluster: bool = True,
-                 mode: str = "errorifexists", options: dict | None = None) -> None:
+                 mode: str = "errorifexists", options: dict | None = None, parts: int | None = None) -> None:
     """Write rows ordered by ``sort_cols`` so min/max statistics skip data.
 
     With ``cluster`` the rows are first range-partitioned by the sort columns
     (then ``spread_cols``, so one very large value is still split over
     tasks): files then cover disjoint ranges and a range predicate skips
-    whole files, not only row groups inside each file.
+    whole files, not only row groups inside each file. ``parts`` is the number
+    of ranges (by default the session's shuffle partitions).
     """
     keys = list(sort_cols) + list(spread_cols or [])
-    out = df.repartitionByRange(*keys) if cluster else df
+    out = _ranged(df, parts, keys) if cluster else df
     w = out.sortWithinPartitions(*keys).write.mode(mode).option("compression", compression)
     for k, v in (options or {}).items():
         w = w.option(k, v)
@@ -178,8 +184,7 @@ def write_interleaved(df: DataFrame, path: str, cols: list[str], bits: int = 6,
     """
     keys = ["_order", *(spread_cols or [])]
     ranged = df.withColumn("_order", interleaved(df, cols, bits))
-    ranged = ranged.repartitionByRange(files, *keys) if files else ranged.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).drop("_order").write.mode(mode).option("compression", compression).parquet(path)
+    _ranged(ranged, files, keys).sortWithinPartitions(*keys).drop("_order").write.mode(mode).option("compression", compression).parquet(path)
 
 
 def files_read(spark: SparkSession, path: str, predicate: F.Column) -> DataFrame:

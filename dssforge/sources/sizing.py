@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 #: Input bytes that one written file, bucket or shuffle partition should hold.
 TARGET_BYTES = 256 << 20
 
+#: The same for whole rows that one task shuffles and sorts: in memory they take more than ten times their Parquet bytes.
+WRITTEN_BYTES = 32 << 20
+
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
     """Bytes of the files under ``paths`` (their listing only; no content is read)."""
@@ -31,7 +34,7 @@ def size_shuffles(spark: SparkSession, *paths: str, target: int = TARGET_BYTES)
     return n
 
 
-def written_parts(spark: SparkSession, path: str, target: int = TARGET_BYTES) -> int:
+def written_parts(spark: SparkSession, path: str, target: int = WRITTEN_BYTES) -> int:
     """Parts for rewriting the files at ``path``."""
     return parts_for(stored_bytes(spark, path), target)
 
