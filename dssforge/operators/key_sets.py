@@ -21,6 +21,26 @@ c = F.col
 BLOCK_BITS = 6
 
 
+#: A set of so many keys at most is sent to every task.
+SENT_KEYS = 500_000
+
+
+def without_keys(rows: DataFrame, key: str, keys: DataFrame, name: str, also: Column | None = None,
+                 n_keys: int | None = None, parts: int | None = None) -> DataFrame:
+    """``rows`` whose ``key`` is not a value of column ``name`` of ``keys`` (where ``also`` holds, if given).
+
+    Up to ``SENT_KEYS`` keys (``n_keys``, counted by the caller) go to every task and the rows stay where they are.
+    More are dealt with the rows into ``parts`` partitions, a number that follows the bytes of the rows; a
+    partition's keys are looked up in a hash table, so the whole rows are not sorted.
+    """
+    on = c(key) == c(name) if also is None else (c(key) == c(name)) & also
+    if n_keys is not None and n_keys <= SENT_KEYS:
+        keys = F.broadcast(keys)
+    elif parts:
+        rows, keys = rows.repartition(parts, key), keys.repartition(parts, name).hint("shuffle_hash")
+    return rows.join(keys, on, "left_anti")
+
+
 def _block(key: Column) -> Column:
     return F.shiftright(key.cast("bigint"), BLOCK_BITS)
 

@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dssforge.functions.exprs import date
-from dssforge.operators.key_sets import overlaps
+from dssforge.operators.key_sets import overlaps, without_keys
 from dssforge.operators.layout import write_year_partitioned, year_partition
 from dssforge.session import scratch_path
 from dssforge.sources.delimited import load_delete_keys, load_delimited, to_file_shape, write_delimited
+from dssforge.sources.sizing import written_parts
 from dssforge.sources.tables import Catalog
 
 c = F.col
@@ -35,16 +36,21 @@ class RefreshSets:
     delete_keys: DataFrame  # one column: o_orderkey
 
 
-def refresh_sets(cat: Catalog, insert_from: str = "1999-01-01", delete_before: str = "1996-01-01") -> RefreshSets:
+def refresh_sets(cat: Catalog, insert_from: str = "1999-01-01", delete_before: str = "1996-01-01",
+                 store_keys: bool = False) -> RefreshSets:
     """Split the data into a base state, an insert set and a delete key set.
 
     Orders placed from ``insert_from`` on (and their lines) form the insert
     set; the base holds everything else. The delete set is the keys of the
     orders placed before ``delete_before`` (old orders leave the system).
+    ``store_keys`` writes the insert set's keys once, so the planner knows their size
+    and the lines are not shuffled to meet a few.
     """
     orders, lines = cat.orders, cat.lineitem
     new = orders.filter(c("o_orderdate") >= date(insert_from))
     new_keys = new.select(c("o_orderkey").alias("_k"))
+    if store_keys:
+        new_keys = cat.spark.read.schema(new_keys.schema).parquet(write_state(new_keys, "insert-keys"))
     return RefreshSets(
         base_orders=orders.filter(~(c("o_orderdate") >= date(insert_from)) | c("o_orderdate").isNull()),
         base_lines=lines.join(new_keys, c("l_orderkey") == c("_k"), "left_anti"),
@@ -81,25 +87,31 @@ def write_state(df: DataFrame, name: str, path: str | None = None) -> str:
     return out
 
 
-def refresh_partitions(state: str, schema, part_col: str, key: str, delete_keys: DataFrame, inserts: DataFrame) -> list[str]:
+def refresh_partitions(state: str, schema, part_col: str, key: str, delete_keys: DataFrame, inserts: DataFrame,
+                       parts: int | None = None) -> list[str]:
     """Apply a refresh set to a table stored in ``part_col`` folders; returns the partitions rewritten.
 
     Delete keys are mapped to the partitions that hold them by a join over the key and partition columns
     alone; those partitions and the ones that get rows are built anew in the shared folder, and
     replace the old ones by a dynamic partition overwrite; one left without rows is removed. All other
     partitions keep their files. ``inserts`` has the table's columns, ``part_col`` (a string) too.
-    Applying a set once more changes nothing: rows of inserted keys are replaced.
+    Applying a set once more changes nothing: rows of inserted keys are replaced. ``parts`` is the number of
+    partitions the rows are dealt into (by default the session's shuffle partitions).
     """
     spark = inserts.sparkSession
     table = spark.read.schema(schema).parquet(state)
     keys = delete_keys.select(c(delete_keys.columns[0]).alias("_k")).dropna()
     gone = keys.unionByName(inserts.select(c(key).alias("_k")).dropna()).distinct()
+    gone = spark.read.schema(gone.schema).parquet(write_state(gone, "refresh-keys"))
+    n_keys = gone.count()
     hit = table.select(key, part_col).join(gone, c(key) == c("_k"), "left_semi").select(part_col)
     # One value per folder, so this list is as long as the table has partitions at most.
     touched = sorted(r[0] for r in hit.unionByName(inserts.select(part_col)).distinct().collect())
     staged = scratch_path(spark, "staged-partitions")
-    fresh = table.where(c(part_col).isin(touched)).join(gone, c(key) == c("_k"), "left_anti").unionByName(inserts)
-    fresh.repartition(part_col, F.pmod(F.xxhash64(key), F.lit(SPREAD))).write.partitionBy(part_col).parquet(staged)
+    fresh = without_keys(table.where(c(part_col).isin(touched)), key, gone, "_k", n_keys=n_keys, parts=parts).unionByName(inserts)
+    dealt = [part_col, F.pmod(F.xxhash64(key), F.lit(SPREAD))]
+    fresh = fresh.repartition(parts, *dealt) if parts else fresh.repartition(*dealt)
+    fresh.write.partitionBy(part_col).parquet(staged)
     new = spark.read.schema(schema).parquet(staged)
     left = {r[0] for r in new.select(part_col).distinct().collect()}
     new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(state)
@@ -144,7 +156,7 @@ def write_update_files(cat: Catalog, sets: RefreshSets, kinds: tuple[str, ...] =
 
 def _inserted(cat: Catalog, table: str) -> DataFrame:
     """State of one table after its insert files are loaded and added to the base state."""
-    s = refresh_sets(cat)
+    s = refresh_sets(cat, store_keys=table == "lineitem")
     files = write_update_files(cat, s, (table,))
     base, cols = (s.base_orders, ORDER_COLS) if table == "orders" else (s.base_lines, LINE_COLS)
     new = load_delimited(cat.spark, f"{files[table]}/part-*", table)
@@ -155,12 +167,13 @@ def _deleted(cat: Catalog, table: str, state: DataFrame, key: str, s: RefreshSet
     """``state`` without the rows of the orders in the delete key file."""
     files = write_update_files(cat, s, ("delete",))
     keys = load_delete_keys(cat.spark, f"{files['delete']}/part-*").select(c("o_orderkey").alias("_dk")).dropna()
-    return state.join(keys, c(key) == c("_dk"), "left_anti")
+    n_keys = cat.spark.read.text(files["delete"]).count()
+    return without_keys(state, key, keys, "_dk", n_keys=n_keys, parts=written_parts(cat.spark, cat.path(table)))
 
 
 def _applied(cat: Catalog, table: str) -> DataFrame:
     """State of one table after the delete file, then the insert files, applied to the base state."""
-    s = refresh_sets(cat)
+    s = refresh_sets(cat, store_keys=table == "lineitem")
     base, cols, key = (s.base_orders, ORDER_COLS, "o_orderkey") if table == "orders" else (s.base_lines, LINE_COLS, "l_orderkey")
     files = write_update_files(cat, s, (table,))
     new = load_delimited(cat.spark, f"{files[table]}/part-*", table)
@@ -170,17 +183,18 @@ def _applied(cat: Catalog, table: str) -> DataFrame:
 
 def _partitioned(cat: Catalog, table: str) -> DataFrame:
     """State of one table, stored in yearly folders, after both update files are applied to the folders they touch."""
-    s = refresh_sets(cat)
+    s = refresh_sets(cat, store_keys=table == "lineitem")
+    parts = written_parts(cat.spark, cat.path(table))
     base, cols, key, day = ((s.base_orders, ORDER_COLS, "o_orderkey", "o_orderdate") if table == "orders"
                             else (s.base_lines, LINE_COLS, "l_orderkey", "l_shipdate"))
     files = write_update_files(cat, s, (table, "delete"))
     state = scratch_path(cat.spark, f"{table}-by-year")
     base = base.select(*cols)
-    write_year_partitioned(base, day, state, spread_cols=[key])
+    write_year_partitioned(base, day, state, spread_cols=[key], parts=parts)
     new = load_delimited(cat.spark, f"{files[table]}/part-*", table).select(*[c(x).cast(base.schema[x].dataType) for x in cols])
     schema = base.withColumn("year", F.lit("")).schema
     refresh_partitions(state, schema, "year", key, load_delete_keys(cat.spark, f"{files['delete']}/part-*"),
-                       new.withColumn("year", year_partition(day)))
+                       new.withColumn("year", year_partition(day)), parts)
     return as_result(cat.spark.read.schema(schema).parquet(state), cols)
 
 

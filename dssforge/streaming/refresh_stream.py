@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from dssforge.operators.key_sets import without_keys
 from dssforge.sources.delimited import DELETE_SCHEMA, TBL_SCHEMAS, parse_lines
 
 c = F.col
@@ -95,15 +96,16 @@ def manifests(spark: SparkSession, state: str) -> DataFrame:
     return spark.read.schema("inserted long, deleted long, batch_id long").parquet(f"{state}/manifest")
 
 
-def read_state(spark: SparkSession, base: DataFrame, key: str, state: str) -> DataFrame:
-    """The table: base rows and inserted rows without those that a later set deleted."""
+def read_state(spark: SparkSession, base: DataFrame, key: str, state: str, parts: int | None = None) -> DataFrame:
+    """The table: base rows and inserted rows without those that a later set deleted (``parts``: see ``without_keys``)."""
     row = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in base.schema)
     log = spark.read.schema(f"refresh_set int, kind string, order_key bigint, row struct<{row}>, batch_id long").parquet(f"{state}/log")
     log = log.join(manifests(spark, state).select(c("batch_id").alias("counted")), c("batch_id") == c("counted"), "left_semi")
     rows = base.select(F.lit(0).alias("_set"), *base.columns)
     rows = rows.unionByName(log.where(c("kind") == INSERT).select(c("refresh_set").alias("_set"), "row.*"))
     gone = log.where(c("kind") == DELETE).groupBy(c("order_key").alias("_key")).agg(F.max("refresh_set").alias("_gone"))
-    return rows.join(gone, (c(key) == c("_key")) & (c("_set") < c("_gone")), "left_anti").drop("_set")
+    deleted = manifests(spark, state).agg(F.coalesce(F.sum("deleted"), F.lit(0))).first()[0]
+    return without_keys(rows, key, gone, "_key", c("_set") < c("_gone"), n_keys=deleted, parts=parts).drop("_set")
 
 
 def compact(spark: SparkSession, base: DataFrame, key: str, state: str, path: str) -> DataFrame:
