@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from dssforge.operators.layout import write_sorted
 from dssforge.session import scratch_path
 from dssforge.sources.delimited import TBL_SCHEMAS, parse_lines
+from dssforge.sources.sizing import written_parts
 from dssforge.sources.tables import TABLE_NAMES
 
 # Date column each fact table is clustered by, then its key (to split large days).
@@ -53,7 +54,7 @@ def load_counted(spark: SparkSession, src: str, dst: str, tables: list[str] | No
         few_files = len(lines.inputFiles()) <= OBSERVED_FILES
         seen = Observation()
         names = F.call_function("approx_top_k", F.col("source_file"), F.lit(OBSERVED_FILES), F.lit(SKETCH_ITEMS)) if few_files else F.lit(None)
-        told = lines.select("value", F.regexp_extract("_metadata.file_path", r"[^/]+/[^/]+$", 0).alias("source_file"))
+        told = lines.select("value", F.substring_index("_metadata.file_path", "/", -2).alias("source_file"))
         df = parse_lines(told, TBL_SCHEMAS[table], dummy).observe(seen, F.count(F.lit(1)).alias("rows"), names.alias("per_file")).drop("source_file")
         out = f"{dst.rstrip('/')}/{table}.parquet"
         if table in SORT_KEYS:
@@ -61,7 +62,8 @@ def load_counted(spark: SparkSession, src: str, dst: str, tables: list[str] | No
             # Parsed rows are written once before they are ranged: drawing the ranges would run the observed read twice.
             staged = scratch_path(spark, f"parsed-{table}")
             df.write.parquet(staged)
-            write_sorted(spark.read.schema(df.schema).parquet(staged), out, dates, compression=compression, spread_cols=spread, options=compression_options)
+            write_sorted(spark.read.schema(df.schema).parquet(staged), out, dates, compression=compression, spread_cols=spread, options=compression_options,
+                         parts=written_parts(spark, staged))
         else:
             w = df.write.mode("errorifexists").option("compression", compression)
             for k, v in (compression_options or {}).items():
