@@ -115,12 +115,12 @@ def table_from_query_q(cat: Catalog) -> DataFrame:
 def layout_year_partition_q(cat: Catalog, year: int = 1997) -> DataFrame:
     """lineitem in yearly ship-date folders; a one-year read prunes the others."""
     path = scratch_path(cat.spark, "lineitem-by-year")
-    layout.write_year_partitioned(cat.lineitem, "l_shipdate", path, spread_cols=["l_orderkey", "l_linenumber"])
+    layout.write_year_partitioned(cat.lineitem, "l_shipdate", path, spread_cols=["l_orderkey", "l_linenumber"], parts=_buckets(cat))
     return as_result(cat.spark.read.parquet(path).filter(c("year") == str(year)), LINE_COLS)
 
 
 def _buckets(cat: Catalog) -> int:
-    """Buckets of the fact tables, from lineitem's bytes."""
+    """Buckets (or ranges) of the fact tables, from lineitem's bytes."""
     return written_parts(cat.spark, cat.path("lineitem"))
 
 
@@ -151,7 +151,7 @@ def layout_minmax_q(cat: Catalog, lo: str = "1997-03-01", hi: str = "1997-04-01"
     """lineitem sorted by ship date, zstd-compressed; a date range reads few row groups."""
     path = scratch_path(cat.spark, "lineitem-sorted")
     layout.write_sorted(cat.lineitem, path, ["l_shipdate"], compression="zstd",
-                        spread_cols=["l_orderkey", "l_linenumber"])
+                        spread_cols=["l_orderkey", "l_linenumber"], parts=_buckets(cat))
     df = cat.spark.read.parquet(path)
     return as_result(df.filter((c("l_shipdate") >= F.lit(lo).cast("date")) & (c("l_shipdate") < F.lit(hi).cast("date"))),
                      LINE_COLS)
@@ -164,7 +164,7 @@ SKIP_COLS = ["l_quantity", "l_returnflag", "l_linestatus", "l_shipdate", "l_rece
 def layout_interleaved_q(cat: Catalog, quantity: int = 10, ship: str = "1996-01-01", receipt: str = "1996-03-01", mode: str = "RAIL") -> DataFrame:
     """lineitem along a space-filling order of seven columns; a predicate on four of them."""
     path = scratch_path(cat.spark, "lineitem-interleaved")
-    layout.write_interleaved(cat.lineitem, path, SKIP_COLS, spread_cols=["l_orderkey", "l_linenumber"])
+    layout.write_interleaved(cat.lineitem, path, SKIP_COLS, files=_buckets(cat), spread_cols=["l_orderkey", "l_linenumber"])
     df = cat.spark.read.parquet(path)
     return as_result(df.filter((c("l_quantity") <= quantity) & (c("l_shipdate") >= F.lit(ship).cast("date"))
                                & (c("l_receiptdate") < F.lit(receipt).cast("date")) & (c("l_shipmode") != mode)), LINE_COLS)
@@ -173,7 +173,7 @@ def layout_interleaved_q(cat: Catalog, quantity: int = 10, ship: str = "1996-01-
 def layout_sorted_q(cat: Catalog) -> DataFrame:
     """Proof that lineitem, stored sorted by ship date, is sorted inside and across its files."""
     path = scratch_path(cat.spark, "lineitem-proved")
-    layout.write_sorted(cat.lineitem, path, ["l_shipdate"], spread_cols=["l_orderkey", "l_linenumber"])
+    layout.write_sorted(cat.lineitem, path, ["l_shipdate"], spread_cols=["l_orderkey", "l_linenumber"], parts=_buckets(cat))
     return layout.order_proof(cat.spark, path, "l_shipdate").select("rows", "unsorted_rows", "overlapping_files", "first_key", "last_key")
 
 
@@ -181,11 +181,9 @@ def load_counts_by_file_q(cat: Catalog) -> DataFrame:
     """orders and lineitem written as table files, a folder a year, and loaded: rows inserted from each folder's files."""
     src, dst = scratch_path(cat.spark, "tbl-years"), scratch_path(cat.spark, "loaded-years")
     for table, day in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
-        df = cat.table(table)
-        for year in [*map(str, range(layout.FIRST_YEAR, layout.LAST_YEAR + 1)), layout.OTHERS]:
-            write_delimited(to_file_shape(df.where(layout.year_partition(day) == year), table), f"{src}/{table}.tbl.{year}")
+        write_delimited(to_file_shape(cat.table(table), table), f"{src}/{table}.tbl", folders={"year": layout.year_partition(day)})
     counted = load_counted(cat.spark, src, dst, ["orders", "lineitem"])
-    year = F.regexp_extract("source_file", r"\.tbl\.([^/]+)/", 1).alias("year")
+    year = F.regexp_extract("source_file", r"^year=([^/]+)/", 1).alias("year")
     return counted.groupBy("table_name", year).agg(F.sum("tuples").alias("tuples"))
 
 
@@ -209,11 +207,11 @@ def stats_by_partition_q(cat: Catalog, late: str = "1998-01-01") -> DataFrame:
     state, stats = scratch_path(cat.spark, "lineitem-analyzed"), scratch_path(cat.spark, "lineitem-stats")
     year, old = layout.year_partition("l_shipdate"), c("l_shipdate") < F.lit(late).cast("date")
     schema = cat.lineitem.withColumn("year", year).schema
-    layout.write_year_partitioned(cat.lineitem.where(old), "l_shipdate", state, spread_cols=["l_orderkey"])
+    layout.write_year_partitioned(cat.lineitem.where(old), "l_shipdate", state, spread_cols=["l_orderkey"], parts=_buckets(cat))
     partition_stats.analyze(cat.spark.read.schema(schema).parquet(state), "year", STAT_WIDTHS, stats)
     new = cat.lineitem.where(~old | c("l_shipdate").isNull())
     fresh = [r[0] for r in new.select(year.alias("year")).distinct().collect()]  # at most one per yearly partition
-    layout.write_year_partitioned(new, "l_shipdate", state, spread_cols=["l_orderkey"], mode="append")
+    layout.write_year_partitioned(new, "l_shipdate", state, spread_cols=["l_orderkey"], mode="append", parts=_buckets(cat))
     partition_stats.analyze(cat.spark.read.schema(schema).parquet(state), "year", STAT_WIDTHS, stats, fresh)
     found = partition_stats.merged(partition_stats.read(cat.spark, stats), STAT_WIDTHS)
     return found.select("column_name", "row_count", "null_count", "min_value", "max_value", *[F.get("bounds", F.lit(i)).alias(f"bound_{i + 1}") for i in range(3)])
@@ -283,13 +281,13 @@ def land_segments(cat: Catalog, s: RefreshSets, table: str, landing: str, segmen
 
 def _streamed(cat: Catalog, table: str, files_per_batch: int) -> DataFrame:
     """A table after a refresh set came as segments, in two runs of the stream over one checkpoint."""
-    s = refresh_sets(cat)
+    s = refresh_sets(cat, store_keys=table == "lineitem")
     base, cols, key = (s.base_orders, ORDER_COLS, "o_orderkey") if table == "orders" else (s.base_lines, LINE_COLS, "l_orderkey")
     landing, state, ckpt = (scratch_path(cat.spark, f"{kind}-{table}") for kind in ("landing", "state", "ckpt"))
     for segment in range(2):
         land_segments(cat, s, table, landing, segment, 2)
         segment_stream(cat.spark, table, key, landing, state, ckpt, files_per_batch).awaitTermination()
-    return as_result(read_state(cat.spark, to_file_shape(base, table), key, state), cols)
+    return as_result(read_state(cat.spark, to_file_shape(base, table), key, state, written_parts(cat.spark, cat.path(table))), cols)
 
 
 def refresh_stream_q(cat: Catalog, files_per_batch: int = 1000) -> DataFrame:
