@@ -17,7 +17,7 @@ from dssforge.operators.layout import write_sorted
 from dssforge.session import scratch_path
 from dssforge.sources.delimited import TBL_SCHEMAS, parse_lines
 from dssforge.sources.sizing import written_parts
-from dssforge.sources.tables import TABLE_NAMES
+from dssforge.sources.tables import TABLE_NAMES, union_all
 
 # Date column each fact table is clustered by, then its key (to split large days).
 SORT_KEYS = {"lineitem": (["l_shipdate"], ["l_orderkey", "l_linenumber"]),
@@ -28,12 +28,11 @@ def load_tables(spark: SparkSession, src: str, dst: str, tables: list[str] | Non
                 pattern: str = "{table}.tbl*", dummy: bool = True, compression: str = "snappy",
                 compression_options: dict | None = None) -> DataFrame:
     """Load table files into ``dst``; returns (table_name, tuples) per loaded table."""
-    counted = load_counted(spark, src, dst, tables, pattern, dummy, compression, compression_options)
-    return counted.groupBy("table_name").agg(F.sum("tuples").alias("tuples"))
-
-
-#: Source files whose rows are told apart by the sketch on the write, which is exact while it holds all of them.
-OBSERVED_FILES, SKETCH_ITEMS = 9_000, 1 << 17
+    found = []
+    for table in tables or TABLE_NAMES:
+        lines = spark.read.text(f"{src.rstrip('/')}/{pattern.format(table=table)}").select("value")
+        found.append((table, _load_lines(lines, table, dst, dummy, compression, compression_options)))
+    return spark.createDataFrame(found, "table_name string, tuples bigint")
 
 
 def load_counted(spark: SparkSession, src: str, dst: str, tables: list[str] | None = None,
@@ -42,39 +41,48 @@ def load_counted(spark: SparkSession, src: str, dst: str, tables: list[str] | No
     """Load table files into ``dst``; returns (table_name, source_file, tuples), the rows inserted from each file
     (its folder and name).
 
-    The counts are observed on the write itself (a count, and a frequent-items sketch over the file
-    names, which keeps every name while they are at most ``OBSERVED_FILES``), so what was loaded is
-    not read again. A file without rows has no line of its own; a table without rows has one, with 0. A
-    table of more files has one line for all of them.
+    The parsed rows are written once with the file they came from. The table is loaded from these rows and
+    their files are counted on that one column, exactly for any number of files and without
+    gathering them on the driver, so the source is read and parsed once. A file without rows has no line
+    of its own; a table without rows has one, with 0.
     """
     found = []
     for table in tables or TABLE_NAMES:
-        path = f"{src.rstrip('/')}/{pattern.format(table=table)}"
-        lines = spark.read.text(path)
-        few_files = len(lines.inputFiles()) <= OBSERVED_FILES
-        seen = Observation()
-        names = F.call_function("approx_top_k", F.col("source_file"), F.lit(OBSERVED_FILES), F.lit(SKETCH_ITEMS)) if few_files else F.lit(None)
+        lines = spark.read.text(f"{src.rstrip('/')}/{pattern.format(table=table)}")
         told = lines.select("value", F.substring_index("_metadata.file_path", "/", -2).alias("source_file"))
-        df = parse_lines(told, TBL_SCHEMAS[table], dummy).observe(seen, F.count(F.lit(1)).alias("rows"), names.alias("per_file")).drop("source_file")
-        out = f"{dst.rstrip('/')}/{table}.parquet"
-        if table in SORT_KEYS:
-            dates, spread = SORT_KEYS[table]
-            # Parsed rows are written once before they are ranged: drawing the ranges would run the observed read twice.
-            staged = scratch_path(spark, f"parsed-{table}")
-            df.write.parquet(staged)
-            write_sorted(spark.read.schema(df.schema).parquet(staged), out, dates, compression=compression, spread_cols=spread, options=compression_options,
-                         parts=written_parts(spark, staged))
+        staged = scratch_path(spark, f"parsed-{table}")
+        if _load_lines(told, table, dst, dummy, compression, compression_options, staged):
+            counts = spark.read.schema("source_file string").parquet(staged).groupBy("source_file").agg(F.count(F.lit(1)).alias("tuples"))
         else:
-            w = df.write.mode("errorifexists").option("compression", compression)
-            for k, v in (compression_options or {}).items():
-                w = w.option(k, v)
-            w.parquet(out)
-        rows, per_file = seen.get["rows"], seen.get["per_file"]
-        files = [(table, r["item"], r["count"]) for r in per_file or []]
-        if sum(n for _, _, n in files) != rows:
-            files = [(table, None, rows)]
-        found += files or [(table, None, rows)]
-    return spark.createDataFrame(found, "table_name string, source_file string, tuples bigint")
+            counts = spark.createDataFrame([(None, 0)], "source_file string, tuples bigint")
+        found.append(counts.select(F.lit(table).alias("table_name"), "source_file", "tuples"))
+    return union_all(found)
+
+
+def _load_lines(lines: DataFrame, table: str, dst: str, dummy: bool, compression: str, compression_options: dict | None,
+                staged: str | None = None) -> int:
+    """Load a table's text lines into ``dst``; returns its rows, observed on the write.
+
+    Columns of ``lines`` besides ``value`` are kept with the parsed rows in the folder ``staged``, not in the table.
+    """
+    spark, seen = lines.sparkSession, Observation()
+    df = parse_lines(lines, TBL_SCHEMAS[table], dummy).observe(seen, F.count(F.lit(1)).alias("rows"))
+    out = f"{dst.rstrip('/')}/{table}.parquet"
+    if table in SORT_KEYS:
+        # Parsed rows are written once before they are ranged: drawing the ranges would run the observed read twice.
+        staged = staged or scratch_path(spark, f"parsed-{table}")
+    if staged:
+        df.write.parquet(staged)
+        df = spark.read.schema(df.drop(*lines.columns).schema).parquet(staged)
+    if table in SORT_KEYS:
+        dates, spread = SORT_KEYS[table]
+        write_sorted(df, out, dates, compression=compression, spread_cols=spread, options=compression_options, parts=written_parts(spark, staged))
+    else:
+        w = df.write.mode("errorifexists").option("compression", compression)
+        for k, v in (compression_options or {}).items():
+            w = w.option(k, v)
+        w.parquet(out)
+    return seen.get["rows"]
 
 
 def store_bucketed(cat, database: str, location: str, buckets: int):

@@ -16,7 +16,7 @@ from dssforge.plans.explain import plan_statistics, plan_text
 from dssforge.plans.queries import q02, q05, q08, q09
 from dssforge.registry import registered_queries
 from dssforge.sources.delimited import to_file_shape, write_delimited
-from dssforge.sources.load import load_counted
+from dssforge.sources.load import load_counted, load_tables
 from dssforge.sources.sizing import size_runtime_filters
 from dssforge.sources.tables import Catalog
 from dssforge.streaming.refresh_stream import apply_batch, compact, manifests, read_state, segment_stream
@@ -193,6 +193,48 @@ def test_loaded_rows_are_counted_by_file(spark, tmp_dir):
     assert spark.read.parquet(f"{dst}/orders.parquet").count() == 53
 
 
+def test_each_of_very_many_files_is_counted(spark, tmp_dir):
+    src, dst = Path(tmp_dir, "src", "orders.tbl"), f"{tmp_dir}/dst"
+    src.mkdir(parents=True)
+    want = {f"orders.tbl/part-{k:05d}": 1 + k % 3 for k in range(9_001)}
+    for name, n in want.items():
+        (src.parent / name).write_text("".join(f"{k}|1|F|1.00|1994-01-01|x|y|0|z|\n" for k in range(n)))
+    # In folders of thousands of small files the default opening cost makes a task of every 32.
+    conf = "spark.sql.files.openCostInBytes"
+    cost = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, "64k")
+        got = load_counted(spark, str(src.parent), dst, ["orders"]).collect()
+    finally:
+        spark.conf.set(conf, cost)
+    assert {r.source_file: r.tuples for r in got} == want and len(got) == len(want)
+    assert spark.read.parquet(f"{dst}/orders.parquet").count() == sum(want.values())
+
+
+@pytest.mark.parametrize("table, row", [("orders", "1|1|F|1.00|1994-01-01|x|y|0|z|\n"), ("region", "1|x|y|\n")])
+def test_files_are_counted_alike_whether_the_table_is_sorted_or_not(spark, tmp_dir, table, row):
+    src, dst = Path(tmp_dir, "src"), f"{tmp_dir}/dst"
+    src.mkdir()
+    for k, n in enumerate((3, 0, 5)):
+        (src / f"{table}.tbl.{k}").write_text(row * n)
+    got = load_counted(spark, str(src), dst, [table]).collect()
+    assert sorted((r.table_name, r.source_file, r.tuples) for r in got) == [(table, f"src/{table}.tbl.0", 3), (table, f"src/{table}.tbl.2", 5)]
+    loaded = spark.read.parquet(f"{dst}/{table}.parquet")
+    assert loaded.count() == 8 and "source_file" not in loaded.columns
+
+
+def test_folder_names_of_the_source_are_no_columns_of_the_table(spark, tmp_dir):
+    src = Path(tmp_dir, "src")
+    for name, row in (("orders", "1|1|F|1.00|1994-01-01|x|y|0|z|\n"), ("region", "1|x|y|\n")):
+        for year in (1994, 1995):
+            (src / f"{name}.tbl" / f"year={year}").mkdir(parents=True)
+            (src / f"{name}.tbl" / f"year={year}" / "part-0").write_text(row)
+    for load, dst in ((load_tables, f"{tmp_dir}/a"), (load_counted, f"{tmp_dir}/b")):
+        found = load(spark, str(src), dst, ["orders", "region"]).groupBy("table_name").agg(F.sum("tuples").alias("n")).collect()
+        assert {r.table_name: r.n for r in found} == {"orders": 2, "region": 2}
+        assert len(spark.read.parquet(f"{dst}/orders.parquet").columns) == 9 and len(spark.read.parquet(f"{dst}/region.parquet").columns) == 3
+
+
 def test_islands_equal_a_plain_walk(spark):
     rng = random.Random(4)
     rows = [(g, rng.randint(0, 60)) for g in (0, 1, None) for _ in range(45)] + [(7, 5), (8, None)]
